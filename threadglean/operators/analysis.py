@@ -15,14 +15,13 @@ def staging(summary_table):
         F.col("comment_body").isNotNull() & F.col("needs_processing")).select(*STAGING_COLUMNS)
 
 
-def with_results(staged, summaries, sentiments, **skew):
+def with_results(staged, summaries, sentiments):
     """Staging with its summary and sentiment by comment_id, nulls where missing,
-    and the two quality labels."""
-    spread = ["post_id", "comment_id"]
-    joined = scale.skew_join(staged, summaries.select("comment_id", "comment_summary"),
-                             "comment_id", "left", spread, **skew)
-    joined = scale.skew_join(joined, sentiments.select("comment_id", "sentiment_score", "sentiment_label"),
-                             "comment_id", "left", spread, **skew)
+    and the two quality labels. The result tables are keyed by comment_id, so
+    both joins share one shuffle of the staged rows."""
+    joined = staged.join(summaries.select("comment_id", "comment_summary"), "comment_id", "left")
+    joined = joined.join(
+        sentiments.select("comment_id", "sentiment_score", "sentiment_label"), "comment_id", "left")
     return joined.select(
         *staged.columns, "comment_summary", "sentiment_score", "sentiment_label",
         comment_quality("comment_body").alias("comment_quality"),
@@ -30,11 +29,11 @@ def with_results(staged, summaries, sentiments, **skew):
     )
 
 
-def joined_analysis(staged, summaries, sentiments, run_ts=None, **skew):
+def joined_analysis(staged, summaries, sentiments, run_ts=None):
     """The rows whose comment and summary are both Valid, stamped."""
     both = (F.col("comment_quality") == "Valid") & (F.col("summary_quality") == "Valid")
     clock = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
-    return with_results(staged, summaries, sentiments, **skew).where(both).select(
+    return with_results(staged, summaries, sentiments).where(both).select(
         "*", clock.alias("processed_at"), F.lit(K.PROCESSED_BY).alias("processed_by"))
 
 

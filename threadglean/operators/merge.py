@@ -53,7 +53,7 @@ def rows_to_insert(old, new, keys, order=None):
     return one_per_key(new, keys, order).join(old.select(*keys), keys, "left_anti").select(*new.columns)
 
 
-def flag_processed(table, history):
+def flag_processed(table, history, **skew):
     """needs_processing becomes false where comment_id occurs in `history`.
 
     It matches on comment_id alone, whatever the post. Settled rows pass
@@ -62,7 +62,7 @@ def flag_processed(table, history):
     done = F.col("needs_processing").isNotNull() & ~F.col("needs_processing")
     ids = history.select("comment_id").distinct().withColumn("__hit", F.lit(True))
     open_rows = scale.skew_join(table.where(~done), ids, "comment_id", "left",
-                                ["post_id", "comment_id"])
+                                ["post_id", "comment_id"], **skew)
     flipped = open_rows.withColumn(
         "needs_processing",
         F.when(F.col("__hit"), F.lit(False)).otherwise(F.col("needs_processing")),

@@ -9,8 +9,8 @@ from pyspark.sql import Window, functions as F
 
 from threadglean.session import ensure_checkpoint_dir
 
-# Below this estimated size a plan is run the plain way.
-SMALL_PLAN_BYTES = 256 * 1024 * 1024
+# A plan whose inputs are together below this size is run the plain way.
+SMALL_INPUT_BYTES = 128 * 1024 * 1024
 # Most rows that are ever pulled to the driver and sent to all executors.
 PIN_MAX_ROWS = 10_000
 # A key outside the largest HOT_KEYS ones holds less than 1/HOT_KEYS of all rows.
@@ -21,14 +21,18 @@ HOT_ROWS_PER_TASK = 1_000_000
 NULL_KEY_SALTS = 4096
 
 
-def plan_bytes(df):
-    """Catalyst's size estimate for a plan; it errs upwards for joins."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+def input_bytes(df):
+    """Size of all inputs of a plan, as Catalyst knows it after pruning.
+
+    Every join of this library gives a left row at most one partner, so the
+    inputs bound the result, where the planner's own join estimate is a product.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def is_small(df, limit=SMALL_PLAN_BYTES):
-    return plan_bytes(df) <= limit
+def is_small(df, limit=SMALL_INPUT_BYTES):
+    return input_bytes(df) <= limit
 
 
 def cut_lineage(df):
@@ -68,20 +72,26 @@ def hot_keys(df, keys, rows_per_task=HOT_ROWS_PER_TASK, max_keys=HOT_KEYS):
     )
 
 
-def skew_join(left, right, on, how, spread, *, rows_per_task=HOT_ROWS_PER_TASK,
-              small_limit=SMALL_PLAN_BYTES):
+def skew_join(left, right, on, how, spread, *, hot_from=None, rows_per_task=HOT_ROWS_PER_TASK,
+              small_limit=SMALL_INPUT_BYTES):
     """Equi-join whose left side may hold very many rows of one key.
 
     `how` is inner, left, left_semi or left_anti. Rows of a hot key, and rows
     with a null key, are dealt over salts by a hash of the `spread` columns;
     right rows of a hot key are repeated once per salt, so every left row still
     meets all its partners exactly once.
+
+    Spark's own skew join splits a side only where both sides come straight from
+    a shuffle; use this one where the right side was grouped by the key before.
+    Hot keys are counted on `hot_from` (default: left), which should be a stored
+    table: only its key columns are read.
     """
     on = [on] if isinstance(on, str) else list(on)
     spread = [spread] if isinstance(spread, str) else list(spread)
     if is_small(left, small_limit):
         return left.join(right, on, how)
-    hot, _ = pin_small(hot_keys(left, on, rows_per_task), HOT_KEYS)
+    source = left if hot_from is None else hot_from
+    hot, _ = pin_small(hot_keys(source, on, rows_per_task), HOT_KEYS)
     dealt = F.xxhash64(*spread)
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
     salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
@@ -97,7 +107,7 @@ def skew_join(left, right, on, how, spread, *, rows_per_task=HOT_ROWS_PER_TASK,
 
 
 def rank_rows(df, group, order, name="rank", *, partitions=None,
-              small_limit=SMALL_PLAN_BYTES):
+              small_limit=SMALL_INPUT_BYTES):
     """Number all rows of each group 1, 2, 3, ... in a total order.
 
     A plain window puts a whole group into one task. On large input the rows are

@@ -30,10 +30,10 @@ def posts_with_comments(posts, comments, run_ts, **skew):
     )
 
 
-def unseen(rows, stored, **skew):
+def unseen(rows, stored):
     """Rows whose (post_id, comment_id) is not stored; null keys never match."""
     keys = ["post_id", "comment_id"]
-    return scale.skew_join(rows, stored.select(*keys), keys, "left_anti", keys, **skew).select(*rows.columns)
+    return rows.join(stored.select(*keys), keys, "left_anti").select(*rows.columns)
 
 
 def with_defaults(rows, stored, **rank):

@@ -8,11 +8,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
-from threadglean import constants as K
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
     analysis, counters, enrich, ingest, quality, report, scale, summary, watermark)
-from threadglean.operators.merge import flag_processed, rows_to_insert
+from threadglean.operators.merge import flag_processed, merge_keyed, rows_to_insert
 from threadglean.operators.suites import SUITES
 from threadglean.schemas import KEYS
 from threadglean.sources.files import write_reports
@@ -38,13 +37,23 @@ class DailyRun:
 
     def _append(self, name, df):
         """Append and count in the same job; an empty batch writes nothing."""
-        if df.isEmpty():
+        rows = scale.cut_lineage(df)
+        if rows.isEmpty():
             self.counts[name] = 0
             return
-        rows, seen = counters.observed(df, name)
+        rows, seen = counters.observed(rows, name)
         self.tables.append(name, rows, check_key=False)
         self.counts[name] = seen.get["rows"]
 
+    def _upsert(self, name, batch, order=None):
+        """Append a batch of new keys; rewrite the table only if a key is stored."""
+        keys, stored = KEYS[name], self.tables.read(name)
+        repeated = stored.join(batch.select(*keys), keys, "left_semi")
+        if repeated.isEmpty():
+            self._append(name, rows_to_insert(stored, batch.select(*stored.columns), keys))
+        else:
+            self.tables.replace(name, merge_keyed(stored, batch, keys, "take_new", order=order))
+
     # -- stages -------------------------------------------------------------------
 
     def ingest(self, listing):
@@ -95,10 +104,8 @@ class DailyRun:
         staged = analysis.staging(t.read("daily_summary_data"))
         summaries = scale.cut_lineage(enrich.summarize(staged, self.summarizer))
         sentiments = scale.cut_lineage(enrich.classify(staged, self.classifier))
-        t.replace("text_summary_results",
-                  enrich.upsert_summaries(t.read("text_summary_results"), summaries))
-        t.replace("sentiment_analysis_results",
-                  enrich.upsert_sentiments(t.read("sentiment_analysis_results"), sentiments))
+        self._upsert("text_summary_results", summaries)
+        self._upsert("sentiment_analysis_results", sentiments)
         return {name: df.where(F.col("error").isNotNull()).count()
                 for name, df in (("summarize", summaries), ("classify", sentiments))}
 
@@ -108,10 +115,17 @@ class DailyRun:
         staged = analysis.staging(t.read("daily_summary_data"))
         t.replace("joined_summary_analysis", analysis.joined_analysis(
             staged, t.read("text_summary_results"), t.read("sentiment_analysis_results"), self.run_ts))
-        t.replace("update_processing_status",
-                  analysis.merge_status(t.read("update_processing_status"), staged))
-        t.replace("daily_summary_data", flag_processed(
-            t.read("daily_summary_data"), t.read("update_processing_status")))
+        self._append("update_processing_status", rows_to_insert(
+            t.read("update_processing_status"), staged.select("comment_id", "post_id"),
+            KEYS["update_processing_status"]))
+        # Only days with open rows can change.
+        table, day = t.read("daily_summary_data"), F.to_date("processed_date")
+        open_days = table.where(F.col("needs_processing")).select(day.alias("__day")).distinct()
+        touched = scale.lookup_join(
+            table.withColumn("__day", day), open_days, "__day", "left_semi",
+            spread=["post_id", "comment_id"]).select(*table.columns)
+        t.replace_partitions("daily_summary_data", scale.cut_lineage(
+            flag_processed(touched, t.read("update_processing_status"))))
 
     def report(self, root):
         lines = report.report_lines(
@@ -139,5 +153,3 @@ def run_day(spark, root, listing, run_ts, report_root, **settings):
     run.report(report_root)
     return run
 
-
-__all__ = ["DailyRun", "run_day", "K"]

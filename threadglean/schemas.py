@@ -83,14 +83,15 @@ KEYS = {
     "update_processing_status": ["comment_id", "post_id"],
 }
 
-# Directory partitioning on disk. daily_summary_data is split by its work flag,
-# so a run reads and rewrites the open rows and never the settled history.
+# Directory partitioning on disk: folder column -> expression over the table.
+# daily_summary_data is split by the day of its run, so marking rows as processed
+# rewrites the days that still hold open rows and never the settled history.
 PARTITIONS = {
-    "raw_posts": ["subreddit"],
-    "posts": ["subreddit"],
-    "comments": ["subreddit"],
-    "daily_summary_data": ["needs_processing"],
-    "joined_summary_analysis": ["subreddit"],
+    "raw_posts": {"subreddit": "subreddit"},
+    "posts": {"subreddit": "subreddit"},
+    "comments": {"subreddit": "subreddit"},
+    "daily_summary_data": {"processed_day": "to_date(processed_date)"},
+    "joined_summary_analysis": {"subreddit": "subreddit"},
 }
 
 STAGING_COLUMNS = [

@@ -48,12 +48,13 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
-    def _write(self, df, name, path, mode):
-        schema = TABLES[name]
+    def _write(self, df, name, path, mode, **options):
+        schema, folders = TABLES[name], PARTITIONS.get(name, {})
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        writer = rows.write.mode(mode)
-        if name in PARTITIONS:
-            writer = writer.partitionBy(*PARTITIONS[name])
+        rows = rows.withColumns({c: F.expr(e) for c, e in folders.items() if c not in schema.names})
+        writer = rows.write.mode(mode).options(**options)
+        if folders:
+            writer = writer.partitionBy(*folders)
         writer.parquet(path)
 
     def append(self, name, df, check_key=True):
@@ -65,7 +66,13 @@ class Tables:
     def replace(self, name, df):
         versions = self._versions(name)
         number = versions[-1] + 1 if versions else 1
-        self._write(df, name, f"{self.root}/{name}/v={number}", "overwrite")
+        self._write(df, name, f"{self.root}/{name}/v={number}", "overwrite",
+                    partitionOverwriteMode="static")
+
+    def replace_partitions(self, name, df):
+        """Replace the folders that `df` has rows for; `df` holds all their rows
+        and must not read the table itself (cut its lineage first)."""
+        self._write(df, name, self.path(name), "overwrite", partitionOverwriteMode="dynamic")
 
     def check_key(self, name, df):
         keys = KEYS[name]
