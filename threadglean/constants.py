@@ -43,6 +43,7 @@ OBFUSCATION_PATTERNS = [
     r"\bthe\s+[f]+[\W_]*(?:[u]+[\W_]*)?[c]+[\W_]*[k]+\b",
     r"\bbull\s*cr[a@4]p\b",
 ]
+OBFUSCATION_FIRST_LETTERS = ["f", "w", "t", "b"]
 
 # --- Fixed values: quality bounds -----------------------------------------------
 MIN_BODY_CHARS = 2

@@ -50,40 +50,38 @@ def emotion_display_name(emotion):
     return F.when(label.isin(K.EMOTIONS), F.initcap(label))
 
 
-def classify_emotion(text, cues=None):
-    """struct(emotion, score): the emotion with most cue hits in the truncated
-    text and its share of all hits; no hit is (neutral, 0.0). Ties go to the
-    emotion that comes first in the alphabet."""
+def with_sentiment(df, text, cues=None):
+    """Add sentiment_label, sentiment_score and emotion by the cue-word rule.
+
+    The emotion is the one with most cue hits in the truncated text, the score
+    its share of all hits; no hit is (neutral, 0.0). Ties go to the emotion that
+    comes first in the alphabet. Blank text is (Neutral, 0.0, No content).
+
+    The hits are a column of their own, so the text is searched once per row.
+    """
     cues = DEFAULT_CUES if cues is None else cues
     by_word = {w.lower(): e for e, ws in cues.items() for w in ws}
-    mapping = F.create_map(*[F.lit(x) for pair in by_word.items() for x in pair])
-    pattern = "(" + words_regex(list(by_word)) + ")"
-    text = F.lower(truncate_sentences(text))
-    hits = F.transform(
-        F.regexp_extract_all(text, F.lit(pattern), 1), lambda w: F.element_at(mapping, w))
+    emotion_of = F.create_map(*[F.lit(x) for pair in by_word.items() for x in pair])
+    pattern = F.lit("(" + words_regex(list(by_word)) + ")")
+    found = F.regexp_extract_all(F.lower(truncate_sentences(text)), pattern, 1)
+    hits = F.col("__hits")
     counted = F.transform(
         F.array_sort(F.array_distinct(hits)),
-        lambda e: F.struct(F.size(F.filter(hits, lambda h: h == e)).alias("n"), e.alias("emotion")),
-    )
+        lambda e: F.struct(F.size(F.filter(hits, lambda h: h == e)).alias("n"), e.alias("emotion")))
     best = F.reduce(
         counted,
         F.struct(F.lit(0).alias("n"), F.lit("neutral").alias("emotion")),
-        lambda acc, x: F.when(x["n"] > acc["n"], x).otherwise(acc),
+        lambda acc, x: F.when(x["n"] > acc["n"], x).otherwise(acc))
+    share = F.when(F.size(hits) > 0, F.col("__best.n") / F.size(hits)).otherwise(F.lit(0.0))
+    blank = is_blank(text)
+    added = ["sentiment_label", "sentiment_score", "emotion"]
+    return (
+        df.withColumn("__hits", F.transform(found, lambda w: F.element_at(emotion_of, w)))
+        .withColumn("__best", best)
+        .withColumns(dict(zip(added, [
+            F.when(blank, "Neutral").otherwise(sentiment_of(F.col("__best.emotion"))),
+            F.when(blank, 0.0).otherwise(share),
+            F.when(blank, "No content").otherwise(F.col("__best.emotion")),
+        ])))
+        .select(*df.columns, *added)
     )
-    share = F.when(F.size(hits) > 0, best["n"] / F.size(hits)).otherwise(F.lit(0.0))
-    return F.struct(best["emotion"].alias("emotion"), share.cast("double").alias("score"))
-
-
-def classify_sentiment(text, cues=None):
-    """struct(sentiment_label, sentiment_score, emotion); blank text is
-    (Neutral, 0.0, No content)."""
-    guess = classify_emotion(text, cues)
-    return F.when(
-        is_blank(text),
-        F.struct(F.lit("Neutral").alias("sentiment_label"),
-                 F.lit(0.0).alias("sentiment_score"),
-                 F.lit("No content").alias("emotion")),
-    ).otherwise(
-        F.struct(sentiment_of(guess["emotion"]).alias("sentiment_label"),
-                 guess["score"].alias("sentiment_score"),
-                 guess["emotion"].alias("emotion")))

@@ -66,10 +66,16 @@ def words_regex(words):
 
 def mask_pattern(lexicon=()):
     """Pattern of everything to mask: the lexicon and the fixed extra words,
-    without the fixed false positives, then the obfuscated spellings."""
+    without the fixed false positives, then the obfuscated spellings.
+
+    A look at the next character alone rules out most positions of a text
+    before any alternative is tried.
+    """
     never = set(K.NEVER_MASKED_WORDS)
-    words = [w for w in [*lexicon, *K.EXTRA_MASKED_WORDS] if w.lower() not in never]
-    return "(?i)(?:" + "|".join([words_regex(words), *K.OBFUSCATION_PATTERNS]) + ")"
+    words = [w for w in [*lexicon, *K.EXTRA_MASKED_WORDS] if w and w.lower() not in never]
+    first = {w[0].lower() for w in words} | set(K.OBFUSCATION_FIRST_LETTERS)
+    ahead = "(?=[" + "".join(re.escape(ch) for ch in sorted(first)) + "])"
+    return f"(?i){ahead}(?:" + "|".join([words_regex(words), *K.OBFUSCATION_PATTERNS]) + ")"
 
 
 def mask_words(text, pattern):
@@ -86,6 +92,12 @@ def word_count(text):
     return F.regexp_count(_col(text), F.lit(f"(?U){_NON_SPACE}+"))
 
 
+def has_more_words(text, limit=K.SHORT_TEXT_MAX_WORDS):
+    """Whether there are more than `limit` words; reads no further than that."""
+    return _col(text).rlike(
+        rf"(?U)\A{_SPACE}*+(?:{_NON_SPACE}++{_SPACE}++){{{limit}}}{_NON_SPACE}")
+
+
 def is_blank(text):
     text = _col(text)
     return text.isNull() | text.rlike(rf"(?U)\A{_SPACE}*\z")
@@ -150,7 +162,7 @@ def summarize_text(text, model_summary=None):
     summary = lead_summary(text) if model_summary is None else model_summary
     return (
         F.when(text.isNull() | (text == ""), F.lit(""))
-        .when(word_count(text) <= K.SHORT_TEXT_MAX_WORDS, text)
+        .when(~has_more_words(text), text)
         .otherwise(F.coalesce(summary, F.lit("")))
     )
 

@@ -3,10 +3,10 @@
 import pandas as pd
 from pyspark.sql import functions as F, types as T
 
-from threadglean import constants as K
-from threadglean.functions.emotion import classify_sentiment, sentiment_of
+from threadglean.functions.emotion import sentiment_of, with_sentiment
 from threadglean.functions.text import (
-    is_blank, summarize_text, truncate_sentences, word_count)
+    has_more_words, is_blank, summarize_text, truncate_sentences)
+from threadglean.operators import scale
 from threadglean.operators.merge import merge_keyed
 
 # Models already loaded in this Python worker, by the name the caller gave.
@@ -15,7 +15,7 @@ _LOADED = {}
 
 def model_input(staged):
     """Only the two columns a model stage uses."""
-    return staged.select("comment_id", "comment_body")
+    return scale.spread_small(staged.select("comment_id", "comment_body"))
 
 
 def apply_model(df, text_col, load, outputs, name):
@@ -72,7 +72,7 @@ def summarize(staged, load=None, name="summarizer"):
     if load is None:
         return rows.select("comment_id", summarize_text("comment_body").alias("comment_summary"),
                            F.lit(None).cast("string").alias("error"))
-    is_long = F.coalesce(word_count("comment_body") > K.SHORT_TEXT_MAX_WORDS, F.lit(False))
+    is_long = F.coalesce(has_more_words("comment_body"), F.lit(False))
     short = rows.where(~is_long).select(
         "comment_id", F.coalesce("comment_body", F.lit("")).alias("comment_summary"),
         F.lit(None).cast("string").alias("error"))
@@ -92,9 +92,7 @@ def classify(staged, load=None, name="classifier", cues=None):
     no_error = F.lit(None).cast("string").alias("error")
     columns = ["comment_id", "sentiment_score", "sentiment_label", "emotion", "error"]
     if load is None:
-        guess = rows.select("comment_id", classify_sentiment("comment_body", cues).alias("g"))
-        return guess.select("comment_id", "g.sentiment_score", "g.sentiment_label",
-                            "g.emotion", no_error)
+        return with_sentiment(rows, "comment_body", cues).select(*columns[:-1], no_error)
     blank = rows.where(is_blank("comment_body")).select(
         "comment_id", F.lit(0.0).alias("sentiment_score"),
         F.lit("Neutral").alias("sentiment_label"), F.lit("No content").alias("emotion"), no_error)

@@ -64,22 +64,28 @@ def rank_threads(joined, **rank):
                            [F.desc("post_score"), F.asc("post_id")], "thread_rank", **rank)
 
 
+def _label_counts():
+    return [F.count_if(F.col("sentiment_label") == s).alias("n_" + s.lower()) for s in K.SENTIMENTS]
+
+
+def _dominant():
+    most = F.greatest(*[F.col("n_" + s.lower()) for s in K.SENTIMENTS])
+    dominant = F.when(F.col("n_labelled") == 0, "none")
+    for s in K.SENTIMENTS:
+        dominant = dominant.when(F.col("n_" + s.lower()) == most, s)
+    return dominant
+
+
 def thread_emotions(joined):
     """Per thread: rows per label, the dominant label (ties: Positive, Negative,
     Neutral, none), and the spread of the scores."""
-    counts = [F.count_if(F.col("sentiment_label") == s).alias("n_" + s.lower()) for s in K.SENTIMENTS]
-    rolled = joined.groupBy("subreddit", "post_id").agg(
-        *counts,
+    return joined.groupBy("subreddit", "post_id").agg(
+        *_label_counts(),
         F.count("sentiment_label").alias("n_labelled"),
         F.round(F.avg("sentiment_score"), 6).alias("avg_score"),
         F.min("sentiment_score").alias("min_score"),
         F.max("sentiment_score").alias("max_score"),
-    )
-    most = F.greatest(*[F.col("n_" + s.lower()) for s in K.SENTIMENTS])
-    dominant = F.when(F.col("n_labelled") == 0, "none")
-    for s in K.SENTIMENTS:
-        dominant = dominant.when(F.col("n_" + s.lower()) == most, s)
-    return rolled.withColumn("dominant", dominant)
+    ).withColumn("dominant", _dominant())
 
 
 def top_views(joined, k=K.VIEWS_PER_THREAD):
@@ -123,23 +129,25 @@ def skip_harmful(rows, text="comment_summary"):
 
 # --- report lines -----------------------------------------------------------------------
 
-def front_matter(communities, report_date):
-    """The five header lines of each community, as rows.
-
-    The title is printed with the display name; the description keeps the plain
-    community name, as the stored reports have it.
-    """
-    shown, name = display_name("subreddit"), F.col("subreddit")
-    lines = [
+def _front_matter_lines(report_date):
+    """The title is printed with the display name; the description keeps the
+    plain community name, as the stored reports have it."""
+    name, day = F.col("subreddit"), F.lit(report_date).cast("date")
+    return F.array(
         F.lit("---"),
-        F.concat(F.lit('title: "'), shown, F.lit('"')),
-        F.concat(F.lit('date: "'), F.date_format(F.lit(report_date).cast("date"), "yyyy-MM-dd"), F.lit('"')),
+        F.concat(F.lit('title: "'), display_name(name), F.lit('"')),
+        F.concat(F.lit('date: "'), F.date_format(day, "yyyy-MM-dd"), F.lit('"')),
         F.concat(F.lit('description: "Analysis of top discussions and trends in the '),
                  name, F.lit(' subreddit"')),
         F.concat(F.lit('tags: ["'), name, F.lit('"]')),
         F.lit("---"),
-    ]
-    return communities.select("subreddit", F.posexplode(F.array(*lines)).alias("line_no", "text"))
+    )
+
+
+def front_matter(communities, report_date):
+    """The header lines of each community's report, as rows."""
+    return communities.select(
+        "subreddit", F.posexplode(_front_matter_lines(report_date)).alias("line_no", "text"))
 
 
 def _emotion_text():
@@ -148,57 +156,59 @@ def _emotion_text():
         F.lit("mostly "), F.lower("dominant"), F.lit(" ("), F.concat_ws(", ", *parts), F.lit(")"))
 
 
+def _one_line(text):
+    return F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
+
+
+def _section(number, position, lines):
+    return F.struct(F.lit(number).alias("section"), position.cast("long").alias("position"),
+                    lines.alias("lines"))
+
+
 def report_lines(joined, report_date, **rank):
     """All reports as ordered rows: subreddit, section, position, line_no, text.
 
     Section 0 is the front matter, 1 the ranking, 2 the analysis by thread;
-    `position` is the thread's rank. Comments are grouped once per thread and
-    never per community.
+    `position` is the thread's rank, 0 for the headings. Comments are grouped by
+    thread only; the first thread of a community carries its headings, so the
+    whole text comes from one pass over the ranked threads.
     """
-    views = top_views(joined)
-    top = views.groupBy("subreddit", "post_id").agg(
+    profile = joined.groupBy(
+        "subreddit", "post_id", "post_score", "post_content", "post_url"
+    ).agg(*_label_counts(), F.count("sentiment_label").alias("n_labelled")
+          ).withColumn("dominant", _dominant())
+    views = top_views(joined).groupBy("subreddit", "post_id").agg(
         F.array_sort(F.collect_list(F.struct("view_no", "comment_summary"))).alias("views"))
-    ids = ["subreddit", "post_id"]
-    ranked = (
-        scale.rank_rows(
-            threads(joined).join(thread_emotions(joined), ids).join(top, ids, "left"),
-            "subreddit", [F.desc("post_score"), F.asc("post_id")], "position", **rank)
-    )
-    link = markdown_link("post_content", "post_url")
+    ranked = scale.rank_rows(
+        profile.join(views, ["subreddit", "post_id"], "left"),
+        "subreddit", [F.desc("post_score"), F.asc("post_id")], "position", **rank)
+    position = F.col("position")
     score = F.concat(F.lit("(Score: "), F.col("post_score").cast("string"), F.lit(")"))
-    first_view = F.coalesce(F.try_element_at("views", F.lit(1))["comment_summary"], F.lit(""))
-    one_line = F.regexp_replace(first_view, r"\s+", " ")
+    overview = _one_line(F.try_element_at("views", F.lit(1))["comment_summary"])
     listing = F.array(
-        F.concat(F.col("position").cast("string"), F.lit(". "), link, F.lit(" "), score),
-        F.concat(F.lit("    * "), one_line),
+        F.concat(position.cast("string"), F.lit(". "), markdown_link("post_content", "post_url"),
+                 F.lit(" "), score),
+        F.concat(F.lit("    * "), overview),
     )
-    points = F.transform("views", lambda v: F.concat(
-        F.lit("    * "), F.regexp_replace(F.coalesce(v["comment_summary"], F.lit("")), r"\s+", " ")))
+    points = F.transform("views", lambda v: F.concat(F.lit("    * "), _one_line(v["comment_summary"])))
     detail = F.concat(
         F.array(
             F.concat(F.lit("**["), F.coalesce("post_content", F.lit("")), F.lit(" "), score, F.lit("]("),
                      F.coalesce("post_url", F.lit("")), F.lit(")**")),
-            F.concat(F.lit("*  **Summary:** "), one_line),
+            F.concat(F.lit("*  **Summary:** "), overview),
             F.concat(F.lit("*  **Emotion:** "), _emotion_text()),
-            F.lit("*  **Top 3 Points of View:**"),
+            F.lit(f"*  **Top {K.VIEWS_PER_THREAD} Points of View:**"),
         ),
         F.coalesce(points, F.array().cast("array<string>")),
         F.array(F.lit("")),
     )
-    sections = F.array(
-        F.struct(F.lit(1).alias("section"), listing.alias("lines")),
-        F.struct(F.lit(2).alias("section"), detail.alias("lines")),
-    )
-    body = (
-        ranked.select("subreddit", "position", F.inline(sections))
+    zero = F.lit(0)
+    own = F.array(_section(1, position, listing), _section(2, position, detail))
+    headed = F.concat(F.array(
+        _section(0, zero, _front_matter_lines(report_date)),
+        _section(1, zero, F.array(F.lit(K.RANKING_HEADING))),
+        _section(2, zero, F.array(F.lit(K.DETAIL_HEADING)))), own)
+    return (
+        ranked.select("subreddit", F.inline(F.when(position == 1, headed).otherwise(own)))
         .select("subreddit", "section", "position", F.posexplode("lines").alias("line_no", "text"))
     )
-    communities = joined.select("subreddit").distinct()
-    head = front_matter(communities, report_date).select(
-        "subreddit", F.lit(0).alias("section"), F.lit(0).cast("long").alias("position"), "line_no", "text")
-    headings = communities.select("subreddit", F.inline(F.array(
-        F.struct(F.lit(1).alias("section"), F.lit(K.RANKING_HEADING).alias("text")),
-        F.struct(F.lit(2).alias("section"), F.lit(K.DETAIL_HEADING).alias("text")),
-    ))).select("subreddit", "section", F.lit(0).cast("long").alias("position"),
-               F.lit(0).alias("line_no"), "text")
-    return head.unionByName(headings).unionByName(body)

@@ -35,6 +35,14 @@ def is_small(df, limit=SMALL_INPUT_BYTES):
     return input_bytes(df) <= limit
 
 
+def spread_small(df):
+    """Deal the rows of a small input over all cores before costly row work; a
+    large input already comes in many splits and stays as it is."""
+    if not is_small(df):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def cut_lineage(df):
     """Reliable checkpoint: later stages restart from stored rows."""
     ensure_checkpoint_dir(df.sparkSession)

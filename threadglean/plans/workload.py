@@ -235,7 +235,7 @@ def mask_titles(spark, d):
 
 @query(f"SELECT 'c' || doc_id AS comment_id, {_sql_mask('text')} AS body FROM documents")
 def mask_bodies(spark, d):
-    return A.read(spark, d, "documents").select(
+    return scale.spread_small(A.read(spark, d, "documents").select("doc_id", "text")).select(
         F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"),
         X.mask_words("text", X.mask_pattern(LEXICON)).alias("body"))
 
