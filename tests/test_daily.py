@@ -104,3 +104,20 @@ def test_gate_stops_the_run(spark, tmp_path):
     with pytest.raises(QualityError, match="raw_posts.score expression_is_true"):
         run_day(spark, str(tmp_path / "s"), bad, DAY1, str(tmp_path / "o"))
     assert Tables(spark, str(tmp_path / "s")).read("daily_summary_data").count() == 0
+
+
+def test_landing_stream(spark, tmp_path):
+    from threadglean.streaming.landing import ingest_available
+
+    land, progress = str(tmp_path / "land"), str(tmp_path / "progress")
+    run = DailyRun(Tables(spark, str(tmp_path / "store")), DAY1)
+    listing(spark, entry("p1", 1, "one")).coalesce(1).write.mode("append").json(land)
+    ingest_available(run, land, progress)
+    assert [r.post_id for r in run.tables.read("posts").collect()] == ["p1"]
+    listing(spark, entry("p1", 1, "one"), entry("p2", 5, "two")).coalesce(1).write.mode("append").json(land)
+    ingest_available(run, land, progress)
+    assert sorted(r.post_id for r in run.tables.read("raw_posts").collect()) == ["p1", "p2"]
+    assert run.tables.read("comments").count() == 2
+    before = state(run)
+    ingest_available(run, land, progress)  # nothing new
+    assert state(run) == before

@@ -87,3 +87,9 @@ def test_guard(spark):
     assert column(ingest.comments_with_new_posts(comments, posts), "comment_id") == ["c1"]
     assert column(ingest.allowed_communities(posts.withColumn("subreddit", F.lit("openai"))), "post_id") == ["p1", "p2"]
     assert ingest.allowed_communities(posts).count() == 0
+
+
+def test_union_of_communities(spark):
+    a, b = spark.range(2), spark.range(1)
+    assert rows(ingest.union_communities({"x": a, "y": b}).select("subreddit", "id")) == [
+        ("x", 0), ("x", 1), ("y", 0)]

@@ -6,8 +6,8 @@ from threadglean.operators.suites import SUITES, declared_tests
 from tests.helpers import rows
 
 
-def fails(spark, test, values, dtype="string", **args):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, c {dtype}")
+def fails(spark, test, cells, dtype, args):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(cells)], f"i int, c {dtype}")
     bad = df.where(quality.failing(df, Check("c", test, args)))
     return sorted(r.i for r in bad.collect())
 
@@ -36,7 +36,7 @@ def test_declared_tests():
     ("valid_comment_length", [None, " a", "ab", "x" * 10000, "x" * 10001], "string", {}, [1, 4]),
 ])
 def test_row_tests(spark, test, values, dtype, args, want):
-    assert fails(spark, test, values, dtype, **args) == want
+    assert fails(spark, test, values, dtype, args) == want
 
 
 def test_two_column_tests(spark):

@@ -98,6 +98,22 @@ def test_report_files(spark, joined, tmp_path):
     assert (tmp_path / "results/year=2025/month=01/day=09/subreddit=openai").is_dir()
 
 
+def test_large_report_in_several_files(spark, tmp_path):
+    root, day = str(tmp_path), dt.date(2025, 1, 9)
+    n = F.col("id")
+    lines = spark.range(5000).select(
+        F.when(n % 3 == 0, "openai").otherwise("other").alias("subreddit"), (n % 2).alias("section"),
+        n.alias("position"), F.lit(0).alias("line_no"), n.cast("string").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files.write_reports(lines.repartition(5), root, day)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    stored = files.read_report_lines(spark, root, day).where("subreddit = 'other'")
+    assert stored.select("file_path").distinct().count() > 3
+    got = [int(r.value) for r in stored.orderBy("file_path", "line_no").collect()]
+    want = sorted((i for i in range(5000) if i % 3), key=lambda i: (i % 2, i))
+    assert got == want
+
+
 def test_clean_lines(spark, tmp_path):
     folder = tmp_path / "md"
     folder.mkdir()

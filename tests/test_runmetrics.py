@@ -60,6 +60,9 @@ def test_tests_and_series(spark):
     assert got["dbt.tests.duration"] == ("timing", 2000.0)
     assert got["dbt.tests.success"] == ("counter", 1.0)
     assert len(got) == 6
+    series = R.metric_series(df, "dbt.test_raw_sources")
+    names = {r.name: r.value for r in R.export_names(series, prefix="x_").collect()}
+    assert names == {"x_dbt_raw_sources_tests_passed": 3.0, "x_dbt_raw_sources_tests_failed": 1.0}
 
 
 def test_printed_seconds(spark):

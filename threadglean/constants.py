@@ -101,7 +101,6 @@ BLOCK_FIELDS = [
     "sentiment_score", "sentiment_label",
 ]
 HARMFUL_MESSAGE = "Analysis Skipped: Content contains harmful material."
-QUIET_MESSAGE = "It was very quiet in that subreddit today."
 RANKING_HEADING = "# Overall Ranking and Top Discussions"
 DETAIL_HEADING = "# Detailed Analysis by Thread"
 VIEWS_PER_THREAD = 3

@@ -1,11 +1,12 @@
 """From listing entries to raw posts, and from raw posts to clean posts and comments."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from threadglean import constants as K
 from threadglean.functions.text import mask_words, strip_control_chars
 from threadglean.operators import scale
-from threadglean.operators.watermark import epoch
 from threadglean.schemas import COMMENTS_JSON
 
 
@@ -13,6 +14,13 @@ def allowed_communities(df, communities=tuple(K.COMMUNITIES)):
     return df.where(F.col("subreddit").isin(list(communities)))
 
 
+def union_communities(frames):
+    """Separate tables of one shape, community -> frame, as one table."""
+    return reduce(
+        lambda a, b: a.unionByName(b),
+        [df.withColumn("subreddit", F.lit(name)) for name, df in frames.items()])
+
+
 def capped_listing(listing, marks, limit=K.POSTS_PER_COMMUNITY, created="created_utc"):
     """The first `limit` listed posts of each community, then without those at or
     below the community's mark: the cap comes before the skip.
@@ -116,10 +124,3 @@ def comments_with_new_posts(comments, posts):
         return comments.join(F.broadcast(communities), "subreddit", "left_semi")
     return scale.skew_join(comments, posts.select("subreddit").distinct(), "subreddit",
                            "left_semi", ["comment_id", "post_id"])
-
-
-__all__ = [
-    "allowed_communities", "capped_listing", "capped_comments", "to_raw_posts",
-    "is_valid_post", "valid_posts", "distinct_rows", "clean_posts", "parse_comments",
-    "clean_comments", "comments_with_new_posts", "epoch",
-]

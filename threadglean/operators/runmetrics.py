@@ -198,6 +198,71 @@ def metric_series(metrics, prefix):
     return metrics.select(*RUN_KEYS, F.inline(F.array(*points)))
 
 
+# --- Fixed values: exported names of metrics, per task, in declared order --------------
+EXPORTED_NAMES = {
+    "ingest_preprocess.processed_posts": "ingest_preprocess_posts_total",
+    "ingest_preprocess.total_summaries": "ingest_preprocess_summaries_total",
+    "ingest_preprocess.current_attempt": "ingest_preprocess_attempt",
+    "ingest_preprocess.success": "ingest_preprocess_success_total",
+    "ingest_preprocess.retry": "ingest_preprocess_retry_total",
+    "ingest_preprocess.error": "ingest_preprocess_error_total",
+    "ingest_preprocess.duration": "ingest_preprocess_duration_seconds",
+    "summarize.summaries_added": "summarize_summaries_added",
+    "summarize.short_comments": "summarize_short_comments",
+    "summarize.total_processed": "summarize_total_processed",
+    "summarize.current_attempt": "summarize_attempt",
+    "summarize.success": "summarize_success_total",
+    "summarize.retry": "summarize_retry_total",
+    "summarize.error": "summarize_error_total",
+    "summarize.duration": "summarize_duration_seconds",
+    "sentiment.processed": "sentiment_processed_total",
+    "sentiment.current_attempt": "sentiment_attempt",
+    "sentiment.success": "sentiment_success_total",
+    "sentiment.retry": "sentiment_retry_total",
+    "sentiment.error": "sentiment_error_total",
+    "sentiment.duration": "sentiment_duration_seconds",
+    "join.rows_processed": "joined_table_rows",
+    "join.current_attempt": "join_attempt",
+    "join.success": "join_success_total",
+    "join.retry": "join_retry_total",
+    "join.error": "join_error_total",
+    "join.duration": "join_model_duration_seconds",
+    "processing_status.duration": "processing_status_duration",
+    "processing_status.rows_processed": "processing_status_rows",
+    "processing_status.current_attempt": "processing_status_attempt",
+    "processing_status.success": "processing_status_success_total",
+    "processing_status.retry": "processing_status_retry_total",
+    "processing_status.error": "processing_status_error_total",
+    "gemini.outputs_generated": "gemini_outputs",
+    "gemini.subreddits_processed": "gemini_subreddits",
+    "gemini.current_attempt": "gemini_attempt",
+    "gemini.duration": "gemini_duration",
+    "gemini.success": "gemini_success_total",
+    "gemini.retry": "gemini_retry_total",
+    "gemini.error": "gemini_error_total",
+    "dbt.test_raw_sources.tests.passed": "dbt_raw_sources_tests_passed",
+    "dbt.test_raw_sources.tests.failed": "dbt_raw_sources_tests_failed",
+    "dbt.test_staging_models.tests.passed": "dbt_staging_models_tests_passed",
+    "dbt.test_staging_models.tests.failed": "dbt_staging_models_tests_failed",
+    "dbt.test_summarize_models.tests.passed": "dbt_summarize_models_tests_passed",
+    "dbt.test_summarize_models.tests.failed": "dbt_summarize_models_tests_failed",
+    "dbt.test_sentiment_analysis.tests.passed": "dbt_sentiment_analysis_tests_passed",
+    "dbt.test_sentiment_analysis.tests.failed": "dbt_sentiment_analysis_tests_failed",
+    "dbt.test_joined_summary_analysis.tests.passed": "dbt_joined_summary_analysis_tests_passed",
+    "dbt.test_joined_summary_analysis.tests.failed": "dbt_joined_summary_analysis_tests_failed",
+    "dbt.test_update_processing_status.tests.passed": "dbt_update_processing_status_tests_passed",
+    "dbt.test_update_processing_status.tests.failed": "dbt_update_processing_status_tests_failed",
+}
+
+
+def export_names(series, names=EXPORTED_NAMES, prefix=""):
+    """Points whose metric has an exported name, with that name. The name table
+    is a literal map, so no join is needed."""
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    named = series.withColumn("name", F.try_element_at(table, F.col("metric")))
+    return named.where(F.col("name").isNotNull()).withColumn("name", F.concat(F.lit(prefix), "name"))
+
+
 # --- dashboards -----------------------------------------------------------------------
 
 def duration_histogram(durations, by="task_id", value="duration_seconds",

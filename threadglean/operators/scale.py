@@ -17,6 +17,12 @@ PIN_MAX_ROWS = 10_000
 HOT_KEYS = 1000
 # Rows of one hot key that one task should get.
 HOT_ROWS_PER_TASK = 1_000_000
+# Input that one task of a range-partitioned ranking should get, and the most
+# (group, range) counts that are sent to all executors.
+RANK_BYTES_PER_TASK = 256 * 1024 * 1024
+RANK_PIN_ROWS = 200_000
+# monotonically_increasing_id keeps the partition above this bit, the row below.
+_ROW_BITS = 33
 # Null keys never match; their rows are dealt out over this many salts.
 NULL_KEY_SALTS = 4096
 
@@ -52,8 +58,8 @@ def cut_lineage(df):
 def pin_small(df, max_rows=PIN_MAX_ROWS):
     """(frame, True) with the rows held locally if there are at most `max_rows`,
     else (df, False)."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df, False
     return df.sparkSession.createDataFrame(rows, df.schema), True
 
@@ -119,36 +125,40 @@ def rank_rows(df, group, order, name="rank", *, partitions=None,
     """Number all rows of each group 1, 2, 3, ... in a total order.
 
     A plain window puts a whole group into one task. On large input the rows are
-    range-partitioned by (group, order) instead, numbered inside each range, and
-    shifted by the number of rows of the group in earlier ranges. The range
-    placement is checkpointed, since both the counts and the numbers rely on it.
-    `order` must end in a unique key.
+    sorted by (group, order) over range partitions instead and take their
+    position from there; a row's number is its distance from the first row of
+    its group in the range, plus the rows of the group in earlier ranges. The
+    rows are shuffled once. The positions are checkpointed, since both the
+    counts and the numbers rely on them. `order` must end in a unique key.
     """
     group = [group] if isinstance(group, str) else list(group)
-    if is_small(df, small_limit):
+    size = input_bytes(df)
+    if size <= small_limit:
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        partitions = max(shuffles, min(size // RANK_BYTES_PER_TASK, 50 * shuffles))
     placed = cut_lineage(
-        df.repartitionByRange(partitions, *group, *order)
-        .withColumn("__range", F.spark_partition_id())
-    )
-    keys = group + ["__range"]
+        df.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order)
+        .withColumn("__at", F.monotonically_increasing_id())
+    ).withColumn("__range", F.shiftright("__at", _ROW_BITS))
     earlier = Window.partitionBy(*group).orderBy("__range").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys).agg(F.count("*").alias("__rows"))
+    shifts = (
+        placed.groupBy(*group, "__range")
+        .agg(F.count("*").alias("__rows"), F.min("__at").alias("__first"))
         .withColumn("__before", F.coalesce(F.sum("__rows").over(earlier), F.lit(0)))
-        .select(*[F.col(k).alias("__o_" + k) for k in keys], "__before")
     )
-    local = placed.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    keys = [*group, "__range"]
+    shifts, few = pin_small(shifts.select(
+        *[F.col(k).alias("__o_" + k) for k in keys],
+        (F.col("__before") - F.col("__first") + 1).alias("__shift")), RANK_PIN_ROWS)
     matched = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col("__o_" + k)) for k in keys])
     return (
-        local.join(offsets, matched)
-        .select(*df.columns, (F.col("__local") + F.col("__before")).alias(name))
+        placed.join(F.broadcast(shifts) if few else shifts, matched)
+        .select(*df.columns, (F.col("__at") + F.col("__shift")).alias(name))
     )
 
 

@@ -206,25 +206,23 @@ def dedup_posts(spark, d):
 
 
 @query("""
-    SELECT body, min(comment_id) AS comment_id, count(*) AS copies FROM comments
-    WHERE body IS NOT NULL GROUP BY body""", "comments")
-def comment_copies(spark, d):
-    """Equal bodies: how often, under which first id. Counted by a hash of the
-    body and the body, so copies meet as one row per task."""
-    c = A.comments(spark, d).where(F.col("body").isNotNull())
-    return c.groupBy("body").agg(
-        F.min("comment_id").alias("comment_id"), F.count("*").alias("copies"))
+    SELECT comment_id, post_id, author, created_utc, length(body) AS body_chars FROM comments""", "comments")
+def dedup_comments(spark, d):
+    """Every comment comes twice, a minute apart; the earlier row stays."""
+    minutes = F.explode(F.array(F.lit(0), F.lit(1)))
+    twice = A.comments(spark, d).withColumn("late", minutes).withColumn(
+        "created_utc", F.expr("timestampadd(MINUTE, late, created_utc)")).drop("late")
+    return ingest.distinct_rows(twice, "comment_id", [F.asc("created_utc")]).select(
+        "comment_id", "post_id", "author", "created_utc", F.length("body").alias("body_chars"))
 
 
-@query("""
-    SELECT post_id, comment_id, author, created_utc FROM (
-        SELECT *, row_number() OVER (PARTITION BY post_id, author ORDER BY created_utc, comment_id) AS rn
-        FROM comments) WHERE rn = 1""", "comments")
-def dedup_comments(spark, d):
-    """The first comment of an author under a post, by the keyed-distinct operator."""
-    return scale.first_per_key(
-        A.comments(spark, d), ["post_id", "author"], [F.asc("created_utc"), F.asc("comment_id")]
-    ).select("post_id", "comment_id", "author", "created_utc")
+@query("SELECT subreddit, post_id, created_utc FROM raw", "raw")
+def union_of_communities(spark, d):
+    """One table per community put together again."""
+    raw = A.raw_posts(spark, d).select("subreddit", "post_id", "created_utc")
+    return ingest.union_communities(
+        {c: raw.where(F.col("subreddit") == c).drop("subreddit") for c in K.COMMUNITIES}
+    ).select("subreddit", "post_id", "created_utc")
 
 
 @query(f"SELECT post_id, {_sql_mask('title')} AS title FROM posts", "posts")
@@ -305,11 +303,11 @@ def posts_comments_join(spark, d):
 @query(f"""
     SELECT daily.subreddit, daily.post_id, daily.comment_id FROM daily
     WHERE NOT EXISTS (SELECT 1 FROM daily s WHERE s.post_id = daily.post_id
-        AND s.comment_id = daily.comment_id AND s.summary_date <= DATE '2025-01-20')""", "daily")
+        AND s.comment_id = daily.comment_id AND s.summary_date <= CAST({_at('comments', 2)} AS DATE))""", "daily")
 def new_summaries_anti(spark, d):
     """Rows whose (post, comment) is not stored yet."""
     rows = daily(spark, d)
-    stored = rows.where(F.col("summary_date") <= F.lit("2025-01-20").cast("date"))
+    stored = rows.where(F.col("summary_date") <= F.to_date(_quartiles(A.comments(spark, d))[1]))
     return summary.unseen(rows, stored).select("subreddit", "post_id", "comment_id")
 
 
@@ -386,11 +384,11 @@ def quality_partition(spark, d):
 
 @query(f"""
     SELECT DISTINCT comment_id, post_id FROM (
-        SELECT comment_id, post_id FROM daily WHERE summary_date <= DATE '2025-01-20'
+        SELECT comment_id, post_id FROM daily WHERE summary_date <= CAST({_at('comments', 2)} AS DATE)
         UNION ALL SELECT comment_id, post_id FROM {_FLAGGED} WHERE needs_processing)""", "daily")
 def status_merge(spark, d):
     rows = daily(spark, d)
-    history = rows.where(F.col("summary_date") <= F.lit("2025-01-20").cast("date")).select(
+    history = rows.where(F.col("summary_date") <= F.to_date(_quartiles(A.comments(spark, d))[1])).select(
         "comment_id", "post_id")
     return analysis.merge_status(history, analysis.staging(flagged(spark, d)))
 
@@ -975,6 +973,19 @@ def metric_series(spark, d):
     return series.withColumn("value", F.round("value", 3))
 
 
+@query(f"""
+    WITH m AS ({_printed_sql('join')})
+    SELECT {_RUN}, 'join_model_duration_seconds' AS name, round(duration_seconds * 1000, 3) AS value FROM m
+    UNION ALL SELECT {_RUN}, 'join_attempt', attempt FROM m
+    UNION ALL SELECT {_RUN}, CASE WHEN success THEN 'join_success_total' ELSE 'join_retry_total' END, 1 FROM m""",
+       "logs")
+def exported_series(spark, d):
+    """Metric points under the names the dashboards use."""
+    series = runmetrics.metric_series(_metrics(spark, d, "join"), "join")
+    return runmetrics.export_names(series).select(
+        *runmetrics.RUN_KEYS, "name", F.round("value", 3).alias("value"))
+
+
 @query("""
     SELECT task_id, passed, failed FROM (
         SELECT task_id, count(*) FILTER (WHERE event_type = 'click') AS passed,

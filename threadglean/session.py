@@ -43,8 +43,8 @@ def ensure_checkpoint_dir(spark):
     loss of that machine.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir")
-    if sc._jsc.sc().getCheckpointDir().isDefined():
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if sc.getCheckpointDir() is not None:
         return
     if configured:
         sc.setCheckpointDir(configured)

@@ -35,27 +35,24 @@ def read_task_logs(spark, root):
     )
 
 
+def day_folder(root, day):
+    return f"{root}/{day:year=%Y/month=%m/day=%d}"
+
+
 def write_reports(lines, root, report_date):
     """Report rows as text under year/month/day/subreddit, replacing that day's
     text of the same communities.
 
     Rows are range-partitioned in reading order, so a large report becomes
-    several files whose names in order give its text.
+    several files whose names in order give its text. The day is part of the
+    path and not a column: the writer then finds the rows already sorted by its
+    folder column and keeps their order.
     """
-    day = F.lit(report_date).cast("date")
-    order = ["year", "month", "day", "subreddit", "section", "position", "line_no"]
-    ordered = (
-        lines.withColumns({
-            "year": F.date_format(day, "yyyy"),
-            "month": F.date_format(day, "MM"),
-            "day": F.date_format(day, "dd"),
-        })
-        .repartitionByRange("subreddit", "section", "position", "line_no")
-        .sortWithinPartitions(*order)
-    )
-    (ordered.select("year", "month", "day", "subreddit", F.col("text").alias("value"))
+    order = ["subreddit", "section", "position", "line_no"]
+    ordered = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    (ordered.select("subreddit", F.col("text").alias("value"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month", "day", "subreddit").text(root))
+     .partitionBy("subreddit").text(day_folder(root, report_date)))
 
 
 def read_report_lines(spark, root, day=None, pattern="*.txt"):
@@ -63,7 +60,7 @@ def read_report_lines(spark, root, day=None, pattern="*.txt"):
 
     `day` is a date; only its folder is listed.
     """
-    path = root if day is None else f"{root}/{day:year=%Y/month=%m/day=%d}"
+    path = root if day is None else day_folder(root, day)
     reader = spark.read.option("pathGlobFilter", pattern).option("basePath", root)
     number = F.monotonically_increasing_id() % _LINES_PER_SPLIT
     return reader.text(path).select(
