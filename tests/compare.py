@@ -1,6 +1,8 @@
 """Compares registered queries with their SQL, value by value.
 
-python -m tests.compare [sf_dir] [query ...]
+python -m tests.compare [--large] [sf_dir] [query ...]
+
+--large takes the ways meant for large input (range ranking, salted joins).
 """
 
 import datetime
@@ -61,12 +63,17 @@ def main():
     import __spark_entry__ as entry
     from threadglean.session import get_spark
 
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if a != "--large"]
+    sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = get_spark("compare", "local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false")
     spark.sparkContext.setLogLevel("ERROR")
+    if "--large" in sys.argv:
+        spark.conf.set("threadglean.smallInputBytes", "0")
+        spark.conf.set("threadglean.hotRowsPerTask", "3")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     con, queries, sql = connect(sf_dir), entry.queries(), entry.oracle_sql()
     bad = 0
-    for name in sys.argv[2:] or queries:
+    for name in args[1:] or queries:
         begin = time.time()
         try:
             df = queries[name](spark, sf_dir)

@@ -9,13 +9,15 @@ from pyspark.sql import Window, functions as F
 
 from threadglean.session import ensure_checkpoint_dir
 
-# A plan whose inputs are together below this size is run the plain way.
+# A plan whose inputs are together below this size is run the plain way
+# (session setting threadglean.smallInputBytes).
 SMALL_INPUT_BYTES = 128 * 1024 * 1024
 # Most rows that are ever pulled to the driver and sent to all executors.
 PIN_MAX_ROWS = 10_000
 # A key outside the largest HOT_KEYS ones holds less than 1/HOT_KEYS of all rows.
 HOT_KEYS = 1000
-# Rows of one hot key that one task should get.
+# Rows of one hot key that one task should get
+# (session setting threadglean.hotRowsPerTask).
 HOT_ROWS_PER_TASK = 1_000_000
 # Input that one task of a range-partitioned ranking should get, and the most
 # (group, range) counts that are sent to all executors.
@@ -37,7 +39,13 @@ def input_bytes(df):
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def is_small(df, limit=SMALL_INPUT_BYTES):
+def _setting(df, name, default):
+    return int(df.sparkSession.conf.get(f"threadglean.{name}", str(default)))
+
+
+def is_small(df, limit=None):
+    if limit is None:
+        limit = _setting(df, "smallInputBytes", SMALL_INPUT_BYTES)
     return input_bytes(df) <= limit
 
 
@@ -73,11 +81,12 @@ def lookup_join(big, small, on, how="left", spread=None, max_rows=PIN_MAX_ROWS):
     return skew_join(big, small, on, how, spread or on, small_limit=0)
 
 
-def hot_keys(df, keys, rows_per_task=HOT_ROWS_PER_TASK, max_keys=HOT_KEYS):
+def hot_keys(df, keys, rows_per_task=None, max_keys=HOT_KEYS):
     """Keys with more than `rows_per_task` rows and the salts each one gets.
 
     Only the key columns are read, and counts are combined before the shuffle.
     """
+    rows_per_task = rows_per_task or _setting(df, "hotRowsPerTask", HOT_ROWS_PER_TASK)
     return (
         df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__rows"))
         .where(F.col("__rows") > rows_per_task)
@@ -86,8 +95,8 @@ def hot_keys(df, keys, rows_per_task=HOT_ROWS_PER_TASK, max_keys=HOT_KEYS):
     )
 
 
-def skew_join(left, right, on, how, spread, *, hot_from=None, rows_per_task=HOT_ROWS_PER_TASK,
-              small_limit=SMALL_INPUT_BYTES):
+def skew_join(left, right, on, how, spread, *, hot_from=None, rows_per_task=None,
+              small_limit=None):
     """Equi-join whose left side may hold very many rows of one key.
 
     `how` is inner, left, left_semi or left_anti. Rows of a hot key, and rows
@@ -120,8 +129,7 @@ def skew_join(left, right, on, how, spread, *, hot_from=None, rows_per_task=HOT_
     return salted_left.join(salted_right, on + ["__salt"], how).drop("__salt")
 
 
-def rank_rows(df, group, order, name="rank", *, partitions=None,
-              small_limit=SMALL_INPUT_BYTES):
+def rank_rows(df, group, order, name="rank", *, partitions=None, small_limit=None):
     """Number all rows of each group 1, 2, 3, ... in a total order.
 
     A plain window puts a whole group into one task. On large input the rows are
@@ -132,13 +140,12 @@ def rank_rows(df, group, order, name="rank", *, partitions=None,
     counts and the numbers rely on them. `order` must end in a unique key.
     """
     group = [group] if isinstance(group, str) else list(group)
-    size = input_bytes(df)
-    if size <= small_limit:
+    if is_small(df, small_limit):
         window = Window.partitionBy(*group).orderBy(*order)
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     if partitions is None:
         shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(shuffles, min(size // RANK_BYTES_PER_TASK, 50 * shuffles))
+        partitions = max(shuffles, min(input_bytes(df) // RANK_BYTES_PER_TASK, 50 * shuffles))
     placed = cut_lineage(
         df.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order)
         .withColumn("__at", F.monotonically_increasing_id())
