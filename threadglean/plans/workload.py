@@ -206,7 +206,7 @@ def dedup_posts(spark, d):
 
 
 @query("""
-    SELECT comment_id, post_id, author, created_utc, length(body) AS body_chars FROM comments""", "comments")
+    SELECT comment_id, post_id, author, created_utc, CAST(length(body) AS INTEGER) AS body_chars FROM comments""", "comments")
 def dedup_comments(spark, d):
     """Every comment comes twice, a minute apart; the earlier row stays."""
     minutes = F.explode(F.array(F.lit(0), F.lit(1)))
@@ -374,7 +374,7 @@ def joined_analysis(spark, d):
 
 @query("""
     SELECT comment_quality, summary_quality, count(*) AS n_rows, count(sentiment_label) AS n_labelled,
-           sum(length(comment_body)) AS body_chars
+           CAST(sum(length(comment_body)) AS BIGINT) AS body_chars
     FROM checked GROUP BY comment_quality, summary_quality""", "checked")
 def quality_partition(spark, d):
     return checked(spark, d).groupBy("comment_quality", "summary_quality").agg(
@@ -445,7 +445,7 @@ def chat(spark, d):
 
 
 @query(f"""
-    SELECT comment_id, {_SQL_WORDS.format(c='body')} AS n_words,
+    SELECT comment_id, CAST({_SQL_WORDS.format(c='body')} AS INTEGER) AS n_words,
            {_SQL_WORDS.format(c='body')} <= 59 AS is_short, trim(body) = '' AS is_blank FROM {_CHAT}""")
 def short_text_passthrough(spark, d):
     return chat(spark, d).select(
@@ -630,7 +630,7 @@ def dq_warn_if_null(spark, d):
 
 
 @query("""
-    SELECT post_id, title, length(title) AS text_length,
+    SELECT post_id, title, CAST(length(title) AS INTEGER) AS text_length,
            CASE WHEN title IS NULL THEN 'NULL value' WHEN length(title) < 1 THEN 'Too short' ELSE 'Too long' END
                AS failure_reason
     FROM raw WHERE title IS NULL OR length(title) < 1 OR length(title) > 40""", "raw")
@@ -739,7 +739,7 @@ _VIEWS = """(SELECT * FROM (
           FROM joined)) WHERE view_no <= 3)"""
 
 
-@query(f"SELECT * EXCLUDE (in_label) FROM {_VIEWS}", "joined")
+@query(f"SELECT * EXCLUDE (in_label) REPLACE (CAST(view_no AS INTEGER) AS view_no) FROM {_VIEWS}", "joined")
 def top3_views(spark, d):
     return report.top_views(joined(spark, d))
 
@@ -772,7 +772,7 @@ _NAMES = "CASE subreddit " + " ".join(
 
 
 @query(f"""
-    SELECT subreddit, unnest(lines) AS text, generate_subscripts(lines, 1) - 1 AS line_no FROM (
+    SELECT subreddit, unnest(lines) AS text, CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no FROM (
         SELECT subreddit, ['---', 'title: "' || {_NAMES} || '"', 'date: "2025-01-09"',
                'description: "Analysis of top discussions and trends in the ' || subreddit || ' subreddit"',
                'tags: ["' || subreddit || '"]', '---'] AS lines
@@ -862,7 +862,8 @@ _SCORE = "'(Score: ' || post_score || ')'"
          '*  **Emotion:** mostly ' || lower(dominant) || ' (Positive ' || n_positive || ', Negative '
              || n_negative || ', Neutral ' || n_neutral || ')', '*  **Top 3 Points of View:**'],
         points, ['']) AS lines FROM ranked)
-    SELECT subreddit, section, position, unnest(lines) AS text, generate_subscripts(lines, 1) - 1 AS line_no
+    SELECT subreddit, section, position, unnest(lines) AS text,
+           CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no
     FROM (SELECT * FROM listing UNION ALL SELECT * FROM detail)""", "joined")
 def report_body(spark, d):
     """Ranking and analysis lines of all reports."""
