@@ -54,7 +54,7 @@ def test_tests_and_series(spark):
     assert (m.tests_passed, m.tests_failed, m.tests_total) == (3, 1, 4)
     df = spark.createDataFrame([m.asDict()], "dag_id string, run_id string, task_id string, attempt int, "
                                "tests_passed long, tests_failed long, tests_total long, success boolean, "
-                               "duration_seconds double, next_attempt int")
+                               "error boolean, duration_seconds double, next_attempt int")
     got = {r.metric: (r.kind, r.value) for r in R.metric_series(df, "dbt.tests").collect()}
     assert got["dbt.tests.tests.passed"] == ("gauge", 3.0)
     assert got["dbt.tests.duration"] == ("timing", 2000.0)
@@ -80,6 +80,15 @@ def test_report_runs_from_first_marker_to_last_time(spark):
     assert m.duration_seconds == 7.0
 
 
+def test_unreadable_times(spark):
+    m = metrics(spark, "sentiment", ["[yesterday] Emotion analysis model loaded", at(2, "Database connection closed")])
+    assert (m.error, m.duration_seconds) == (True, 0.0)
+    m = metrics(spark, "report", [at(1, "Analyzing data for subreddit: a"), "[odd] Output saved to a"])
+    assert (m.error, m.success) == (True, True)
+    m = metrics(spark, "report", ["[odd] Model loaded"])
+    assert (m.error, m.success) == (False, True)  # nothing to do and nothing done
+
+
 def test_log_files(spark, tmp_path):
     folder = tmp_path / "dag_id=d/run_id=scheduled__2025-01-09T22:00:00+00:00/task_id=summarize"
     folder.mkdir(parents=True)

@@ -33,6 +33,13 @@ def test_unfinished_version_is_ignored(spark, tmp_path):
     assert t.path("update_processing_status").endswith("v=1")
 
 
+def test_create_missing(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    t.create_missing()
+    t.create_missing()
+    assert all(t.path(name).endswith("v=1") and t.read(name).isEmpty() for name in TABLES)
+
+
 def test_jdbc_options():
     conn = jdbc.connection("jdbc:x", user="u")
     assert conn == {"url": "jdbc:x", "user": "u"}

@@ -124,6 +124,12 @@ def test_tags_links_names(spark):
     assert got == ["OpenAI Subreddit", "LocalLLaMA Subreddit", "other Subreddit"]
 
 
+def test_retitle(spark):
+    text = 'title: "openai subreddit"\ndescription: "Analysis of top discussions and trends in the openai subreddit"'
+    df = spark.createDataFrame([(text, "openai")], "t string, c string")
+    assert df.select(X.retitle("t", "c")).first()[0] == text.replace('"openai subreddit"', '"OpenAI Subreddit"')
+
+
 def test_text_block(spark):
     df = spark.createDataFrame(
         [("p", "s", 1, "u", "c", None, "t", "b", "m", 0.5, None)],

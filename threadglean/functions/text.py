@@ -190,6 +190,13 @@ def display_name(community):
     return F.concat(name, F.lit(K.COMMUNITY_DISPLAY_SUFFIX))
 
 
+def retitle(text, community):
+    """Report text whose title line names the community as displayed."""
+    name = _col(community)
+    plain = F.concat(F.lit('title: "'), name, F.lit(' subreddit"'))
+    return F.replace(_col(text), plain, F.concat(F.lit('title: "'), display_name(name), F.lit('"')))
+
+
 def right_strip(text):
     return F.regexp_replace(_col(text), rf"(?U){_SPACE}+\z", "")
 

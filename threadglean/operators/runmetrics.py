@@ -110,14 +110,15 @@ def _last(value, when):
 
 
 def extract_metrics(lines, extractor):
-    """One row per attempt: the metrics, success, duration_seconds, next_attempt.
+    """One row per attempt: the metrics, success, duration_seconds, next_attempt,
+    and `error`: whether a time that is needed could not be read.
 
     Last and first lines are found by max_by/min_by on the line number, so lines
     are combined before the shuffle and never sorted.
     """
     text = bracket_text(F.col("value"))
     timed = any(step.role == "start" for step in extractor.chain)
-    columns, taken = [], F.lit(False)
+    columns, taken, unread = [], F.lit(False), F.lit(False)
     for step in extractor.chain:
         hit = F.col("value").contains(step.marker)
         if timed and step.role in ("start", "end"):
@@ -133,14 +134,20 @@ def extract_metrics(lines, extractor):
             columns.append(F.coalesce(last, F.lit(0).cast(kind)).alias(name))
         elif timed:
             columns.append(_last(log_time(text), mine).alias("__" + step.role))
+            unread = unread | (mine & log_time(text).isNull())
         if step.role == "end":
             columns.append((F.count_if(mine) > 0).alias("success"))
     if extractor.first_start:
         begins = F.col("value").contains(extractor.chain[0].marker) & text.isNotNull()
         columns += [
             F.min_by(F.when(begins, iso_time(text)), F.when(begins, F.col("line_no"))).alias("__start"),
-            _last(iso_time(text), text.isNotNull()).alias("__end")]
+            _last(iso_time(text), text.isNotNull()).alias("__end"),
+            (F.count_if(begins) > 0).alias("__begun")]
+    columns.append((F.count_if(unread) > 0).alias("error"))
     rows = lines.groupBy(*RUN_KEYS).agg(*columns)
+    if extractor.first_start:
+        lost = F.col("__start").isNull() | F.col("__end").isNull()
+        rows = rows.withColumn("error", F.col("__begun") & lost).drop("__begun")
     if timed or extractor.first_start:
         spent = F.col("__end").cast("double") - F.col("__start").cast("double")
         rows = rows.withColumn(
@@ -181,9 +188,10 @@ def metric_series(metrics, prefix):
     """Long form: run keys, metric, kind (gauge, counter, timing), value.
 
     Counts and the attempt are gauges; the outcome is a counter named success or
-    retry; the duration is a timing in milliseconds.
+    retry; the duration is a timing in milliseconds. An attempt whose log could
+    not be read gives one point, the counter error.
     """
-    special = {*RUN_KEYS, "success", "next_attempt", "duration_seconds"}
+    special = {*RUN_KEYS, "success", "error", "next_attempt", "duration_seconds"}
 
     def point(name, kind, value):
         metric = F.concat(F.lit(prefix + "."), name)
@@ -195,7 +203,9 @@ def metric_series(metrics, prefix):
     outcome = F.when(F.col("success"), "success").otherwise("retry")
     points.append(point(outcome, "counter", F.lit(1)))
     points.append(point(F.lit("duration"), "timing", F.col("duration_seconds") * 1000))
-    return metrics.select(*RUN_KEYS, F.inline(F.array(*points)))
+    failed = F.array(point(F.lit("error"), "counter", F.lit(1)))
+    shown = F.when(F.col("error"), failed).otherwise(F.array(*points))
+    return metrics.select(*RUN_KEYS, F.inline(shown))
 
 
 # --- Fixed values: exported names of metrics, per task, in declared order --------------

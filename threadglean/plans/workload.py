@@ -782,6 +782,16 @@ def front_matter(spark, d):
         "subreddit", "text", "line_no")
 
 
+@query(f"""
+    SELECT post_id, replace(text, 'title: "' || subreddit || ' subreddit"', 'title: "' || {_NAMES} || '"') AS text
+    FROM (SELECT post_id, subreddit, '---' || chr(10) || 'title: "' || subreddit || ' subreddit"' || chr(10) || title AS text
+          FROM posts)""", "posts")
+def retitled_reports(spark, d):
+    """Texts of an outside model with the community's display name in the title."""
+    text = F.concat(F.lit('---\ntitle: "'), F.col("subreddit"), F.lit(' subreddit"\n'), F.col("title"))
+    return posts(spark, d).select("post_id", X.retitle(text, "subreddit").alias("text"))
+
+
 _BLOCK = "'~~~' || " + " || ".join(
     f"chr(10) || '    {f}: ' || coalesce(CAST({f} AS VARCHAR), 'None')" for f in K.BLOCK_FIELDS
 ) + " || chr(10) || '    '"
@@ -840,6 +850,16 @@ def harmful_skip(spark, d):
         "subreddit", "post_id", "comment_id", "harmful", "comment_summary")
 
 
+@query(r"""
+    SELECT comment_id, coalesce(len(list_filter(regexp_extract_all(body, '[\p{L}\p{M}\p{Nd}_]+'),
+               lambda t: lower(t) IN ('license', 'password', 'erer', 'thth'))) > 0, FALSE) AS harmful
+    FROM comments""", "comments")
+def harmful_words(spark, d):
+    """Comments flagged by listed words."""
+    pattern = "(?i)(?:" + X.words_regex(["license", "password", "erer", "thth"]) + ")"
+    return report.harmful_by_words(A.comments(spark, d), pattern, "body").select("comment_id", "harmful")
+
+
 _ONE_LINE = r"regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g')"
 _SCORE = "'(Score: ' || post_score || ')'"
 
@@ -890,7 +910,7 @@ def _timed_sql(task, columns, success="success"):
     return f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, {columns}, {_count_sql('purchase')} > 0 AS success,
-               coalesce({spent}, 0) AS duration_seconds
+               coalesce({spent}, 0) AS duration_seconds, FALSE AS error
         FROM logs WHERE task_id = '{task}' GROUP BY {_RUN})"""
 
 
@@ -930,7 +950,7 @@ def _printed_sql(task):
     return f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, coalesce({_last_sql('value', "event_type = 'click'")}, 0) AS duration_seconds,
-               {_count_sql('purchase')} > 0 AS success
+               {_count_sql('purchase')} > 0 AS success, FALSE AS error
         FROM logs WHERE task_id = '{task}' GROUP BY {_RUN})"""
 
 
@@ -950,7 +970,8 @@ def log_status_metrics(spark, d):
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, {_count_sql('view')} AS subreddits_processed, {_count_sql('click')} AS outputs_generated,
                coalesce(round(epoch(iso_last) - epoch(iso_first), 6), 0) AS duration_seconds,
-               {_count_sql('view')} = {_count_sql('click')} AS success
+               {_count_sql('view')} = {_count_sql('click')} AS success,
+               {_count_sql('view')} > 0 AND (iso_first IS NULL OR iso_last IS NULL) AS error
         FROM (SELECT *, first(iso ORDER BY event_id DESC) OVER w AS iso_last,
                      first(CASE WHEN event_type = 'view' THEN iso END
                            ORDER BY CASE WHEN event_type = 'view' THEN event_id END) OVER w AS iso_first

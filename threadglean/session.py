@@ -11,17 +11,20 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed partition also where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# Settings that only take effect when the session starts.
+START_SETTINGS = {
+    # Remove checkpointed data once nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def get_spark(app_name="threadglean", master=None, **conf):
-    """A session with the library's settings; `conf` keys use `_` for `.`."""
+    """A session with the library's settings; `conf` keys use `__` for `.`."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **START_SETTINGS}.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))

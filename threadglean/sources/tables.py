@@ -48,6 +48,12 @@ class Tables:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path).select(*schema.names)
 
+    def create_missing(self):
+        """Store an empty table for every declared one that does not exist."""
+        for name in TABLES:
+            if self.path(name) is None:
+                self.replace(name, self.read(name))
+
     def _write(self, df, name, path, mode, **options):
         schema, folders = TABLES[name], PARTITIONS.get(name, {})
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
