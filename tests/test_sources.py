@@ -25,6 +25,23 @@ def test_tables(spark, tmp_path):
     assert t.path("posts").endswith("v=2")
 
 
+def test_day_folders_are_skipped(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    days = [dt.datetime(2025, 1, d, 12) for d in (1, 2, 3)]
+    t.append("posts", spark.createDataFrame(
+        [(f"p{d.day}", "a", "t", "x", "u", 1, d) for d in days] + [("p0", "a", "t", "x", "u", 1, None)],
+        TABLES["posts"]))
+    late = t.read("posts", dt.datetime(2025, 1, 2, 15))
+    assert sorted(r.post_id for r in late.collect()) == ["p2", "p3"]
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_day" in plan
+    assert t.read("posts").count() == 4
+    for _ in range(3):
+        t.replace("posts", late)
+    t.drop_old_versions("posts")
+    assert t.read("posts").count() == 2 and not (tmp_path / "posts" / "v=2").exists()
+
+
 def test_unfinished_version_is_ignored(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     t.append("update_processing_status", spark.createDataFrame(

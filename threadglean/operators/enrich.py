@@ -18,49 +18,41 @@ def model_input(staged):
     return scale.spread_small(staged.select("comment_id", "comment_body"))
 
 
-def apply_model(df, text_col, load, outputs, name):
+def apply_model(df, text_col, load, outputs, name, batch_rows=512):
     """Add a batch model's columns, and `error` for rows it failed on.
 
     `load()` returns a function from a pandas Series of texts to a DataFrame with
     the `outputs` columns (name -> Spark type), one row per text; it is called
-    once per Python worker. When a batch fails its rows are tried one at a time,
-    so one bad row costs only itself.
+    once per Python worker. A batch that fails is halved until the rows that
+    fail are alone, so a bad row costs only itself.
     """
     schema = T.StructType(
         list(df.schema.fields) + [T.StructField(c, t, True) for c, t in outputs.items()]
         + [T.StructField("error", T.StringType(), True)])
     columns = list(outputs)
 
-    def run(model, texts):
-        result = model(texts)
-        if len(result) != len(texts):
-            raise ValueError(f"model gave {len(result)} rows for {len(texts)} texts")
-        return result[columns].set_axis(texts.index).assign(error=None)
-
-    def one_by_one(model, texts):
-        rows = []
-        for i in range(len(texts)):
-            one = texts.iloc[i:i + 1]
-            try:
-                rows.append(run(model, one))
-            except Exception as failure:  # the row is reported, the others go on
-                rows.append(pd.DataFrame(
-                    {**{c: [None] for c in columns}, "error": [str(failure)]}, index=one.index))
-        return pd.concat(rows)
+    def scored(model, texts):
+        """Result frames in row order."""
+        try:
+            result = model(texts)
+            if len(result) != len(texts):
+                raise ValueError(f"model gave {len(result)} rows for {len(texts)} texts")
+            return [result[columns].set_axis(texts.index).assign(error=None)]
+        except Exception as failure:  # the row is reported, the others go on
+            if len(texts) == 1:
+                return [pd.DataFrame({**{c: [None] for c in columns}, "error": [str(failure)]},
+                                     index=texts.index)]
+            half = len(texts) // 2
+            return scored(model, texts.iloc[:half]) + scored(model, texts.iloc[half:])
 
     def batches(frames):
         if name not in _LOADED:
             _LOADED[name] = load()
-        model = _LOADED[name]
         for frame in frames:
-            if frame.empty:
-                continue
-            texts = frame[text_col]
-            try:
-                scored = run(model, texts)
-            except Exception:
-                scored = one_by_one(model, texts)
-            yield pd.concat([frame, scored], axis=1)
+            for start in range(0, len(frame), batch_rows):
+                rows = frame.iloc[start:start + batch_rows]
+                parts = [p.astype(object) for p in scored(_LOADED[name], rows[text_col])]
+                yield pd.concat([rows, pd.concat(parts)], axis=1)
 
     return df.mapInPandas(batches, schema)
 

@@ -17,14 +17,10 @@ def report_scan(joined, community=None):
     return rows.select(*K.BLOCK_FIELDS)
 
 
-def by_score(rows):
-    """Sort key of report rows: score descending, then the ids."""
-    return [F.desc("post_score"), F.asc("post_id"), F.asc("comment_id")]
-
-
 def ordered_rows(joined, **rank):
     """Report rows with their number in the community, highest score first."""
-    return scale.rank_rows(joined, "subreddit", by_score(joined), "row_no", **rank)
+    order = [F.desc("post_score"), F.asc("post_id"), F.asc("comment_id")]
+    return scale.rank_rows(joined, "subreddit", order, "row_no", **rank)
 
 
 def text_blocks(joined, **rank):

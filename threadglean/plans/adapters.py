@@ -7,6 +7,7 @@ Nulls, blanks and copies are injected by key arithmetic, the same on both sides.
 from pyspark.sql import functions as F
 
 from threadglean import constants as K
+from threadglean.operators import scale
 
 # Words to mask: some are frequent in the texts, two are on the never-mask list.
 LEXICON = ["with", "the", "that", "der", "les", "que", "tion", "for", "from"]
@@ -92,7 +93,8 @@ def raw_threads(spark, sf_dir):
             F.concat(F.lit("d"), did.cast("string"), F.lit("_"), i.cast("string")).alias("comment_id"),
             (base + ((i * 37) % 11) * 86400).alias("created_utc"),
         ))
-    return read(spark, sf_dir, "documents").select(
+    documents = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return scale.spread_small(documents).select(
         F.concat(F.lit("d"), did.cast("string")).alias("post_id"),
         _pick(K.COMMUNITIES, did % 8).alias("subreddit"),
         F.lit("title").alias("title"), F.lit("author").alias("author"), F.col("source").alias("url"),

@@ -5,9 +5,11 @@ next stage starts.
 """
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
+from threadglean.constants import COMMUNITIES
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
     analysis, counters, enrich, ingest, quality, report, scale, summary, watermark)
@@ -18,6 +20,10 @@ from threadglean.sources.files import write_reports
 from threadglean.sources.tables import Tables
 
 
+def _time(mark):
+    return datetime.fromtimestamp(mark, timezone.utc)
+
+
 @dataclass
 class DailyRun:
     """State and settings of a run. `counts` collects the rows each stage wrote."""
@@ -35,6 +41,11 @@ class DailyRun:
             frames, SUITES, {t: k[-1] for t, k in KEYS.items()})
         return quality.assert_quality(report_, stage)
 
+    def _lowest_mark(self, marks):
+        """Time before which no community has unread rows; None if one has no mark yet."""
+        known = {r["subreddit"]: r["mark"] for r in marks.where(F.col("subreddit").isin(COMMUNITIES)).collect()}
+        return _time(min(known.values())) if len(known) == len(COMMUNITIES) else None
+
     def _append(self, name, df):
         """Append and count in the same job; an empty batch writes nothing."""
         rows = scale.cut_lineage(df)
@@ -73,7 +84,7 @@ class DailyRun:
         t = self.tables
         pattern = mask_pattern(self.lexicon)
         marks = watermark.high_water_marks(t.read("posts"))
-        raw = watermark.new_rows_by_mark(t.read("raw_posts"), marks)
+        raw = watermark.new_rows_by_mark(t.read("raw_posts", self._lowest_mark(marks)), marks)
         posts = ingest.clean_posts(raw, pattern, [F.asc("post_id")])
         comments = ingest.clean_comments(raw, pattern, "subreddit",
                                          order=[F.asc("post_id"), F.asc("created_utc")])
@@ -86,14 +97,16 @@ class DailyRun:
         """New (post, comment) rows to the daily summary table."""
         t = self.tables
         stored = t.read("daily_summary_data")
-        posts, comments = t.read("posts"), t.read("comments")
         if self.window_mode == "event_time":
-            last = (watermark.high_water_mark(posts.join(stored, "post_id", "left_semi")),
-                    watermark.high_water_mark(comments.join(stored, "comment_id", "left_semi")))
-            last = tuple(F.timestamp_micros(F.lit(round(m.first()["mark"] * 1_000_000))) for m in last)
+            marks = [watermark.high_water_mark(t.read(name).join(stored, key, "left_semi")).first()["mark"]
+                     for name, key in (("posts", "post_id"), ("comments", "comment_id"))]
+            last = tuple(_time(mark) for mark in marks)
         else:
-            last = watermark.last_run_mark(stored).first()["mark"]
-        posts, comments = summary.in_run_window(posts, comments, last, self.run_ts, self.window_mode)
+            marks = watermark.last_run_mark(stored).first()["mark"]
+            last = (marks, marks)
+        posts, comments = summary.in_run_window(
+            t.read("posts", last[0]), t.read("comments", last[1]),
+            last if self.window_mode == "event_time" else last[0], self.run_ts, self.window_mode)
         comments = ingest.comments_with_new_posts(comments, posts)
         rows = summary.unseen(summary.posts_with_comments(posts, comments, self.run_ts), stored)
         self._append("daily_summary_data", summary.with_defaults(rows, stored))

@@ -542,8 +542,8 @@ def model_hook(spark, d):
 
         return model
 
-    rows = A.read(spark, d, "documents").select(
-        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), "text")
+    rows = scale.spread_small(A.read(spark, d, "documents").select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), "text"))
     scored = enrich.apply_model(rows, "text", load, {"n": T.LongType()}, "length-model")
     return scored.select("comment_id", F.col("error").isNotNull().alias("failed"), "n")
 
@@ -904,13 +904,14 @@ def _count_sql(event):
     return f"count(*) FILTER (WHERE event_type = '{event}')"
 
 
-def _timed_sql(task, columns, success="success"):
-    spent = (f"round(epoch({_last_sql('logged', chr(39).join(['event_type = ', 'purchase', '']))}) - "
-             f"epoch({_last_sql('logged', chr(39).join(['event_type = ', 'view', '']))}), 6)")
+def _timed_sql(task, columns):
+    """Metrics of a task whose start is a view event and whose end a purchase."""
+    start = _last_sql("logged", "event_type = 'view'")
+    end = _last_sql("logged", "event_type = 'purchase'")
     return f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, {columns}, {_count_sql('purchase')} > 0 AS success,
-               coalesce({spent}, 0) AS duration_seconds, FALSE AS error
+               coalesce(round(epoch({end}) - epoch({start}), 6), 0) AS duration_seconds, FALSE AS error
         FROM logs WHERE task_id = '{task}' GROUP BY {_RUN})"""
 
 

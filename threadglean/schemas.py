@@ -84,12 +84,15 @@ KEYS = {
 }
 
 # Directory partitioning on disk: folder column -> expression over the table.
-# daily_summary_data is split by the day of its run, so marking rows as processed
-# rewrites the days that still hold open rows and never the settled history.
+# Event tables are also split by day, so a read after a mark skips the folders
+# before it. daily_summary_data is split by the day of its run, so marking rows
+# as processed rewrites the days that still hold open rows and never the settled
+# history.
+_EVENT_FOLDERS = {"subreddit": "subreddit", "created_day": "to_date(created_utc)"}
 PARTITIONS = {
-    "raw_posts": {"subreddit": "subreddit"},
-    "posts": {"subreddit": "subreddit"},
-    "comments": {"subreddit": "subreddit"},
+    "raw_posts": _EVENT_FOLDERS,
+    "posts": _EVENT_FOLDERS,
+    "comments": _EVENT_FOLDERS,
     "daily_summary_data": {"processed_day": "to_date(processed_date)"},
     "joined_summary_analysis": {"subreddit": "subreddit"},
 }

@@ -41,12 +41,22 @@ class Tables:
         versions = self._versions(name)
         return f"{self.root}/{name}/v={versions[-1]}" if versions else None
 
-    def read(self, name):
-        """The table, empty if it does not exist yet."""
+    def read(self, name, since=None):
+        """The table, empty if it does not exist yet. `since` (a time) leaves out
+        the day folders before it, and rows without a time."""
         path, schema = self.path(name), TABLES[name]
         if path is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path).select(*schema.names)
+        df = self.spark.read.schema(schema).parquet(path)
+        if since is not None:
+            df = df.where(F.col("created_day") >= F.to_date(F.lit(since)))
+        return df.select(*schema.names)
+
+    def drop_old_versions(self, name, keep=2):
+        """Delete all but the newest `keep` finished versions."""
+        for number in self._versions(name)[:-keep]:
+            fs, path = self._fs(f"{self.root}/{name}/v={number}")
+            fs.delete(path, True)
 
     def create_missing(self):
         """Store an empty table for every declared one that does not exist."""
