@@ -86,3 +86,10 @@ def test_top_per_group_limits_before_the_shuffle(skewed):
     physical = plan.split("== Physical Plan ==")[1]
     assert physical.count("WindowGroupLimit") == 2
     assert physical.rindex("Exchange") < physical.rindex("WindowGroupLimit")
+
+
+def test_narrow_to(spark, skewed):
+    batch = spark.createDataFrame([("hot",), ("hot",), (None,), ("none",)], "key string")
+    few = scale.narrow_to(skewed, batch, "key")
+    assert rows(few) == rows(skewed.where("key = 'hot'"))
+    assert scale.narrow_to(skewed, batch, "key", max_rows=2) is skewed

@@ -3,11 +3,12 @@
 The size checks below only choose between two ways to the same rows.
 """
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
-from threadglean.session import ensure_checkpoint_dir
+from threadglean.session import checkpoint_folder
 
 # A plan whose inputs are together below this size is run the plain way
 # (session setting threadglean.smallInputBytes).
@@ -23,6 +24,8 @@ HOT_ROWS_PER_TASK = 1_000_000
 # (group, range) counts that are sent to all executors.
 RANK_BYTES_PER_TASK = 256 * 1024 * 1024
 RANK_PIN_ROWS = 200_000
+# Keys of a batch that are sent to all executors to narrow a stored table.
+NARROW_PIN_ROWS = 200_000
 # monotonically_increasing_id keeps the partition above this bit, the row below.
 _ROW_BITS = 33
 # Null keys never match; their rows are dealt out over this many salts.
@@ -58,9 +61,17 @@ def spread_small(df):
 
 
 def cut_lineage(df):
-    """Reliable checkpoint: later stages restart from stored rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """The rows stored as Parquet in the shared checkpoint folder and read back.
+
+    Later stages restart from stored rows, read only the columns they need and
+    know their size. The folder goes when the session ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def pin_small(df, max_rows=PIN_MAX_ROWS):
@@ -81,6 +92,20 @@ def lookup_join(big, small, on, how="left", spread=None, max_rows=PIN_MAX_ROWS):
     return skew_join(big, small, on, how, spread or on, small_limit=0)
 
 
+def narrow_to(stored, batch, keys, max_rows=NARROW_PIN_ROWS):
+    """A stored table without rows that no key of the batch can meet.
+
+    While the batch has few keys the table is filtered as it is scanned, and a
+    join with the batch then shuffles only what can match. With more keys the
+    table is returned as it is; the join gives the same rows either way.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    ids, few = pin_small(batch.select(*keys).distinct(), max_rows)
+    if not few:
+        return stored
+    return stored.join(F.broadcast(ids), keys, "left_semi").select(*stored.columns)
+
+
 def hot_keys(df, keys, rows_per_task=None, max_keys=HOT_KEYS):
     """Keys with more than `rows_per_task` rows and the salts each one gets.
 
@@ -136,8 +161,8 @@ def rank_rows(df, group, order, name="rank", *, partitions=None, small_limit=Non
     sorted by (group, order) over range partitions instead and take their
     position from there; a row's number is its distance from the first row of
     its group in the range, plus the rows of the group in earlier ranges. The
-    rows are shuffled once. The positions are checkpointed, since both the
-    counts and the numbers rely on them. `order` must end in a unique key.
+    rows are shuffled once. The positions are stored, since both the counts and
+    the numbers rely on them. `order` must end in a unique key.
     """
     group = [group] if isinstance(group, str) else list(group)
     if is_small(df, small_limit):

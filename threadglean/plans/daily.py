@@ -46,6 +46,10 @@ class DailyRun:
         known = {r["subreddit"]: r["mark"] for r in marks.where(F.col("subreddit").isin(COMMUNITIES)).collect()}
         return _time(min(known.values())) if len(known) == len(COMMUNITIES) else None
 
+    def _stored(self, name, batch, keys=None):
+        """The stored rows that can meet a row of the batch."""
+        return scale.narrow_to(self.tables.read(name), batch, keys or KEYS[name])
+
     def _append(self, name, df):
         """Append and count in the same job; an empty batch writes nothing."""
         rows = scale.cut_lineage(df)
@@ -58,12 +62,13 @@ class DailyRun:
 
     def _upsert(self, name, batch, order=None):
         """Append a batch of new keys; rewrite the table only if a key is stored."""
-        keys, stored = KEYS[name], self.tables.read(name)
+        keys, stored = KEYS[name], self._stored(name, batch)
         repeated = stored.join(batch.select(*keys), keys, "left_semi")
         if repeated.isEmpty():
             self._append(name, rows_to_insert(stored, batch.select(*stored.columns), keys))
         else:
-            self.tables.replace(name, merge_keyed(stored, batch, keys, "take_new", order=order))
+            self.tables.replace(name, merge_keyed(
+                self.tables.read(name), batch, keys, "take_new", order=order))
 
     # -- stages -------------------------------------------------------------------
 
@@ -76,7 +81,7 @@ class DailyRun:
         mark = F.coalesce("mark", F.lit(0.0))
         entries = entries.withColumn("comments", ingest.capped_comments("comments", mark))
         raw = scale.cut_lineage(ingest.to_raw_posts(entries.drop("mark", "position")))
-        self._append("raw_posts", rows_to_insert(t.read("raw_posts"), raw, ["post_id"]))
+        self._append("raw_posts", rows_to_insert(self._stored("raw_posts", raw), raw, ["post_id"]))
         t.replace("processing_metadata", watermark.advance_marks(marks, raw, self.run_ts))
 
     def preprocess(self):
@@ -91,7 +96,8 @@ class DailyRun:
         # Both batches are fixed before the first of them moves the marks.
         posts, comments = scale.cut_lineage(posts), scale.cut_lineage(comments)
         self._append("posts", posts)
-        self._append("comments", rows_to_insert(t.read("comments"), comments, ["comment_id"]))
+        self._append("comments", rows_to_insert(
+            self._stored("comments", comments), comments, ["comment_id"]))
 
     def summarise_day(self):
         """New (post, comment) rows to the daily summary table."""
@@ -108,8 +114,9 @@ class DailyRun:
             t.read("posts", last[0]), t.read("comments", last[1]),
             last if self.window_mode == "event_time" else last[0], self.run_ts, self.window_mode)
         comments = ingest.comments_with_new_posts(comments, posts)
-        rows = summary.unseen(summary.posts_with_comments(posts, comments, self.run_ts), stored)
-        self._append("daily_summary_data", summary.with_defaults(rows, stored))
+        rows = scale.cut_lineage(summary.posts_with_comments(posts, comments, self.run_ts))
+        fresh = summary.unseen(rows, self._stored("daily_summary_data", rows))
+        self._append("daily_summary_data", summary.with_defaults(fresh, stored))
 
     def enrich(self):
         """Summaries and sentiments of the staged comments. Returns failed rows per model."""
@@ -127,18 +134,22 @@ class DailyRun:
         t = self.tables
         staged = analysis.staging(t.read("daily_summary_data"))
         t.replace("joined_summary_analysis", analysis.joined_analysis(
-            staged, t.read("text_summary_results"), t.read("sentiment_analysis_results"), self.run_ts))
+            staged, self._stored("text_summary_results", staged),
+            self._stored("sentiment_analysis_results", staged), self.run_ts))
         self._append("update_processing_status", rows_to_insert(
-            t.read("update_processing_status"), staged.select("comment_id", "post_id"),
+            self._stored("update_processing_status", staged), staged.select("comment_id", "post_id"),
             KEYS["update_processing_status"]))
-        # Only days with open rows can change.
+        # Only days with rows that are not settled can change.
         table, day = t.read("daily_summary_data"), F.to_date("processed_date")
-        open_days = table.where(F.col("needs_processing")).select(day.alias("__day")).distinct()
+        unsettled = F.coalesce("needs_processing", F.lit(True))
+        open_days = table.where(unsettled).select(day.alias("__day")).distinct()
         touched = scale.lookup_join(
             table.withColumn("__day", day), open_days, "__day", "left_semi",
             spread=["post_id", "comment_id"]).select(*table.columns)
-        t.replace_partitions("daily_summary_data", scale.cut_lineage(
-            flag_processed(touched, t.read("update_processing_status"))))
+        history = self._stored("update_processing_status", touched.where(unsettled), ["comment_id"])
+        flagged = scale.cut_lineage(flag_processed(touched, history))
+        if not flagged.isEmpty():
+            t.replace_partitions("daily_summary_data", flagged)
 
     def report(self, root):
         lines = report.report_lines(

@@ -12,11 +12,6 @@ SETTINGS = {
     # Split a skewed partition also where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
-# Settings that only take effect when the session starts.
-START_SETTINGS = {
-    # Remove checkpointed data once nothing refers to it any more.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-}
 
 
 def get_spark(app_name="threadglean", master=None, **conf):
@@ -24,7 +19,7 @@ def get_spark(app_name="threadglean", master=None, **conf):
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **START_SETTINGS}.items():
+    for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), str(value))
@@ -38,20 +33,20 @@ def apply_settings(spark):
     return spark
 
 
-def ensure_checkpoint_dir(spark):
-    """Use the cluster's checkpoint folder; make one only for a local session.
+def checkpoint_folder(spark):
+    """The cluster's checkpoint folder; a temporary one only for a local session.
 
     `spark.checkpoint.dir` names a folder all executors share. Without it a
     cluster run is refused, since a machine-local folder would not survive the
     loss of that machine.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if sc.getCheckpointDir() is not None:
-        return
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="threadglean-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    if sc.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            sc.setCheckpointDir(configured)
+        elif sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="threadglean-ckpt-"))
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+    return sc.getCheckpointDir()

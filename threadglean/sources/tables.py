@@ -68,6 +68,9 @@ class Tables:
         schema, folders = TABLES[name], PARTITIONS.get(name, {})
         rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         rows = rows.withColumns({c: F.expr(e) for c, e in folders.items() if c not in schema.names})
+        if folders:
+            # Few files per folder, and a folder with most rows still many tasks.
+            rows = rows.hint("rebalance", *folders)
         writer = rows.write.mode(mode).options(**options)
         if folders:
             writer = writer.partitionBy(*folders)
