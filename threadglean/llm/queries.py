@@ -1,19 +1,43 @@
 """Registered queries of the dealt operators; each runs over its whole table."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from threadglean.llm import merge_replay, token_counts
+from threadglean.llm import merge_replay, mixing, rans, sharding, token_counts
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_stratified_shards(spark, sf_dir):
+    text = F.col("text")
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "source", sharding.text_size(text).alias("size"),
+        sharding.text_crc32(text).alias("text_crc32"))
+    return sharding.assign_shards(docs, 8, order_cols=("doc_id", "text_crc32")).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+def op3_pfair_mix(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "source", sharding.text_crc32(F.col("text")).alias("text_crc32"))
+    return mixing.mix(docs, order_cols=("doc_id", "text_crc32"))
+
+
 def op5_whole_token_counts(spark, sf_dir):
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_rans_ids(spark, sf_dir):
+    units = rans.write_units(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN)
+    return rans.read_units(units)
+
+
 def op9_merge_replay(spark, sf_dir):
     return merge_replay.encode_decode(
         _table(spark, sf_dir, "documents"),
@@ -21,7 +45,10 @@ def op9_merge_replay(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_stratified_shards": op2_stratified_shards,
+    "op3_pfair_mix": op3_pfair_mix,
     "op5_whole_token_counts": op5_whole_token_counts,
+    "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
 }
 

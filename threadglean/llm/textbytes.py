@@ -208,7 +208,7 @@ class WordCodes:
     Beyond `keep` words the table starts anew, so that memory stays bounded.
     """
 
-    def __init__(self, encode, keep=400_000):
+    def __init__(self, encode, keep=1_500_000):
         self.encode, self.keep = encode, keep
         self._reset()
 
