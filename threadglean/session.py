@@ -1,5 +1,6 @@
 """Session settings and the checkpoint folder."""
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,3 +51,13 @@ def checkpoint_folder(spark):
         else:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return sc.getCheckpointDir()
+
+
+def share_package(spark):
+    """Let Python workers find this package where the driver found it, unless a cluster
+    has it installed anyway."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
