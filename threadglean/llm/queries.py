@@ -3,13 +3,27 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from threadglean.llm import merge_replay, mixing, rans, sharding, token_counts
+from threadglean.llm import (
+    merge_replay, mixing, projection_search, rans, sharding, token_counts, toxicity,
+)
+from threadglean.session import share_package
 
 
 def _table(spark, sf_dir, name):
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# The categories of the chain, in order, over the columns of `labels`.
+CATEGORIES = [("low_quality", "1 - quality"), ("toxic", "toxic")]
+
+
+def op1_chain_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, _table(spark, sf_dir, "labels"), CATEGORIES)
+    return toxicity.score(docs, chain).withColumnRenamed("rejected", "toxic")
+
+
 def op2_stratified_shards(spark, sf_dir):
     text = F.col("text")
     docs = _table(spark, sf_dir, "documents").select(
@@ -31,6 +45,10 @@ def op5_whole_token_counts(spark, sf_dir):
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_projected_neighbours(spark, sf_dir):
+    return projection_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_rans_ids(spark, sf_dir):
     units = rans.write_units(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -45,9 +63,11 @@ def op9_merge_replay(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_chain_toxicity": op1_chain_toxicity,
     "op2_stratified_shards": op2_stratified_shards,
     "op3_pfair_mix": op3_pfair_mix,
     "op5_whole_token_counts": op5_whole_token_counts,
+    "op7_projected_neighbours": op7_projected_neighbours,
     "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
 }
