@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadglean.llm import (
-    merge_replay, mixing, projection_search, rans, sharding, token_counts, toxicity,
+    merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
+    toxicity,
 )
 from threadglean.session import share_package
 
@@ -45,6 +46,10 @@ def op5_whole_token_counts(spark, sf_dir):
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_subspace_near_duplicates(spark, sf_dir):
+    return subspace_join.near_duplicates(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op7_projected_neighbours(spark, sf_dir):
     return projection_search.nearest(_table(spark, sf_dir, "embeddings"))
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op2_stratified_shards": op2_stratified_shards,
     "op3_pfair_mix": op3_pfair_mix,
     "op5_whole_token_counts": op5_whole_token_counts,
+    "op6_subspace_near_duplicates": op6_subspace_near_duplicates,
     "op7_projected_neighbours": op7_projected_neighbours,
     "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
