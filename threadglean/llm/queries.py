@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadglean.llm import (
-    merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
+    fm_dedup, merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
     toxicity,
 )
 from threadglean.session import share_package
@@ -41,6 +41,10 @@ def op3_pfair_mix(spark, sf_dir):
     return mixing.mix(docs, order_cols=("doc_id", "text_crc32"))
 
 
+def op4_fm_substring_dedup(spark, sf_dir):
+    return fm_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
 def op5_whole_token_counts(spark, sf_dir):
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -71,6 +75,7 @@ QUERIES = {
     "op1_chain_toxicity": op1_chain_toxicity,
     "op2_stratified_shards": op2_stratified_shards,
     "op3_pfair_mix": op3_pfair_mix,
+    "op4_fm_substring_dedup": op4_fm_substring_dedup,
     "op5_whole_token_counts": op5_whole_token_counts,
     "op6_subspace_near_duplicates": op6_subspace_near_duplicates,
     "op7_projected_neighbours": op7_projected_neighbours,
