@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadglean.llm import (
-    fm_dedup, merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
+    fm_dedup, jaccard_join, merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
     toxicity,
 )
 from threadglean.session import share_package
@@ -71,6 +71,10 @@ def op9_merge_replay(spark, sf_dir):
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_signature_tree_join(spark, sf_dir):
+    return jaccard_join.join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chain_toxicity": op1_chain_toxicity,
     "op2_stratified_shards": op2_stratified_shards,
@@ -81,6 +85,7 @@ QUERIES = {
     "op7_projected_neighbours": op7_projected_neighbours,
     "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
+    "op10_signature_tree_join": op10_signature_tree_join,
 }
 
 ORACLES = {}
