@@ -292,14 +292,16 @@ def _search(table):
                      out.take(keep)], names=["k1", "k2", "least"])
 
 
-def find_spans(docs, *, id_col="doc_id", text_col="text"):
+def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
     """(base, hits): texts with their row mark, and per text the windows that go.
 
     `hits` has doc_id, mark and `windows`, an array of the word positions at
-    which a repeated window starts.
+    which a repeated window starts. Columns to `carry` go along in a struct `rest`;
+    texts are shuffled once, and both joins read that shuffle.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).select(
-        "doc_id", F.xxhash64("text").alias("mark"), "text")
+    base = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"),
+        F.col(text_col).alias("text"), *[F.struct(*carry).alias("rest")] * bool(carry))
     marked = base.where("doc_id is not null").mapInArrow(_minimizers, "doc_id long, mark long, h long")
     shared = cut_lineage(marked.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -308,8 +310,9 @@ def find_spans(docs, *, id_col="doc_id", text_col="text"):
         marked.join(shared, "h").groupBy("doc_id", "mark").agg(
             F.collect_list(F.when(F.col("n") <= HOT_DOCS, F.col("h"))).alias("few"),
             F.collect_list(F.when(F.col("n") > HOT_DOCS, F.col("h"))).alias("many")))
+    # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
     segments = base.join(wanted, ["doc_id", "mark"], "left").select(
-        "doc_id", "mark", "text", "few", "many").mapInArrow(
+        "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry)).mapInArrow(
         _segments, "doc_id long, mark long, route long, k1 long, k2 long, segment binary, start int")
     distinct = segments.groupBy("route", "k1", "k2", "segment").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
@@ -367,3 +370,48 @@ def dedup(docs, *, id_col="doc_id", text_col="text", with_text=False):
 
     return base.join(hits, ["doc_id", "mark"], "left").select("doc_id", "text", "windows").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
+
+
+def rewrite(docs, *, id_col="doc_id", text_col="text", length_col="n_chars"):
+    """All rows and columns of `docs`; texts with repeated windows hold their kept words only.
+
+    The kept words are joined by one space; `length_col`, if there is one, is set to the
+    characters of such a text. Texts that keep all words stay as they are. A text that
+    keeps none is empty.
+    """
+    base, hits = find_spans(docs, id_col=id_col, text_col=text_col,
+                            carry=[c for c in docs.columns if c != text_col])
+
+    def run(batches):
+        for batch in batches:
+            for texts in pieces(batch.column(0)):
+                windows, stay = _stay(texts, _listed(batch.column(1), texts.rows))
+                data, begin = windows.joined()
+                size = windows.end - windows.start + 1
+                view = memoryview(np.ascontiguousarray(data[np.repeat(stay, size)]))
+                sums = np.concatenate(([0], np.cumsum(size * stay)))[windows.first]
+                gone = np.concatenate(([0], np.cumsum(~stay)))[windows.first]
+                kept = [bytes(view[a:max(a, b - 1)]).decode("utf-8") if lost else None
+                        for a, b, lost in zip(sums[:-1].tolist(), sums[1:].tolist(), np.diff(gone).tolist())]
+                rows = slice(texts.rows.start, texts.rows.stop)
+                cut = pa.array(kept, pa.string())
+                whole = batch.column(0)[rows].cast(pa.string())
+                text = pa.array([k if k is not None else w for k, w in zip(cut.to_pylist(), whole.to_pylist())],
+                                pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [text, pa.array([k is not None for k in kept]), batch.column(2)[rows]],
+                    names=["text", "cut", "rest"])
+
+    joined = base.join(hits, ["doc_id", "mark"], "left").select("text", "windows", "rest")
+    kind = base.schema["rest"].dataType.simpleString()
+    made = joined.mapInArrow(run, f"text string, cut boolean, rest {kind}")
+    columns = []
+    for name in docs.columns:
+        if name == text_col:
+            columns.append(F.col("text").alias(name))
+        elif name == length_col:
+            length = F.when(F.col("cut"), F.char_length("text")).otherwise(F.col("rest")[name])
+            columns.append(length.cast(docs.schema[name].dataType).alias(name))
+        else:
+            columns.append(F.col("rest")[name].alias(name))
+    return made.select(*columns)

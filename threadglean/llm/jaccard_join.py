@@ -21,7 +21,7 @@ so the components are exact.
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from threadglean.llm.components import components
 from threadglean.llm.textbytes import LOWER, mix, pieces, shingles
@@ -448,3 +448,18 @@ def join(docs, *, id_col="doc_id", text_col="text"):
     return sets.select("doc_id", *digest).join(whole, digest, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def keep_one(docs, *, id_col="doc_id", text_col="text"):
+    """The rows of `docs`, all columns as they are, of the least id of each component.
+
+    Of rows that agree in id and text one stays. Rows with a null id all stay.
+    """
+    gone = join(docs, id_col=id_col, text_col=text_col).where(
+        F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    columns = docs.columns
+    named = docs.where(F.col(id_col).isNotNull()).join(
+        cut_lineage(gone), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    window = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
+    named = named.withColumn("__copy", F.row_number().over(window)).where(F.col("__copy") == 1)
+    return named.select(*columns).unionByName(docs.where(F.col(id_col).isNull()))
