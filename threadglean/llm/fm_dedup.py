@@ -4,9 +4,10 @@ A word goes if a window of WINDOW words that covers it also starts in a document
 a smaller id. Equal windows meet because both carry the same minimizer, the
 least hash of the GRAM-word groups inside: runs of consecutive windows with one
 minimizer form segments, and only segments whose minimizer occurs in two documents or
-more are looked at again. Equal segments are joined into one with the least document id
-(so passages that very many documents share don't pile up), and dealt to shards by
-minimizer; a minimizer of very many documents is dealt window by window.
+more are looked at again. Segments are dealt to shards by minimizer, where equal ones become one with the
+least document id. A minimizer of very many documents is dealt window by window,
+and equal windows are joined before that shuffle, so a passage that
+very many documents share does not pile up.
 
 Each shard indexes its segments: the text of word numbers, sorted by contexts of
 WINDOW words, its Burrows-Wheeler transform in a wavelet matrix of packed bits.
@@ -19,13 +20,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from threadglean.llm.textbytes import mix, pieces, shingles
 from threadglean.operators.scale import cut_lineage
 
 WINDOW = 13
-GRAM = 4
+GRAM = 6
 RUN = 32           # windows of a segment at most
 HOT_DOCS = 1000    # a minimizer in more documents is dealt window by window
 SHARD_SEGMENTS = 60_000
@@ -186,7 +188,7 @@ class Windows:
         return out, begin
 
     def keys(self, first, words):
-        """Two 64-bit hashes of runs of words."""
+        """Two hashes of runs of words, of 64 bits; the second is used in part."""
         out = []
         for factor in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
             f = np.uint64(factor)
@@ -215,9 +217,9 @@ def _slices(data, begin, end):
 
 
 def _minimizers(batches):
-    """doc_id, mark, h: the distinct minimizers of each text."""
+    """doc_id, h: the distinct minimizers of each text."""
     for batch in batches:
-        for texts in pieces(batch.column(2)):
+        for texts in pieces(batch.column(1)):
             _, _, owner, h = Windows(texts).runs()
             order = np.lexsort((h, owner))
             owner, h = owner[order], h[order]
@@ -225,8 +227,7 @@ def _minimizers(batches):
             new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
             rows = pa.array(owner[new] + texts.rows.start)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h[new].view(np.int64))],
-                names=["doc_id", "mark", "h"])
+                [batch.column(0).take(rows), pa.array(h[new].view(np.int64))], names=["doc_id", "h"])
 
 
 def _listed(column, rows):
@@ -241,45 +242,84 @@ def _tagged(h, owner):
     return h * np.uint64(0x9E3779B97F4A7C15) + mix(owner.astype(np.uint64) + np.uint64(1))
 
 
-def _segments(batches):
-    """The segments of each text whose minimizer is listed; single windows of hot ones."""
+def _listed_rows(batch, *columns):
+    """The rows with an entry in one of these list columns."""
+    sizes = [pc.fill_null(pc.list_value_length(batch.column(c)), 0) for c in columns]
+    some = [pc.greater(x, 0) for x in sizes]
+    return batch.filter(some[0] if len(some) == 1 else pc.or_(*some))
+
+
+def _chosen(windows, few, many, rows):
+    """(first window, words, owner, route, hot) of the listed segments; hot ones by window."""
+    first, size, owner, h = windows.runs()
+    tag = _tagged(h, owner)
+    take = np.isin(tag, _tagged(*_listed(few, rows)))
+    hot = np.flatnonzero(np.isin(tag, _tagged(*_listed(many, rows))))
+    count = size[hot]
+    single = np.repeat(first[hot] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return (np.concatenate((first[take], single)),
+            np.concatenate((size[take] + WINDOW - 1, np.full(len(single), WINDOW))),
+            np.concatenate((owner[take], np.repeat(owner[hot], count))),
+            h[take].view(np.int64), len(single))
+
+
+def _places(batches):
+    """doc_id, mark, k1, k2, start: where each listed segment stands."""
     for batch in batches:
+        batch = _listed_rows(batch, 3, 4)
         for texts in pieces(batch.column(2)):
             windows = Windows(texts)
-            first, size, owner, h = windows.runs()
-            tag = _tagged(h, owner)
-            take = np.isin(tag, _tagged(*_listed(batch.column(3), texts.rows)))
-            hot = np.flatnonzero(np.isin(tag, _tagged(*_listed(batch.column(4), texts.rows))))
-            single = np.repeat(first[hot] - np.cumsum(size[hot]) + size[hot], size[hot]) + np.arange(size[hot].sum())
-            first = np.concatenate((first[take], single))
-            words = np.concatenate((size[take] + WINDOW - 1, np.full(len(single), WINDOW)))
-            owner = np.concatenate((owner[take], np.repeat(owner[hot], size[hot])))
-            if not len(first):
-                continue
-            data, begin = windows.joined()
+            first, words, owner, _, _ = _chosen(windows, batch.column(3), batch.column(4), texts.rows)
             k1, k2 = windows.keys(first, words)
-            route = np.concatenate((h[take].view(np.int64), k1[int(take.sum()):]))
-            last = first + words - 1
-            text = _slices(data, begin[first], begin[last] + windows.end[last] - windows.start[last])
             rows = pa.array(owner + texts.rows.start)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(route), pa.array(k1),
-                 pa.array(k2), text, pa.array((first - windows.first[owner]).astype(np.int32))],
-                names=["doc_id", "mark", "route", "k1", "k2", "segment", "start"])
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(k1),
+                 pa.array(k2.astype(np.int32)), pa.array((first - windows.first[owner]).astype(np.int32))],
+                names=["doc_id", "mark", "k1", "k2", "start"])
+
+
+def _segments(hot):
+    """route, segment, low, high: the words of listed segments, or of windows of hot ones."""
+    def run(batches):
+        for batch in batches:
+            batch = _listed_rows(batch, 4 if hot else 3)
+            for texts in pieces(batch.column(2)):
+                windows = Windows(texts)
+                first, words, owner, route, single = _chosen(
+                    windows, batch.column(3), batch.column(4), texts.rows)
+                part = slice(len(first) - single, None) if hot else slice(0, len(first) - single)
+                first, words, owner = first[part], words[part], owner[part]
+                if hot:
+                    route = windows.keys(first, words)[0]
+                data, begin = windows.joined()
+                last = first + words - 1
+                text = _slices(data, begin[first], begin[last] + windows.end[last] - windows.start[last])
+                doc = batch.column(0).take(pa.array(owner + texts.rows.start))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(route), text, doc, doc], names=["route", "segment", "low", "high"])
+    return run
 
 
 def _search(table):
     """k1, k2, least: the least document id of every window of a shard's segments."""
     column = table["segment"].combine_chunks().cast(pa.large_binary()).cast(pa.large_string())
-    texts = next(pieces(column, 1 << 62))
-    start, end, first = texts.words()
-    _, number = np.unique(texts.hashes(start, end), return_inverse=True)
-    lengths = np.diff(first)
+    windows = Windows(next(pieces(column, 1 << 62)))
+    lengths = np.diff(windows.first)
+    k1, k2 = windows.keys(windows.first[:-1], lengths)
+    # Equal segments are indexed once.
+    order = np.lexsort((k2, k1))
+    new = np.ones(len(order), bool)
+    new[1:] = (k1[order][1:] != k1[order][:-1]) | (k2[order][1:] != k2[order][:-1])
+    heads, once = np.flatnonzero(new), order[new]
+    low = np.minimum.reduceat(np.asarray(table["low"])[order], heads)
+    high = np.maximum.reduceat(np.asarray(table["high"])[order], heads)
+    k1, k2, lengths = k1[once], k2[once], lengths[once]
+    word = np.repeat(windows.first[once] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    _, number = np.unique(windows.hashes[word], return_inverse=True)
     begins = np.cumsum(lengths + 1) - (lengths + 1)
     text = np.zeros(len(number) + len(lengths), np.int64)
     owner = np.repeat(np.arange(len(lengths)), lengths)
     text[np.arange(len(number)) + owner] = number + 1
-    low, high = np.asarray(table["low"]), np.asarray(table["high"])
     owner, window, least = match_segments(text, begins, lengths, low)
     order = np.lexsort((window, owner))
     least = least[order]
@@ -288,44 +328,53 @@ def _search(table):
     telling = (high > low) | (np.minimum.reduceat(least, ends[:-1]) < low)
     out = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(least))
     keep = pa.array(np.flatnonzero(telling))
-    return pa.table([table["k1"].combine_chunks().take(keep), table["k2"].combine_chunks().take(keep),
-                     out.take(keep)], names=["k1", "k2", "least"])
+    return pa.table([pa.array(k1).take(keep), pa.array(k2.astype(np.int32)).take(keep), out.take(keep)],
+                    names=["k1", "k2", "least"])
 
 
 def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
-    """(base, hits): texts with their row mark, and per text the windows that go.
+    """(base, hits): texts with a mark, and per doc_id the windows that go.
 
-    `hits` has doc_id, mark and `windows`, an array of the word positions at
-    which a repeated window starts. Columns to `carry` go along in a struct `rest`;
-    texts are shuffled once, and both joins read that shuffle.
+    `hits` has doc_id and `found`: pairs of a text's mark and an array of the word
+    positions at which its repeated windows start. Columns to `carry` go along in
+    a struct `rest`; texts are shuffled once, and both joins read that shuffle.
     """
     base = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("mark"),
+        F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("mark"),
         F.col(text_col).alias("text"), *[F.struct(*carry).alias("rest")] * bool(carry))
-    marked = base.where("doc_id is not null").mapInArrow(_minimizers, "doc_id long, mark long, h long")
+    marked = base.where("doc_id is not null").select("doc_id", "text").mapInArrow(
+        _minimizers, "doc_id long, h long")
     shared = cut_lineage(marked.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_SEGMENTS))
     wanted = cut_lineage(
-        marked.join(shared, "h").groupBy("doc_id", "mark").agg(
+        marked.join(shared, "h").groupBy("doc_id").agg(
             F.collect_list(F.when(F.col("n") <= HOT_DOCS, F.col("h"))).alias("few"),
             F.collect_list(F.when(F.col("n") > HOT_DOCS, F.col("h"))).alias("many")))
     # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
-    segments = base.join(wanted, ["doc_id", "mark"], "left").select(
-        "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry)).mapInArrow(
-        _segments, "doc_id long, mark long, route long, k1 long, k2 long, segment binary, start int")
-    distinct = segments.groupBy("route", "k1", "k2", "segment").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    found = distinct.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard").applyInArrow(
-        _search, "k1 long, k2 long, least array<long>")
-    hits = segments.select("doc_id", "mark", "k1", "k2", "start").join(found, ["k1", "k2"]).select(
+    listed = base.join(wanted, "doc_id", "left").select(
+        "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry))
+    kind = "route long, segment binary, low long, high long"
+    hot = listed.mapInArrow(_segments(hot=True), kind).groupBy("route", "segment").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"))
+    segments = listed.mapInArrow(_segments(hot=False), kind).unionByName(hot)
+    found = segments.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard").applyInArrow(
+        _search, "k1 long, k2 int, least array<long>")
+    places = listed.mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
+    hits = places.join(found, ["k1", "k2"]).select(
         "doc_id", "mark", F.filter(
             F.transform("least", lambda v, i: F.when(v < F.col("doc_id"), F.col("start") + i)),
             lambda x: x.isNotNull()).alias("at")).where(F.size("at") > 0)
-    hits = hits.groupBy("doc_id", "mark").agg(F.flatten(F.collect_list("at")).alias("windows"))
+    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "at")).alias("found"))
     return base, hits
 
 
+def _with_windows(base, hits):
+    """`base` with `windows`: the positions found for a row's own text."""
+    own = F.transform(F.filter("found", lambda f: f["mark"] == F.col("mark")), lambda f: f["at"])
+    return base.join(hits, "doc_id", "left").withColumn("windows", F.flatten(own))
+
+
 def _stay(texts, listed):
     """(windows, kept words) of a piece whose repeated windows are listed."""
     windows = Windows(texts)
@@ -368,7 +417,7 @@ def dedup(docs, *, id_col="doc_id", text_col="text", with_text=False):
                     names.append("kept")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return base.join(hits, ["doc_id", "mark"], "left").select("doc_id", "text", "windows").mapInArrow(
+    return _with_windows(base, hits).select("doc_id", "text", "windows").mapInArrow(
         run, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text)
 
 
@@ -402,7 +451,7 @@ def rewrite(docs, *, id_col="doc_id", text_col="text", length_col="n_chars"):
                     [text, pa.array([k is not None for k in kept]), batch.column(2)[rows]],
                     names=["text", "cut", "rest"])
 
-    joined = base.join(hits, ["doc_id", "mark"], "left").select("text", "windows", "rest")
+    joined = _with_windows(base, hits).select("text", "windows", "rest")
     kind = base.schema["rest"].dataType.simpleString()
     made = joined.mapInArrow(run, f"text string, cut boolean, rest {kind}")
     columns = []
