@@ -178,7 +178,10 @@ def _tokens(batches):
 
 
 def _shared(batches):
-    """Rows of tokens that two ids or more have, with the group's least id; input is sorted."""
+    """Distinct rows of tokens that two sets or more have, with the group's least id.
+
+    Input is sorted by (token, id, n); only the last row of a batch is held.
+    """
     held = None
     for batch in batches:
         if not batch.num_rows:
@@ -190,7 +193,7 @@ def _shared(batches):
         new = np.ones(len(token), bool)
         new[1:] = token[1:] != token[:-1]
         again = np.zeros(len(token), bool)
-        again[1:] = ~new[1:] & (ids[1:] == ids[:-1])
+        again[1:] = ~new[1:] & (ids[1:] == ids[:-1]) & (n[1:] == n[:-1])
         token, ids, n, new = token[~again], ids[~again], n[~again], new[~again]
         head = np.flatnonzero(new)
         group = np.cumsum(new) - 1
@@ -415,7 +418,7 @@ def join(docs, *, id_col="doc_id", text_col="text"):
     alone = sets.join(classes.withColumnRenamed("id", "doc_id"), ["doc_id", *digest], "left_semi")
     shared = cut_lineage(
         alone.select("doc_id", "n", "prefix").mapInArrow(_tokens, "token long, id long, n long")
-        .repartition(partitions, "token").sortWithinPartitions("token", "id")
+        .repartition(partitions, "token").sortWithinPartitions("token", "id", "n")
         .mapInArrow(_shared, "token long, id long, n long, hub long, hub_n long"))
 
     small, large = F.least("n", "hub_n"), F.greatest("n", "hub_n")
@@ -426,7 +429,12 @@ def join(docs, *, id_col="doc_id", text_col="text"):
         shared.where(F.col("id") != F.col("hub")).groupBy("hub", "id", "n", "hub_n")
         .agg(F.count("*").alias("common")).where((4 * small >= 3 * large) & enough)
         .select(F.col("hub").alias("a"), F.col("id").alias("b")))
-    links = verify(first, texts)
+    # An id with several sets ties their classes together.
+    own = sets.where("n > 0 and doc_id is not null").select("doc_id", *digest).distinct()
+    several = own.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    ties = own.join(several, "doc_id").join(classes, digest).select(
+        F.col("doc_id").alias("u"), F.col("id").alias("v"))
+    links = verify(first, texts).unionByName(ties)
     part = cut_lineage(components(links))
     placed = shared.select("token", "id", "n").join(part, "id", "left").select(
         "token", "id", "n", F.coalesce("component", "id").alias("part"))
@@ -434,7 +442,7 @@ def join(docs, *, id_col="doc_id", text_col="text"):
         F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows")).where("low < high")
     rows = placed.join(split.select("token", F.ceil(F.col("rows") / TILE_SETS).cast("int").alias("tiles")), "token")
     tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    rows = rows.join(alone.select(F.col("doc_id").alias("id"), "n", "bits").dropDuplicates(["id", "n"]), ["id", "n"])
+    rows = rows.join(alone.select(F.col("doc_id").alias("id"), "n", "bits").distinct(), ["id", "n"])
     rows = rows.withColumn("tile", tile).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "token", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),

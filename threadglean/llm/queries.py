@@ -88,4 +88,75 @@ QUERIES = {
     "op10_signature_tree_join": op10_signature_tree_join,
 }
 
-ORACLES = {}
+# The words of a text, as a list; null texts have none.
+_WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
+
+ORACLES = {
+    "op4_fm_substring_dedup": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce({_WORDS.format(text='text')}, []) AS w FROM documents
+        ), words AS (
+            SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d
+        ), windows AS (
+            SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS seq
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+        ), firsts AS (
+            SELECT seq, min(doc_id) AS low FROM windows GROUP BY seq
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+            FROM windows JOIN firsts USING (seq) WHERE low < doc_id
+        ), judged AS (
+            SELECT words.doc_id, words.i, word, gone.i IS NOT NULL AS cut
+            FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.i = words.i
+        ), summed AS (
+            SELECT doc_id, count(*) AS n_words, count(*) FILTER (cut) AS n_removed,
+                   string_agg(word, ' ' ORDER BY i) FILTER (NOT cut) AS kept
+            FROM judged GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN summed USING (doc_id)""",
+    "op6_subspace_near_duplicates": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b USING (label)
+            WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93
+        ), reach AS (
+            SELECT vec_id AS id, vec_id AS c FROM embeddings
+            UNION
+            SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
+        )
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+               min(c) AS component_id, vec_id = min(c) AS kept
+        FROM embeddings JOIN reach ON id = vec_id GROUP BY vec_id""",
+    "op10_signature_tree_join": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, coalesce({_WORDS.format(
+                text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}, []) AS w
+            FROM documents
+        ), sets AS (
+            SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+        ), common AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+            FROM sets x JOIN sets y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * i >= 75 * (p.n + q.n - i)
+        ), reach AS (
+            SELECT doc_id AS id, doc_id AS c FROM documents
+            UNION
+            SELECT links.b, reach.c FROM reach JOIN links ON links.a = reach.id
+        ), least AS (
+            SELECT id, min(c) AS component_id FROM reach GROUP BY id
+        )
+        SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents JOIN least ON id = documents.doc_id
+        LEFT JOIN sizes ON sizes.doc_id = documents.doc_id""",
+}

@@ -45,19 +45,16 @@ def frequency_table(counts, precision=PRECISION):
     total, goal = int(counts.sum()), 1 << precision
     share = np.maximum(1, (counts[symbols].astype(np.float64) * goal / total).astype(np.int64))
     over = int(share.sum()) - goal
-    order = np.argsort(-share, kind="stable")
-    while over:
-        # Take from, or give to, the most frequent symbols, which feel it least.
-        if over < 0:
-            share[order[0]] -= over
-            break
-        room = share[order[0]] - 1
-        take = np.minimum((share[order] - 1) // 2 + (share[order] == 2), over)
-        take = np.minimum(take, np.maximum(0, over - (np.cumsum(take) - take)))
-        if not take.any() or room <= 0:
-            raise ValueError("precision too low for the symbols")
-        share[order] -= take
-        over -= int(take.sum())
+    while over > 0:
+        # Raising rare symbols to 1 took too much: shrink what is above 1 in proportion.
+        spare = share - 1
+        cut = np.minimum(spare, -(-spare * over // int(spare.sum())))
+        late = np.cumsum(cut) - cut >= over
+        cut[late] = 0
+        cut[np.cumsum(cut) > over] -= (np.cumsum(cut) - over)[np.cumsum(cut) > over]
+        share -= cut
+        over = int(share.sum()) - goal
+    share[np.argmax(share)] -= over
     return symbols, share, precision
 
 
@@ -213,14 +210,14 @@ def token_ids(texts, path, pattern):
 
 
 def write_units(docs, tokenizer_file, pattern, *, end_id=2, id_col="doc_id", text_col="text",
-                partitions=None):
+                partitions=None, unit_tokens=UNIT_TOKENS):
     """Write the ids of all texts as units; the frame that reads the files back.
 
     Columns: part, unit (ascending with doc_id), n_tokens, doc_ids, payload. Null and
     empty texts have the end id alone. Null doc_ids come first; rows that share a
     doc_id stand together in the order of a hash of their text. Other
-    columns are not read. A unit is closed at the first document end after
-    UNIT_TOKENS ids, so the longest document bounds memory besides.
+    columns are not read. A unit is closed at the end of the piece of texts
+    (2 MB, or one longer text) that brings it to `unit_tokens` ids, which bounds memory.
     """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -247,7 +244,7 @@ def write_units(docs, tokenizer_file, pattern, *, end_id=2, id_col="doc_id", tex
                 lengths.append(counts + 1)
                 names.append(batch.column(0)[texts.rows])
                 held += len(ids[-1])
-                if held >= UNIT_TOKENS:
+                if held >= unit_tokens:
                     yield close()
                     unit += 1
                     ids, lengths, names, held = [], [], [], 0

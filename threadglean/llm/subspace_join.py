@@ -127,8 +127,9 @@ def near_duplicates(rows, cosine=0.93, *, id_col="vec_id", vector_col="embedding
 
     Vectors are compared when their labels are equal and not null. Vectors that are null,
     empty, zero or hold null or non-finite components, and rows with a null label or id,
-    link with nothing: n_links 0, their own id as component. Rows that repeat an id
-    with another vector count as one node, whose links are added up. Vectors meet
+    link with nothing: n_links 0, their own id as component. Ids should
+    identify vectors: where one id is the least of several groups of equal vectors,
+    these count as one node, whose links are added up. Vectors meet
     only vectors of their own dimension. Equal vectors of a label are compared once,
     with their number.
     """
