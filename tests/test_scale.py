@@ -93,3 +93,47 @@ def test_narrow_to(spark, skewed):
     few = scale.narrow_to(skewed, batch, "key")
     assert rows(few) == rows(skewed.where("key = 'hot'"))
     assert scale.narrow_to(skewed, batch, "key", max_rows=2) is skewed
+
+
+def test_every_hot_key_is_split(spark):
+    """More hot keys than are pinned; null keys stay out and come back."""
+    n = F.col("id")
+    left = spark.range(12_000).select(
+        n.alias("row_id"), F.when(n % 40 == 0, None).otherwise(n % 1500).alias("key"))
+    right = spark.range(0, 1500, 2).select(F.col("id").alias("key"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = scale.skew_join(left, right, "key", how, rows_per_task=2, small_limit=0)
+        assert rows(got) == rows(left.join(right, "key", how))
+    assert scale.hot_keys(left, ["key"], 2).count() == 1500
+
+
+def test_hot_keys_past_the_pin_limit(spark, skewed, monkeypatch):
+    monkeypatch.setattr(scale.pin_small, "__defaults__", (1,))
+    right = spark.createDataFrame([("hot", 1), ("k1", 3), (None, 5)], "key string, v int")
+    got = scale.skew_join(skewed, right, "key", "left", "row_id", rows_per_task=10, small_limit=0)
+    assert rows(got) == rows(skewed.join(right, "key", "left"))
+
+
+def test_rows_are_not_spread_by_the_key(spark, skewed):
+    with pytest.raises(ValueError, match="key itself"):
+        scale.skew_join(skewed, skewed, "key", "left_semi", "key")
+
+
+def test_hot_harmful_key_fills_the_tasks(spark):
+    """4,000 rows of one key: the slowest of 16 tasks gets at most twice the median."""
+    from threadglean.operators.report import flag_harmful
+
+    table = spark.range(4000).select(F.lit("c1").alias("comment_id"), F.col("id").alias("post_id"))
+    bad = spark.createDataFrame([("c1",)], "comment_id string")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled",
+                                             "spark.sql.autoBroadcastJoinThreshold")}
+    for key, value in zip(before, ("16", "false", "-1")):
+        spark.conf.set(key, value)
+    try:
+        flagged = flag_harmful(table, bad, rows_per_task=50, small_limit=0)
+        sizes = sorted(r["count"] for r in flagged.groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 4000 and flagged.where("harmful").count() == 4000
+    assert len(sizes) >= 12 and sizes[-1] <= 3 * sizes[len(sizes) // 2]

@@ -103,10 +103,11 @@ def with_title_tags(rows):
     return rows.withColumn("tags", title_tags("post_content"))
 
 
-def flag_harmful(rows, harmful_ids, key="comment_id", **skew):
-    """Column `harmful`: whether the row's key is in `harmful_ids`."""
+def flag_harmful(rows, harmful_ids, key="comment_id", spread=None, **skew):
+    """Column `harmful`: whether the row's key is in `harmful_ids`. Rows of a hot key are
+    dealt by the `spread` columns, by default all but the key."""
     ids = harmful_ids.select(key).distinct().withColumn("__harmful", F.lit(True))
-    joined = scale.skew_join(rows, ids, key, "left", key, **skew)
+    joined = scale.skew_join(rows, ids, key, "left", spread, **skew)
     return joined.select(*rows.columns, F.coalesce("__harmful", F.lit(False)).alias("harmful"))
 
 

@@ -15,8 +15,6 @@ from threadglean.session import checkpoint_folder
 SMALL_INPUT_BYTES = 128 * 1024 * 1024
 # Most rows that are ever pulled to the driver and sent to all executors.
 PIN_MAX_ROWS = 10_000
-# A key outside the largest HOT_KEYS ones holds less than 1/HOT_KEYS of all rows.
-HOT_KEYS = 1000
 # Rows of one hot key that one task should get
 # (session setting threadglean.hotRowsPerTask).
 HOT_ROWS_PER_TASK = 1_000_000
@@ -28,8 +26,6 @@ RANK_PIN_ROWS = 200_000
 NARROW_PIN_ROWS = 200_000
 # monotonically_increasing_id keeps the partition above this bit, the row below.
 _ROW_BITS = 33
-# Null keys never match; their rows are dealt out over this many salts.
-NULL_KEY_SALTS = 4096
 
 
 def input_bytes(df):
@@ -89,7 +85,7 @@ def lookup_join(big, small, on, how="left", spread=None, max_rows=PIN_MAX_ROWS):
     pinned, ok = pin_small(small, max_rows)
     if ok:
         return big.join(F.broadcast(pinned), on, how)
-    return skew_join(big, small, on, how, spread or on, small_limit=0)
+    return skew_join(big, small, on, how, spread, small_limit=0)
 
 
 def narrow_to(stored, batch, keys, max_rows=NARROW_PIN_ROWS):
@@ -106,8 +102,8 @@ def narrow_to(stored, batch, keys, max_rows=NARROW_PIN_ROWS):
     return stored.join(F.broadcast(ids), keys, "left_semi").select(*stored.columns)
 
 
-def hot_keys(df, keys, rows_per_task=None, max_keys=HOT_KEYS):
-    """Keys with more than `rows_per_task` rows and the salts each one gets.
+def hot_keys(df, keys, rows_per_task=None):
+    """Every key with more than `rows_per_task` rows and the salts it gets.
 
     Only the key columns are read, and counts are combined before the shuffle.
     """
@@ -115,43 +111,53 @@ def hot_keys(df, keys, rows_per_task=None, max_keys=HOT_KEYS):
     return (
         df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__rows"))
         .where(F.col("__rows") > rows_per_task)
-        .orderBy(F.desc("__rows"), *keys).limit(max_keys)
         .select(*keys, F.ceil(F.col("__rows") / rows_per_task).cast("int").alias("__salts"))
     )
 
 
-def skew_join(left, right, on, how, spread, *, hot_from=None, rows_per_task=None,
+def _spread_columns(left, on, spread):
+    """Columns that tell the rows of one key apart."""
+    if spread is None:
+        spread = [f.name for f in left.schema.fields if f.name not in on and f.dataType.typeName() != "map"]
+    spread = [spread] if isinstance(spread, str) else list(spread)
+    if not set(spread) - set(on):
+        raise ValueError(f"rows of one key can't be dealt by the key itself: spread {spread}, keys {on}")
+    return spread
+
+
+def skew_join(left, right, on, how, spread=None, *, hot_from=None, rows_per_task=None,
               small_limit=None):
     """Equi-join whose left side may hold very many rows of one key.
 
-    `how` is inner, left, left_semi or left_anti. Rows of a hot key, and rows
-    with a null key, are dealt over salts by a hash of the `spread` columns;
-    right rows of a hot key are repeated once per salt, so every left row still
-    meets all its partners exactly once.
+    `how` is inner, left, left_semi or left_anti. Rows of a hot key are dealt over salts
+    by a hash of the `spread` columns (default: all others); right rows of a hot key
+    are repeated once per salt, so every left row still meets all its partners
+    exactly once. Rows with a null key have no partner and stay out of the join.
 
     Spark's own skew join splits a side only where both sides come straight from
     a shuffle; use this one where the right side was grouped by the key before.
     Hot keys are counted on `hot_from` (default: left), which should be a stored
-    table: only its key columns are read.
+    table: only its key columns are read. More hot keys than are pinned are
+    stored and joined by a shuffle that Spark's own skew join can split.
     """
     on = [on] if isinstance(on, str) else list(on)
-    spread = [spread] if isinstance(spread, str) else list(spread)
+    spread = _spread_columns(left, on, spread)
     if is_small(left, small_limit):
         return left.join(right, on, how)
-    source = left if hot_from is None else hot_from
-    hot, _ = pin_small(hot_keys(source, on, rows_per_task), HOT_KEYS)
-    dealt = F.xxhash64(*spread)
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-    salted_left = left.join(F.broadcast(hot), on, "left").withColumn(
-        "__salt",
-        F.when(any_null, F.pmod(dealt, F.lit(NULL_KEY_SALTS)))
-        .when(F.col("__salts").isNotNull(), F.pmod(dealt, F.col("__salts")))
-        .otherwise(F.lit(0)).cast("int"),
+    hot, few = pin_small(hot_keys(left if hot_from is None else hot_from, on, rows_per_task))
+    hot = F.broadcast(hot) if few else cut_lineage(hot)
+    known = left.dropna(subset=on)
+    salted_left = known.join(hot, on, "left").withColumn(
+        "__salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("__salts")), F.lit(0)).cast("int")
     ).drop("__salts")
-    salted_right = right.join(F.broadcast(hot), on, "left").withColumn(
+    salted_right = right.dropna(subset=on).join(hot, on, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
     ).drop("__salts")
-    return salted_left.join(salted_right, on + ["__salt"], how).drop("__salt")
+    joined = salted_left.join(salted_right, on + ["__salt"], how).drop("__salt")
+    if how in ("inner", "left_semi"):
+        return joined
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
+    return joined.unionByName(left.where(any_null), allowMissingColumns=True)
 
 
 def rank_rows(df, group, order, name="rank", *, partitions=None, small_limit=None):
@@ -170,7 +176,9 @@ def rank_rows(df, group, order, name="rank", *, partitions=None, small_limit=Non
         return df.withColumn(name, F.row_number().over(window).cast("long"))
     if partitions is None:
         shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        partitions = max(shuffles, min(input_bytes(df) // RANK_BYTES_PER_TASK, 50 * shuffles))
+        size = input_bytes(df)
+        # Rows from outside (no file) have no known size: Catalyst puts in its largest number.
+        partitions = max(shuffles, size // RANK_BYTES_PER_TASK) if size < 2**60 else shuffles
     placed = cut_lineage(
         df.repartitionByRange(partitions, *group, *order).sortWithinPartitions(*group, *order)
         .withColumn("__at", F.monotonically_increasing_id())
