@@ -10,13 +10,15 @@ or more. Equal sets form one class and are compared once. Then:
 2. First links. In each shingle's group every set is paired with the least id; the pairs
    that share enough prefix shingles are verified. This joins families of near
    copies without pairing all their members.
-3. Signature trees. Groups that still hold several components get a tree: a node
+3. Signature trees. Groups that still hold several components get trees: a node
    has the OR of its members' prefix bitmaps and their range of sizes. A dual traversal
    drops node pairs whose largest possible overlap is too small or whose sets
-   are all in one component, and gives the pairs left to verify.
+   are all in one component. (A group that fits a leaf is paired without a tree.)
+   The pairs left are counted over all groups, which gives their exact number of common
+   prefix shingles; those that can still link are verified.
 
-Verification counts whole shingle sets. All links between different components are found,
-so the components are exact.
+Verification counts whole shingle sets. Pairs are dropped only by upper bounds, so all
+links between different components are found and the components are exact.
 """
 
 import numpy as np
@@ -31,6 +33,8 @@ WIDTH = 5
 COUNT_BITS = 18
 HUB_MEMBERS = 256
 TILE_SETS = 20_000
+# Shingles up to this place in the order are a fifth of those that are not frequent.
+CUT = 2**63 // 5
 LEAF_SETS = 8
 TOKEN_BYTES = 6
 
@@ -50,6 +54,16 @@ def least_shared(a, b):
     return np.maximum(1, least_overlap(a, b) - rest)
 
 
+def can_link(a, b, rest_a, rest_b, common):
+    """Whether sets of sizes a and b with so many common prefix shingles may link.
+
+    rest: shingles beyond CUT, or -1 if the prefix ends before. Works on numpy arrays.
+    """
+    sized = (4 * a >= 3 * b) & (4 * b >= 3 * a) & (common >= least_shared(a, b))
+    known = (rest_a >= 0) & (rest_b >= 0)
+    return sized & (~known | (common + np.minimum(rest_a, rest_b) >= least_overlap(a, b)))
+
+
 def text_shingles(texts):
     """(value, owner), sorted and distinct; fewer than WIDTH words make one shingle."""
     start, end, first = texts.words()
@@ -126,7 +140,7 @@ def fold(words, bits):
 
 
 def describe(docs, frequent, *, id_col="doc_id", text_col="text"):
-    """doc_id, n, d1, d2 (digest of the set), prefix, bits: stored, one row per document."""
+    """doc_id, n, d1, d2 (digest of the set), rest, prefix, bits: stored, one row per document."""
     def run(batches):
         for batch in batches:
             for texts in pieces(batch.column(1)):
@@ -143,21 +157,24 @@ def describe(docs, frequent, *, id_col="doc_id", text_col="text"):
                     digest.append(pa.array((sums[first[1:]] - sums[first[:-1]]).view(np.int64)))
                 prefix = prefix_length(n)
                 inside = np.arange(len(key)) - first[owner] < prefix[owner]
+                early = np.concatenate(([0], np.cumsum(key <= np.uint64(CUT))))
+                early = early[first[1:]] - early[first[:-1]]
+                rest = np.where(early < prefix, n - early, -1)
                 tokens = key[inside] >> np.uint64(64 - 8 * TOKEN_BYTES)
                 ends = np.concatenate(([0], np.cumsum(prefix)))
                 raw = tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - TOKEN_BYTES:].tobytes()
                 maps = [bitmap(tokens[a:b], bitmap_bits(int(b - a))).tobytes() if b > a else b""
                         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[texts.rows], pa.array(n, pa.int64()), *digest,
+                    [batch.column(0)[texts.rows], pa.array(n, pa.int64()), *digest, pa.array(rest, pa.int64()),
                      pa.array([raw[TOKEN_BYTES * a:TOKEN_BYTES * b] for a, b in
                                zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary()),
                      pa.array(maps, pa.binary())],
-                    names=["doc_id", "n", "d1", "d2", "prefix", "bits"])
+                    names=["doc_id", "n", "d1", "d2", "rest", "prefix", "bits"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return cut_lineage(slim.mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, prefix binary, bits binary"))
+        run, "doc_id long, n long, d1 long, d2 long, rest long, prefix binary, bits binary"))
 
 
 def _tokens(batches):
@@ -294,60 +311,100 @@ def tree_pairs(left, right):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def group_pairs(ids, sizes, parts, bits, tile, pair):
-    """Id pairs of a token's group that may link; `tile` of each row, `pair` of tiles."""
-    order = np.lexsort((ids, sizes, parts))
-    ids, sizes, parts, tile = ids[order], sizes[order], parts[order], tile[order]
-    # Bitmaps of different lengths are folded to the shortest that is at hand.
-    width = min(len(bits[i]) for i in order) * 8
-    matrix = np.array([fold(np.frombuffer(bits[i], np.uint64), width) for i in order])
-    if pair[0] == pair[1]:
-        tree = SignatureTree(sizes, parts, matrix)
-        i, j = tree_pairs(tree, tree)
-        return ids[i], ids[j]
-    one, two = np.flatnonzero(tile == pair[0]), np.flatnonzero(tile == pair[1])
-    if not len(one) or not len(two):
-        return ids[:0], ids[:0]
-    i, j = tree_pairs(SignatureTree(sizes[one], parts[one], matrix[one]),
-                      SignatureTree(sizes[two], parts[two], matrix[two]))
-    return ids[one[i]], ids[two[j]]
-
-
-def _groups(batches):
-    """a, b: pairs that may link, from rows sorted by (token, low, high)."""
-    names = ["token", "low", "high", "id", "n", "part", "bits", "tile"]
-    waiting = []
-
-    def give(table):
-        a, b = group_pairs(
-            *(np.asarray(table[c]) for c in ("id", "n", "part")), table["bits"].to_pylist(),
-            np.asarray(table["tile"]), (table["low"][0].as_py(), table["high"][0].as_py()))
-        if not len(a):
-            return None
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-    def key(batch, row):
-        return tuple(batch.column(i)[row].as_py() for i in range(3))
+def group_pairs(sizes, parts, bits, left, right):
+    """Positions (i, j) of pairs of rows `left` and `right` that may link.
 
+    One tree per length of bitmaps: sets that may link have lengths that are equal
+    or one doubling apart, and the longer ones are folded for that.
+    """
+    def trees(rows):
+        out = {}
+        for length in sorted({len(bits[i]) for i in rows}):
+            own = np.array([i for i in rows if len(bits[i]) == length])
+            own = own[np.lexsort((sizes[own], parts[own]))]
+            words = np.array([np.frombuffer(bits[i], np.uint64) for i in own])
+            out[length] = own, words, SignatureTree(sizes[own], parts[own], words)
+        return out
+
+    found = []
+    one = trees(left)
+    two = one if left is right else trees(right)
+
+    def cross(a, b):
+        (rows_a, _, tree), (rows_b, words, _) = a, b
+        folded = SignatureTree(sizes[rows_b], parts[rows_b],
+                               np.array([fold(w, 64 * tree.bits.shape[1]) for w in words]))
+        i, j = tree_pairs(tree, folded)
+        found.append((rows_a[i], rows_b[j]))
+
+    for length, (rows_a, _, tree) in one.items():
+        if length in two:
+            rows_b, _, other = two[length]
+            i, j = tree_pairs(tree, other)
+            found.append((rows_a[i], rows_b[j]))
+        if 2 * length in two:
+            cross(one[length], two[2 * length])
+        if one is not two and 2 * length in one and length in two:
+            cross(two[length], one[2 * length])
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
+
+
+PAIR = "a long, b long, n_a long, n_b long, rest_a long, rest_b long, common long"
+
+
+def _counted(ids, sizes, rest, i, j):
+    """A batch of the pairs (i, j), each once with its number, the lesser id first."""
+    swap = ids[i] > ids[j]
+    i, j = np.where(swap, j, i), np.where(swap, i, j)
+    pairs = np.stack((ids[i], ids[j], sizes[i], sizes[j], rest[i], rest[j]))
+    order = np.lexsort(pairs)
+    pairs = pairs[:, order]
+    new = np.ones(len(order), bool)
+    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(0)
+    count = np.diff(np.append(np.flatnonzero(new), len(order)))
+    return pa.RecordBatch.from_arrays(
+        [*[pa.array(row) for row in pairs[:, new]], pa.array(count)],
+        names=["a", "b", "n_a", "n_b", "rest_a", "rest_b", "common"])
+
+
+def _leaf_pairs(batches):
+    """Pairs within groups that fit a leaf; rows are sorted by token."""
+    kept = None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [np.asarray(batch.column(i)) for i in range(3)]
-        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
-        cuts = [0, *change.tolist(), batch.num_rows]
-        for lo, hi in zip(cuts, cuts[1:]):
-            part = batch.slice(lo, hi - lo)
-            if waiting and key(waiting[0], 0) != key(part, 0):
-                found = give(pa.Table.from_batches(waiting).combine_chunks())
-                if found is not None:
-                    yield found
-                waiting = []
-            waiting.append(part.rename_columns(names) if part.schema.names != names else part)
-    if waiting:
-        found = give(pa.Table.from_batches(waiting).combine_chunks())
-        if found is not None:
-            yield found
+        now = [np.asarray(batch.column(c)) for c in range(5)]
+        if kept is not None:
+            now = [np.concatenate(x) for x in zip(kept, now)]
+        token, ids, sizes, rest, parts = now
+        kept = [x[max(0, len(token) - LEAF_SETS):] for x in now]
+        fresh = len(token) - batch.num_rows
+        found = []
+        for gap in range(1, LEAF_SETS):
+            i = np.arange(max(0, fresh - gap), len(token) - gap)
+            j = i + gap
+            keep = ((token[i] == token[j]) & (parts[i] != parts[j]) & (ids[i] != ids[j])
+                    & (4 * sizes[i] >= 3 * sizes[j]) & (4 * sizes[j] >= 3 * sizes[i]))
+            found.append((i[keep], j[keep]))
+        i, j = (np.concatenate(x) for x in zip(*found))
+        if len(i):
+            yield _counted(ids, sizes, rest, i, j)
+
+
+def _tree_pairs(table):
+    """Pairs of a token's group, or of two tiles of it, by signature trees."""
+    ids, sizes, rest, parts, tile = (np.asarray(table[c]) for c in ("id", "n", "rest", "part", "tile"))
+    low, high = table["low"][0].as_py(), table["high"][0].as_py()
+    left = np.flatnonzero(tile == low)
+    right = left if low == high else np.flatnonzero(tile == high)
+    i, j = group_pairs(sizes, parts, table["bits"].to_pylist(), left, right)
+    keep = ids[i] != ids[j]
+    return pa.Table.from_batches([_counted(ids, sizes, rest, i[keep], j[keep])])
+
+
+def _linkable(batches):
+    """a, b of the pairs whose counts let them link."""
+    for batch in batches:
+        a, b, rest_a, rest_b, common = (np.asarray(batch.column(c)) for c in range(2, 7))
+        yield batch.select([0, 1]).filter(pa.array(can_link(a, b, rest_a, rest_b, common)))
 
 
 def _compare(table):
@@ -436,19 +493,29 @@ def join(docs, *, id_col="doc_id", text_col="text"):
         F.col("doc_id").alias("u"), F.col("id").alias("v"))
     links = verify(first, texts).unionByName(ties)
     part = cut_lineage(components(links))
-    placed = shared.select("token", "id", "n").join(part, "id", "left").select(
-        "token", "id", "n", F.coalesce("component", "id").alias("part"))
+    # Groups with several components: small ones are paired at once, others by trees.
+    known = alone.select(F.col("doc_id").alias("id"), "n", "rest", "bits").distinct()
+    info = known.select("id", "n", "rest").distinct().join(part, "id", "left").select(
+        "id", "n", "rest", F.coalesce("component", "id").alias("part"))
+    placed = shared.select("token", "id", "n").join(info, ["id", "n"])
     split = placed.groupBy("token").agg(
-        F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows")).where("low < high")
-    rows = placed.join(split.select("token", F.ceil(F.col("rows") / TILE_SETS).cast("int").alias("tiles")), "token")
-    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    rows = rows.join(alone.select(F.col("doc_id").alias("id"), "n", "bits").distinct(), ["id", "n"])
-    rows = rows.withColumn("tile", tile).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "token", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
-        "id", "n", "part", "bits", "tile")
-    second = (rows.repartition(partitions, "token", "low", "high").sortWithinPartitions("token", "low", "high")
-              .mapInArrow(_groups, "a long, b long"))
+        F.min("part").alias("least"), F.max("part").alias("most"), F.count("*").alias("rows")
+    ).where("least < most").select("token", "rows")
+    rows = cut_lineage(placed.join(split, "token"))
+    leaves = (
+        rows.where(F.col("rows") <= LEAF_SETS).select("token", "id", "n", "rest", "part")
+        .repartition(partitions, "token").sortWithinPartitions("token").mapInArrow(_leaf_pairs, PAIR))
+    tiles = F.ceil(F.col("rows") / TILE_SETS).cast("int")
+    dealt = (
+        rows.where(F.col("rows") > LEAF_SETS).join(known.select("id", "n", "rest", "bits"), ["id", "n", "rest"])
+        .withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}))
+    trees = dealt.select("token", "low", "high", "tile", "id", "n", "rest", "part", "bits").groupBy(
+        "token", "low", "high").applyInArrow(_tree_pairs, PAIR)
+    pair = ["a", "b", "n_a", "n_b", "rest_a", "rest_b"]
+    counted = leaves.unionByName(trees).groupBy(*pair).agg(F.sum("common").alias("common"))
+    second = counted.mapInArrow(_linkable, "a long, b long")
     links = links.unionByName(verify(second, texts))
     whole = cut_lineage(classes.join(components(links).withColumnRenamed("id", "node"),
                                      F.col("id") == F.col("node"), "left").select(
