@@ -75,3 +75,24 @@ def test_upserts(spark):
     scores = spark.createDataFrame([("1", 0.1, "Neutral")], "comment_id string, sentiment_score double, sentiment_label string")
     newer = scores.withColumn("sentiment_score", F.lit(0.9))
     assert rows(enrich.upsert_sentiments(scores, newer)) == [("1", 0.9, "Neutral")]
+
+
+def test_a_model_is_loaded_once_per_worker(spark, tmp_path):
+    """More tasks than workers; each load leaves a line with its process."""
+    seen = str(tmp_path / "loads")
+
+    def load():
+        import os
+        import uuid
+
+        os.makedirs(seen, exist_ok=True)
+        with open(os.path.join(seen, f"{os.getpid()}-{uuid.uuid4().hex}"), "w"):
+            pass
+        return lambda texts: pd.DataFrame({"n": texts.str.len()})
+
+    rows = spark.range(4000).selectExpr("id", "concat('text ', id) AS text").repartition(40)
+    for name, times in (("counted", 1), ("counted", 1), ("other", 2)):
+        scored = enrich.apply_model(rows, "text", load, {"n": T.LongType()}, name)
+        assert scored.where("n = length(text)").count() == 4000
+        workers = [f.split("-")[0] for f in __import__("os").listdir(seen)]
+        assert max(workers.count(w) for w in workers) <= times

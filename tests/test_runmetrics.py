@@ -45,7 +45,7 @@ def test_first_marker_takes_the_line(spark):
         at(2, "Summary added for comment_id: Comment is less than the max length"),
         "Database connection closed without a time"], attempt=3)
     assert (m.summaries_added, m.short_comments) == (1, 0)
-    assert (m.success, m.next_attempt, m.duration_seconds) == (False, 4, 0.0)
+    assert (m.success, m.next_attempt, m.duration_seconds) == (False, 4, None)
 
 
 def test_tests_and_series(spark):
@@ -82,7 +82,7 @@ def test_report_runs_from_first_marker_to_last_time(spark):
 
 def test_unreadable_times(spark):
     m = metrics(spark, "sentiment", ["[yesterday] Emotion analysis model loaded", at(2, "Database connection closed")])
-    assert (m.error, m.duration_seconds) == (True, 0.0)
+    assert (m.error, m.duration_seconds) == (True, None)
     m = metrics(spark, "report", [at(1, "Analyzing data for subreddit: a"), "[odd] Output saved to a"])
     assert (m.error, m.success) == (True, True)
     m = metrics(spark, "report", ["[odd] Model loaded"])
@@ -123,3 +123,48 @@ def test_dashboards(spark):
                                    "task_id string, ts timestamp")
     got = sorted((r.window_start.minute, r.errors_per_second) for r in R.error_rate(errors).collect())
     assert got == [(0, 2 / 300), (5, 1 / 300)]
+
+
+def test_no_timing_without_a_measured_duration(spark):
+    for kind, lines, timed in (("summarize", [at(1, "Summarization model loaded")], False),
+                               ("join", ["Completed successfully"], False),
+                               ("report", [at(1, "Analyzing data for subreddit: a")], True)):
+        logs = spark.createDataFrame([("d", "r", kind, 1, i, v) for i, v in enumerate(lines)],
+                                     "dag_id string, run_id string, task_id string, attempt int, line_no long, value string")
+        series = R.all_series(R.run_metrics(logs, {kind: [kind]}))
+        assert (series.where("kind = 'timing'").count() > 0) == timed
+        assert series.where("kind = 'counter'").count() == 1
+
+
+def test_chain_from_log_files_to_exported_points(spark, tmp_path):
+    """Files, metrics of all kinds, exported names, histogram and minutes."""
+    logs = {
+        "ingest": [at(1, "Starting attempt"), at(3, "Successfully processed post a"), at(4, "Task exited with return code 0")],
+        "summarize": [at(1, "Summarization model loaded"), "Summary added for comment_id: c1",
+                      at(41, "Database connection closed")],
+        "sentiment": [at(1, "Emotion analysis model loaded")],
+        "test_raw_sources": [at(1, "Running with dbt"), "PASS a", at(2, "Completed successfully")],
+        "join": ["Finished running 1 table model in 0 hours (61.50s).", "Completed successfully"],
+        "status": ["Finished running 1 incremental model in 0 hours (1.25s).", "Completed successfully"],
+        "report": [at(1, "Analyzing data for subreddit: a"), at(9, "Output saved to a")]}
+    for task, lines in logs.items():
+        folder = tmp_path / f"dag_id=d/run_id=r1/task_id={task}"
+        folder.mkdir(parents=True)
+        (folder / "attempt=1.log").write_text("\n".join(lines))
+    kinds = {"ingest_preprocess": ["ingest"], "summarize": ["summarize"], "sentiment": ["sentiment"],
+             "tests": ["test_raw_sources"], "join": ["join"], "processing_status": ["status"], "report": ["report"]}
+    tables = {"join": spark.range(12), "processing_status": spark.range(34)}
+    found = R.run_metrics(read_task_logs(spark, str(tmp_path)), kinds, tables)
+    points = {r.name: r.value for r in R.export_names(R.all_series(found)).collect()}
+    assert points["ingest_preprocess_duration_seconds"] == 3000 and points["join_model_duration_seconds"] == 61500
+    assert points["joined_table_rows"] == 12 and points["processing_status_rows"] == 34
+    assert points["dbt_raw_sources_tests_passed"] == 1 and points["sentiment_retry_total"] == 1
+    assert "sentiment_duration_seconds" not in points and points["gemini_duration"] == 8000
+    durations = None
+    for frame in found.values():
+        part = frame.select("task_id", "duration_seconds")
+        durations = part if durations is None else durations.unionByName(part)
+    counts = {(r.task_id, r.le): r.n for r in R.duration_histogram(durations).collect()}
+    assert counts["summarize", "30"] == 0 and counts["summarize", "60"] == 1 and counts["sentiment", "+Inf"] == 0
+    minutes = dict(R.duration_minutes(durations).collect())
+    assert minutes["join"] == pytest.approx(61.5 / 60)

@@ -84,9 +84,22 @@ def test_masking_leaves_no_listed_word(spark):
     assert masked == want
 
 
-def test_lexicon_size_is_checked():
-    with pytest.raises(ValueError):
-        X.words_regex([f"w{i}" for i in range(X.MAX_LEXICON + 1)])
+def test_masking_of_words_with_other_capitals(spark):
+    pattern = X.mask_pattern(["École", "Ärger", "ñu", "Damn"])
+    texts = ["une École ici", "école", "viel Ärger.", "ñu", "ÉcoleÄrger", "DAMN", "xÄrger"]
+    assert apply(spark, lambda c: X.mask_words(c, pattern), texts) == [
+        "une *** ici", "école", "viel ***.", "***", "ÉcoleÄrger", "***", "xÄrger"]
+
+
+def test_large_lexicon(spark):
+    rng = random.Random(1)
+    words = sorted({"".join(rng.choice("abcdefghijklmnoprstuvé") for _ in range(rng.randint(4, 9)))
+                    for _ in range(100_000)})
+    assert len(words) > 99_000
+    texts = [f"{w} {w}x {w.upper() if w.isascii() else w}, xx{w}" for w in words[::997]]
+    known, got = set(words), apply(spark, lambda c: X.mask_words(c, X.mask_pattern(words)), texts)
+    want = [re.sub(r"\w+", lambda m: "***" if m[0].lower() in known else m[0], t) for t in texts]
+    assert got == want
 
 
 def test_quality_labels(spark):

@@ -10,8 +10,6 @@ from threadglean import constants as K
 _SPACE = r"[\s\x1c-\x1f]"
 _NON_SPACE = r"[^\s\x1c-\x1f]"
 _WORD = r"[\p{L}\p{M}\p{Nd}_]"
-# The largest lexicon that is compiled into one pattern.
-MAX_LEXICON = 50_000
 
 
 def _col(c):
@@ -50,8 +48,6 @@ def words_regex(words):
     on every Java version.
     """
     words = sorted({w.lower() if w.isascii() else w for w in words if w})
-    if len(words) > MAX_LEXICON:
-        raise ValueError(f"lexicon of {len(words)} words is over {MAX_LEXICON}")
     groups = {}
     for word in words:
         edge = tuple(bool(re.match(r"\w", ch)) for ch in (word[0], word[-1]))
@@ -73,7 +69,9 @@ def mask_pattern(lexicon=()):
     """
     never = set(K.NEVER_MASKED_WORDS)
     words = [w for w in [*lexicon, *K.EXTRA_MASKED_WORDS] if w and w.lower() not in never]
-    first = {w[0].lower() for w in words} | set(K.OBFUSCATION_FIRST_LETTERS)
+    # The pattern ignores case for ASCII only: other letters stand in the class as given.
+    first = {form for w in words for form in ({w[0].lower()} if w[0].isascii() else {w[0]})}
+    first |= set(K.OBFUSCATION_FIRST_LETTERS)
     ahead = "(?=[" + "".join(re.escape(ch) for ch in sorted(first)) + "])"
     return f"(?i){ahead}(?:" + "|".join([words_regex(words), *K.OBFUSCATION_PATTERNS]) + ")"
 

@@ -1,6 +1,9 @@
 """Model stages: built-in rules as column expressions, real models by a batch hook."""
 
+import hashlib
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F, types as T
 
 from threadglean.functions.emotion import sentiment_of, with_sentiment
@@ -9,10 +12,17 @@ from threadglean.functions.text import (
 from threadglean.operators import scale
 from threadglean.operators.merge import merge_keyed
 
-# Models already loaded in this Python worker, by the name the caller gave.
+# Models already loaded in this Python worker. Tasks reach it through `_loaded`, which
+# travels by name, so all tasks of a worker share it.
 _LOADED = {}
 
 
+def _loaded(key, load):
+    if key not in _LOADED:
+        _LOADED[key] = load()
+    return _LOADED[key]
+
+
 def model_input(staged):
     """Only the two columns a model stage uses."""
     return scale.spread_small(staged.select("comment_id", "comment_body"))
@@ -23,13 +33,14 @@ def apply_model(df, text_col, load, outputs, name, batch_rows=512):
 
     `load()` returns a function from a pandas Series of texts to a DataFrame with
     the `outputs` columns (name -> Spark type), one row per text; it is called
-    once per Python worker. A batch that fails is halved until the rows that
+    once per Python worker for a `name` and a loader of this content. A batch that fails is halved until the rows that
     fail are alone, so a bad row costs only itself.
     """
     schema = T.StructType(
         list(df.schema.fields) + [T.StructField(c, t, True) for c, t in outputs.items()]
         + [T.StructField("error", T.StringType(), True)])
     columns = list(outputs)
+    key = (name, hashlib.sha256(cloudpickle.dumps(load)).hexdigest())
 
     def scored(model, texts):
         """Result frames in row order."""
@@ -46,12 +57,11 @@ def apply_model(df, text_col, load, outputs, name, batch_rows=512):
             return scored(model, texts.iloc[:half]) + scored(model, texts.iloc[half:])
 
     def batches(frames):
-        if name not in _LOADED:
-            _LOADED[name] = load()
+        model = _loaded(key, load)
         for frame in frames:
             for start in range(0, len(frame), batch_rows):
                 rows = frame.iloc[start:start + batch_rows]
-                parts = [p.astype(object) for p in scored(_LOADED[name], rows[text_col])]
+                parts = [p.astype(object) for p in scored(model, rows[text_col])]
                 yield pd.concat([rows, pd.concat(parts)], axis=1)
 
     return df.mapInPandas(batches, schema)

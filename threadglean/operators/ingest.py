@@ -21,15 +21,16 @@ def union_communities(frames):
         [df.withColumn("subreddit", F.lit(name)) for name, df in frames.items()])
 
 
-def capped_listing(listing, marks, limit=K.POSTS_PER_COMMUNITY, created="created_utc"):
+def capped_listing(listing, marks, limit=K.POSTS_PER_COMMUNITY, created="created_utc", by=()):
     """The first `limit` listed posts of each community, then without those at or
-    below the community's mark: the cap comes before the skip.
+    below the community's mark: the cap comes before the skip. No limit: None.
 
     `listing` has subreddit, position, post_id and `created` (epoch seconds);
-    `marks` has subreddit and mark.
+    `marks` has subreddit and mark. With `by`, columns that tell several listings
+    apart, the cap holds for each of them and all are held against the same marks.
     """
-    top = scale.top_per_group(
-        listing, "subreddit", [F.asc("position"), F.asc("post_id")], limit, "__listed").drop("__listed")
+    top = listing if limit is None else scale.top_per_group(
+        listing, [*by, "subreddit"], [F.asc("position"), F.asc("post_id")], limit, "__listed").drop("__listed")
     return (
         scale.lookup_join(top, marks.select("subreddit", "mark"), "subreddit")
         .where(F.col(created) > F.coalesce("mark", F.lit(0.0)))
@@ -37,13 +38,14 @@ def capped_listing(listing, marks, limit=K.POSTS_PER_COMMUNITY, created="created
 
 
 def capped_comments(comments, mark, limit=K.COMMENTS_PER_POST):
-    """The first `limit` loaded comments of a post that are newer than `mark`.
+    """The first `limit` (None: all) loaded comments of a post that are newer than `mark`.
 
     Placeholders for hidden comments (null body) are dropped, then the slice is
     taken, then the mark is applied.
     """
     loaded = F.filter(F.col(comments), lambda c: c["body"].isNotNull())
-    return F.filter(F.slice(loaded, 1, limit), lambda c: c["created_utc"] > mark)
+    first = loaded if limit is None else F.slice(loaded, 1, limit)
+    return F.filter(first, lambda c: c["created_utc"] > mark)
 
 
 def to_raw_posts(entries):

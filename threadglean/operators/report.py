@@ -31,13 +31,15 @@ def text_blocks(joined, **rank):
 
 def prompt_parts(blocks, blocks_per_part=500, header=""):
     """The blocks of a community joined in order into parts of at most
-    `blocks_per_part`, each behind `header`; the parts in order are the whole
+    `blocks_per_part`, each behind `header` (a text or a column over subreddit); the parts in order are the whole
     prompt text. A model hook (`enrich.apply_model`) can run on `text`."""
     part = F.floor((F.col("row_no") - 1) / blocks_per_part).cast("long")
     ordered = F.array_sort(F.collect_list(F.struct("row_no", "block")))
     text = F.array_join(F.transform(ordered, lambda x: x["block"]), "")
+    header = F.lit(header) if isinstance(header, str) else header
     return blocks.groupBy("subreddit", part.alias("part_no")).agg(
-        F.count("*").alias("n_blocks"), F.concat(F.lit(header), text).alias("text"))
+        F.count("*").alias("n_blocks"), text.alias("text")
+    ).withColumn("text", F.concat(header, "text"))
 
 
 # --- threads -------------------------------------------------------------------------

@@ -131,7 +131,8 @@ def extract_metrics(lines, extractor):
             kind, name = (("bigint", step.metric) if step.role == "number"
                           else ("double", "duration_seconds"))
             last = _last(number.try_cast(kind), mine & (number != ""))
-            columns.append(F.coalesce(last, F.lit(0).cast(kind)).alias(name))
+            # A count that was not printed is 0; a duration that was not is unknown.
+            columns.append((F.coalesce(last, F.lit(0).cast(kind)) if step.role == "number" else last).alias(name))
         elif timed:
             columns.append(_last(log_time(text), mine).alias("__" + step.role))
             unread = unread | (mine & log_time(text).isNull())
@@ -150,8 +151,10 @@ def extract_metrics(lines, extractor):
         rows = rows.withColumn("error", F.col("__begun") & lost).drop("__begun")
     if timed or extractor.first_start:
         spent = F.col("__end").cast("double") - F.col("__start").cast("double")
-        rows = rows.withColumn(
-            "duration_seconds", F.coalesce(F.round(spent, 6), F.lit(0.0))).drop("__start", "__end")
+        spent = F.round(spent, 6)
+        # Only the report task sends a duration in any case.
+        spent = F.coalesce(spent, F.lit(0.0)) if extractor.first_start else spent
+        rows = rows.withColumn("duration_seconds", spent).drop("__start", "__end")
     if extractor.total:
         name, parts = extractor.total
         rows = rows.withColumn(name, reduce(lambda a, b: a + b, [F.col(p) for p in parts]))
@@ -188,8 +191,8 @@ def metric_series(metrics, prefix):
     """Long form: run keys, metric, kind (gauge, counter, timing), value.
 
     Counts and the attempt are gauges; the outcome is a counter named success or
-    retry; the duration is a timing in milliseconds. An attempt whose log could
-    not be read gives one point, the counter error.
+    retry; the duration is a timing in milliseconds, left out where none was
+    measured. An attempt whose log could not be read gives one point, the counter error.
     """
     special = {*RUN_KEYS, "success", "error", "next_attempt", "duration_seconds"}
 
@@ -205,7 +208,47 @@ def metric_series(metrics, prefix):
     points.append(point(F.lit("duration"), "timing", F.col("duration_seconds") * 1000))
     failed = F.array(point(F.lit("error"), "counter", F.lit(1)))
     shown = F.when(F.col("error"), failed).otherwise(F.array(*points))
-    return metrics.select(*RUN_KEYS, F.inline(shown))
+    return metrics.select(*RUN_KEYS, F.inline(shown)).where(
+        (F.col("kind") != "timing") | F.col("value").isNotNull())
+
+
+# --- Fixed values: metric prefix of each kind of task ----------------------------------
+METRIC_PREFIXES = {
+    "ingest_preprocess": "ingest_preprocess",
+    "summarize": "summarize",
+    "sentiment": "sentiment",
+    "tests": "dbt",
+    "join": "join",
+    "processing_status": "processing_status",
+    "report": "gemini",
+}
+
+
+def all_series(metrics):
+    """The points of all kinds (kind -> metrics frame) as one frame. The tests of a stage
+    carry its task_id in their prefix."""
+    parts = []
+    for kind, frame in metrics.items():
+        prefix = METRIC_PREFIXES[kind]
+        if kind != "tests":
+            parts.append(metric_series(frame, prefix))
+            continue
+        series = metric_series(frame, "")
+        parts.append(series.withColumn(
+            "metric", F.concat(F.lit(prefix + "."), "task_id", "metric")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def run_metrics(lines, kinds, table_rows=None):
+    """Metrics of every kind from task-log lines (`sources.files.read_task_logs`).
+
+    `kinds` maps a kind to its task_ids; `table_rows` a kind to the result table whose
+    row count belongs to its metrics.
+    """
+    found = extract_all(lines, kinds)
+    for kind, table in (table_rows or {}).items():
+        found[kind] = with_table_rows(found[kind], table, "rows_processed")
+    return found
 
 
 # --- Fixed values: exported names of metrics, per task, in declared order --------------

@@ -9,14 +9,14 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from threadglean.constants import COMMUNITIES
+from threadglean.constants import COMMENTS_PER_POST, COMMUNITIES, POSTS_PER_COMMUNITY
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
     analysis, counters, enrich, ingest, quality, report, scale, summary, watermark)
 from threadglean.operators.merge import flag_processed, merge_keyed, rows_to_insert
 from threadglean.operators.suites import SUITES
 from threadglean.schemas import KEYS
-from threadglean.sources.files import write_reports
+from threadglean.sources.files import clean_report_lines, write_reports
 from threadglean.sources.tables import Tables
 
 
@@ -26,7 +26,12 @@ def _time(mark):
 
 @dataclass
 class DailyRun:
-    """State and settings of a run. `counts` collects the rows each stage wrote."""
+    """State and settings of a run. `counts` collects the rows each stage wrote.
+
+    The caps are those of one listing; None lifts them. `harmful` names what the report
+    skips: a frame of comment_ids, or a pattern of words. `check_keys` refuses an append
+    whose keys are null, repeated or stored.
+    """
 
     tables: Tables
     run_ts: object
@@ -34,6 +39,10 @@ class DailyRun:
     window_mode: str = "faithful"
     summarizer: object = None
     classifier: object = None
+    posts_per_community: int | None = POSTS_PER_COMMUNITY
+    comments_per_post: int | None = COMMENTS_PER_POST
+    harmful: object = None
+    check_keys: bool = True
     counts: dict = field(default_factory=dict)
 
     def gate(self, stage, frames):
@@ -57,7 +66,7 @@ class DailyRun:
             self.counts[name] = 0
             return
         rows, seen = counters.observed(rows, name)
-        self.tables.append(name, rows, check_key=False)
+        self.tables.append(name, rows, check_key=self.check_keys)
         self.counts[name] = seen.get["rows"]
 
     def _upsert(self, name, batch, order=None):
@@ -72,20 +81,33 @@ class DailyRun:
 
     # -- stages -------------------------------------------------------------------
 
-    def ingest(self, listing):
-        """Listing entries (schemas.LANDING) to raw posts; moves the source marks."""
+    def ingest(self, listing, by=()):
+        """Listing entries (schemas.LANDING) to raw posts; moves the source marks.
+
+        Columns `by` tell several listings apart: each has its own cap, and the marks move
+        after all of them. A post in several listings is taken from the first.
+        """
         t = self.tables
         marks = t.read("processing_metadata")
         entries = ingest.capped_listing(
-            ingest.allowed_communities(listing), marks.withColumn("mark", F.col("last_processed_utc").cast("double")))
+            ingest.allowed_communities(listing), marks.withColumn("mark", F.col("last_processed_utc").cast("double")),
+            self.posts_per_community, by=by)
+        if by:
+            entries = scale.first_per_key(entries, ["post_id"], [F.asc(c) for c in (*by, "position")])
         mark = F.coalesce("mark", F.lit(0.0))
-        entries = entries.withColumn("comments", ingest.capped_comments("comments", mark))
-        raw = scale.cut_lineage(ingest.to_raw_posts(entries.drop("mark", "position")))
+        entries = entries.withColumn(
+            "comments", ingest.capped_comments("comments", mark, self.comments_per_post))
+        raw = scale.cut_lineage(ingest.to_raw_posts(entries.drop("mark", "position", *by)))
         self._append("raw_posts", rows_to_insert(self._stored("raw_posts", raw), raw, ["post_id"]))
         t.replace("processing_metadata", watermark.advance_marks(marks, raw, self.run_ts))
 
     def preprocess(self):
-        """New raw posts to clean posts and comments."""
+        """New raw posts to clean posts and comments.
+
+        The stored posts are the mark that says what was read, so they are written last:
+        after a failure between the writes the same raw posts are read again, and comments
+        that are stored already are left out by their key.
+        """
         t = self.tables
         pattern = mask_pattern(self.lexicon)
         marks = watermark.high_water_marks(t.read("posts"))
@@ -93,11 +115,11 @@ class DailyRun:
         posts = ingest.clean_posts(raw, pattern, [F.asc("post_id")])
         comments = ingest.clean_comments(raw, pattern, "subreddit",
                                          order=[F.asc("post_id"), F.asc("created_utc")])
-        # Both batches are fixed before the first of them moves the marks.
+        # Both batches are fixed before the marks move.
         posts, comments = scale.cut_lineage(posts), scale.cut_lineage(comments)
-        self._append("posts", posts)
         self._append("comments", rows_to_insert(
             self._stored("comments", comments), comments, ["comment_id"]))
+        self._append("posts", posts)
 
     def summarise_day(self):
         """New (post, comment) rows to the daily summary table."""
@@ -113,10 +135,12 @@ class DailyRun:
         posts, comments = summary.in_run_window(
             t.read("posts", last[0]), t.read("comments", last[1]),
             last if self.window_mode == "event_time" else last[0], self.run_ts, self.window_mode)
-        comments = ingest.comments_with_new_posts(comments, posts)
         rows = scale.cut_lineage(summary.posts_with_comments(posts, comments, self.run_ts))
         fresh = summary.unseen(rows, self._stored("daily_summary_data", rows))
         self._append("daily_summary_data", summary.with_defaults(fresh, stored))
+        added = t.read("daily_summary_data").where(F.col("processed_date") == F.lit(self.run_ts))
+        self.counts["new_by_community"] = {
+            r["subreddit"]: r["n_rows"] for r in summary.counts_by_community(added).collect()}
 
     def enrich(self):
         """Summaries and sentiments of the staged comments. Returns failed rows per model."""
@@ -151,10 +175,25 @@ class DailyRun:
         if not flagged.isEmpty():
             t.replace_partitions("daily_summary_data", flagged)
 
+    def _report_rows(self):
+        """The rows of the report; harmful items hold the skip message as their summary."""
+        rows = report.report_scan(self.tables.read("joined_summary_analysis"))
+        if self.harmful is None:
+            return rows
+        flagged = (report.harmful_by_words(rows, self.harmful) if isinstance(self.harmful, str)
+                   else report.flag_harmful(rows, self.harmful))
+        return report.skip_harmful(flagged).drop("harmful")
+
     def report(self, root):
-        lines = report.report_lines(
-            report.report_scan(self.tables.read("joined_summary_analysis")), self.run_ts)
-        write_reports(lines, root, self.run_ts)
+        lines = report.report_lines(self._report_rows(), self.run_ts)
+        write_reports(clean_report_lines(lines, "text"), root, self.run_ts)
+
+    def prompts(self, header="", model=None, outputs=None, blocks_per_part=500):
+        """The prompt text of each community in ordered parts, each behind `header` (a text or
+        a column over subreddit). With `model` (see enrich.apply_model) also its `outputs`."""
+        parts = report.prompt_parts(
+            report.text_blocks(self._report_rows()), blocks_per_part, header)
+        return parts if model is None else enrich.apply_model(parts, "text", model, outputs, "prompt")
 
 
 def run_day(spark, root, listing, run_ts, report_root, **settings):

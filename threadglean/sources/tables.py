@@ -7,6 +7,7 @@ overwrites what it reads.
 
 from pyspark.sql import functions as F
 
+from threadglean.operators.scale import narrow_to
 from threadglean.schemas import KEYS, PARTITIONS, TABLES
 
 
@@ -98,7 +99,7 @@ class Tables:
         new = df.select(*keys)
         missing = new.where(~F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys)))
         twice = new.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").select(*keys)
-        stored = new.join(self.read(name).select(*keys), keys, "left_semi")
+        stored = new.join(narrow_to(self.read(name).select(*keys), new, keys), keys, "left_semi")
         bad = missing.unionByName(twice).unionByName(stored).take(1)
         if bad:
             raise DuplicateKey(f"{name}: key {bad[0].asDict()} is null, repeated or stored")
