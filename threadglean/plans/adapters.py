@@ -7,10 +7,13 @@ Nulls, blanks and copies are injected by key arithmetic, the same on both sides.
 from pyspark.sql import functions as F
 
 from threadglean import constants as K
+from threadglean.functions.text import summarize_text
 from threadglean.operators import scale
 
 # Words to mask: some are frequent in the texts, two are on the never-mask list.
 LEXICON = ["with", "the", "that", "der", "les", "que", "tion", "for", "from"]
+# Words with capitals and other letters, as they occur in the texts.
+FOREIGN_LEXICON = ["Èier", "Éch", "Ère", "éque", "ñ", "Ä", "Und", "LES", "que"]
 # Cue words for the built-in classifier, frequent in the texts.
 CUES = {
     "joy": ["with", "avec"], "anger": ["that", "nicht"], "curiosity": ["was", "que"],
@@ -104,11 +107,12 @@ def raw_threads(spark, sf_dir):
 
 
 def summaries(spark, sf_dir):
+    """The built-in summary of each text; some are missing, blank or longer than the text."""
     did, text = F.col("doc_id"), F.col("text")
     return read(spark, sf_dir, "documents").where(did % 7 != 0).select(
         F.concat(F.lit("c"), did.cast("string")).alias("comment_id"),
         F.when(did % 11 == 0, " ").when(did % 29 == 0, F.concat(text, F.lit(" extra")))
-        .otherwise(F.substring(text, 1, 200)).alias("comment_summary"))
+        .otherwise(summarize_text(text)).alias("comment_summary"))
 
 
 def emotions(spark, sf_dir):
@@ -181,6 +185,18 @@ def _log_text():
     return f"CASE {' '.join(arms)} ELSE 'INFO - nothing' END"
 
 
+SQL_WORDS = r"len(regexp_extract_all({c}, '\S+'))"
+_LEAD = r"regexp_extract({c}, '^\s*((?:\S+\s+){{0,59}}\S+)', 1)"
+
+
+def sql_summary(c):
+    """The built-in summary in SQL."""
+    lead = _LEAD.format(c=c)
+    ended = f"regexp_extract({lead}, '(?s)^(.*[.?!])', 1)"
+    return f"""CASE WHEN {c} IS NULL OR {c} = '' THEN '' WHEN {SQL_WORDS.format(c=c)} <= 59 THEN {c}
+        WHEN {SQL_WORDS.format(c=ended)} >= 15 THEN {ended} ELSE {lead} END"""
+
+
 # name -> (SQL, names of the tables it reads)
 ORACLE_TABLES = {
     "raw": (f"""
@@ -219,10 +235,10 @@ ORACLE_TABLES = {
                CAST(c.created_utc AS DATE) AS summary_date, title AS post_content, body AS comment_body
         FROM comments c JOIN posts p ON c.post_id = p.post_id
         WHERE body IS NOT NULL AND comment_id IS NOT NULL""", ("posts", "comments")),
-    "summaries": ("""
+    "summaries": (f"""
         SELECT 'c' || doc_id AS comment_id,
                CASE WHEN doc_id % 11 = 0 THEN ' ' WHEN doc_id % 29 = 0 THEN text || ' extra'
-                    ELSE substring(text, 1, 200) END AS comment_summary
+                    ELSE {sql_summary('text')} END AS comment_summary
         FROM documents WHERE doc_id % 7 <> 0""", ()),
     "emotions": (f"""
         SELECT 'c' || doc_id AS comment_id, (doc_id % 101) / 100 AS score,

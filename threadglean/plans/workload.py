@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with its comparison SQL."""
 
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,8 @@ from threadglean.operators import (
 from threadglean.operators.quality import Check
 from threadglean.operators.suites import SUITES
 from threadglean.plans import adapters as A
-from threadglean.plans.adapters import CUES, EPOCH, LEXICON, RUN_TS, oracle
+from threadglean.plans.adapters import (
+    CUES, EPOCH, FOREIGN_LEXICON, LEXICON, RUN_TS, SQL_WORDS, oracle, sql_summary)
 from threadglean.session import apply_settings
 
 QUERIES, ORACLES = {}, {}
@@ -87,15 +88,16 @@ def _sql_truncate(c, n=K.CLASSIFIER_MAX_CHARS):
         ELSE regexp_replace({head}, '(?s)^(.*) [^ ]*$', '\\1') || '...' END"""
 
 
-def _sql_mask(c):
-    hidden = sorted((set(LEXICON) | set(K.EXTRA_MASKED_WORDS)) - set(K.NEVER_MASKED_WORDS))
+def _sql_mask(c, lexicon=LEXICON):
+    """Words of other letters are masked as they are written, others in any case."""
+    hidden = sorted((set(lexicon) | set(K.EXTRA_MASKED_WORDS)) - set(K.NEVER_MASKED_WORDS))
+    exact = [w for w in hidden if not w.isascii()] or [""]
+    hidden = sorted({w.lower() for w in hidden if w.isascii()})
     word = r"[\p{L}\p{M}\p{Nd}_]"
     other = r"[^\p{L}\p{M}\p{Nd}_]"
     return f"""array_to_string(list_transform(regexp_extract_all({c}, '{word}+|{other}+'),
-        lambda t: CASE WHEN lower(t) IN ({_sql_words(hidden)}) THEN '***' ELSE t END), '')"""
-
-
-_SQL_WORDS = r"len(regexp_extract_all({c}, '\S+'))"
+        lambda t: CASE WHEN lower(t) IN ({_sql_words(hidden)}) OR t IN ({_sql_words(exact)})
+                       THEN '***' ELSE t END), '')"""
 
 
 # --- merges and watermarks ----------------------------------------------------------------
@@ -154,6 +156,13 @@ def watermark_overall(spark, d):
     return watermark.high_water_mark(A.raw_posts(spark, d))
 
 
+@query("SELECT max(created_utc) AS mark FROM comments", "comments")
+def last_run(spark, d):
+    """The largest processing time of the stored rows."""
+    return watermark.last_run_mark(
+        A.comments(spark, d).withColumnRenamed("created_utc", "processed_date"))
+
+
 @query(f"""
     WITH stored AS (SELECT subreddit, max(epoch(created_utc)) AS mark FROM raw
                     WHERE created_utc <= {_at('raw', 2)} AND subreddit <> 'openai' GROUP BY subreddit),
@@ -205,15 +214,14 @@ def dedup_posts(spark, d):
     return posts(spark, d)
 
 
-@query("""
-    SELECT comment_id, post_id, author, created_utc, CAST(length(body) AS INTEGER) AS body_chars FROM comments""", "comments")
+@query("SELECT comment_id, post_id, author, created_utc, body FROM comments", "comments")
 def dedup_comments(spark, d):
     """Every comment comes twice, a minute apart; the earlier row stays."""
     minutes = F.explode(F.array(F.lit(0), F.lit(1)))
     twice = A.comments(spark, d).withColumn("late", minutes).withColumn(
         "created_utc", F.expr("timestampadd(MINUTE, late, created_utc)")).drop("late")
     return ingest.distinct_rows(twice, "comment_id", [F.asc("created_utc")]).select(
-        "comment_id", "post_id", "author", "created_utc", F.length("body").alias("body_chars"))
+        "comment_id", "post_id", "author", "created_utc", "body")
 
 
 @query("SELECT subreddit, post_id, created_utc FROM raw", "raw")
@@ -238,6 +246,14 @@ def mask_bodies(spark, d):
         X.mask_words("text", X.mask_pattern(LEXICON)).alias("body"))
 
 
+@query(f"SELECT 'c' || doc_id AS comment_id, {_sql_mask('text', FOREIGN_LEXICON)} AS body FROM documents")
+def mask_foreign_words(spark, d):
+    """A lexicon with capitals and with words of other letters."""
+    return scale.spread_small(A.read(spark, d, "documents").select("doc_id", "text")).select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"),
+        X.mask_words("text", X.mask_pattern(FOREIGN_LEXICON)).alias("body"))
+
+
 @query("""
     SELECT post_id, body, author, comment_id, make_timestamp(CAST(created * 1000000 AS BIGINT)) AS created_utc,
            subreddit FROM threads""", "threads")
@@ -293,6 +309,41 @@ def landing_to_raw(spark, d):
         F.date_format("created_utc", "dd").alias("day"))
 
 
+@query(f"""
+    WITH listed AS (SELECT DISTINCT doc_id, post_id, subreddit, posted, (doc_id * 104729) % 1000003 AS position
+                    FROM threads),
+    one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY position, post_id) AS rn
+                           FROM listed WHERE doc_id % 2 = 0) WHERE rn <= {K.POSTS_PER_COMMUNITY}),
+    marks AS (SELECT subreddit, max(posted) AS mark FROM one GROUP BY subreddit),
+    two AS (SELECT l.*, coalesce(mark, 0) AS mark FROM (
+                SELECT *, row_number() OVER (PARTITION BY subreddit ORDER BY position, post_id) AS rn FROM listed) l
+            LEFT JOIN marks ON l.subreddit = marks.subreddit
+            WHERE rn <= {K.POSTS_PER_COMMUNITY} AND posted > coalesce(mark, 0)),
+    taken AS (SELECT 1 AS batch, doc_id, post_id, subreddit, 0 AS mark FROM one
+              UNION ALL SELECT 2, doc_id, post_id, subreddit, mark FROM two
+              WHERE post_id NOT IN (SELECT post_id FROM one)),
+    loaded AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS no FROM threads WHERE body IS NOT NULL)
+    SELECT CAST(batch AS INTEGER) AS batch, t.subreddit, t.post_id, comment_id, body
+    FROM taken t JOIN loaded ON loaded.doc_id = t.doc_id
+    WHERE no <= {K.COMMENTS_PER_POST} AND created > mark""", "threads")
+def landing_two_batches(spark, d):
+    """Cap, skip, parse and mark: a listing of half the posts, then one of all."""
+    listing = A.raw_threads(spark, d)
+    none = listing.select("subreddit", F.lit(0.0).alias("mark")).limit(0)
+
+    def step(entries, marks):
+        kept = ingest.capped_listing(entries, marks)
+        mark = F.coalesce("mark", F.lit(0.0))
+        return ingest.to_raw_posts(kept.withColumn("comments", ingest.capped_comments("comments", mark)))
+
+    one = step(listing.where(F.regexp_extract("post_id", "[0-9]+", 0).cast("long") % 2 == 0), none)
+    two = step(listing, watermark.high_water_marks(one))
+    fresh = merge.rows_to_insert(one, two, ["post_id"], [F.asc("created_utc")])
+    both = one.withColumn("batch", F.lit(1)).unionByName(fresh.withColumn("batch", F.lit(2)))
+    return ingest.parse_comments(both, "batch", "subreddit").select(
+        "batch", "subreddit", "post_id", "comment_id", "body")
+
+
 # --- daily summary -------------------------------------------------------------------------------
 
 @query("SELECT * FROM daily", "daily")
@@ -367,9 +418,9 @@ def staging_view(spark, d):
     return analysis.staging(flagged(spark, d)).drop("id", "processed_date")
 
 
-@query("SELECT * FROM joined", "joined")
+@query(f"SELECT *, TIMESTAMP '{RUN_TS}' AS processed_at, '{K.PROCESSED_BY}' AS processed_by FROM joined", "joined")
 def joined_analysis(spark, d):
-    return joined(spark, d).drop("processed_date", "processed_at", "processed_by")
+    return joined(spark, d).drop("processed_date")
 
 
 @query("""
@@ -382,6 +433,13 @@ def quality_partition(spark, d):
         F.sum(F.length("comment_body")).alias("body_chars"))
 
 
+@query("""SELECT comment_id, comment_body, comment_summary, comment_quality, summary_quality FROM checked""", "checked")
+def quality_rows(spark, d):
+    """Whole bodies and summaries with their labels."""
+    return checked(spark, d).select(
+        "comment_id", "comment_body", "comment_summary", "comment_quality", "summary_quality")
+
+
 @query(f"""
     SELECT DISTINCT comment_id, post_id FROM (
         SELECT comment_id, post_id FROM daily WHERE summary_date <= CAST({_at('comments', 2)} AS DATE)
@@ -445,8 +503,8 @@ def chat(spark, d):
 
 
 @query(f"""
-    SELECT comment_id, CAST({_SQL_WORDS.format(c='body')} AS INTEGER) AS n_words,
-           {_SQL_WORDS.format(c='body')} <= 59 AS is_short, trim(body) = '' AS is_blank FROM {_CHAT}""")
+    SELECT comment_id, CAST({SQL_WORDS.format(c='body')} AS INTEGER) AS n_words,
+           {SQL_WORDS.format(c='body')} <= 59 AS is_short, trim(body) = '' AS is_blank FROM {_CHAT}""")
 def short_text_passthrough(spark, d):
     return chat(spark, d).select(
         "comment_id", X.word_count("comment_body").alias("n_words"),
@@ -454,17 +512,7 @@ def short_text_passthrough(spark, d):
         X.is_blank("comment_body").alias("is_blank"))
 
 
-_LEAD = r"regexp_extract({c}, '^\s*((?:\S+\s+){{0,59}}\S+)', 1)"
-
-
-def _sql_summary(c):
-    lead = _LEAD.format(c=c)
-    ended = f"regexp_extract({lead}, '(?s)^(.*[.?!])', 1)"
-    return f"""CASE WHEN {c} IS NULL OR {c} = '' THEN '' WHEN {_SQL_WORDS.format(c=c)} <= 59 THEN {c}
-        WHEN {_SQL_WORDS.format(c=ended)} >= 15 THEN {ended} ELSE {lead} END"""
-
-
-@query(f"""SELECT comment_id, {_sql_summary('body')} AS comment_summary FROM
+@query(f"""SELECT comment_id, {sql_summary('body')} AS comment_summary FROM
     (SELECT comment_id, body FROM comments UNION ALL SELECT * FROM {_CHAT})""", "comments")
 def summarize_default(spark, d):
     """Bodies and chat turns: empty, copied or led by their first sentences."""
@@ -494,17 +542,20 @@ def sentiment_default(spark, d):
     return enrich.classify(bodies, cues=CUES).drop("error")
 
 
-@query("""
-    SELECT comment_id, substring(body, 1, 50) AS comment_summary FROM comments WHERE body IS NOT NULL
+@query(f"""
+    SELECT comment_id, 'third: ' || {sql_summary('body')} AS comment_summary FROM comments WHERE body IS NOT NULL
     UNION ALL
     SELECT comment_id, comment_summary FROM summaries
     WHERE comment_id NOT IN (SELECT comment_id FROM comments WHERE body IS NOT NULL)""",
        "summaries", "comments")
 def summary_upsert(spark, d):
-    """Later summaries replace stored ones of the same comment."""
+    """The last of three new summaries of a comment replaces the stored one."""
+    versions = F.posexplode(F.array(F.lit("third: "), F.lit("first: "), F.lit("second: ")))
     batch = A.comments(spark, d).where(F.col("body").isNotNull()).select(
-        "comment_id", F.substring("body", 1, 50).alias("comment_summary"))
-    return enrich.upsert_summaries(A.summaries(spark, d), batch)
+        "comment_id", "body", versions.alias("turn", "version")).select(
+        "comment_id", F.concat("version", X.summarize_text("body")).alias("comment_summary"),
+        F.pmod(F.col("turn") + 2, F.lit(3)).alias("written"))
+    return enrich.upsert_summaries(A.summaries(spark, d), batch, order=[F.desc("written")])
 
 
 @query("""
@@ -516,19 +567,20 @@ def summary_upsert(spark, d):
     UNION ALL
     SELECT * FROM sentiments WHERE comment_id NOT IN (SELECT comment_id FROM batch)""", "sentiments")
 def sentiment_upsert(spark, d):
-    toxic = F.col("toxic") == 1
-    batch = A.read(spark, d, "labels").select(
+    """Each comment is labelled twice, first the other way round; the last one stays."""
+    toxic = (F.col("toxic") == 1) == (F.col("written") == 2)
+    batch = A.read(spark, d, "labels").withColumn("written", F.explode(F.array(F.lit(2), F.lit(1)))).select(
         F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"),
         F.when(toxic, 0.0).otherwise(1.0).alias("sentiment_score"),
-        F.when(toxic, "Negative").otherwise("Positive").alias("sentiment_label"))
-    return enrich.upsert_sentiments(sentiments(spark, d), batch)
+        F.when(toxic, "Negative").otherwise("Positive").alias("sentiment_label"), "written")
+    return enrich.upsert_sentiments(sentiments(spark, d), batch, order=[F.desc("written")])
 
 
 @query("""
-    SELECT 'c' || doc_id AS comment_id, text = '' OR n_chars > 10000 AS failed,
-           CASE WHEN n_chars > 10000 THEN NULL ELSE n_chars END AS n FROM documents""")
+    SELECT 'c' || doc_id AS comment_id, strpos(text, '|') > 0 AS failed,
+           CASE WHEN strpos(text, '|') > 0 THEN NULL ELSE length(text) END AS n FROM documents""")
 def model_hook(spark, d):
-    """A batch model that refuses long texts: only those rows fail."""
+    """A batch model that refuses texts with tables: only those rows fail."""
     from pyspark.sql import types as T
 
     def load():
@@ -536,8 +588,8 @@ def model_hook(spark, d):
 
         def model(texts):
             sizes = texts.str.len()
-            if (sizes > 10000).any():
-                raise ValueError("text too long")
+            if texts.str.contains("|", regex=False).any():
+                raise ValueError("a table in the text")
             return pd.DataFrame({"n": sizes.astype("int64")})
 
         return model
@@ -641,42 +693,108 @@ def dq_failing_rows(spark, d):
     ).select("post_id", "title", "text_length", "failure_reason")
 
 
-def _posts_suite_sql(table, by):
-    """Union of the posts suite in plain SQL, per community or not."""
-    text = "{c} IS NULL OR length({c}) < 1 OR length({c}) > 65535"
-    fails = {
-        "not_null": "{c} IS NULL", "is_text": text, "is_int": "FALSE", "is_timestamp": "FALSE",
-        "expression_is_true": "NOT ({c} >= 0)",
-        "accepted_values": "{c} NOT IN (" + _sql_words(K.COMMUNITIES) + ")",
-    }
+def _suite_sql(suite, source, by=None):
+    """One count per check of a suite over `source`, by its predicate."""
+    def fails(check):
+        c, values = check.column, check.args.get("values", ())
+        return {
+            "not_null": f"{c} IS NULL",
+            "is_text": f"{c} IS NULL OR length({c}) < 1 OR length({c}) > 65535",
+            "is_int": f"{c} IS NOT NULL AND (NOT regexp_matches(CAST({c} AS VARCHAR), '^[0-9-]+$') "
+                      f"OR TRY_CAST(CAST({c} AS VARCHAR) AS INTEGER) IS NULL)",
+            "is_timestamp": f"{c} IS NOT NULL AND TRY_CAST({c} AS TIMESTAMP) IS NULL",
+            "is_json": f"{c} IS NOT NULL AND NOT json_valid({c})",
+            "expression_is_true": f"NOT ({c} >= 0)",
+            "accepted_values": f"{c} NOT IN ({_sql_words(values) or 'NULL'})",
+            "accepted_range": f"NOT ({c} BETWEEN 0 AND 1)",
+            "valid_comment_length": f"length(trim({c})) < 2 OR length({c}) > 10000",
+            "summary_quality": f"length({c}) > length(comment_body)",
+        }[check.test]
+
     head, tail = (f"{by}, ", f" GROUP BY {by}") if by else ("", "")
     parts = []
-    for check in SUITES["posts"]:
+    for check in SUITES[suite]:
         c = check.column
+        named = f"SELECT {head}'{c}' AS column_name, '{check.test}' AS test, "
         if check.test == "unique":
-            body = f"SELECT {head}{c} AS v, count(*) AS n FROM {table} WHERE {c} IS NOT NULL GROUP BY {head}{c}"
-            parts.append(f"SELECT {head}'{c}' AS column_name, 'unique' AS test, "
-                         f"count(*) FILTER (WHERE n > 1) AS failed FROM ({body}){tail}")
+            body = f"SELECT {head}{c} AS v, count(*) AS n FROM {source} WHERE {c} IS NOT NULL GROUP BY {head}{c}"
+            parts.append(f"{named}count(*) FILTER (WHERE n > 1) AS failed FROM ({body}){tail}")
         else:
-            fail = fails[check.test].format(c=c)
-            parts.append(f"SELECT {head}'{c}' AS column_name, '{check.test}' AS test, "
-                         f"count(*) FILTER (WHERE {fail}) AS failed FROM {table}{tail}")
+            parts.append(f"{named}count(*) FILTER (WHERE {fails(check)}) AS failed FROM {source}{tail}")
     return " UNION ALL ".join(parts)
 
 
-@query(_posts_suite_sql("raw", None), "raw")
-def dq_suite(spark, d):
-    """The whole posts suite over unfiltered rows, one pass."""
-    return quality.run_checks(A.raw_posts(spark, d), "posts", SUITES["posts"], "post_id").select(
-        "column_name", "test", "failed")
+def _faulty(column, every, value, c=None):
+    """SQL (both dialects) that puts `value` where the score-like number `c` is divisible."""
+    return f"CASE WHEN {c} % {every} = 0 THEN {value} ELSE {column} END"
+
+
+# Rows that fail: texts too short or missing, times that are none, numbers over the int range,
+# negative scores, unknown communities and labels, broken JSON, repeated keys.
+_SUMMARY_FAULTS = {
+    "id": _faulty("CAST(length(comment_body) AS BIGINT)", 5, "3000000000", "length(comment_body)"),
+    "subreddit": _faulty("subreddit", 7, "'elsewhere'", "post_score"),
+    "post_id": _faulty("post_id", 11, "''", "post_score"),
+    "post_score": _faulty("CAST(post_score AS BIGINT)", 9, "CAST(-post_score AS BIGINT) - 3000000000", "post_score"),
+    "post_url": _faulty("post_url", 13, "NULL", "post_score"),
+    "comment_id": _faulty("comment_id", 17, "NULL", "length(comment_body)"),
+    "summary_date": _faulty("CAST(summary_date AS STRING)", 6, "'some day'", "length(comment_body)"),
+    "post_content": _faulty("post_content", 8, "''", "post_score"),
+    "comment_body": _faulty("comment_body", 10, "NULL", "length(comment_body)"),
+}
+# table -> (frame, SQL table, column -> expression with faults)
+_SUITE_INPUTS = {
+    "raw_posts": (A.raw_posts, "raw", {
+        "post_id": "post_id", "subreddit": _faulty("subreddit", 7, "'elsewhere'", "score"),
+        "score": _faulty("CAST(score AS BIGINT)", 9, "CAST(-score AS BIGINT) - 3000000000", "score"),
+        "comments": _faulty("CASE WHEN score % 4 = 0 THEN '{bad' ELSE '[{\"body\": 1}]' END", 10, "NULL", "score"),
+        "created_utc": _faulty("CAST(created_utc AS STRING)", 6, "'some day'", "score")}),
+    "posts": (A.raw_posts, "raw", {
+        "post_id": _faulty("post_id", 11, "NULL", "score"), "subreddit": _faulty("subreddit", 7, "'elsewhere'", "score"),
+        "title": "title", "author": "author", "url": _faulty("url", 8, "''", "score"),
+        "score": _faulty("CAST(score AS BIGINT)", 9, "CAST(-score AS BIGINT) - 3000000000", "score"),
+        "created_utc": _faulty("CAST(created_utc AS STRING)", 6, "'some day'", "score")}),
+    "comments": (A.comments, "comments", {
+        "comment_id": _faulty("comment_id", 7, "author", "length(body)"),
+        "post_id": _faulty("post_id", 11, "NULL", "length(body)"), "author": _faulty("author", 6, "''", "length(body)"),
+        "created_utc": _faulty("CAST(created_utc AS STRING)", 5, "'some day'", "length(body)")}),
+    "daily_summary_data": (daily, "daily", _SUMMARY_FAULTS),
+    "current_summary_staging_source": (
+        daily, "daily", {c: e for c, e in _SUMMARY_FAULTS.items() if c != "id"}),
+    "text_summary_results": (A.summaries, "summaries", {
+        "comment_id": _faulty("comment_id", 7, "'c1'", "length(comment_summary)"),
+        "comment_summary": _faulty("comment_summary", 5, "''", "length(comment_summary)")}),
+    "sentiment_analysis_results": (sentiments, "sentiments", {
+        "comment_id": _faulty("comment_id", 7, "NULL", "length(comment_id)"),
+        "sentiment_score": "sentiment_score * 1.5",
+        "sentiment_label": "CASE WHEN sentiment_score < 0.1 THEN 'Mixed' WHEN sentiment_score < 0.2 THEN NULL "
+                           "ELSE sentiment_label END"}),
+    "current_summary_staging": (daily, "daily", _SUMMARY_FAULTS),
+    "joined_summary_analysis": (checked, "checked", {
+        "comment_body": "comment_body", "comment_summary": "comment_summary",
+        "sentiment_score": "sentiment_score * 1.5", "sentiment_label": "sentiment_label"}),
+    "update_processing_status": (daily, "daily", {
+        c: _SUMMARY_FAULTS[c] for c in ("comment_id", "post_id")}),
+}
+
+
+def _suite_query(suite, frame, table, columns, by=None, name=None):
+    """Register a whole suite over a table with faults, in one pass."""
+    shown = ", ".join(f"{e} AS {c}" for c, e in columns.items())
+
+    def run(spark, d):
+        rows = frame(spark, d).selectExpr(*[f"{e} AS {c}" for c, e in columns.items()])
+        return quality.run_checks(rows, suite, SUITES[suite], by=by).select(
+            *([by] if by else []), "column_name", "test", "failed")
 
+    run.__name__ = name or f"dq_suite_{suite}"
+    query(_suite_sql(suite, f"(SELECT {shown} FROM {table})", by), table)(run)
 
-@query(_posts_suite_sql("raw", "subreddit"), "raw")
-def dq_by_community(spark, d):
-    """The posts suite once per community, still one pass."""
-    return quality.run_checks(
-        A.raw_posts(spark, d), "posts", SUITES["posts"], "post_id", by="subreddit"
-    ).select("subreddit", "column_name", "test", "failed")
+
+for _suite, (_frame, _source, _columns) in _SUITE_INPUTS.items():
+    _suite_query(_suite, _frame, _source, _columns)
+_suite_query("posts", *_SUITE_INPUTS["posts"], name="dq_suite")
+_suite_query("posts", *_SUITE_INPUTS["posts"], by="subreddit", name="dq_by_community")
 
 
 @query("""
@@ -911,7 +1029,7 @@ def _timed_sql(task, columns):
     return f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, {columns}, {_count_sql('purchase')} > 0 AS success,
-               coalesce(round(epoch({end}) - epoch({start}), 6), 0) AS duration_seconds, FALSE AS error
+               round(epoch({end}) - epoch({start}), 6) AS duration_seconds, FALSE AS error
         FROM logs WHERE task_id = '{task}' GROUP BY {_RUN})"""
 
 
@@ -920,20 +1038,29 @@ def _metrics(spark, d, kind):
     return runmetrics.extract_all(lines, {kind: [kind]})[kind]
 
 
-@query(_timed_sql("ingest_preprocess", f"""{_count_sql('click')} AS processed_posts,
-    coalesce({_last_sql('event_id', "event_type = 'signup'")}, 0) AS total_summaries"""), "logs")
+_INGEST_SQL = _timed_sql("ingest_preprocess", f"""{_count_sql('click')} AS processed_posts,
+    coalesce({_last_sql('event_id', "event_type = 'signup'")}, 0) AS total_summaries""")
+
+
+@query(_INGEST_SQL, "logs")
 def log_ingest_metrics(spark, d):
     return _metrics(spark, d, "ingest_preprocess")
 
 
-@query(_timed_sql("summarize", f"""{_count_sql('click')} AS summaries_added,
+_SUMMARIZE_SQL = _timed_sql("summarize", f"""{_count_sql('click')} AS summaries_added,
     {_count_sql('signup')} AS short_comments,
-    {_count_sql('click')} + {_count_sql('signup')} AS total_processed"""), "logs")
+    {_count_sql('click')} + {_count_sql('signup')} AS total_processed""")
+
+
+@query(_SUMMARIZE_SQL, "logs")
 def log_summarize_metrics(spark, d):
     return _metrics(spark, d, "summarize")
 
 
-@query(_timed_sql("sentiment", f"{_count_sql('click')} AS processed"), "logs")
+_SENTIMENT_SQL = _timed_sql("sentiment", f"{_count_sql('click')} AS processed")
+
+
+@query(_SENTIMENT_SQL, "logs")
 def log_sentiment_metrics(spark, d):
     return _metrics(spark, d, "sentiment")
 
@@ -950,24 +1077,34 @@ def log_test_metrics(spark, d):
 def _printed_sql(task):
     return f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
-        SELECT {_RUN}, coalesce({_last_sql('value', "event_type = 'click'")}, 0) AS duration_seconds,
+        SELECT {_RUN}, {_last_sql('value', "event_type = 'click'")} AS duration_seconds,
                {_count_sql('purchase')} > 0 AS success, FALSE AS error
         FROM logs WHERE task_id = '{task}' GROUP BY {_RUN})"""
 
 
-@query(f"SELECT *, (SELECT count(*) FROM joined) AS rows_processed FROM ({_printed_sql('join')})",
-       "logs", "joined")
+_JOIN_SQL = f"SELECT *, (SELECT count(*) FROM joined) AS rows_processed FROM ({_printed_sql('join')})"
+_STATUS_SQL = f"""SELECT *, (SELECT count(*) FROM (SELECT DISTINCT comment_id, post_id FROM daily)) AS rows_processed
+    FROM ({_printed_sql('processing_status')})"""
+
+
+def status_rows(spark, d):
+    return daily(spark, d).select("comment_id", "post_id").distinct()
+
+
+@query(_JOIN_SQL, "logs", "joined")
 def log_join_metrics(spark, d):
     """With the row count of the joined table."""
     return runmetrics.with_table_rows(_metrics(spark, d, "join"), joined(spark, d), "rows_processed")
 
 
-@query(_printed_sql("processing_status"), "logs")
+@query(_STATUS_SQL, "logs", "daily")
 def log_status_metrics(spark, d):
-    return _metrics(spark, d, "processing_status")
+    """With the row count of the status table."""
+    return runmetrics.with_table_rows(
+        _metrics(spark, d, "processing_status"), status_rows(spark, d), "rows_processed")
 
 
-@query(f"""
+_REPORT_SQL = f"""
     SELECT *, CAST(CASE WHEN success THEN 1 ELSE attempt + 1 END AS INTEGER) AS next_attempt FROM (
         SELECT {_RUN}, {_count_sql('view')} AS subreddits_processed, {_count_sql('click')} AS outputs_generated,
                coalesce(round(epoch(iso_last) - epoch(iso_first), 6), 0) AS duration_seconds,
@@ -978,34 +1115,71 @@ def log_status_metrics(spark, d):
                            ORDER BY CASE WHEN event_type = 'view' THEN event_id END) OVER w AS iso_first
               FROM (SELECT *, CASE WHEN event_id % 5 <> 0 THEN logged END AS iso FROM logs WHERE task_id = 'report')
               WINDOW w AS (PARTITION BY {_RUN}))
-        GROUP BY {_RUN}, iso_last, iso_first)""", "logs")
+        GROUP BY {_RUN}, iso_last, iso_first)"""
+
+
+@query(_REPORT_SQL, "logs")
 def log_report_metrics(spark, d):
     return _metrics(spark, d, "report")
 
 
-@query(f"""
-    WITH m AS ({_TESTS_SQL})
-    SELECT {_RUN}, 'dbt.tests.tests.passed' AS metric, 'gauge' AS kind, CAST(tests_passed AS DOUBLE) AS value FROM m
-    UNION ALL SELECT {_RUN}, 'dbt.tests.tests.failed', 'gauge', tests_failed FROM m
-    UNION ALL SELECT {_RUN}, 'dbt.tests.tests.total', 'gauge', tests_total FROM m
-    UNION ALL SELECT {_RUN}, 'dbt.tests.current_attempt', 'gauge', attempt FROM m
-    UNION ALL SELECT {_RUN}, CASE WHEN success THEN 'dbt.tests.success' ELSE 'dbt.tests.retry' END, 'counter', 1 FROM m
-    UNION ALL SELECT {_RUN}, 'dbt.tests.duration', 'timing', round(duration_seconds * 1000, 3) FROM m""", "logs")
+# kind -> (SQL of its metrics, gauges: printed name -> column)
+_KINDS = {
+    "ingest_preprocess": (_INGEST_SQL, {"processed_posts": "processed_posts", "total_summaries": "total_summaries"}),
+    "summarize": (_SUMMARIZE_SQL, {"summaries_added": "summaries_added", "short_comments": "short_comments",
+                                   "total_processed": "total_processed"}),
+    "sentiment": (_SENTIMENT_SQL, {"processed": "processed"}),
+    "tests": (_TESTS_SQL, {"tests.passed": "tests_passed", "tests.failed": "tests_failed", "tests.total": "tests_total"}),
+    "join": (_JOIN_SQL, {"rows_processed": "rows_processed"}),
+    "processing_status": (_STATUS_SQL, {"rows_processed": "rows_processed"}),
+    "report": (_REPORT_SQL, {"subreddits_processed": "subreddits_processed", "outputs_generated": "outputs_generated"}),
+}
+
+
+def _series_sql():
+    """All points: a timing only where a duration was measured, and of the report always."""
+    parts = []
+    for kind, (sql, gauges) in _KINDS.items():
+        prefix = f"'{runmetrics.METRIC_PREFIXES[kind]}.'" + (" || task_id || '.'" if kind == "tests" else "")
+
+        def point(name, of, value, when):
+            return (f"SELECT {_RUN}, {prefix} || {name} AS metric, '{of}' AS kind, "
+                    f"CAST({value} AS DOUBLE) AS value FROM ({sql}) WHERE {when}")
+
+        for name, column in {**gauges, "current_attempt": "attempt"}.items():
+            parts.append(point(f"'{name}'", "gauge", column, "NOT error"))
+        parts.append(point("CASE WHEN success THEN 'success' ELSE 'retry' END", "counter", 1, "NOT error"))
+        parts.append(point("'duration'", "timing", "round(duration_seconds * 1000, 3)",
+                           "NOT error AND duration_seconds IS NOT NULL"))
+        parts.append(point("'error'", "counter", 1, "error"))
+    return "\nUNION ALL ".join(parts)
+
+
+def _run_metrics(spark, d):
+    """Metrics of all seven kinds of task."""
+    return runmetrics.run_metrics(
+        A.log_lines(spark, d), {kind: [kind] for kind in _KINDS},
+        {"join": joined(spark, d), "processing_status": status_rows(spark, d)})
+
+
+@query(_series_sql(), "logs", "joined", "daily")
 def metric_series(spark, d):
-    series = runmetrics.metric_series(_metrics(spark, d, "tests"), "dbt.tests")
-    return series.withColumn("value", F.round("value", 3))
+    return runmetrics.all_series(_run_metrics(spark, d)).withColumn("value", F.round("value", 3))
+
+
+# The stages of tests that have exported names stand for the one stage of the log lines.
+_EXPORTED = {("dbt.tests." + k.split(".", 2)[2] if k.startswith("dbt.test_raw_sources.") else k): v
+             for k, v in runmetrics.EXPORTED_NAMES.items()}
 
 
 @query(f"""
-    WITH m AS ({_printed_sql('join')})
-    SELECT {_RUN}, 'join_model_duration_seconds' AS name, round(duration_seconds * 1000, 3) AS value FROM m
-    UNION ALL SELECT {_RUN}, 'join_attempt', attempt FROM m
-    UNION ALL SELECT {_RUN}, CASE WHEN success THEN 'join_success_total' ELSE 'join_retry_total' END, 1 FROM m""",
-       "logs")
+    SELECT {_RUN}, name, value FROM ({_series_sql()}) s
+    JOIN (VALUES {", ".join(f"('{k}', '{v}')" for k, v in _EXPORTED.items())}) n(metric, name) ON s.metric = n.metric""",
+       "logs", "joined", "daily")
 def exported_series(spark, d):
     """Metric points under the names the dashboards use."""
-    series = runmetrics.metric_series(_metrics(spark, d, "join"), "join")
-    return runmetrics.export_names(series).select(
+    series = runmetrics.all_series(_run_metrics(spark, d))
+    return runmetrics.export_names(series, _EXPORTED).select(
         *runmetrics.RUN_KEYS, "name", F.round("value", 3).alias("value"))
 
 
@@ -1035,6 +1209,31 @@ def duration_minutes(spark, d):
     return totals.withColumn("minutes", F.round("minutes", 6))
 
 
+_DURATIONS_SQL = "(" + " UNION ALL ".join(
+    f"SELECT task_id, duration_seconds FROM ({sql})" for sql, _ in _KINDS.values()) + ")"
+
+
+def _durations(spark, d):
+    frames = [frame.select("task_id", "duration_seconds") for frame in _run_metrics(spark, d).values()]
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+@query(" UNION ALL ".join(
+    f"SELECT task_id, {i} AS bucket_no, '{b}' AS le, count(*) FILTER (WHERE duration_seconds <= {b}) AS n "
+    f"FROM {_DURATIONS_SQL} GROUP BY task_id" for i, b in enumerate(_BUCKETS)) + f"""
+    UNION ALL SELECT task_id, {len(_BUCKETS)}, '+Inf', count(duration_seconds) FROM {_DURATIONS_SQL} GROUP BY task_id""",
+       "logs", "joined", "daily")
+def extracted_duration_histogram(spark, d):
+    """Buckets of the durations taken from the log lines."""
+    return runmetrics.duration_histogram(_durations(spark, d))
+
+
+@query(f"SELECT task_id, round(sum(duration_seconds) / 60, 6) AS minutes FROM {_DURATIONS_SQL} GROUP BY task_id",
+       "logs", "joined", "daily")
+def extracted_duration_minutes(spark, d):
+    return runmetrics.duration_minutes(_durations(spark, d)).withColumn("minutes", F.round("minutes", 6))
+
+
 @query("""
     SELECT task_id, time_bucket(INTERVAL 5 MINUTE, ts) AS window_start, count(*) AS n_errors,
            count(*) / 300 AS errors_per_second
