@@ -68,13 +68,13 @@ def test_upserts(spark):
     stored = spark.createDataFrame([("1", "a"), ("2", "b")], "comment_id string, comment_summary string")
     batch = spark.createDataFrame([("2", "new", None), ("3", "c", None), (None, "d", None)],
                                   "comment_id string, comment_summary string, error string")
-    assert rows(enrich.upsert_summaries(stored, batch)) == [("1", "a"), ("2", "new"), ("3", "c")]
+    assert rows(enrich.upsert_summaries(stored, batch, [F.asc("comment_summary")])) == [("1", "a"), ("2", "new"), ("3", "c")]
     ordered = batch.withColumn("at", F.lit(1)).unionByName(
         spark.createDataFrame([("3", "later", None, 2)], "comment_id string, comment_summary string, error string, at int"))
     assert rows(enrich.upsert_summaries(stored, ordered, [F.desc("at")]))[-1] == ("3", "later")
     scores = spark.createDataFrame([("1", 0.1, "Neutral")], "comment_id string, sentiment_score double, sentiment_label string")
     newer = scores.withColumn("sentiment_score", F.lit(0.9))
-    assert rows(enrich.upsert_sentiments(scores, newer)) == [("1", 0.9, "Neutral")]
+    assert rows(enrich.upsert_sentiments(scores, newer, [F.desc("sentiment_score")])) == [("1", 0.9, "Neutral")]
 
 
 def test_a_model_is_loaded_once_per_worker(spark, tmp_path):

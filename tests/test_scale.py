@@ -137,3 +137,13 @@ def test_hot_harmful_key_fills_the_tasks(spark):
             spark.conf.set(key, value)
     assert sum(sizes) == 4000 and flagged.where("harmful").count() == 4000
     assert len(sizes) >= 12 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+def test_temporary_folders_of_one_machine_are_known(tmp_path):
+    import tempfile
+
+    from threadglean.session import _machine_local
+
+    inside = tempfile.gettempdir() + "/x"
+    assert all(_machine_local(p) for p in (inside, "file:" + inside, "file://" + inside))
+    assert not any(_machine_local(p) for p in ("hdfs://n/tmp/x", "s3a://tmp/x", "/shared/ckpt", "file:///shared/x"))

@@ -112,18 +112,19 @@ def classify(staged, load=None, name="classifier", cues=None):
     )).select(*columns)
 
 
-def upsert_summaries(stored, summaries, order=None):
-    """A later summary replaces the stored one of its comment_id."""
-    return merge_keyed(stored, summaries.select(*stored.columns, *_order_columns(summaries, stored, order)),
+def upsert_summaries(stored, summaries, order):
+    """A later summary replaces the stored one of its comment_id; `order` says which one of a
+    batch is taken."""
+    return merge_keyed(stored, summaries.select(*stored.columns, *_order_columns(summaries, stored)),
                        ["comment_id"], "take_new", order=order)
 
 
-def upsert_sentiments(stored, sentiments, order=None):
+def upsert_sentiments(stored, sentiments, order):
     """A later score and label replace the stored ones of their comment_id."""
-    return merge_keyed(stored, sentiments.select(*stored.columns, *_order_columns(sentiments, stored, order)),
+    return merge_keyed(stored, sentiments.select(*stored.columns, *_order_columns(sentiments, stored)),
                        ["comment_id"], "take_new", order=order)
 
 
-def _order_columns(new, stored, order):
-    """The batch columns an `order` may use; none are needed without one."""
-    return [] if order is None else [c for c in new.columns if c not in stored.columns]
+def _order_columns(new, stored):
+    """The batch columns that only an order uses."""
+    return [c for c in new.columns if c not in stored.columns]

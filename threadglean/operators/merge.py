@@ -10,23 +10,31 @@ from pyspark.sql import functions as F
 from threadglean.operators import scale
 
 
-def one_per_key(new, keys, order):
-    """The batch with null keys rejected and one row per key."""
+def one_per_key(new, keys, order=None, unique=False):
+    """The batch with null keys rejected and one row per key, the first in `order`.
+
+    Without an order the survivor would be open: that is allowed only if the batch holds
+    nothing but its keys, or is known to be `unique`.
+    """
     new = new.dropna(subset=list(keys))
-    if order is None:
-        return new.dropDuplicates(list(keys))
-    return scale.first_per_key(new, keys, order)
+    if unique:
+        return new
+    if order is not None:
+        return scale.first_per_key(new, keys, order)
+    if set(new.columns) != set(keys):
+        raise ValueError(f"rows that share {list(keys)} need an order")
+    return new.distinct()
 
 
-def merge_keyed(old, new, keys, on_match="take_new", *, order=None, update_cols=None):
+def merge_keyed(old, new, keys, on_match="take_new", *, order=None, unique=False, update_cols=None):
     """Merge a batch into a stored table with unique `keys`.
 
     on_match="keep_old" ignores batch rows whose key is stored; "take_new"
     replaces stored rows, or only their `update_cols`. `order` says which row
-    survives when a key occurs more than once in the batch.
+    survives when a key occurs more than once in the batch; `unique` that none does.
     """
     keys = list(keys)
-    batch = one_per_key(new, keys, order).select(*old.columns)
+    batch = one_per_key(new, keys, order, unique).select(*old.columns)
     if on_match == "keep_old":
         return old.unionByName(batch.join(old.select(*keys), keys, "left_anti"))
     if on_match != "take_new":
@@ -42,15 +50,15 @@ def merge_keyed(old, new, keys, on_match="take_new", *, order=None, update_cols=
     return stays.unionByName(batch)
 
 
-def insert_ignore(old, new, keys, order=None):
+def insert_ignore(old, new, keys, order=None, unique=False):
     """The first stored version of a key stays for ever."""
-    return merge_keyed(old, new, keys, "keep_old", order=order)
+    return merge_keyed(old, new, keys, "keep_old", order=order, unique=unique)
 
 
-def rows_to_insert(old, new, keys, order=None):
+def rows_to_insert(old, new, keys, order=None, unique=False):
     """Only what `insert_ignore` would add: the rows to append."""
     keys = list(keys)
-    return one_per_key(new, keys, order).join(old.select(*keys), keys, "left_anti").select(*new.columns)
+    return one_per_key(new, keys, order, unique).join(old.select(*keys), keys, "left_anti").select(*new.columns)
 
 
 def flag_processed(table, history, **skew):

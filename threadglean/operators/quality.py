@@ -183,16 +183,20 @@ def run_checks(df, table, checks, key=None, by=None):
         values = F.array(*[
             F.struct(F.lit(c.column).alias("column_name"), F.col(c.column).cast("string").alias("value"))
             for c in unique])
+        # Only values that occur more than once go on; the columns give the zeros.
         repeated = (
             df.select(*groups, F.inline(values)).where(F.col("value").isNotNull())
-            .groupBy(*groups, "column_name", "value").agg(F.count("*").alias("__n"))
-            .groupBy(*groups, "column_name").agg(
-                F.count_if(F.col("__n") > 1).alias("failed"),
-                F.min(F.when(F.col("__n") > 1, F.col("value"))).alias("sample"))
+            .groupBy(*groups, "column_name", "value").agg(F.count("*").alias("__n")).where(F.col("__n") > 1)
+            .groupBy(*[F.col(g).alias("__g_" + g) for g in groups], F.col("column_name").alias("__column"))
+            .agg(F.count("*").alias("failed"), F.min("value").alias("sample"))
         )
-        parts.append(repeated.select(
+        names = F.explode(F.array(*[F.lit(c.column) for c in unique])).alias("column_name")
+        listed = (df.select(*groups).distinct() if groups else df.sparkSession.range(1)).select(*groups, names)
+        same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col("__g_" + g)) for g in groups],
+                      F.col("column_name") == F.col("__column"))
+        parts.append(listed.join(repeated, same, "left").select(
             *groups, F.lit(table).alias("table_name"), "column_name", F.lit("unique").alias("test"),
-            F.lit(unique[0].severity).alias("severity"), "failed", "sample"))
+            F.lit(unique[0].severity).alias("severity"), F.coalesce("failed", F.lit(0)).alias("failed"), "sample"))
     return reduce(lambda a, b: a.unionByName(b), [p.select(*shape) for p in parts])
 
 

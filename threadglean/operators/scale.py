@@ -4,6 +4,7 @@ The size checks below only choose between two ways to the same rows.
 """
 
 import uuid
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Window, functions as F
@@ -56,17 +57,37 @@ def spread_small(df):
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
+# Copies of the innermost `stored_copies` block.
+_copies = []
+
+
+@contextmanager
+def stored_copies():
+    """Delete the copies that `cut_lineage` stores in this block when it ends. Frames built on
+    them must be written or collected by then."""
+    _copies.append([])
+    try:
+        yield
+    finally:
+        for fs, path in _copies.pop():
+            fs.delete(path, True)
+
+
 def cut_lineage(df):
     """The rows stored as Parquet in the shared checkpoint folder and read back.
 
     Later stages restart from stored rows, read only the columns they need and
-    know their size. The folder goes when the session ends.
+    know their size. The folder goes with its `stored_copies` block, else when the
+    session ends.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/rows-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(hadoop_path)
+    fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.deleteOnExit(hadoop_path)
+    if _copies:
+        _copies[-1].append((fs, hadoop_path))
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

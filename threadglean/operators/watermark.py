@@ -89,4 +89,4 @@ def advance_marks(marks, accepted, run_ts, ts="created_utc"):
         .select("subreddit", "last_processed_utc",
                 F.lit(run_ts).cast("timestamp").alias("last_run_timestamp"))
     )
-    return merge_keyed(marks, moved, ["subreddit"], "take_new")
+    return merge_keyed(marks, moved, ["subreddit"], "take_new", unique=True)

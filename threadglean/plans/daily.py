@@ -6,6 +6,7 @@ next stage starts.
 
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import wraps
 
 from pyspark.sql import functions as F
 
@@ -13,13 +14,24 @@ from threadglean.constants import COMMENTS_PER_POST, COMMUNITIES, POSTS_PER_COMM
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
     analysis, counters, enrich, ingest, quality, report, scale, summary, watermark)
-from threadglean.operators.merge import flag_processed, merge_keyed, rows_to_insert
+from threadglean.operators.merge import flag_processed, rows_to_insert
 from threadglean.operators.suites import SUITES
 from threadglean.schemas import KEYS
 from threadglean.sources.files import clean_report_lines, write_reports
 from threadglean.sources.tables import Tables
 
 
+def _stage(method):
+    """A stage of the run; the copies it stores go when it ends."""
+
+    @wraps(method)
+    def run(*args, **kwargs):
+        with scale.stored_copies():
+            return method(*args, **kwargs)
+
+    return run
+
+
 def _time(mark):
     return datetime.fromtimestamp(mark, timezone.utc)
 
@@ -50,6 +62,10 @@ class DailyRun:
             frames, SUITES, {t: k[-1] for t, k in KEYS.items()})
         return quality.assert_quality(report_, stage)
 
+    def _run_time(self):
+        """The run's time as the session's timestamps are collected."""
+        return self.tables.spark.sql("SELECT CAST(:ts AS TIMESTAMP) AS t", {"ts": self.run_ts}).first()["t"]
+
     def _lowest_mark(self, marks):
         """Time before which no community has unread rows; None if one has no mark yet."""
         known = {r["subreddit"]: r["mark"] for r in marks.where(F.col("subreddit").isin(COMMUNITIES)).collect()}
@@ -69,18 +85,29 @@ class DailyRun:
         self.tables.append(name, rows, check_key=self.check_keys)
         self.counts[name] = seen.get["rows"]
 
-    def _upsert(self, name, batch, order=None):
-        """Append a batch of new keys; rewrite the table only if a key is stored."""
-        keys, stored = KEYS[name], self._stored(name, batch)
-        repeated = stored.join(batch.select(*keys), keys, "left_semi")
-        if repeated.isEmpty():
-            self._append(name, rows_to_insert(stored, batch.select(*stored.columns), keys))
-        else:
-            self.tables.replace(name, merge_keyed(
-                self.tables.read(name), batch, keys, "take_new", order=order))
+    def _replace(self, name, df):
+        """A new version; of the older ones the last stays, for readers that hold it."""
+        self.tables.replace(name, df)
+        self.tables.drop_old_versions(name)
+
+    def _open_days(self):
+        """Run days that may hold unprocessed rows; None where no day was noted yet."""
+        if self.tables.path("open_run_days") is None:
+            return None
+        return [r["run_day"] for r in self.tables.read("open_run_days").collect()]
+
+    def _open_summaries(self):
+        """The summary rows of open run days: only their folders are read."""
+        days = self._open_days()
+        where = None if days is None else F.col("processed_day").isin(days) if days else F.lit(False)
+        return self.tables.read("daily_summary_data", where=where)
+
+    def staged(self):
+        return analysis.staging(self._open_summaries())
 
     # -- stages -------------------------------------------------------------------
 
+    @_stage
     def ingest(self, listing, by=()):
         """Listing entries (schemas.LANDING) to raw posts; moves the source marks.
 
@@ -98,9 +125,11 @@ class DailyRun:
         entries = entries.withColumn(
             "comments", ingest.capped_comments("comments", mark, self.comments_per_post))
         raw = scale.cut_lineage(ingest.to_raw_posts(entries.drop("mark", "position", *by)))
-        self._append("raw_posts", rows_to_insert(self._stored("raw_posts", raw), raw, ["post_id"]))
-        t.replace("processing_metadata", watermark.advance_marks(marks, raw, self.run_ts))
+        self._append("raw_posts", rows_to_insert(
+            self._stored("raw_posts", raw), raw, ["post_id"], [F.asc("created_utc"), F.asc("comments")]))
+        self._replace("processing_metadata", watermark.advance_marks(marks, raw, self.run_ts))
 
+    @_stage
     def preprocess(self):
         """New raw posts to clean posts and comments.
 
@@ -110,7 +139,7 @@ class DailyRun:
         """
         t = self.tables
         pattern = mask_pattern(self.lexicon)
-        marks = watermark.high_water_marks(t.read("posts"))
+        marks = watermark.high_water_marks(t.read_last("posts"))
         raw = watermark.new_rows_by_mark(t.read("raw_posts", self._lowest_mark(marks)), marks)
         posts = ingest.clean_posts(raw, pattern, [F.asc("post_id")])
         comments = ingest.clean_comments(raw, pattern, "subreddit",
@@ -118,62 +147,66 @@ class DailyRun:
         # Both batches are fixed before the marks move.
         posts, comments = scale.cut_lineage(posts), scale.cut_lineage(comments)
         self._append("comments", rows_to_insert(
-            self._stored("comments", comments), comments, ["comment_id"]))
+            self._stored("comments", comments), comments, ["comment_id"], unique=True))
         self._append("posts", posts)
 
+    @_stage
     def summarise_day(self):
         """New (post, comment) rows to the daily summary table."""
         t = self.tables
-        stored = t.read("daily_summary_data")
+        stored, latest = t.read("daily_summary_data"), t.read_last("daily_summary_data")
+        last_run = watermark.last_run_mark(latest).first()["mark"]
         if self.window_mode == "event_time":
             marks = [watermark.high_water_mark(t.read(name).join(stored, key, "left_semi")).first()["mark"]
                      for name, key in (("posts", "post_id"), ("comments", "comment_id"))]
             last = tuple(_time(mark) for mark in marks)
         else:
-            marks = watermark.last_run_mark(stored).first()["mark"]
-            last = (marks, marks)
+            last = (last_run, last_run)
         posts, comments = summary.in_run_window(
             t.read("posts", last[0]), t.read("comments", last[1]),
             last if self.window_mode == "event_time" else last[0], self.run_ts, self.window_mode)
         rows = scale.cut_lineage(summary.posts_with_comments(posts, comments, self.run_ts))
         fresh = summary.unseen(rows, self._stored("daily_summary_data", rows))
-        self._append("daily_summary_data", summary.with_defaults(fresh, stored))
-        added = t.read("daily_summary_data").where(F.col("processed_date") == F.lit(self.run_ts))
+        # Ids grow with the runs, unless this one is set back in time.
+        numbered = latest if last_run is None or self._run_time() >= last_run else stored
+        today = self.tables.spark.sql("SELECT CAST(:ts AS DATE) AS run_day", {"ts": self.run_ts})
+        self._replace("open_run_days", t.read("open_run_days").unionByName(today).distinct())
+        self._append("daily_summary_data", summary.with_defaults(fresh, numbered))
+        added = t.read_last("daily_summary_data").where(F.col("processed_date") == F.lit(self.run_ts))
         self.counts["new_by_community"] = {
             r["subreddit"]: r["n_rows"] for r in summary.counts_by_community(added).collect()}
 
+    @_stage
     def enrich(self):
         """Summaries and sentiments of the staged comments. Returns failed rows per model."""
         t = self.tables
-        staged = analysis.staging(t.read("daily_summary_data"))
+        # A comment under several posts is worked on once; its last row counts.
+        staged = scale.first_per_key(self.staged(), ["comment_id"], [F.desc("id")])
         summaries = scale.cut_lineage(enrich.summarize(staged, self.summarizer))
         sentiments = scale.cut_lineage(enrich.classify(staged, self.classifier))
-        self._upsert("text_summary_results", summaries)
-        self._upsert("sentiment_analysis_results", sentiments)
+        t.upsert("text_summary_results", summaries, [F.asc("comment_summary")])
+        t.upsert("sentiment_analysis_results", sentiments, [F.desc("sentiment_score"), F.asc("sentiment_label")])
         return {name: df.where(F.col("error").isNotNull()).count()
                 for name, df in (("summarize", summaries), ("classify", sentiments))}
 
+    @_stage
     def analyse(self):
         """Join and validate, then mark the staged rows as processed."""
         t = self.tables
-        staged = analysis.staging(t.read("daily_summary_data"))
-        t.replace("joined_summary_analysis", analysis.joined_analysis(
+        staged = self.staged()
+        self._replace("joined_summary_analysis", analysis.joined_analysis(
             staged, self._stored("text_summary_results", staged),
             self._stored("sentiment_analysis_results", staged), self.run_ts))
         self._append("update_processing_status", rows_to_insert(
             self._stored("update_processing_status", staged), staged.select("comment_id", "post_id"),
             KEYS["update_processing_status"]))
-        # Only days with rows that are not settled can change.
-        table, day = t.read("daily_summary_data"), F.to_date("processed_date")
+        # Only open days can change.
         unsettled = F.coalesce("needs_processing", F.lit(True))
-        open_days = table.where(unsettled).select(day.alias("__day")).distinct()
-        touched = scale.lookup_join(
-            table.withColumn("__day", day), open_days, "__day", "left_semi",
-            spread=["post_id", "comment_id"]).select(*table.columns)
+        touched = self._open_summaries()
         history = self._stored("update_processing_status", touched.where(unsettled), ["comment_id"])
-        flagged = scale.cut_lineage(flag_processed(touched, history))
-        if not flagged.isEmpty():
-            t.replace_partitions("daily_summary_data", flagged)
+        t.replace_partitions("daily_summary_data", flag_processed(touched, history))
+        still = self._open_summaries().where(unsettled).select(F.to_date("processed_date").alias("run_day"))
+        self._replace("open_run_days", scale.cut_lineage(still.distinct()))
 
     def _report_rows(self):
         """The rows of the report; harmful items hold the skip message as their summary."""
@@ -184,6 +217,7 @@ class DailyRun:
                    else report.flag_harmful(rows, self.harmful))
         return report.skip_harmful(flagged).drop("harmful")
 
+    @_stage
     def report(self, root):
         lines = report.report_lines(self._report_rows(), self.run_ts)
         write_reports(clean_report_lines(lines, "text"), root, self.run_ts)
@@ -206,7 +240,7 @@ def run_day(spark, root, listing, run_ts, report_root, **settings):
     run.summarise_day()
     run.gate("staging", {
         "daily_summary_data": t.read("daily_summary_data"),
-        "current_summary_staging": analysis.staging(t.read("daily_summary_data"))})
+        "current_summary_staging": run.staged()})
     run.counts["failed"] = run.enrich()
     run.gate("models", {name: t.read(name)
                         for name in ("text_summary_results", "sentiment_analysis_results")})

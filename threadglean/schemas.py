@@ -70,6 +70,8 @@ TABLES = {
     "update_processing_status": _struct(
         ("comment_id", _S, False), ("post_id", _S, False),
     ),
+    # Control table: run days whose summary rows may still be unprocessed.
+    "open_run_days": _struct(("run_day", _DATE, True)),
 }
 
 KEYS = {
@@ -88,12 +90,17 @@ KEYS = {
 # before it. daily_summary_data is split by the day of its run, so marking rows
 # as processed rewrites the days that still hold open rows and never the settled
 # history.
+# Model results are split by a hash of their key, so an upsert rewrites the buckets of
+# repeated keys only.
 _EVENT_FOLDERS = {"subreddit": "subreddit", "created_day": "to_date(created_utc)"}
+_KEY_BUCKETS = {"key_bucket": "pmod(xxhash64(comment_id), 64)"}
 PARTITIONS = {
     "raw_posts": _EVENT_FOLDERS,
     "posts": _EVENT_FOLDERS,
     "comments": _EVENT_FOLDERS,
     "daily_summary_data": {"processed_day": "to_date(processed_date)"},
+    "text_summary_results": _KEY_BUCKETS,
+    "sentiment_analysis_results": _KEY_BUCKETS,
     "joined_summary_analysis": {"subreddit": "subreddit"},
 }
 

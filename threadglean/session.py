@@ -34,6 +34,14 @@ def apply_settings(spark):
     return spark
 
 
+def _machine_local(path):
+    """Whether a path without a store lies in this machine's temporary folder."""
+    scheme, _, rest = path.rpartition("file:")
+    plain = rest if scheme == "" else path
+    return "://" not in plain.lstrip("/") and ("/" + plain.lstrip("/")).startswith(
+        os.path.join(tempfile.gettempdir(), ""))
+
+
 def checkpoint_folder(spark):
     """The cluster's checkpoint folder; a temporary one only for a local session.
 
@@ -45,6 +53,8 @@ def checkpoint_folder(spark):
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
+            if not sc.master.startswith("local") and _machine_local(configured):
+                raise RuntimeError(f"{configured} is one machine's own temporary folder")
             sc.setCheckpointDir(configured)
         elif sc.master.startswith("local"):
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="threadglean-ckpt-"))

@@ -25,12 +25,12 @@ def scan_options(table, partition_column=None, lower=None, upper=None, partition
 
 def mark_query(table, ts="created_utc"):
     """One-row query for the largest epoch of a table."""
-    return f"SELECT EXTRACT(EPOCH FROM MAX({ts})) AS max_epoch FROM {table}"
+    return f"SELECT MAX(EXTRACT(EPOCH FROM {ts})) AS mark FROM {table}"
 
 
 def new_rows_query(table, mark, ts="created_utc"):
     """Rows strictly after `mark` as a derived table, filtered by the database."""
-    return f"(SELECT * FROM {table} WHERE EXTRACT(EPOCH FROM {ts}) > {float(mark)!r}) AS new_data"
+    return f"(SELECT t.* FROM {table} t WHERE EXTRACT(EPOCH FROM t.{ts}) > {float(mark)!r}) unread"
 
 
 def read_table(spark, conn, table, **split):
