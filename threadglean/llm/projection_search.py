@@ -112,9 +112,8 @@ def nearest(rows, k=10, *, every=100, id_col="vec_id", vector_col="embedding"):
                               F.col(vector_col).cast("array<double>").alias("embedding"))
     usable_rows = usable_rows.where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     asked = usable_rows.where(F.col("vec_id") % every == 0).distinct()
-    n = usable_rows.count()
-    shards = max(1, -(-n // SHARD_ROWS))
-    blocks = max(1, -(-(n // every + 1) // QUERY_ROWS))
+    shards = max(1, -(-usable_rows.count() // SHARD_ROWS))
+    blocks = max(1, -(-asked.count() // QUERY_ROWS))
     # A row number, not the id, deals the rows: repeated ids don't pile up.
     dealt = F.pmod(F.xxhash64("vec_id", F.monotonically_increasing_id()), F.lit(shards))
     index = usable_rows.select(

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-PIECE_BYTES = 2 * 1024 * 1024
+PIECE_BYTES = 1024 * 1024
 
 # The white space bytes of the word rule [^\x20\x09-\x0D]+.
 WHITE = np.zeros(256, bool)
@@ -108,6 +108,8 @@ def pieces(column, limit=PIECE_BYTES):
         yield Texts(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at],
                     slice(at, to), valid[at:to])
         at = to
+    # What Arrow holds beyond its use goes back, as a worker serves many tasks.
+    pa.default_memory_pool().release_unused()
 
 
 def shingles(hashes, first, width):
@@ -205,7 +207,8 @@ def pretokens(texts, pattern):
 class WordCodes:
     """Ids of distinct words, kept in a worker; `encode` maps a list of bytes to id lists.
 
-    Beyond `keep` words the table starts anew, so that memory stays bounded.
+    Words are looked up by their hash in a sorted array, about 30 bytes for each. Beyond `keep`
+    words the table starts anew, so that memory stays bounded.
     """
 
     def __init__(self, encode, keep=1_500_000):
@@ -213,34 +216,43 @@ class WordCodes:
         self._reset()
 
     def _reset(self):
-        self.at, self.sizes, self.flat, self.used = {}, np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+        self.hashes, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.flat, self.used = np.zeros(0, np.int32), 0
+
+    def _add(self, hashes, at, words):
+        """Slots of new words, whose hashes belong at these places of the sorted array."""
+        ids = self.encode(words)
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        total, base = int(sizes.sum()), len(self.sizes)
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate((self.flat, np.zeros(max(total, len(self.flat) // 2), np.int32)))
+        self.flat[self.used:self.used + total] = np.fromiter((i for word in ids for i in word), np.int32, total)
+        slots = np.arange(base, base + len(ids), dtype=np.int32)
+        self.begins = np.concatenate((self.begins, self.used + np.cumsum(sizes, dtype=np.int32) - sizes))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.used += total
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+        return slots
 
     def expand(self, texts, start, first):
         """(ids, counts): all ids of the pieces' texts and their number per text."""
         end = np.append(start[1:], len(texts.data))
-        hashes = texts.hashes(start, end)
-        distinct, where, index = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.at) > self.keep:
+        distinct, where, index = np.unique(texts.hashes(start, end), return_index=True, return_inverse=True)
+        if len(self.hashes) > self.keep:
             self._reset()
-        get, keys = self.at.get, distinct.tolist()
-        slot = np.fromiter((get(k, -1) for k in keys), np.int64, len(keys))
-        new = np.flatnonzero(slot < 0)
+        at = np.searchsorted(self.hashes, distinct)
+        known = np.zeros(len(distinct), bool)
+        inside = at < len(self.hashes)
+        known[inside] = self.hashes[at[inside]] == distinct[inside]
+        slot = np.zeros(len(distinct), np.int32)
+        slot[known] = self.slots[at[known]]
+        new = np.flatnonzero(~known)
         if len(new):
-            ids = self.encode(texts.bytes_of(start[where[new]], end[where[new]]))
-            base = len(self.sizes)
-            self.sizes = np.concatenate((self.sizes, np.fromiter(map(len, ids), np.int64, len(ids))))
-            total = int(self.sizes[base:].sum())
-            if self.used + total > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros(max(total, len(self.flat)), np.int32)))
-            self.flat[self.used:self.used + total] = np.fromiter(
-                (i for word in ids for i in word), np.int32, total)
-            self.used += total
-            slot[new] = np.arange(base, base + len(new))
-            self.at.update((keys[j], base + i) for i, j in enumerate(new.tolist()))
-        begin = np.cumsum(self.sizes) - self.sizes
-        begin, size = begin[slot][index], self.sizes[slot][index]
+            words = texts.bytes_of(start[where[new]], end[where[new]])
+            slot[new] = self._add(distinct[new], at[new], words)
+        begin, size = self.begins[slot][index], self.sizes[slot][index].astype(np.int64)
         stop = np.cumsum(size)
-        shift = np.repeat(begin - (stop - size), size)
-        ids = self.flat[shift + np.arange(len(shift))]
+        ids = self.flat[np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
         sums = np.concatenate(([0], stop))
         return ids, np.diff(sums[first])
