@@ -89,14 +89,14 @@ def _sql_truncate(c, n=K.CLASSIFIER_MAX_CHARS):
 
 
 def _sql_mask(c, lexicon=LEXICON):
-    """Words of other letters are masked as they are written, others in any case."""
-    hidden = sorted((set(lexicon) | set(K.EXTRA_MASKED_WORDS)) - set(K.NEVER_MASKED_WORDS))
-    exact = [w for w in hidden if not w.isascii()] or [""]
-    hidden = sorted({w.lower() for w in hidden if w.isascii()})
+    """Case is ignored for A-Z only; other letters are matched as they are listed."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    hidden = (set(lexicon) | set(K.EXTRA_MASKED_WORDS)) - set(K.NEVER_MASKED_WORDS)
+    hidden = sorted({w.translate(str.maketrans(upper, lower)) for w in hidden})
     word = r"[\p{L}\p{M}\p{Nd}_]"
     other = r"[^\p{L}\p{M}\p{Nd}_]"
     return f"""array_to_string(list_transform(regexp_extract_all({c}, '{word}+|{other}+'),
-        lambda t: CASE WHEN lower(t) IN ({_sql_words(hidden)}) OR t IN ({_sql_words(exact)})
+        lambda t: CASE WHEN translate(t, '{upper}', '{lower}') IN ({_sql_words(hidden)})
                        THEN '***' ELSE t END), '')"""
 
 
