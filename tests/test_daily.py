@@ -104,6 +104,8 @@ def test_gate_stops_the_run(spark, tmp_path):
     with pytest.raises(QualityError, match="raw_posts.score expression_is_true"):
         run_day(spark, str(tmp_path / "s"), bad, DAY1, str(tmp_path / "o"))
     assert Tables(spark, str(tmp_path / "s")).read("daily_summary_data").count() == 0
+    with pytest.raises(QualityError, match="raw_posts.score expression_is_true: 1 .* in openai"):
+        run_day(spark, str(tmp_path / "t"), bad, DAY1, str(tmp_path / "o"), gate_by="subreddit")
 
 
 def test_landing_stream(spark, tmp_path):

@@ -220,7 +220,9 @@ def assert_quality(report, stage):
     failed = report.where(F.col("failed") > 0).collect()
     errors = [r for r in failed if r["severity"] == "error"]
     if errors:
+        groups = [c for c in report.columns
+                  if c not in ("table_name", "column_name", "test", "severity", "failed", "sample")]
         lines = [f"{r['table_name']}.{r['column_name']} {r['test']}: {r['failed']} (e.g. {r['sample']})"
-                 for r in errors]
+                 + "".join(f" in {r[c]}" for c in groups if r[c] is not None) for r in errors]
         raise QualityError(f"{stage}: " + "; ".join(lines))
     return failed

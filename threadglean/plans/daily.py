@@ -42,7 +42,8 @@ class DailyRun:
 
     The caps are those of one listing; None lifts them. `harmful` names what the report
     skips: a frame of comment_ids, or a pattern of words. `check_keys` refuses an append
-    whose keys are null, repeated or stored.
+    whose keys are null, repeated or stored. `gate_by` ("subreddit") runs the tests of a
+    gate once per community instead of once per table.
     """
 
     tables: Tables
@@ -55,11 +56,12 @@ class DailyRun:
     comments_per_post: int | None = COMMENTS_PER_POST
     harmful: object = None
     check_keys: bool = True
+    gate_by: str | None = None
     counts: dict = field(default_factory=dict)
 
     def gate(self, stage, frames):
         report_ = quality.run_suites(
-            frames, SUITES, {t: k[-1] for t, k in KEYS.items()})
+            frames, SUITES, {t: k[-1] for t, k in KEYS.items()}, by=self.gate_by)
         return quality.assert_quality(report_, stage)
 
     def _run_time(self):

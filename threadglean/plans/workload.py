@@ -67,9 +67,10 @@ def raw_json(spark, d):
 
 def _quartiles(df, ts="created_utc"):
     """Times at a quarter, half and three quarters of the table's time span."""
-    lo = df.agg(F.min(F.unix_micros(ts))).scalar()
-    hi = df.agg(F.max(F.unix_micros(ts))).scalar()
-    return [F.timestamp_micros(lo + F.floor((hi - lo) * n / 4).cast("long")) for n in (1, 2, 3)]
+    micros = F.unix_micros(ts)
+    span = df.agg(F.struct(F.min(micros).alias("low"), F.max(micros).alias("high"))).scalar()
+    low, high = span["low"], span["high"]
+    return [F.timestamp_micros(low + F.floor((high - low) * n / 4).cast("long")) for n in (1, 2, 3)]
 
 
 def _at(table, n, ts="created_utc"):
