@@ -92,7 +92,9 @@ def test_narrow_to(spark, skewed):
     batch = spark.createDataFrame([("hot",), ("hot",), (None,), ("none",)], "key string")
     few = scale.narrow_to(skewed, batch, "key")
     assert rows(few) == rows(skewed.where("key = 'hot'"))
-    assert scale.narrow_to(skewed, batch, "key", max_rows=2) is skewed
+    assert scale.narrow_to(skewed, batch, "key", max_rows=1) is skewed
+    narrow = spark.createDataFrame([(7,), (8,)], "row_id int")  # another type than the stored key
+    assert scale.narrow_to(skewed, narrow, "row_id").count() == 2
 
 
 def test_every_hot_key_is_split(spark):

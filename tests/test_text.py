@@ -3,8 +3,6 @@
 import random
 import re
 
-import pytest
-
 from threadglean import constants as K
 from threadglean.functions import text as X
 

@@ -110,17 +110,21 @@ def lookup_join(big, small, on, how="left", spread=None, max_rows=PIN_MAX_ROWS):
 
 
 def narrow_to(stored, batch, keys, max_rows=NARROW_PIN_ROWS):
-    """A stored table without rows that no key of the batch can meet.
+    """A stored table without most rows that no key of the batch can meet.
 
-    While the batch has few keys the table is filtered as it is scanned, and a
-    join with the batch then shuffles only what can match. With more keys the
-    table is returned as it is; the join gives the same rows either way.
+    While the batch has few keys the table is filtered as it is scanned, by 64-bit hashes
+    of the keys, so what is sent has a fixed size for each; a join with the batch
+    then shuffles only what can match. With more keys the table is returned as it
+    is; the join gives the same rows either way.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    ids, few = pin_small(batch.select(*keys).distinct(), max_rows)
+    typed = [F.col(k).cast(stored.schema[k].dataType) for k in keys]
+    ids, few = pin_small(
+        batch.dropna(subset=keys).select(F.xxhash64(*typed).alias("__key")).distinct(), max_rows)
     if not few:
         return stored
-    return stored.join(F.broadcast(ids), keys, "left_semi").select(*stored.columns)
+    own = stored.dropna(subset=keys)
+    return own.join(F.broadcast(ids), F.xxhash64(*keys) == F.col("__key"), "left_semi").select(*stored.columns)
 
 
 def hot_keys(df, keys, rows_per_task=None):

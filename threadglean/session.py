@@ -71,3 +71,17 @@ def share_package(spark):
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
+# Bytes of a batch that a Python worker gets at once, texts being long; Spark's own default.
+BATCH_BYTES = 4 * 1024 * 1024
+_DEFAULT_BATCH = "67108864b"
+
+
+def prepare_workers(spark):
+    """Let Python workers find this package and get batches of bounded bytes, unless the
+    session has set a bound of its own."""
+    share_package(spark)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == _DEFAULT_BATCH:
+        spark.conf.set(key, str(BATCH_BYTES))
