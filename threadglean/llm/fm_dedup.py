@@ -30,7 +30,7 @@ WINDOW = 13
 GRAM = 6
 RUN = 32           # windows of a segment at most
 HOT_DOCS = 1000    # a minimizer in more documents is dealt window by window
-SHARD_SEGMENTS = 60_000
+SHARD_SEGMENTS = 15_000
 
 
 class Wavelet:

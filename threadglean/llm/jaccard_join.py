@@ -58,7 +58,10 @@ def can_link(a, b, rest_a, rest_b, common):
     """Whether sets of sizes a and b with so many common prefix shingles may link.
 
     rest: shingles beyond CUT, or -1 if the prefix ends before. Works on numpy arrays.
+    A prefix shingle is sent as a part of its hash; two of a set that agree by chance
+    count once, so one more than counted may be common.
     """
+    common = common + 1
     sized = (4 * a >= 3 * b) & (4 * b >= 3 * a) & (common >= least_shared(a, b))
     known = (rest_a >= 0) & (rest_b >= 0)
     return sized & (~known | (common + np.minimum(rest_a, rest_b) >= least_overlap(a, b)))

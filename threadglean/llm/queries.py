@@ -7,11 +7,11 @@ from threadglean.llm import (
     fm_dedup, jaccard_join, merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
     toxicity,
 )
-from threadglean.session import share_package
+from threadglean.session import prepare_workers
 
 
 def _table(spark, sf_dir, name):
-    share_package(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
