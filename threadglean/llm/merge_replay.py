@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from threadglean.llm.textbytes import WordCodes, pieces, pretokens
 
 
+# Words of one replay, and words whose ids a worker keeps: both bound its memory.
+REPLAY_WORDS = 20_000
+KEPT_WORDS = 400_000
+
+
 def read_ranks(path):
     """token bytes -> rank, from a file of base64 tokens and ranks."""
     with open(path, "rb") as lines:
@@ -51,8 +56,9 @@ class MergeReplay:
                 out[i] = (rank,)
             else:
                 rest.append(i)
-        if rest:
-            for i, ids in zip(rest, self._replay([words[i] for i in rest])):
+        for at in range(0, len(rest), REPLAY_WORDS):
+            part = rest[at:at + REPLAY_WORDS]
+            for i, ids in zip(part, self._replay([words[i] for i in part])):
                 out[i] = ids
         return out
 
@@ -136,7 +142,7 @@ def _codec(path, pattern):
         replay = MergeReplay(read_ranks(path))
         sizes = np.array([len(t) for t in replay.tokens], np.int64)
         _codecs[path, pattern] = (
-            WordCodes(replay.encode), regex.compile(pattern), sizes, np.cumsum(sizes) - sizes,
+            WordCodes(replay.encode, KEPT_WORDS), regex.compile(pattern), sizes, np.cumsum(sizes) - sizes,
             np.frombuffer(b"".join(replay.tokens), np.uint8))
     return _codecs[path, pattern]
 

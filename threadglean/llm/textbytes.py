@@ -38,9 +38,11 @@ def _power(base, n):
     """base**0 .. base**(n-1) modulo 2**64, kept for the worker's life."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        out = np.full(max(n, PIECE_BYTES + 1), base % 2**64, np.uint64)
-        out[0] = 1
-        _powers[base] = have = np.multiply.accumulate(out)
+        have = np.full(max(n, PIECE_BYTES + 2), base % 2**64, np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if n <= PIECE_BYTES + 2:  # those of a longer text are not kept
+            _powers[base] = have
     return have[:n]
 
 
