@@ -152,6 +152,57 @@ def test_mix(spark):
     assert mixing.mix(empty(spark)).count() == 0
 
 
+def served(blocks, weights):
+    """Blocks of every source that are due after each slot, slot by slot at the exact weights."""
+    due, out = [0.0] * len(blocks), []
+    for _ in range(sum(blocks)):
+        room = 1.0
+        while room > 1e-9:
+            active = [i for i, n in enumerate(blocks) if n - due[i] > 1e-9]
+            if not active:
+                break
+            total = sum(weights[i] for i in active)
+            step = min(room, min((blocks[i] - due[i]) * total / weights[i] for i in active))
+            for i in active:
+                due[i] += step * weights[i] / total
+            room -= step
+        out.append(list(due))
+    return np.array(out)
+
+
+def lags(order, blocks, weights):
+    """The largest distance of a source from its weight, in blocks, over all slots."""
+    out = np.zeros((len(order), len(blocks)))
+    out[np.arange(len(order)), order] = 1
+    return np.abs(np.cumsum(out, 0) - served(blocks, weights)).max()
+
+
+@pytest.mark.parametrize("blocks,weights", [
+    ([600] * 20, [1.0] * 20),
+    ([12_000, 3], [1.0, 1e-5]),
+    ([n * n for n in range(1, 33)], [float(n) for n in range(1, 33)]),
+    ([5000, 3000, 7, 2500, 1], [0.31, 0.05, 0.01, 0.6, 0.03]),
+])
+def test_every_slot_is_within_one_block_of_the_exact_weights(blocks, weights):
+    for chunk in (1 << 20, 997):
+        i, j, slots, phase = (np.concatenate(x) for x in zip(*mixing.schedule(blocks, weights, chunk)))
+        assert len(slots) > 10_000 and (slots == np.arange(sum(blocks))).all()
+        assert all((j[i == s] == np.arange(n)).all() for s, n in enumerate(blocks))
+        assert lags(i, blocks, weights) < 1 + 1e-6
+        assert phase[0] == 0 and (np.diff(phase) >= 0).all()
+
+
+def test_mixed_rows_keep_to_the_exact_weights(spark, monkeypatch):
+    docs = spark.range(11_000).selectExpr("id AS doc_id", "concat('s', id % 20) AS source")
+    got = [r for r in mixing.mix(docs, block=1).orderBy("position").collect()]
+    assert [r.position for r in got] == [r.slot for r in got] == list(range(11_000))
+    assert lags([int(r.source[1:]) for r in got], [550] * 20, [1.0] * 20) < 1 + 1e-6
+    # The same schedule from several chunks and a shuffle join.
+    monkeypatch.setattr(mixing, "PLAN_PIN_ROWS", 0)
+    monkeypatch.setattr(mixing, "CHUNK_SLOTS", 100)
+    assert got == mixing.mix(docs, block=1).orderBy("position").collect()
+
+
 def test_mixed_files_are_in_order(spark):
     rows = [(i, f"t{i}", f"s{i % 7 % 3}") for i in range(300)]
     got = [r.position for r in mixing.in_order(mixing.mix(frame(spark, rows))).collect()]

@@ -1,23 +1,30 @@
 """Mixing sources to target weights (3) by Pfair scheduling, with DataFrame functions only.
 
-Rows of a source, in a seeded random order, form blocks. Block j of a source of
-weight w may not go out before slot floor(j / w) and must be out by slot
-ceil((j + 1) / w); in each slot, the released block with the earliest deadline goes.
-So after every slot each source is less than one block away from its weight.
-
-Weights are whole shares of a period, and the schedule repeats after it, so only one
-period is worked out, from the numbers of rows per source; every row finds its slot
-by arithmetic. When a source has no block left, the next phase goes on with the
-other sources at renormalised weights: all rows go out.
+Rows of a source, in a seeded random order, form blocks. By its exact weight, a source's
+block j falls due over a stretch of time; it may not go out before the slot in which that
+stretch begins and must be out by the slot in which it ends; in each slot, the released
+block with the earliest deadline goes. So after every slot each source is less than
+one block away from its weight, over the whole corpus.
+
+When a source has, by its weight, no block left, the stretches of the others go on at
+renormalised weights: all rows go out. The schedule is worked out from the numbers
+of rows per source, a chunk of slots at a time, and joined to the rows by source and block.
 """
 
 import heapq
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from threadglean.operators.scale import rank_rows
+from threadglean.operators.scale import cut_lineage, rank_rows
 
+# Period of whole_shares(), one_period() and phases(), which mix() does not use: a
+# schedule that repeats keeps to rounded weights only.
 PERIOD = 1024
+# Slots that are worked out at a time, and the most blocks that are sent to all executors.
+CHUNK_SLOTS = 1 << 20
+PLAN_PIN_ROWS = 500_000
 
 
 def whole_shares(weights, period):
@@ -80,6 +87,100 @@ def phases(blocks, weights, period=PERIOD):
     return out
 
 
+class Fluid:
+    """Every source served at its exact weight, all of them one block a slot, until it runs out.
+
+    The clock of a source's service: `weight` times clock blocks have gone out. `time`
+    turns it into slots; the two part in pace whenever a source has run out.
+    """
+
+    def __init__(self, blocks, weights):
+        self.blocks = np.asarray(blocks, np.int64)
+        self.weights = np.asarray(weights, np.longdouble)
+        if not (np.isfinite(self.weights) & (self.weights > 0)).all():
+            raise ValueError("weights must be positive numbers")
+        out = self.blocks / self.weights
+        order = np.argsort(out, kind="stable")
+        self.out = out[order]
+        # With k sources run out: their blocks, and the weight of the others.
+        self.gone = np.concatenate(([0], np.cumsum(self.blocks[order])))
+        self.left = np.concatenate((np.cumsum(self.weights[order][::-1])[::-1], [0]))
+        self.ends = self.time(self.out)
+
+    def time(self, clock):
+        """Slots at readings of the clock; a hair beside a whole number is that number."""
+        k = np.searchsorted(self.out, clock)
+        slots = self.gone[k] + clock * self.left[k]
+        whole = np.rint(slots)
+        return np.where(np.abs(slots - whole) < 1e-9 + 1e-15 * whole, whole, slots)
+
+    def clock(self, slot):
+        k = min(np.searchsorted(self.ends, slot), len(self.out) - 1)
+        return min((slot - self.gone[k]) / self.left[k], self.out[-1])
+
+
+def schedule(blocks, weights, chunk=CHUNK_SLOTS):
+    """(source, block, slot, phase) arrays, a chunk of slots at a time, by earliest deadline.
+
+    `blocks` are positive. A phase is a stretch between two times at which sources run out.
+    Holds a chunk and one entry per source.
+    """
+    fluid = Fluid(blocks, weights)
+    many, total = len(fluid.blocks), int(fluid.blocks.sum())
+    chunk = max(chunk, many)
+    ends = np.unique(fluid.ends)
+    released, done = np.zeros(many, np.int64), np.zeros(many, np.int64)
+    ready = []
+    for begin in range(0, total, chunk):
+        end = min(begin + chunk, total)
+        # Blocks released before `end`; two more a source, as the clock is not exact.
+        upto = np.minimum(fluid.blocks, (fluid.weights * fluid.clock(end)).astype(np.int64) + 2)
+        counts = np.maximum(upto - released, 0)
+        i = np.repeat(np.arange(many), counts)
+        j = np.arange(len(i)) + np.repeat(released - (np.cumsum(counts) - counts), counts)
+        release = np.floor(fluid.time(j / fluid.weights[i])).astype(np.int64)
+        i, j, release = (x[release < end] for x in (i, j, release))
+        released += np.bincount(i, minlength=many)
+        deadline = np.ceil(fluid.time((j + 1) / fluid.weights[i])).astype(np.int64)
+        order = np.argsort(release, kind="stable")
+        keys, begins = (deadline * many + i)[order].tolist(), release[order].tolist()
+        went, at = [], 0
+        for slot in range(begin, end):
+            while at < len(begins) and begins[at] <= slot:
+                heapq.heappush(ready, keys[at])
+                at += 1
+            went.append(heapq.heappop(ready))
+        deadline, i = np.divmod(np.array(went, np.int64), many)
+        slots = np.arange(begin, end)
+        if (deadline <= slots).any():
+            raise AssertionError("a deadline was missed")
+        order = np.argsort(i, kind="stable")
+        counts = np.bincount(i, minlength=many)
+        j = np.empty(len(i), np.int64)
+        j[order] = np.arange(len(i)) + np.repeat(done - (np.cumsum(counts) - counts), counts)
+        done += counts
+        yield i, j, slots, np.searchsorted(ends, slots + 1)
+
+
+def plan_blocks(spark, counts, weights, block):
+    """The schedule as a table: source number, block, slot, phase, position of the first row."""
+    counts = np.asarray(counts, np.int64)
+    blocks = -(-counts // block)
+    kind = "__source_no long, __block long, __slot long, __phase int, __start long"
+    names = [c.split()[0] for c in kind.split(", ")]
+    many, at, parts = int(blocks.sum()) > max(CHUNK_SLOTS, len(blocks)), 0, []
+    for i, j, slots, phase in schedule(blocks, weights, CHUNK_SLOTS):
+        ends = at + np.cumsum(np.minimum(block, counts[i] - j * block))
+        starts, at = np.concatenate(([at], ends[:-1])), int(ends[-1])
+        part = spark.createDataFrame(pa.table(
+            [pa.array(x) for x in (i, j, slots, phase.astype(np.int32), starts)], names=names), kind)
+        parts.append(cut_lineage(part) if many else part)
+    plan = parts[0]
+    for part in parts[1:]:
+        plan = plan.unionByName(part)
+    return plan, int(blocks.sum())
+
+
 def mix(rows, *, weights=None, temperature=0.5, block=16, source_col="source",
         order_cols=("doc_id",), seed=29):
     """All rows with `block`, `slot`, `phase` and `position` (0, 1, 2, ... without gaps).
@@ -87,8 +188,8 @@ def mix(rows, *, weights=None, temperature=0.5, block=16, source_col="source",
     `weights` maps sources to positive numbers (missing: 1); without it a source
     weighs its number of rows to the power `temperature`. A null source is a source. Rows that
     agree in `order_cols` are interchangeable. Columns with the names of the new
-    ones are replaced. The driver holds one row and one period per source and
-    phase; rows are ranked over ranges, so a source may hold any share of them.
+    ones are replaced. The driver holds one row per source and a chunk of slots;
+    rows are ranked over ranges, so a source may hold any share of them.
     """
     spark = rows.sparkSession
     rows = rows.drop("block", "slot", "phase", "position")
@@ -100,38 +201,18 @@ def mix(rows, *, weights=None, temperature=0.5, block=16, source_col="source",
         return rows.select("*", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("slot"),
                            F.lit(0).alias("phase"), F.lit(0).cast("long").alias("position"))
     pull = [weights.get(s, 1.0) if weights else n ** temperature for s, n in counted]
-    planned = phases([-(-n // block) for _, n in counted], pull)
-    # Blocks that are not full: the last of each source, and the slots they go out in.
-    short = []
-    for i, _, first, taken, at, period, slots in planned:
-        last = (counted[i][1] - 1) // block
-        if counted[i][1] % block and first <= last < first + taken:
-            turn, place = divmod(last - first, len(slots))
-            short.append((at + turn * period + slots[place], block - counted[i][1] % block))
     kind = rows.schema[source_col].dataType.simpleString()
-    plan = spark.createDataFrame(
-        [(counted[i][0], *rest) for i, *rest in planned],
-        f"__source {kind}, __phase int, __first long, __taken long, __at long, __period long, "
-        "__slots array<int>")
+    named = spark.createDataFrame(
+        [(s, i) for i, (s, _) in enumerate(counted)], f"__source {kind}, __source_no long")
+    plan, n_blocks = plan_blocks(spark, [n for _, n in counted], pull, block)
+    plan = plan.join(F.broadcast(named), "__source_no").drop("__source_no")
     dealt = rows.withColumn("__deal", F.xxhash64(F.lit(seed), *order_cols))
     ranked = rank_rows(dealt, source_col, ["__deal", *[F.col(c) for c in order_cols]], "__rank",
                        small_limit=0)
-    numbered = ranked.withColumn("__block", F.expr(f"(__rank - 1) div {block}"))
-    own = (
-        source.eqNullSafe(F.col("__source")) & (F.col("__block") >= F.col("__first"))
-        & (F.col("__block") < F.col("__first") + F.col("__taken"))
-    )
-    turn = F.col("__block") - F.col("__first")
-    placed = numbered.join(F.broadcast(plan), own).withColumn(
-        "__slot", F.col("__at") + F.expr("(__block - __first) div size(__slots)") * F.col("__period")
-        + F.element_at("__slots", (F.pmod(turn, F.size("__slots")) + 1).cast("int")))
-    missing = F.lit(0).cast("long")
-    if short:
-        holes = F.array(*[F.struct(F.lit(s).cast("long").alias("at"), F.lit(m).cast("long").alias("n"))
-                          for s, m in short])
-        missing = F.aggregate(holes, F.lit(0).cast("long"),
-                              lambda n, h: n + F.when(h["at"] < F.col("__slot"), h["n"]).otherwise(0))
-    position = F.col("__slot") * block + F.pmod(F.col("__rank") - 1, F.lit(block)) - missing
+    numbered = ranked.withColumn("__own", F.expr(f"(__rank - 1) div {block}"))
+    placed = numbered.join(F.broadcast(plan) if n_blocks <= PLAN_PIN_ROWS else plan,
+                           source.eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__block")))
+    position = F.col("__start") + F.pmod(F.col("__rank") - 1, F.lit(block))
     return placed.select(
         *columns, F.col("__block").alias("block"), F.col("__slot").alias("slot"),
         F.col("__phase").alias("phase"), position.cast("long").alias("position"))
