@@ -325,6 +325,58 @@ def test_pipeline_equals_its_stages_by_brute_force(spark):
             assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
 
 
+def brute_schedule(blocks, weights):
+    """The source of every slot: of the blocks that are due in part, the one that must be out first."""
+    due = served(blocks, weights)
+    release = [[int(np.argmax(due[:, i] > j + 1e-7)) for j in range(n)] for i, n in enumerate(blocks)]
+    deadline = [[int(np.argmax(due[:, i] > j + 1 - 1e-7)) + 1 for j in range(n)] for i, n in enumerate(blocks)]
+    done, order = [0] * len(blocks), []
+    for slot in range(sum(blocks)):
+        _, i = min((deadline[i][d], i) for i, d in enumerate(done) if d < blocks[i] and release[i][d] <= slot)
+        order.append(i)
+        done[i] += 1
+    return order
+
+
+def brute_positions(spark, docs):
+    """Positions of (doc_id, text) rows by a brute-force schedule."""
+    rows = docs.selectExpr("doc_id", "text", "source", "xxhash64(29, doc_id, xxhash64(text)) AS deal").collect()
+    by_source = defaultdict(list)
+    for r in sorted(rows, key=lambda r: r.deal):
+        by_source[r.source].append((r.doc_id, r.text))
+    names = sorted(by_source, key=lambda s: (s is not None, str(s)))
+    counts = [len(by_source[s]) for s in names]
+    out, done = [], Counter()
+    for i in brute_schedule([-(-n // 16) for n in counts], [n ** 0.5 for n in counts]):
+        out += by_source[names[i]][16 * done[i]:16 * done[i] + 16]
+        done[i] += 1
+    return out
+
+
+def test_the_pipeline_returns_the_schedule(spark):
+    import hashlib
+
+    rows = awkward() + [(1000 + i, f"t{i}", "hot" if i % 3 else f"s{i % 5}") for i in range(900)]
+    docs = frame(spark, rows)
+    want = brute_positions(spark, docs)
+    got = {r.position: (r.doc_id, r.decoded_sha256) for r in corpus_pipeline.encode(spark, docs, SF_DIR).collect()}
+    digest = [(i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in want]
+    assert [got[p] for p in range(len(rows))] == digest
+    # The files of the stage before hold the same order.
+    stored = corpus_pipeline.mix_sources(spark, docs, SF_DIR).collect()
+    assert [(r.doc_id, r.text) for r in stored] == want
+
+
+def test_the_whole_pipeline_returns_the_schedule(spark, monkeypatch):
+    given = []
+    stage = corpus_pipeline.encode
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [
+        *corpus_pipeline.STAGES[:-1], ("byte_bpe", lambda s, docs, d: given.append(docs) or stage(s, docs, d))])
+    got = corpus_pipeline.run(spark, SF_DIR).collect()
+    want = brute_positions(spark, given[0])
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.position)] == [i for i, _ in want]
+
+
 def test_stages_keep_the_columns(spark):
     docs = frame(spark, awkward())
     names = [n for n, _ in corpus_pipeline.STAGES]

@@ -154,11 +154,11 @@ def decode_bytes(ids, sizes, begins, flat):
     return flat[shift + np.arange(len(shift))]
 
 
-def encode_decode(docs, ranks_file, pattern, *, id_col="doc_id", text_col="text", with_ids=False):
+def encode_decode(docs, ranks_file, pattern, *, id_col="doc_id", text_col="text", with_ids=False, keep=()):
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row (and `ids` on demand).
 
     Null and empty texts have no ids. Rows that repeat, and null ids, are kept;
-    other columns are not read. decoded_sha256 is taken from the bytes that the
+    columns in `keep` come last, as they are, and others are not read. decoded_sha256 is taken from the bytes that the
     ids stand for. Memory: a piece of about 2 MB or one longer text, and the
     worker's table of words.
     """
@@ -185,9 +185,11 @@ def encode_decode(docs, ranks_file, pattern, *, id_col="doc_id", text_col="text"
                     columns.append(pa.ListArray.from_arrays(
                         pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
                     names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns += [batch.column(2 + k)[texts.rows] for k in range(len(keep))]
+                yield pa.RecordBatch.from_arrays(columns, names=names + list(keep))
 
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *keep)
     return slim.mapInArrow(
         run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-        + ", ids array<int>" * with_ids)
+        + ", ids array<int>" * with_ids
+        + "".join(f", `{c}` {slim.schema[c].dataType.simpleString()}" for c in keep))
