@@ -462,7 +462,8 @@ def verify(pairs, texts):
 def join(docs, *, id_col="doc_id", text_col="text"):
     """doc_id, n_shingles, component_id of every row.
 
-    Null and empty texts, and texts without words, have no shingle and link with
+    The links inside a component are not part of the result: pairs that other links
+    tie already are not verified. Null and empty texts, and texts without words, have no shingle and link with
     nothing. Rows that repeat a doc_id are one node, linked by any of
     their texts; rows with a null id link with nothing and have a null component.
     Other columns are not read.
