@@ -13,6 +13,7 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tests.llm import brute
 from tests.llm.data import awkward, empty, frame
 from threadglean.llm import fm_dedup, jaccard_join, merge_replay, rans, textbytes, token_counts
@@ -240,6 +241,21 @@ def test_shingle_join_empty_and_keep_one(spark):
     assert got.where("doc_id is null").count() == 3
 
 
+@pytest.mark.parametrize("top", [0, 2**63 - 20])
+def test_keep_one_does_not_tie_unlike_texts_of_an_id(spark, top):
+    x = [" ".join(f"x{k}y{i}" for i in range(30)) for k in range(6)]
+    rows = [(3, x[0]), (7, x[0]), (7, x[1]), (7, x[2] + " end"), (8, x[1]), (9, x[2]), (9, x[3]),
+            (9, x[3]), (2, x[4]), (9, x[4]), (10, x[5]), (10, None), (11, ""), (11, x[5])]
+    rows = [(top + i, t, "s") for i, t in rows]
+    # Brute force: every distinct row is a document of its own.
+    own = sorted({(i, t) for i, t, _ in rows}, key=lambda r: (r[0], r[1] or ""))
+    part = {k: c for k, _, c in brute.jaccard([(k, t) for k, (_, t) in enumerate(own)])}
+    want = Counter(own[k] for k in part if own[k][0] == own[part[k]][0])
+    got = corpus_pipeline.drop_near_duplicates(spark, frame(spark, rows), None)
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == want
+    assert {t for _, t in want} >= {x[0], x[1], x[3], x[4], x[5]}
+
+
 def test_shared_tokens_over_batches():
     rng = random.Random(4)
     rows = sorted({(rng.randrange(30), rng.randrange(12)) for _ in range(200)})

@@ -27,7 +27,7 @@ from pyspark.sql import Window, functions as F
 
 from threadglean.llm.components import components
 from threadglean.llm.textbytes import LOWER, mix, pieces, shingles
-from threadglean.operators.scale import cut_lineage, narrow_to
+from threadglean.operators.scale import cut_lineage, lookup_join, narrow_to, number_rows
 
 WIDTH = 5
 COUNT_BITS = 18
@@ -529,16 +529,58 @@ def join(docs, *, id_col="doc_id", text_col="text"):
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def keep_one(docs, *, id_col="doc_id", text_col="text"):
+def _own_nodes(docs, id_col, text_col):
+    """(docs with a `__node` for each text of an id, nodes that are not ids or None).
+
+    An id's first text has the id as its node, its other texts have numbers that no id has.
+    """
+    docs = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.xxhash64(text_col)})
+    pairs = docs.where("__id is not null").select("__id", "__hash").distinct()
+    several = cut_lineage(pairs.groupBy("__id").agg(
+        F.count("*").alias("__texts"), F.min("__hash").alias("__first")).where("__texts > 1"))
+    if several.isEmpty():
+        return docs.withColumn("__node", F.col("__id")), None
+    others = lookup_join(pairs, several, ["__id"], "inner", "__hash").where("__hash <> __first")
+    others = number_rows(others.select("__id", "__hash"), ["__id", "__hash"], "__no")
+    least, most, n = docs.agg(F.min("__id"), F.max("__id"), F.lit(several.agg(F.sum("__texts")).first()[0])).first()
+    if most + n < 2**63:
+        node = F.lit(most) + F.col("__no")
+    elif least - n >= -2**63:
+        node = F.lit(least) - F.col("__no")
+    else:
+        raise ValueError("ids leave no room for further nodes")
+    others = cut_lineage(others.select("__id", "__hash", node.alias("__other")))
+    marked = lookup_join(docs, others, ["__id", "__hash"], "left", text_col)
+    marked = marked.withColumn("__node", F.coalesce("__other", "__id")).drop("__other")
+    return cut_lineage(marked), others
+
+
+def keep_one(docs, *, id_col="doc_id", text_col="text", tied=True):
     """The rows of `docs`, all columns as they are, of the least id of each component.
 
-    Of rows that agree in id and text one stays. Rows with a null id all stay.
+    With `tied`, rows that repeat an id are one node as in join(); without, each text of
+    an id is a node of its own, so an id does not tie unlike texts together. Of rows
+    that agree in id and text one stays. Rows with a null id all stay.
     """
-    gone = join(docs, id_col=id_col, text_col=text_col).where(
-        F.col("component_id") != F.col("doc_id")).select(F.col("doc_id").alias("__gone")).distinct()
     columns = docs.columns
-    named = docs.where(F.col(id_col).isNotNull()).join(
-        cut_lineage(gone), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
-    window = Window.partitionBy(id_col, F.xxhash64(text_col)).orderBy(F.lit(0))
+    if tied:
+        marked = docs.withColumns({"__id": F.col(id_col).cast("long"), "__hash": F.xxhash64(text_col)})
+        marked, others = marked.withColumn("__node", F.col("__id")), None
+    else:
+        marked, others = _own_nodes(docs, id_col, text_col)
+    parts = join(marked, id_col="__node", text_col=text_col).where("component_id is not null")
+    if others is None:
+        gone = parts.where(F.col("component_id") != F.col("doc_id"))
+    else:
+        parts = cut_lineage(lookup_join(
+            parts.select("doc_id", "component_id").distinct(),
+            others.select(F.col("__other").alias("doc_id"), "__id"), ["doc_id"], "left", "component_id")
+            .withColumn("__id", F.coalesce("__id", "doc_id")))
+        least = parts.groupBy("component_id").agg(F.min("__id").alias("__least"))
+        gone = lookup_join(parts, least, ["component_id"], "inner", "doc_id").where("__id <> __least")
+    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
+    named = marked.where(F.col("__id").isNotNull()).join(
+        cut_lineage(gone), F.col("__node") == F.col("__gone"), "left_anti")
+    window = Window.partitionBy("__id", "__hash").orderBy(F.lit(0))
     named = named.withColumn("__copy", F.row_number().over(window)).where(F.col("__copy") == 1)
     return named.select(*columns).unionByName(docs.where(F.col(id_col).isNull()))
