@@ -114,3 +114,24 @@ def test_chi_square():
     drawn = (rng.standard_normal((200_000, projection_search.M)) ** 2).sum(1)
     for x in (2.0, 8.0, 15.0):
         assert projection_search.chi_square_cdf(x) == pytest.approx((drawn <= x).mean(), abs=0.005)
+
+
+@pytest.mark.parametrize("block", [1, 2, 5, 41, 100])
+def test_all_copies_are_read_despite_rounding(block, monkeypatch):
+    rng = np.random.default_rng(block)
+    copy = rng.standard_normal(64)
+    vectors = np.vstack([np.tile(copy, (2731, 1)), rng.standard_normal((500, 64))])
+    ids = rng.permutation(len(vectors))
+    queries = np.vstack([rng.standard_normal((block - 1, 64)), copy])
+    want = np.sort(ids[:2731])[:10]
+
+    def found():
+        q, i, d = projection_search.search(vectors, ids, queries, np.full(block, -1), 10)
+        assert (d[q == block - 1] == 0).all()
+        return ids[i[q == block - 1].astype(int)]
+
+    assert (found() == want).all()
+    # Products of other heights may round otherwise: boxes a few roundings off.
+    tree = projection_search.KdTree
+    monkeypatch.setattr(projection_search, "KdTree", lambda points: tree(points * (1 + 4e-16)))
+    assert (found() == want).all()

@@ -71,12 +71,16 @@ def search(vectors, ids, queries, query_ids, k, step=8):
     weights = projection(vectors.shape[1])
     tree = KdTree(vectors @ weights)
     placed = queries @ weights
+    # Copies of a query may be projected so far away (squared) by rounding: a sum's error is
+    # at most its length times the unit roundoff, relative to both norms.
+    rounding = 4 * vectors.shape[1] * np.finfo(float).eps
+    slack = rounding**2 * (weights * weights).sum() * (queries * queries).sum(1)
     out = []
     for q in range(len(queries)):
         order, far = tree.by_distance(placed[q])
         best_d, best_i = np.zeros(0), np.zeros(0, np.int64)
         for at in range(0, len(order), step):
-            if len(best_d) == k and far[at] > 0:
+            if len(best_d) == k and far[at] > slack[q]:
                 kth = best_d[-1] ** 2
                 if kth == 0 or chi_square_cdf(far[at] / kth) >= CONFIDENCE:
                     break
