@@ -203,6 +203,20 @@ def test_mixed_rows_keep_to_the_exact_weights(spark, monkeypatch):
     assert got == mixing.mix(docs, block=1).orderBy("position").collect()
 
 
+def test_many_sources_stay_a_table(spark, monkeypatch):
+    docs = spark.range(16_000).selectExpr("id AS doc_id", "concat('host', id % 11000) AS source")
+    with monkeypatch.context() as patch:
+        patch.setattr(mixing, "PLAN_PIN_ROWS", 1000)
+        patch.setattr(type(docs), "collect", lambda self: pytest.fail("sources were collected"))
+        mixed = mixing.mix(docs, block=1)
+    got = mixed.collect()
+    assert sorted(r.doc_id for r in got) == sorted(r.position for r in got) == list(range(16_000))
+    # 5,000 hosts have two documents, the others one; the weights are the square roots.
+    phases = Counter(r.phase for r in got)
+    first = 6000 + 5000 * 2 ** 0.5
+    assert abs(phases[0] - first) < 1 and phases[1] == 16_000 - phases[0]
+
+
 def test_mixed_files_are_in_order(spark):
     rows = [(i, f"t{i}", f"s{i % 7 % 3}") for i in range(300)]
     got = [r.position for r in mixing.in_order(mixing.mix(frame(spark, rows))).collect()]

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from threadglean.operators.scale import cut_lineage, rank_rows
+from threadglean.operators.scale import cut_lineage, lookup_join, number_rows, rank_rows
 
 # Period of whole_shares(), one_period() and phases(), which mix() does not use: a
 # schedule that repeats keeps to rounded weights only.
@@ -188,24 +188,32 @@ def mix(rows, *, weights=None, temperature=0.5, block=16, source_col="source",
     `weights` maps sources to positive numbers (missing: 1); without it a source
     weighs its number of rows to the power `temperature`. A null source is a source. Rows that
     agree in `order_cols` are interchangeable. Columns with the names of the new
-    ones are replaced. The driver holds one row per source and a chunk of slots;
-    rows are ranked over ranges, so a source may hold any share of them.
+    ones are replaced. The driver holds two numbers per source and a chunk of slots, no
+    names; rows are ranked over ranges, so a source may hold any share of them.
     """
     spark = rows.sparkSession
     rows = rows.drop("block", "slot", "phase", "position")
     columns = rows.columns
     source = F.col(source_col)
-    counted = [(r[0], r[1]) for r in rows.groupBy(source).count().collect()]
-    counted.sort(key=lambda c: (c[0] is not None, str(c[0])))
-    if not counted:
+    sources = cut_lineage(rows.groupBy(source.alias("__source")).agg(F.count("*").alias("__rows")))
+    if weights:
+        given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()],
+                                      f"__given {rows.schema[source_col].dataType.simpleString()}, __pull double")
+        sources = cut_lineage(sources.join(given, F.col("__source").eqNullSafe(F.col("__given")), "left").select(
+            "__source", "__rows", F.coalesce("__pull", F.lit(1.0)).alias("__pull")))
+    name = F.col("__source")
+    sources = number_rows(sources, [name.isNotNull(), name.cast("string")], "__no").withColumn(
+        "__source_no", F.col("__no") - 1)
+    held = sources.select("__source_no", "__rows", *["__pull"] * bool(weights)).toArrow()
+    if not held.num_rows:
         return rows.select("*", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("slot"),
                            F.lit(0).alias("phase"), F.lit(0).cast("long").alias("position"))
-    pull = [weights.get(s, 1.0) if weights else n ** temperature for s, n in counted]
-    kind = rows.schema[source_col].dataType.simpleString()
-    named = spark.createDataFrame(
-        [(s, i) for i, (s, _) in enumerate(counted)], f"__source {kind}, __source_no long")
-    plan, n_blocks = plan_blocks(spark, [n for _, n in counted], pull, block)
-    plan = plan.join(F.broadcast(named), "__source_no").drop("__source_no")
+    held = held.sort_by("__source_no")
+    counts = np.asarray(held["__rows"])
+    pull = np.asarray(held["__pull"]) if weights else counts.astype(float) ** temperature
+    plan, n_blocks = plan_blocks(spark, counts, pull, block)
+    plan = lookup_join(plan, sources.select("__source_no", "__source"), ["__source_no"], "inner", "__block")
+    plan = plan.drop("__source_no")
     dealt = rows.withColumn("__deal", F.xxhash64(F.lit(seed), *order_cols))
     ranked = rank_rows(dealt, source_col, ["__deal", *[F.col(c) for c in order_cols]], "__rank",
                        small_limit=0)
