@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadglean.llm import (
-    fm_dedup, jaccard_join, merge_replay, mixing, projection_search, rans, sharding, subspace_join, token_counts,
-    toxicity,
+    fm_dedup, jaccard_join, merge_replay, mixing, projection_search, quality_rules, rans, sharding, subspace_join,
+    token_counts, toxicity,
 )
 from threadglean.session import prepare_workers
 
@@ -75,6 +75,12 @@ def op10_signature_tree_join(spark, sf_dir):
     return jaccard_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op13_hashed_llr_rules(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    gains = quality_rules.fit(docs, quality_rules.trusted_ids(_table(spark, sf_dir, "labels")))
+    return quality_rules.judge(docs, gains)
+
+
 QUERIES = {
     "op1_chain_toxicity": op1_chain_toxicity,
     "op2_stratified_shards": op2_stratified_shards,
@@ -86,11 +92,26 @@ QUERIES = {
     "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
     "op10_signature_tree_join": op10_signature_tree_join,
+    "op13_hashed_llr_rules": op13_hashed_llr_rules,
 }
 
 # The words of a text, as a list; null texts have none.
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
 
+# CTEs: the crc32 of each word of `distinct_words` (word), as crcs (word, crc).
+_CRCS = """
+        steps AS (
+            SELECT list(list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1
+                   THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS step
+            FROM (SELECT unnest(range(256)) AS n)
+        ), crcs AS (
+            SELECT word, xor(list_reduce(
+                list_transform(range(-1, strlen(word)), lambda i: CASE WHEN i < 0 THEN 4294967295
+                    ELSE ('0x' || substr(hex(word), 2 * i + 1, 2))::BIGINT END),
+                lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+            FROM distinct_words, steps
+        )"""
+
 ORACLES = {
     "op4_fm_substring_dedup": f"""
         WITH d AS (
@@ -159,4 +180,55 @@ ORACLES = {
         SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, component_id
         FROM documents JOIN least ON id = documents.doc_id
         LEFT JOIN sizes ON sizes.doc_id = documents.doc_id""",
+    "op13_hashed_llr_rules": f"""
+        WITH d AS MATERIALIZED (
+            SELECT doc_id, text, coalesce({_WORDS.format(text='text')}, []) AS w FROM documents
+        ), words AS MATERIALIZED (
+            SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d
+        ), distinct_words AS (SELECT DISTINCT word FROM words), {_CRCS},
+        coded AS MATERIALIZED (
+            SELECT doc_id, i, crc, lead(crc) OVER (PARTITION BY doc_id ORDER BY i) AS after
+            FROM words JOIN crcs USING (word)
+        ), grams AS MATERIALIZED (
+            SELECT doc_id, crc % {quality_rules.BUCKETS} AS bucket FROM coded
+            UNION ALL
+            SELECT doc_id, (crc * {quality_rules.PAIR_FACTOR} + after) % {quality_rules.BUCKETS}
+            FROM coded WHERE after IS NOT NULL
+        ), trusted AS (
+            SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1)
+            ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {quality_rules.MAX_TRUSTED}
+        ), counts AS (
+            SELECT bucket, count(*) + 1 AS s,
+                   count(*) FILTER (doc_id IN (SELECT doc_id FROM trusted)) + 1 AS t
+            FROM grams GROUP BY bucket
+        ), totals AS (
+            SELECT sum(s - 1) + {quality_rules.BUCKETS} AS all_s, sum(t - 1) + {quality_rules.BUCKETS} AS all_t
+            FROM counts
+        ), gains AS (
+            SELECT bucket, floor(1000 * ln((t * all_s)::DOUBLE / (s * all_t)::DOUBLE))::BIGINT AS gain
+            FROM counts, totals
+        ), scored AS (
+            SELECT doc_id, count(*) AS n_grams, sum(gain)::BIGINT AS gain
+            FROM grams JOIN gains USING (bucket) GROUP BY doc_id
+        ), windows AS (
+            SELECT doc_id, i, w[i:i + 2] AS seq FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)
+        ), repeats AS (
+            SELECT doc_id, count(DISTINCT place) AS n FROM (
+                SELECT doc_id, unnest(range(i, i + 3)) AS place FROM windows
+                WHERE true QUALIFY count(*) OVER (PARTITION BY doc_id, seq) > 1)
+            GROUP BY doc_id
+        ), lines AS (
+            SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (
+                SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+            WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id
+        ), based AS (
+            SELECT d.doc_id, len(w)::BIGINT AS n_words,
+                   coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                   coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0)::BIGINT AS n_symbols,
+                   coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
+                   coalesce(n_grams, 0) AS n_grams, coalesce(gain, 0) AS gain
+            FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN scored USING (doc_id)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT base_failed AND gain >= {quality_rules.LEAST_GAIN} * n_grams AS kept FROM based""",
 }
