@@ -157,6 +157,27 @@ def test_substring_dedup(spark, monkeypatch, hot, shard):
     assert sum(n * r[2] for r, n in got.items()) > 500
 
 
+@pytest.mark.parametrize("wide", [2, 1000])
+def test_common_passage_in_many_documents(spark, monkeypatch, wide):
+    """Minimizers of more than three documents, dealt whole or, beyond `wide` segments, by window."""
+    monkeypatch.setattr(fm_dedup, "HOT_DOCS", 3)
+    monkeypatch.setattr(fm_dedup, "HOT_SEGMENTS", wide)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join([f"a{i}"] * (i % 5) + passage[i % 7:70 - i % 11] + [f"b{i}"] * (i % 4)), "s") for i in range(60)]
+    got = Counter(tuple(r) for r in fm_dedup.dedup(frame(spark, rows)).collect())
+    assert got == brute.substring_dedup([r[:2] for r in rows])
+
+
+def test_many_rows_of_one_id_stay_linear(spark):
+    """Unlike texts of one id keep their own places, and equal rows find them once."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(1, passage, "s")] + [(7, f"x{i % 900} {passage}", "s") for i in range(1800)]
+    base, hits = fm_dedup.find_spans(frame(spark, rows))
+    assert hits.count() == 900 and hits.selectExpr("max(size(flatten(found)))").first()[0] == 18
+    got = Counter(tuple(r) for r in fm_dedup.dedup(frame(spark, rows)).collect())
+    assert got == brute.substring_dedup([r[:2] for r in rows])
+
+
 def test_substring_dedup_empty(spark):
     assert fm_dedup.dedup(empty(spark)).count() == 0
     assert fm_dedup.rewrite(empty(spark)).count() == 0

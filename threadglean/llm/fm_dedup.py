@@ -5,9 +5,9 @@ a smaller id. Equal windows meet because both carry the same minimizer, the
 least hash of the GRAM-word groups inside: runs of consecutive windows with one
 minimizer form segments, and only segments whose minimizer occurs in two documents or
 more are looked at again. Segments are dealt to shards by minimizer, where equal ones become one with the
-least document id. A minimizer of very many documents is dealt window by window,
-and equal windows are joined before that shuffle, so a passage that
-very many documents share does not pile up.
+least document id. Equal segments of a minimizer of very many documents are joined before that
+shuffle, so a passage that very many documents share does not pile up; only if very many
+different ones remain is that minimizer dealt window by window.
 
 Each shard indexes its segments: the text of word numbers, sorted by contexts of
 WINDOW words, its Burrows-Wheeler transform in a wavelet matrix of packed bits.
@@ -29,7 +29,8 @@ from threadglean.operators.scale import cut_lineage
 WINDOW = 13
 GRAM = 6
 RUN = 32           # windows of a segment at most
-HOT_DOCS = 1000    # a minimizer in more documents is dealt window by window
+HOT_DOCS = 1000    # equal segments of a minimizer in more documents are joined first
+HOT_SEGMENTS = 1000     # a minimizer with more different segments is dealt window by window
 SHARD_SEGMENTS = 15_000
 
 
@@ -217,9 +218,9 @@ def _slices(data, begin, end):
 
 
 def _minimizers(batches):
-    """doc_id, h: the distinct minimizers of each text."""
+    """doc_id, mark, h: the distinct minimizers of each text."""
     for batch in batches:
-        for texts in pieces(batch.column(1)):
+        for texts in pieces(batch.column(2)):
             _, _, owner, h = Windows(texts).runs()
             order = np.lexsort((h, owner))
             owner, h = owner[order], h[order]
@@ -227,7 +228,8 @@ def _minimizers(batches):
             new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
             rows = pa.array(owner[new] + texts.rows.start)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), pa.array(h[new].view(np.int64))], names=["doc_id", "h"])
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h[new].view(np.int64))],
+                names=["doc_id", "mark", "h"])
 
 
 def _listed(column, rows):
@@ -249,18 +251,17 @@ def _listed_rows(batch, *columns):
     return batch.filter(some[0] if len(some) == 1 else pc.or_(*some))
 
 
-def _chosen(windows, few, many, rows):
-    """(first window, words, owner, route, hot) of the listed segments; hot ones by window."""
+def _chosen(windows, whole, single, rows):
+    """(first window, words, owner, route) of the listed segments, whole or by window."""
     first, size, owner, h = windows.runs()
     tag = _tagged(h, owner)
-    take = np.isin(tag, _tagged(*_listed(few, rows)))
-    hot = np.flatnonzero(np.isin(tag, _tagged(*_listed(many, rows))))
-    count = size[hot]
-    single = np.repeat(first[hot] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-    return (np.concatenate((first[take], single)),
-            np.concatenate((size[take] + WINDOW - 1, np.full(len(single), WINDOW))),
-            np.concatenate((owner[take], np.repeat(owner[hot], count))),
-            h[take].view(np.int64), len(single))
+    take = np.isin(tag, _tagged(*_listed(whole, rows)))
+    cut = np.flatnonzero(np.isin(tag, _tagged(*_listed(single, rows))))
+    count = size[cut]
+    each = np.repeat(first[cut] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    return (np.concatenate((first[take], each)),
+            np.concatenate((size[take] + WINDOW - 1, np.full(len(each), WINDOW))),
+            np.concatenate((owner[take], np.repeat(owner[cut], count))), h[take].view(np.int64))
 
 
 def _places(batches):
@@ -269,7 +270,7 @@ def _places(batches):
         batch = _listed_rows(batch, 3, 4)
         for texts in pieces(batch.column(2)):
             windows = Windows(texts)
-            first, words, owner, _, _ = _chosen(windows, batch.column(3), batch.column(4), texts.rows)
+            first, words, owner, _ = _chosen(windows, batch.column(3), batch.column(4), texts.rows)
             k1, k2 = windows.keys(first, words)
             rows = pa.array(owner + texts.rows.start)
             yield pa.RecordBatch.from_arrays(
@@ -278,28 +279,43 @@ def _places(batches):
                 names=["doc_id", "mark", "k1", "k2", "start"])
 
 
-def _segments(hot):
-    """route, segment, low, high: the words of listed segments, or of windows of hot ones."""
+def _texts_of(windows, first, words):
+    """The words of runs, each followed by one space but the last."""
+    data, begin = windows.joined()
+    last = first + words - 1
+    return _slices(data, begin[first], begin[last] + windows.end[last] - windows.start[last])
+
+
+def _segments(listed):
+    """route, segment, low, high: the segments whose minimizers stand in the list column `listed`."""
     def run(batches):
         for batch in batches:
-            batch = _listed_rows(batch, 4 if hot else 3)
+            batch = _listed_rows(batch, listed)
+            none = pa.nulls(len(batch), batch.column(listed).type)
             for texts in pieces(batch.column(2)):
                 windows = Windows(texts)
-                first, words, owner, route, single = _chosen(
-                    windows, batch.column(3), batch.column(4), texts.rows)
-                part = slice(len(first) - single, None) if hot else slice(0, len(first) - single)
-                first, words, owner = first[part], words[part], owner[part]
-                if hot:
-                    route = windows.keys(first, words)[0]
-                data, begin = windows.joined()
-                last = first + words - 1
-                text = _slices(data, begin[first], begin[last] + windows.end[last] - windows.start[last])
+                first, words, owner, route = _chosen(windows, batch.column(listed), none, texts.rows)
                 doc = batch.column(0).take(pa.array(owner + texts.rows.start))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(route), text, doc, doc], names=["route", "segment", "low", "high"])
+                    [pa.array(route), _texts_of(windows, first, words), doc, doc],
+                    names=["route", "segment", "low", "high"])
     return run
 
 
+def _cut(batches):
+    """The windows of segments as segments of their own, each with a route of its own."""
+    for batch in batches:
+        column = batch.column(1).cast(pa.large_binary()).cast(pa.large_string())
+        for texts in pieces(column):
+            windows = Windows(texts)
+            words = np.full(len(windows.at), WINDOW)
+            rows = pa.array(windows.owner + texts.rows.start)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(windows.keys(windows.at, words)[0]), _texts_of(windows, windows.at, words),
+                 batch.column(2).take(rows), batch.column(3).take(rows)],
+                names=["route", "segment", "low", "high"])
+
+
 def _search(table):
     """k1, k2, least: the least document id of every window of a shard's segments."""
     column = table["segment"].combine_chunks().cast(pa.large_binary()).cast(pa.large_string())
@@ -332,47 +348,71 @@ def _search(table):
                     names=["k1", "k2", "least"])
 
 
+def _joined(segments):
+    """Equal segments as one."""
+    return segments.groupBy("route", "segment").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+
+
 def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
-    """(base, hits): texts with a mark, and per doc_id the windows that go.
+    """(base, hits): texts with a mark, and per doc_id and mark the windows that go.
 
-    `hits` has doc_id and `found`: pairs of a text's mark and an array of the word
-    positions at which its repeated windows start. Columns to `carry` go along in
-    a struct `rest`; texts are shuffled once, and both joins read that shuffle.
+    `hits` has doc_id, mark and `found`: arrays of the word positions at which repeated
+    windows start. The mark tells texts of one id apart and is 0 if no id repeats. Columns to
+    `carry` go along in a struct `rest`; texts are shuffled once, and both joins read that
+    shuffle.
     """
+    ids = docs.select(F.col(id_col).cast("long").alias("doc_id"))
+    repeated = not ids.dropna().groupBy("doc_id").count().where("count > 1").isEmpty()
     base = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.hash(text_col).alias("mark"),
+        F.col(id_col).cast("long").alias("doc_id"), (F.hash(text_col) if repeated else F.lit(0)).alias("mark"),
         F.col(text_col).alias("text"), *[F.struct(*carry).alias("rest")] * bool(carry))
-    marked = base.where("doc_id is not null").select("doc_id", "text").mapInArrow(
-        _minimizers, "doc_id long, h long")
+    marked = base.where("doc_id is not null").select("doc_id", "mark", "text").mapInArrow(
+        _minimizers, "doc_id long, mark int, h long")
     shared = cut_lineage(marked.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_SEGMENTS))
     wanted = cut_lineage(
-        marked.join(shared, "h").groupBy("doc_id").agg(
-            F.collect_list(F.when(F.col("n") <= HOT_DOCS, F.col("h"))).alias("few"),
-            F.collect_list(F.when(F.col("n") > HOT_DOCS, F.col("h"))).alias("many")))
-    # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
-    listed = base.join(wanted, "doc_id", "left").select(
-        "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry))
+        marked.join(shared, "h").groupBy("doc_id", "mark").agg(
+            F.collect_set(F.when(F.col("n") <= HOT_DOCS, F.col("h"))).alias("few"),
+            F.collect_set(F.when(F.col("n") > HOT_DOCS, F.col("h"))).alias("many")))
+
+    def listed(lists):
+        # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
+        return base.join(lists, ["doc_id", "mark"], "left").select(
+            "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry))
+
     kind = "route long, segment binary, low long, high long"
-    hot = listed.mapInArrow(_segments(hot=True), kind).groupBy("route", "segment").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"))
-    segments = listed.mapInArrow(_segments(hot=False), kind).unionByName(hot)
+    hot = cut_lineage(_joined(listed(wanted).mapInArrow(_segments(4), kind)))
+    wide = cut_lineage(hot.groupBy(F.col("route").alias("h")).agg(F.count("*").alias("n")).where(
+        F.col("n") > HOT_SEGMENTS).select("h"))
+    segments = listed(wanted).mapInArrow(_segments(3), kind)
+    if wide.isEmpty():
+        segments = segments.unionByName(hot)
+        placed = wanted.withColumn("few", F.concat("few", "many")).withColumn("many", F.slice("many", 1, 0))
+    else:
+        of_wide = F.col("route") == F.col("h")
+        windows = _joined(hot.join(wide, of_wide, "left_semi").mapInArrow(_cut, kind))
+        segments = segments.unionByName(hot.join(wide, of_wide, "left_anti")).unionByName(windows)
+        found = wanted.select("doc_id", "mark", F.explode("many").alias("h")).join(wide, "h").groupBy(
+            "doc_id", "mark").agg(F.collect_set("h").alias("wide"))
+        cut = F.coalesce("wide", F.slice("many", 1, 0))
+        placed = wanted.join(found, ["doc_id", "mark"], "left").select(
+            "doc_id", "mark", F.concat("few", F.array_except("many", cut)).alias("few"), cut.alias("many"))
     found = segments.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard").applyInArrow(
         _search, "k1 long, k2 int, least array<long>")
-    places = listed.mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
+    places = listed(placed).mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
     hits = places.join(found, ["k1", "k2"]).select(
         "doc_id", "mark", F.filter(
             F.transform("least", lambda v, i: F.when(v < F.col("doc_id"), F.col("start") + i)),
             lambda x: x.isNotNull()).alias("at")).where(F.size("at") > 0)
-    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "at")).alias("found"))
+    # Equal rows of one id find the same places.
+    hits = hits.groupBy("doc_id", "mark").agg(F.collect_set("at").alias("found"))
     return base, hits
 
 
 def _with_windows(base, hits):
     """`base` with `windows`: the positions found for a row's own text."""
-    own = F.transform(F.filter("found", lambda f: f["mark"] == F.col("mark")), lambda f: f["at"])
-    return base.join(hits, "doc_id", "left").withColumn("windows", F.flatten(own))
+    return base.join(hits, ["doc_id", "mark"], "left").withColumn("windows", F.flatten("found"))
 
 
 def _stay(texts, listed):
