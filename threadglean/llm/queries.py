@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from threadglean.llm import (
-    fm_dedup, jaccard_join, merge_replay, mixing, projection_search, quality_rules, rans, sharding, subspace_join,
-    token_counts, toxicity,
+    fm_dedup, jaccard_join, merge_replay, mixing, prefix_trie, projection_search, quality_rules, rans, resampling,
+    sharding, subspace_join, token_counts, toxicity,
 )
 from threadglean.session import prepare_workers
 
@@ -75,10 +75,18 @@ def op10_signature_tree_join(spark, sf_dir):
     return jaccard_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op11_head_tail_resampling(spark, sf_dir):
+    return resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_double_array_trie(spark, sf_dir):
+    return prefix_trie.nodes(_table(spark, sf_dir, "conversations"))
+
+
 def op13_hashed_llr_rules(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    gains = quality_rules.fit(docs, quality_rules.trusted_ids(_table(spark, sf_dir, "labels")))
-    return quality_rules.judge(docs, gains)
+    fitted = quality_rules.fit(docs, quality_rules.trusted_ids(_table(spark, sf_dir, "labels")))
+    return quality_rules.judge(docs, fitted)
 
 
 QUERIES = {
@@ -92,12 +100,17 @@ QUERIES = {
     "op8_rans_ids": op8_rans_ids,
     "op9_merge_replay": op9_merge_replay,
     "op10_signature_tree_join": op10_signature_tree_join,
+    "op11_head_tail_resampling": op11_head_tail_resampling,
+    "op12_double_array_trie": op12_double_array_trie,
     "op13_hashed_llr_rules": op13_hashed_llr_rules,
 }
 
 # The words of a text, as a list; null texts have none.
 _WORDS = "regexp_extract_all({text}, '[^\\x20\\x09-\\x0D]+')"
 
+_FOLDED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LETTERS = f"regexp_extract_all({_FOLDED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 # CTEs: the crc32 of each word of `distinct_words` (word), as crcs (word, crc).
 _CRCS = """
         steps AS (
@@ -180,6 +193,77 @@ ORACLES = {
         SELECT documents.doc_id, coalesce(n, 0) AS n_shingles, component_id
         FROM documents JOIN least ON id = documents.doc_id
         LEFT JOIN sizes ON sizes.doc_id = documents.doc_id""",
+    "op11_head_tail_resampling": f"""
+        WITH d AS MATERIALIZED (
+            SELECT doc_id, coalesce({_LETTERS}, []) AS w FROM documents
+        ), words AS MATERIALIZED (
+            SELECT doc_id, unnest(w) AS word FROM d
+        ), aimed AS MATERIALIZED (
+            SELECT unnest({_LETTERS}) AS word FROM benchmark
+        ), distinct_words AS (SELECT word FROM words UNION SELECT word FROM aimed), {_CRCS},
+        counts AS (
+            SELECT bucket, sum(s) + 1 AS s, sum(t) + 1 AS t FROM (
+                SELECT crc % 10000 AS bucket, 1 AS s, 0 AS t FROM words JOIN crcs USING (word)
+                UNION ALL
+                SELECT crc % 10000, 0, 1 FROM aimed JOIN crcs USING (word))
+            GROUP BY bucket
+        ), totals AS (SELECT sum(s - 1) + 10000 AS all_s, sum(t - 1) + 10000 AS all_t FROM counts),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((t * all_s)::DOUBLE / (s * all_t)::DOUBLE)) AS gain FROM counts, totals
+        ), weights AS (
+            SELECT doc_id, sum(gain) AS weight
+            FROM words JOIN crcs USING (word) JOIN gains ON bucket = crc % 10000 GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   ('0x' || left(sha256('2024:' || d.doc_id::VARCHAR), 8))::BIGINT AS h
+            FROM d LEFT JOIN weights USING (doc_id)
+        ), placed AS (
+            SELECT doc_id, n_features, weight,
+                   (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM scored
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+            FROM placed WHERE n_features >= 20
+        )
+        SELECT placed.*, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+        FROM placed LEFT JOIN ranked USING (doc_id)""",
+    "op12_double_array_trie": f"""
+        WITH turns AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS no
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), distinct_words AS (SELECT DISTINCT conv_id::VARCHAR AS word FROM turns), {_CRCS},
+        ids AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, crc % 6 AS h
+            FROM (SELECT DISTINCT conv_id FROM turns) JOIN crcs ON word = conv_id::VARCHAR
+        ), lists AS (
+            SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY no) AS own FROM turns GROUP BY conv_id
+        ), built AS (
+            SELECT ids.conv_id, list_concat(coalesce(b.own[1:h], []), a.own[h + 1:]) AS t
+            FROM ids JOIN lists a USING (conv_id) LEFT JOIN lists b ON b.conv_id = base
+        ), prefixes AS (
+            SELECT conv_id, d AS depth, t[1:d] AS p, d = len(t) AS ends
+            FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM built)
+        ), nodes AS (
+            SELECT p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+            FROM prefixes GROUP BY p, depth
+        ), tops AS (
+            SELECT p, depth, conv_id, n_convs, ends_sha256,
+                   CASE WHEN depth > 0 THEN (n_convs - 1) * length(p[depth].text) ELSE 0 END AS own_saved,
+                   unnest(range(0, depth + 1)) AS above
+            FROM nodes
+        ), childless AS (
+            SELECT p, depth FROM nodes ANTI JOIN (SELECT p[1:depth - 1] AS p FROM nodes WHERE depth > 0) USING (p)
+        ), summed AS (
+            SELECT tops.p[1:above] AS p, sum(own_saved)::BIGINT AS saved_tokens,
+                   count(*) FILTER (childless.p IS NOT NULL) AS n_leaves,
+                   count(*) FILTER (tops.depth = above + 1) AS n_children
+            FROM tops LEFT JOIN childless ON childless.p = tops.p GROUP BY 1
+        )
+        SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens,
+               n.ends_sha256
+        FROM nodes n JOIN summed ON summed.p = n.p
+        LEFT JOIN nodes u ON u.depth = n.depth - 1 AND u.p = n.p[1:n.depth - 1]""",
     "op13_hashed_llr_rules": f"""
         WITH d AS MATERIALIZED (
             SELECT doc_id, text, coalesce({_WORDS.format(text='text')}, []) AS w FROM documents
@@ -195,11 +279,12 @@ ORACLES = {
             SELECT doc_id, (crc * {quality_rules.PAIR_FACTOR} + after) % {quality_rules.BUCKETS}
             FROM coded WHERE after IS NOT NULL
         ), trusted AS (
-            SELECT doc_id FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1)
+            SELECT doc_id, ascii(right(md5(doc_id::VARCHAR), 1)) % 2 = 1 AS held
+            FROM (SELECT DISTINCT doc_id FROM labels WHERE quality = 1)
             ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {quality_rules.MAX_TRUSTED}
         ), counts AS (
             SELECT bucket, count(*) + 1 AS s,
-                   count(*) FILTER (doc_id IN (SELECT doc_id FROM trusted)) + 1 AS t
+                   count(*) FILTER (doc_id IN (SELECT doc_id FROM trusted WHERE NOT held)) + 1 AS t
             FROM grams GROUP BY bucket
         ), totals AS (
             SELECT sum(s - 1) + {quality_rules.BUCKETS} AS all_s, sum(t - 1) + {quality_rules.BUCKETS} AS all_t
@@ -228,7 +313,14 @@ ORACLES = {
                    coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words,
                    coalesce(n_grams, 0) AS n_grams, coalesce(gain, 0) AS gain
             FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id) LEFT JOIN scored USING (doc_id)
+        ), rated AS (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM based
+        ), levels AS (
+            SELECT floor(gain / n_grams)::BIGINT AS level, row_number() OVER (ORDER BY floor(gain / n_grams)) AS no,
+                   count(*) OVER () AS n
+            FROM rated JOIN trusted USING (doc_id) WHERE held AND NOT base_failed
         )
-        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-               NOT base_failed AND gain >= {quality_rules.LEAST_GAIN} * n_grams AS kept FROM based""",
+        SELECT *, NOT base_failed AND coalesce(gain >= n_grams * (
+               SELECT level FROM levels WHERE no = n * {quality_rules.HELD_LOW} // 1000 + 1), true) AS kept
+        FROM rated""",
 }
