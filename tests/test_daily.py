@@ -145,7 +145,7 @@ def test_a_listing_in_several_files_loses_nothing(spark, tmp_path):
     assert streamed.tables.read("posts").count() == 7
 
 
-@pytest.mark.parametrize("failing", [1, 2, 3, 4])
+@pytest.mark.parametrize("failing", [1, 2, 3, 4, 5, 6, 7])
 def test_a_failure_between_two_writes_loses_nothing(spark, tmp_path, monkeypatch, failing):
     entries = [entry(f"p{i}", i + 1, f"text {i}") for i in range(4)]
     clean = DailyRun(Tables(spark, str(tmp_path / "clean")), DAY1)

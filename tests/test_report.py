@@ -129,3 +129,49 @@ def test_scan_reads_no_other_columns(joined):
     plan = report.rank_threads(joined)._jdf.queryExecution().optimizedPlan().toString()
     assert "comment_body" not in plan.split("LogicalRDD")[0]
     assert F is not None
+
+
+def _report(n, community="openai", text="line"):
+    return [(community, 2, i // 10, i % 10, f"{text} {i}") for i in range(n)]
+
+
+LINES = "subreddit string, section int, position long, line_no int, text string"
+
+
+def test_markdown_reports_are_read_back_as_written(spark, tmp_path):
+    day, root = dt.date(2025, 1, 9), str(tmp_path)
+    rows_ = _report(25) + _report(3, "datascience") + [("openai", 0, 0, 0, "---"), ("openai", 1, 0, 0, "")]
+    files.write_markdown(spark.createDataFrame(rows_, LINES).repartition(7), root, day, lines_per_file=10)
+    folder = tmp_path / "year=2025/month=01/day=09"
+    names = sorted(str(p.relative_to(folder)) for p in folder.rglob("*.md"))
+    assert names == ["subreddit=datascience/llm_datascience.md", "subreddit=openai/llm_openai.md",
+                     "subreddit=openai/llm_openai_2.md", "subreddit=openai/llm_openai_3.md"]
+    got = {(r.subreddit, r.file_no): r.text for r in files.read_markdown_reports(spark, root, day).collect()}
+    whole = "".join(got["openai", i] for i in (1, 2, 3))
+    assert whole == "---\n\n" + "".join(f"line {i}\n" for i in range(25))
+    assert got["openai", 1].count("\n") == 10 and got["datascience", 1] == "line 0\nline 1\nline 2\n"
+
+
+def test_a_second_run_replaces_its_reports_only(spark, tmp_path):
+    day, root = dt.date(2025, 1, 9), str(tmp_path)
+    first = _report(25) + _report(3, "datascience", "kept")
+    files.write_markdown(spark.createDataFrame(first, LINES), root, day, lines_per_file=10)
+    files.write_markdown(spark.createDataFrame(_report(4, text="new"), LINES), root, day, lines_per_file=10)
+    got = {(r.subreddit, r.file_no): r.text for r in files.read_markdown_reports(spark, root, day).collect()}
+    assert sorted(got) == [("datascience", 1), ("openai", 1)]
+    assert got["openai", 1] == "new 0\nnew 1\nnew 2\nnew 3\n" and "kept 2" in got["datascience", 1]
+
+
+def test_a_failed_write_leaves_the_old_reports(spark, tmp_path):
+    from pyspark.errors import PySparkException
+
+    day, root = dt.date(2025, 1, 9), str(tmp_path)
+    files.write_markdown(spark.createDataFrame(_report(4), LINES), root, day)
+    before = sorted(str(p) for p in tmp_path.rglob("*"))
+    broken = spark.createDataFrame(_report(40, text="new"), LINES).withColumn(
+        "text", F.when(F.col("position") == 3, F.raise_error(F.lit("no text"))).otherwise(F.col("text")))
+    with pytest.raises(PySparkException):
+        files.write_markdown(broken, root, day)
+    assert sorted(str(p) for p in tmp_path.rglob("*")) == before
+    (only,) = files.read_markdown_reports(spark, root, day).collect()
+    assert only.text.startswith("line 0\n")

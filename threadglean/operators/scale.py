@@ -73,22 +73,27 @@ def stored_copies():
             fs.delete(path, True)
 
 
-def cut_lineage(df):
-    """The rows stored as Parquet in the shared checkpoint folder and read back.
-
-    Later stages restart from stored rows, read only the columns they need and
-    know their size. The folder goes with its `stored_copies` block, else when the
-    session ends.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/rows-{uuid.uuid4().hex}"
+def scratch_folder(spark, name):
+    """A new path in the shared checkpoint folder. It goes with its `stored_copies` block, else
+    when the session ends."""
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     fs.deleteOnExit(hadoop_path)
     if _copies:
         _copies[-1].append((fs, hadoop_path))
+    return path
+
+
+def cut_lineage(df):
+    """The rows stored as Parquet in the shared checkpoint folder and read back.
+
+    Later stages restart from stored rows, read only the columns they need and
+    know their size.
+    """
+    path = scratch_folder(df.sparkSession, "rows")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def pin_small(df, max_rows=PIN_MAX_ROWS):

@@ -28,6 +28,7 @@ SCHEMAS = {
     "pages": "page_id BIGINT, url STRING, html STRING",
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
     "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+    "benchmark": "item_id BIGINT, text STRING",
     "labels": "doc_id BIGINT, quality INT, toxic INT",
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
               "value DOUBLE, props STRING",

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from threadglean.constants import COMMENTS_PER_POST, COMMUNITIES, POSTS_PER_COMMUNITY
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
-    analysis, counters, enrich, ingest, quality, report, scale, summary, watermark)
+    analysis, counters, enrich, increments, ingest, quality, report, scale, summary, watermark)
 from threadglean.operators.merge import flag_processed, rows_to_insert
 from threadglean.operators.suites import SUITES
-from threadglean.schemas import KEYS
-from threadglean.sources.files import clean_report_lines, write_reports
+from threadglean.schemas import KEYS, TABLES
+from threadglean.sources.files import clean_report_lines, write_markdown
 from threadglean.sources.tables import Tables
 
 
@@ -42,8 +42,9 @@ class DailyRun:
 
     The caps are those of one listing; None lifts them. `harmful` names what the report
     skips: a frame of comment_ids, or a pattern of words. `check_keys` refuses an append
-    whose keys are null, repeated or stored. `gate_by` ("subreddit") runs the tests of a
-    gate once per community instead of once per table.
+    whose keys are null, repeated or stored. `gate_by` ("subreddit") tests
+    each community apart. A batch is tested when it is added; its results are stored, and a
+    gate reads these.
     """
 
     tables: Tables
@@ -59,10 +60,33 @@ class DailyRun:
     gate_by: str | None = None
     counts: dict = field(default_factory=dict)
 
-    def gate(self, stage, frames):
-        report_ = quality.run_suites(
-            frames, SUITES, {t: k[-1] for t, k in KEYS.items()}, by=self.gate_by)
-        return quality.assert_quality(report_, stage)
+    def gate(self, stage, tables=(), frames=None):
+        """Raise if a test of error severity failed: those of what this run has added to
+        `tables`, tested when it was added, and those of whole `frames` by name."""
+        reports = [self.results().where(F.col("table_name").isin(list(tables)))]
+        if frames:
+            report_ = quality.run_suites(frames, SUITES, {t: k[-1] for t, k in KEYS.items()}, by=self.gate_by)
+            reports.append(report_ if self.gate_by else report_.withColumn("subreddit", F.lit(None).cast("string")))
+        return quality.assert_quality(reports[0].unionByName(reports[1]) if frames else reports[0], stage)
+
+    def results(self, all_runs=False):
+        """Test results of what this run has added (of all runs: of whole tables), from the
+        stored results of batches; no table is read for that."""
+        stored = self.tables.read("test_results")
+        if not all_runs:
+            now = F.lit(self.run_ts).cast("timestamp")
+            stored = self.tables.read("test_results", where=F.col("run_day") == F.to_date(now)).where(
+                F.col("run_ts") == now)
+        return increments.merge_results([stored.drop("run_ts")], by="subreddit")
+
+    def _test(self, name, batch, stored=None):
+        """Test a batch once and keep the results. `stored` are the rows before it. The results
+        are stored first: after a crash in between, a batch is tested again rather than never."""
+        by = self.gate_by if self.gate_by in batch.columns else None
+        found = increments.batch_results(batch, name, SUITES[name], stored, KEYS[name][-1], by)
+        if not by:
+            found = found.withColumn("subreddit", F.lit(None).cast("string"))
+        self.tables.append("test_results", found.withColumn("run_ts", F.lit(self.run_ts).cast("timestamp")))
 
     def _run_time(self):
         """The run's time as the session's timestamps are collected."""
@@ -83,6 +107,8 @@ class DailyRun:
         if rows.isEmpty():
             self.counts[name] = 0
             return
+        if name in SUITES:
+            self._test(name, rows, self.tables.read(name))
         rows, seen = counters.observed(rows, name)
         self.tables.append(name, rows, check_key=self.check_keys)
         self.counts[name] = seen.get["rows"]
@@ -186,6 +212,8 @@ class DailyRun:
         staged = scale.first_per_key(self.staged(), ["comment_id"], [F.desc("id")])
         summaries = scale.cut_lineage(enrich.summarize(staged, self.summarizer))
         sentiments = scale.cut_lineage(enrich.classify(staged, self.classifier))
+        for name, df in (("text_summary_results", summaries), ("sentiment_analysis_results", sentiments)):
+            self._test(name, df.select(*TABLES[name].names))
         t.upsert("text_summary_results", summaries, [F.asc("comment_summary")])
         t.upsert("sentiment_analysis_results", sentiments, [F.desc("sentiment_score"), F.asc("sentiment_label")])
         return {name: df.where(F.col("error").isNotNull()).count()
@@ -222,7 +250,7 @@ class DailyRun:
     @_stage
     def report(self, root):
         lines = report.report_lines(self._report_rows(), self.run_ts)
-        write_reports(clean_report_lines(lines, "text"), root, self.run_ts)
+        write_markdown(clean_report_lines(lines, "text"), root, self.run_ts)
 
     def prompts(self, header="", model=None, outputs=None, blocks_per_part=500):
         """The prompt text of each community in ordered parts, each behind `header` (a text or
@@ -235,20 +263,16 @@ class DailyRun:
 def run_day(spark, root, listing, run_ts, report_root, **settings):
     """All stages in order, each behind the tests of the one before. Returns the run."""
     run = DailyRun(Tables(spark, root), run_ts, **settings)
-    t = run.tables
     run.ingest(listing)
     run.preprocess()
-    run.gate("raw", {name: t.read(name) for name in ("raw_posts", "posts", "comments")})
+    run.gate("raw", ["raw_posts", "posts", "comments"])
     run.summarise_day()
-    run.gate("staging", {
-        "daily_summary_data": t.read("daily_summary_data"),
-        "current_summary_staging": run.staged()})
+    run.gate("staging", ["daily_summary_data"], {"current_summary_staging": run.staged()})
     run.counts["failed"] = run.enrich()
-    run.gate("models", {name: t.read(name)
-                        for name in ("text_summary_results", "sentiment_analysis_results")})
+    run.gate("models", ["text_summary_results", "sentiment_analysis_results"])
     run.analyse()
-    run.gate("joined", {name: t.read(name)
-                        for name in ("joined_summary_analysis", "update_processing_status")})
+    run.gate("joined", ["update_processing_status"], {
+        "joined_summary_analysis": run.tables.read("joined_summary_analysis")})
     run.report(report_root)
     return run
 

@@ -1,5 +1,6 @@
 """Registered queries over the test tables, each with its comparison SQL."""
 
+import datetime
 from functools import reduce, wraps
 
 from pyspark.sql import functions as F
@@ -7,13 +8,16 @@ from pyspark.sql import functions as F
 from threadglean import constants as K
 from threadglean.functions import emotion as E, text as X
 from threadglean.operators import (
-    analysis, counters, enrich, ingest, merge, quality, report, runmetrics, scale, summary, watermark)
+    analysis, counters, enrich, increments, ingest, masking, merge, quality, report, runmetrics, scale, summary,
+    watermark)
 from threadglean.operators.quality import Check
 from threadglean.operators.suites import SUITES
 from threadglean.plans import adapters as A
 from threadglean.plans.adapters import (
     CUES, EPOCH, FOREIGN_LEXICON, LEXICON, RUN_TS, SQL_WORDS, oracle, sql_summary)
 from threadglean.session import apply_settings
+from threadglean.sources import files
+from threadglean.streaming import logs
 
 QUERIES, ORACLES = {}, {}
 
@@ -255,6 +259,35 @@ def mask_foreign_words(spark, d):
         X.mask_words("text", X.mask_pattern(FOREIGN_LEXICON)).alias("body"))
 
 
+_AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_RUN_CHARS = r"[\p{L}\p{M}\p{Nd}_]"
+
+
+@query(rf"""
+    WITH lexicon AS (
+        SELECT DISTINCT translate(unnest(regexp_extract_all(text, '{_RUN_CHARS}{{4,}}')), '{_AZ}', '{_az}') AS word
+        FROM benchmark
+        UNION SELECT unnest([{_sql_words(K.EXTRA_MASKED_WORDS)}])
+    ), tokens AS (
+        SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS i
+        FROM (SELECT doc_id, regexp_extract_all(text, '{_RUN_CHARS}+|[^\p{{L}}\p{{M}}\p{{Nd}}_]+') AS t FROM documents)
+    ), masked AS (
+        SELECT doc_id, string_agg(CASE WHEN word IS NULL THEN token ELSE '{K.MASK}' END, '' ORDER BY i) AS body
+        FROM tokens LEFT JOIN lexicon ON word = translate(token, '{_AZ}', '{_az}')
+             AND word NOT IN ({_sql_words(K.NEVER_MASKED_WORDS)})
+        GROUP BY doc_id
+    )
+    SELECT 'c' || documents.doc_id AS comment_id, CASE WHEN text IS NOT NULL THEN coalesce(body, '') END AS body
+    FROM documents LEFT JOIN masked ON masked.doc_id = documents.doc_id""")
+def mask_by_lookup(spark, d):
+    """Words of the benchmark as the lexicon table."""
+    runs = F.regexp_extract_all("text", F.lit(f"({_RUN_CHARS}{{4,}})"), F.lit(1))
+    lexicon = A.read(spark, d, "benchmark").select(F.explode(runs).alias("word"))
+    documents = A.read(spark, d, "documents").select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"), F.col("text").alias("body"))
+    return masking.mask_by_lookup(scale.spread_small(documents), "body", lexicon)
+
+
 @query("""
     SELECT post_id, body, author, comment_id, make_timestamp(CAST(created * 1000000 AS BIGINT)) AS created_utc,
            subreddit FROM threads""", "threads")
@@ -798,6 +831,19 @@ _suite_query("posts", *_SUITE_INPUTS["posts"], name="dq_suite")
 _suite_query("posts", *_SUITE_INPUTS["posts"], by="subreddit", name="dq_by_community")
 
 
+@query(_suite_sql("posts", "(SELECT {} FROM raw)".format(
+    ", ".join(f"{e} AS {c}" for c, e in _SUITE_INPUTS["posts"][2].items()))), "raw")
+def dq_incremental(spark, d):
+    """The suite of posts over two batches, each tested once, equals the suite over all rows."""
+    frame, _, columns = _SUITE_INPUTS["posts"]
+    rows = frame(spark, d).select(
+        *[F.expr(e).alias(c) for c, e in columns.items()], (F.col("score") % 3 == 0).alias("early"))
+    first, second = rows.where("early").drop("early"), rows.where("not early").drop("early")
+    results = [increments.batch_results(first, "posts", SUITES["posts"]),
+               increments.batch_results(second, "posts", SUITES["posts"], stored=first)]
+    return increments.merge_results(results).select("column_name", "test", "failed")
+
+
 @query("""
     SELECT column_name, n_null FROM (
         SELECT count(*) FILTER (WHERE comment_summary IS NULL) AS comment_summary,
@@ -983,7 +1029,7 @@ _ONE_LINE = r"regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g')"
 _SCORE = "'(Score: ' || post_score || ')'"
 
 
-@query(f"""
+_BODY = f"""
     WITH views AS (SELECT * FROM {_VIEWS}),
     top AS (SELECT subreddit, post_id, first(comment_summary ORDER BY view_no) AS summary,
                    list('    * ' || {_ONE_LINE.format(c='comment_summary')} ORDER BY view_no) AS points
@@ -1003,13 +1049,41 @@ _SCORE = "'(Score: ' || post_score || ')'"
         points, ['']) AS lines FROM ranked)
     SELECT subreddit, section, position, unnest(lines) AS text,
            CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no
-    FROM (SELECT * FROM listing UNION ALL SELECT * FROM detail)""", "joined")
+    FROM (SELECT * FROM listing UNION ALL SELECT * FROM detail)"""
+
+
+@query(_BODY, "joined")
 def report_body(spark, d):
     """Ranking and analysis lines of all reports."""
     lines = report.report_lines(report.report_scan(joined(spark, d)), "2025-01-09")
     return lines.where(F.col("position") > 0).select("subreddit", "section", "position", "text", "line_no")
 
 
+_HEADS = f"""
+    SELECT subreddit, 0 AS section, 0 AS position, unnest(lines) AS text,
+           CAST(generate_subscripts(lines, 1) - 1 AS INTEGER) AS line_no FROM (
+        SELECT subreddit, ['---', 'title: "' || {_NAMES} || '"', 'date: "2025-01-09"',
+               'description: "Analysis of top discussions and trends in the ' || subreddit || ' subreddit"',
+               'tags: ["' || subreddit || '"]', '---'] AS lines FROM (SELECT DISTINCT subreddit FROM joined))
+    UNION ALL SELECT DISTINCT subreddit, 1, 0, '{K.RANKING_HEADING}', 0 FROM joined
+    UNION ALL SELECT DISTINCT subreddit, 2, 0, '{K.DETAIL_HEADING}', 0 FROM joined"""
+
+
+@query(f"""
+    SELECT subreddit, CAST((no - 1) // 200 + 1 AS INTEGER) AS file_no, string_agg(text || chr(10), '' ORDER BY no) AS text
+    FROM (SELECT subreddit, text, row_number() OVER (PARTITION BY subreddit ORDER BY section, position, line_no) AS no
+          FROM (SELECT subreddit, section, position, text, line_no FROM ({_BODY})
+                UNION ALL SELECT subreddit, section, position, text, line_no FROM ({_HEADS})))
+    GROUP BY subreddit, file_no""", "joined")
+def markdown_reports(spark, d):
+    """The reports written as Markdown files of at most 200 lines, twice, and read back."""
+    lines = scale.cut_lineage(report.report_lines(report.report_scan(joined(spark, d)), "2025-01-09"))
+    root, day = scale.scratch_folder(spark, "reports"), datetime.date(2025, 1, 9)
+    files.write_markdown(lines.withColumn("text", F.lit("older")), root, day, lines_per_file=50)
+    files.write_markdown(lines, root, day, lines_per_file=200)
+    return files.read_markdown_reports(spark, root, day)
+
+
 # --- run metrics -------------------------------------------------------------------------------------------------------------
 
 _RUN = "dag_id, run_id, task_id, attempt"
@@ -1058,6 +1132,25 @@ def log_summarize_metrics(spark, d):
     return _metrics(spark, d, "summarize")
 
 
+def deliver_logs(lines, root, delivery):
+    """Log lines as files under dag_id/run_id/task_id/attempt of one delivery."""
+    keys = runmetrics.RUN_KEYS
+    (lines.repartition(*keys).sortWithinPartitions(*keys, "line_no").select(*keys, "value")
+     .write.partitionBy(*keys).text(f"{root}/delivery={delivery}"))
+
+
+@query(_SUMMARIZE_SQL, "logs")
+def log_stream_metrics(spark, d):
+    """Logs delivered as files twice, in the middle of their attempts; each file is read once."""
+    lines = scale.cut_lineage(A.log_lines(spark, d).where("task_id = 'summarize'"))
+    half = lines.agg(F.floor((F.min("line_no") + F.max("line_no")) / 2).alias("half")).scalar()
+    root = scale.scratch_folder(spark, "logs")
+    for delivery, part in ((1, lines.where(F.col("line_no") <= half)), (2, lines.where(F.col("line_no") > half))):
+        deliver_logs(part, f"{root}/landed", delivery)
+        logs.collect_metrics(spark, f"{root}/landed", "summarize", ["summarize"], f"{root}/metrics", f"{root}/progress")
+    return logs.stored_metrics(spark, f"{root}/metrics", "summarize")
+
+
 _SENTIMENT_SQL = _timed_sql("sentiment", f"{_count_sql('click')} AS processed")
 
 

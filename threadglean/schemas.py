@@ -72,6 +72,11 @@ TABLES = {
     ),
     # Control table: run days whose summary rows may still be unprocessed.
     "open_run_days": _struct(("run_day", _DATE, True)),
+    # Results of the declared tests over each batch, when it was added.
+    "test_results": _struct(
+        ("run_ts", _TS, True), ("subreddit", _S, True), ("table_name", _S, True), ("column_name", _S, True),
+        ("test", _S, True), ("severity", _S, True), ("failed", _L, True), ("sample", _S, True),
+    ),
 }
 
 KEYS = {
@@ -102,6 +107,7 @@ PARTITIONS = {
     "text_summary_results": _KEY_BUCKETS,
     "sentiment_analysis_results": _KEY_BUCKETS,
     "joined_summary_analysis": {"subreddit": "subreddit"},
+    "test_results": {"run_day": "to_date(run_ts)"},
 }
 
 STAGING_COLUMNS = [

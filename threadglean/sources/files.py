@@ -1,9 +1,12 @@
 """File sources and sinks: landing entries, task logs, report text."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from threadglean import constants as K
 from threadglean.functions.text import clean_line, keeps_line
+from threadglean.operators.scale import rank_rows
 from threadglean.schemas import LANDING
 
 # One read task sees at most this many lines of one file split.
@@ -55,6 +58,58 @@ def write_reports(lines, root, report_date):
      .partitionBy("subreddit").text(day_folder(root, report_date)))
 
 
+# Lines of a report file; a longer report goes on in numbered files.
+LINES_PER_FILE = 500_000
+
+
+def write_markdown(lines, root, report_date, *, lines_per_file=LINES_PER_FILE):
+    """Report rows as Markdown under year/month/day/subreddit: llm_<subreddit>.md, then
+    llm_<subreddit>_2.md and so on where a report has more than `lines_per_file` lines.
+
+    Lines are numbered over the whole report first, so each file is sorted and written by one
+    task and its size is bounded. Files are written aside by Spark, whose commit leaves
+    nothing of failed tasks, and are renamed when all are complete; a failed run leaves
+    the old reports as they are. A re-run replaces the reports of its communities.
+    """
+    spark = lines.sparkSession
+    order = ["section", "position", "line_no"]
+    numbered = rank_rows(lines.select("subreddit", *order, "text"), "subreddit", order, "__no")
+    placed = numbered.withColumn("file_no", F.floor((F.col("__no") - 1) / lines_per_file) + 1)
+    day = day_folder(root, report_date)
+    aside = f"{day}/_aside-{uuid.uuid4().hex}"
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = jvm_path(aside)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        (placed.repartition("subreddit", "file_no").sortWithinPartitions("subreddit", "file_no", "__no")
+         .select("subreddit", "file_no", F.col("text").alias("value"))
+         .write.partitionBy("subreddit", "file_no").text(aside))
+        for community in _folders(fs, folder):
+            own = jvm_path(f"{day}/{community.getName()}")
+            fs.mkdirs(own)
+            stem = f"{K.REPORT_FILE_PREFIX}{community.getName().split('=', 1)[1]}"
+            fresh = set()
+            for numbered_folder in _folders(fs, community):
+                number = numbered_folder.getName().split("=", 1)[1]
+                name = f"{stem}.md" if number == "1" else f"{stem}_{number}.md"
+                (part,) = [s.getPath() for s in fs.listStatus(numbered_folder)
+                           if s.getPath().getName().startswith("part-")]
+                fs.delete(jvm_path(own, name), False)
+                if not fs.rename(part, jvm_path(own, name)):
+                    raise OSError(f"{part} could not be renamed to {name}")
+                fresh.add(name)
+            for status in fs.listStatus(own):
+                name = status.getPath().getName()
+                if name.startswith(K.REPORT_FILE_PREFIX) and name not in fresh:
+                    fs.delete(status.getPath(), False)
+    finally:
+        fs.delete(folder, True)
+
+
+def _folders(fs, path):
+    return [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+
+
 def read_report_lines(spark, root, day=None, pattern="*.txt"):
     """Lines of stored reports with their file: subreddit, file_path, line_no, value.
 
@@ -80,6 +135,18 @@ def clean_report_lines(lines, column="value"):
 
 
 def read_markdown(spark, root, pattern=f"{K.REPORT_FILE_PREFIX}*.md"):
-    """Whole Markdown files of a day's folder: file_path, text."""
+    """Whole Markdown files of a day's folder: file_path, text. `write_markdown` bounds their size."""
     return spark.read.option("pathGlobFilter", pattern).text(root, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text"))
+
+
+def read_markdown_reports(spark, root, day):
+    """The reports of a day as written by `write_markdown`: subreddit, file_no, text of each file."""
+    name = F.regexp_extract("file_path", r"([^/]*)\.md$", 1)
+    files = read_markdown(spark, day_folder(root, day))
+    number = F.regexp_extract("file_path", r"_(\d+)\.md$", 1)
+    folder = F.url_decode(F.replace(F.regexp_extract("file_path", r"/subreddit=([^/]*)/", 1), F.lit("+"), F.lit("%2B")))
+    numbered = name != F.concat(F.lit(K.REPORT_FILE_PREFIX), folder)
+    return files.select(
+        folder.alias("subreddit"), F.when(numbered & (number != ""), number.cast("int")).otherwise(1).alias("file_no"),
+        "text")
