@@ -168,3 +168,25 @@ def test_chain_from_log_files_to_exported_points(spark, tmp_path):
     assert counts["summarize", "30"] == 0 and counts["summarize", "60"] == 1 and counts["sentiment", "+Inf"] == 0
     minutes = dict(R.duration_minutes(durations).collect())
     assert minutes["join"] == pytest.approx(61.5 / 60)
+
+
+def test_sliding_rate_equals_a_plain_count(spark):
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    begin = dt.datetime(2025, 1, 9, 23, 40, tzinfo=dt.timezone.utc)
+    errors = [(rng.choice("ab"), begin + dt.timedelta(seconds=rng.randrange(5400))) for _ in range(40)]
+    df = spark.createDataFrame(errors + [("a", None)], "task_id string, ts timestamp")
+    got = {(r.task_id, r.end): (r.n_errors, r.errors_per_second) for r in R.sliding_error_rate(df).select(
+        "*", F.unix_seconds("window_end").alias("end")).collect()}
+    seconds = [(t, ts.timestamp()) for t, ts in errors]
+    low = min(s for _, s in seconds) // 60 * 60 + 60
+    high = max(s for _, s in seconds) // 60 * 60 + 300
+    want = {(t, int(end)): sum(x == t and end - 300 <= s < end for x, s in seconds)
+            for t in "ab" for end in range(int(low), int(high) + 1, 60)}
+    assert {k: n for k, (n, _) in got.items()} == want
+    assert all(rate == n / 300 for n, rate in got.values()) and 0 in want.values()
+    assert R.sliding_error_rate(df.limit(0)).count() == 0

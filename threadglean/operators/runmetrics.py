@@ -8,7 +8,7 @@ first marker of the chain that it matches.
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from threadglean import constants as K
 
@@ -344,6 +344,34 @@ def error_rate(errors, ts="ts", by="task_id", seconds=K.ERROR_RATE_WINDOW_SECOND
     )
 
 
+def sliding_error_rate(errors, ts="ts", by="task_id", seconds=K.ERROR_RATE_WINDOW_SECONDS, step=60):
+    """Errors per second over the last `seconds`, every `step` seconds, per task: from the first
+    error of any task until the last one has left the window. Windows without errors have 0.
+
+    Errors are counted per step first; a window then sums steps. A task's steps of one day and the
+    window before it are a group, so its whole history is never in one task.
+    """
+    if seconds % step:
+        raise ValueError(f"{seconds} seconds are not whole steps of {step}")
+    width = seconds // step
+    number = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / (step * 1_000_000)) + 1
+    counted = errors.where(F.col(ts).isNotNull()).groupBy(by, number.alias("step")).agg(F.count("*").alias("n"))
+    span = counted.agg(F.struct(F.min("step").alias("low"), F.max("step").alias("high"))).scalar()
+    grid = counted.select(by).distinct().select(
+        by, F.explode(F.sequence(span["low"], span["high"] + (width - 1))).alias("step"))
+    # Each step stands in the days of all windows it belongs to: its own and maybe the next.
+    per_day = 86_400 // step
+    filled = grid.join(counted, [by, "step"], "left").select(by, "step", F.coalesce("n", F.lit(0)).alias("n"))
+    days = F.array_distinct(F.array(F.floor(F.col("step") / per_day), F.floor((F.col("step") + width - 1) / per_day)))
+    spread = filled.withColumn("day", F.explode(days))
+    own_day = F.floor(F.col("step") / per_day) == F.col("day")
+    window = Window.partitionBy(by, "day").orderBy("step").rowsBetween(1 - width, 0)
+    summed = spread.select(by, "step", own_day.alias("own"), F.sum("n").over(window).alias("n_errors")).where("own")
+    return summed.select(
+        by, F.timestamp_seconds(F.col("step") * step).alias("window_end"), "n_errors",
+        (F.col("n_errors") / seconds).alias("errors_per_second"))
+
+
 def test_result_panel(metrics):
     """Passed and failed tests per test stage."""
     return metrics.groupBy("task_id").agg(

@@ -11,6 +11,7 @@ from functools import wraps
 from pyspark.sql import functions as F
 
 from threadglean.constants import COMMENTS_PER_POST, COMMUNITIES, POSTS_PER_COMMUNITY
+from threadglean.functions.learned import NaiveBayes
 from threadglean.functions.text import mask_pattern
 from threadglean.operators import (
     analysis, counters, enrich, increments, ingest, quality, report, scale, summary, watermark)
@@ -41,7 +42,7 @@ class DailyRun:
     """State and settings of a run. `counts` collects the rows each stage wrote.
 
     The caps are those of one listing; None lifts them. `harmful` names what the report
-    skips: a frame of comment_ids, or a pattern of words. `check_keys` refuses an append
+    skips: a frame of comment_ids, a pattern of words or a trained NaiveBayes. `check_keys` refuses an append
     whose keys are null, repeated or stored. `gate_by` ("subreddit") tests
     each community apart. A batch is tested when it is added; its results are stored, and a
     gate reads these.
@@ -243,8 +244,12 @@ class DailyRun:
         rows = report.report_scan(self.tables.read("joined_summary_analysis"))
         if self.harmful is None:
             return rows
-        flagged = (report.harmful_by_words(rows, self.harmful) if isinstance(self.harmful, str)
-                   else report.flag_harmful(rows, self.harmful))
+        if isinstance(self.harmful, NaiveBayes):
+            flagged = rows.withColumn("harmful", self.harmful.flags("comment_body"))
+        elif isinstance(self.harmful, str):
+            flagged = report.harmful_by_words(rows, self.harmful)
+        else:
+            flagged = report.flag_harmful(rows, self.harmful)
         return report.skip_harmful(flagged).drop("harmful")
 
     @_stage

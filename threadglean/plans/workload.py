@@ -6,7 +6,7 @@ from functools import reduce, wraps
 from pyspark.sql import functions as F
 
 from threadglean import constants as K
-from threadglean.functions import emotion as E, text as X
+from threadglean.functions import emotion as E, learned, text as X
 from threadglean.operators import (
     analysis, counters, enrich, increments, ingest, masking, merge, quality, report, runmetrics, scale, summary,
     watermark)
@@ -1025,6 +1025,48 @@ def harmful_words(spark, d):
     return report.harmful_by_words(A.comments(spark, d), pattern, "body").select("comment_id", "harmful")
 
 
+@query(rf"""
+    WITH words AS (
+        SELECT DISTINCT doc_id, ('0x' || left(md5(unnest(regexp_extract_all(lower(text), '\p{{L}}+'))), 4))::INTEGER
+            AS bucket FROM documents
+    ), chosen AS (
+        SELECT l.doc_id, label FROM (
+            SELECT doc_id, min(toxic) = 1 AS label FROM labels WHERE toxic IS NOT NULL AND quality IS NOT NULL
+            GROUP BY doc_id HAVING count(*) = 1 ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {learned.MAX_LABELLED}) l
+        JOIN documents ON documents.doc_id = l.doc_id
+    ), totals AS (
+        SELECT count(*) FILTER (label) AS a, count(*) FILTER (NOT label) AS b FROM chosen
+    ), counts AS (
+        SELECT bucket, count(*) FILTER (label) AS yes, count(*) FILTER (NOT label) AS no
+        FROM words JOIN chosen ON chosen.doc_id = words.doc_id GROUP BY bucket
+    ), weights AS (
+        SELECT bucket, floor(1000 * ln(((2 * yes + 1) * (2 * b + 2))::DOUBLE
+                                       / ((2 * no + 1) * (2 * a + 2))::DOUBLE))::BIGINT AS weight
+        FROM counts, totals WHERE 2 * (
+            CASE WHEN yes > 0 THEN yes * ln(yes * (a + b) / ((yes + no) * a)) ELSE 0 END
+            + CASE WHEN no > 0 THEN no * ln(no * (a + b) / ((yes + no) * b)) ELSE 0 END
+            + CASE WHEN yes < a THEN (a - yes) * ln((a - yes) * (a + b) / ((a + b - yes - no) * a)) ELSE 0 END
+            + CASE WHEN no < b THEN (b - no) * ln((b - no) * (a + b) / ((a + b - yes - no) * b)) ELSE 0 END
+            ) >= {learned.LEAST_G2}
+    ), sums AS (
+        SELECT doc_id, sum(weight)::BIGINT AS found
+        FROM words JOIN weights ON weights.bucket = words.bucket GROUP BY doc_id
+    ), prior AS (
+        SELECT floor(1000 * ln(a / b))::BIGINT AS prior FROM totals
+    )
+    SELECT 'c' || documents.doc_id AS comment_id, coalesce(found, 0) + prior AS score,
+           text IS NOT NULL AND coalesce(found, 0) + prior > 0 AS harmful
+    FROM prior, documents LEFT JOIN sums ON sums.doc_id = documents.doc_id""")
+def classify_learned(spark, d):
+    """Harmful texts by a classifier trained on the labelled ones."""
+    documents = A.read(spark, d, "documents").select("doc_id", "text")
+    model = learned.train(
+        learned.labelled_rows(documents, A.read(spark, d, "labels"), "doc_id"), "toxic = 1", "text")
+    return scale.spread_small(documents).select(
+        F.concat(F.lit("c"), F.col("doc_id").cast("string")).alias("comment_id"),
+        model.score("text").alias("score"), model.flags("text").alias("harmful"))
+
+
 _ONE_LINE = r"regexp_replace(coalesce({c}, ''), '\s+', ' ', 'g')"
 _SCORE = "'(Score: ' || post_score || ')'"
 
@@ -1336,6 +1378,28 @@ def error_rate_5m(spark, d):
     return runmetrics.error_rate(A.log_lines(spark, d).where(F.col("event_type") == "error"))
 
 
+@query("""
+    WITH errors AS (SELECT task_id, ts FROM logs WHERE event_type = 'error'),
+    grid AS (
+        SELECT DISTINCT e.task_id, unnest(range(low, high + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS window_end
+        FROM (SELECT DISTINCT task_id FROM errors) e,
+             (SELECT time_bucket(INTERVAL 1 MINUTE, min(ts)) + INTERVAL 1 MINUTE AS low,
+                     time_bucket(INTERVAL 1 MINUTE, max(ts)) + INTERVAL 5 MINUTE AS high FROM errors)
+    ), steps AS (
+        SELECT task_id, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE AS step, count(*) AS n
+        FROM errors GROUP BY ALL
+    ), counted AS (
+        SELECT grid.task_id, window_end, coalesce(n, 0) AS n
+        FROM grid LEFT JOIN steps ON steps.task_id = grid.task_id AND step = window_end
+    )
+    SELECT task_id, window_end, CAST(sum(n) OVER w AS BIGINT) AS n_errors, sum(n) OVER w / 300 AS errors_per_second
+    FROM counted WINDOW w AS (PARTITION BY task_id ORDER BY window_end ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""", "logs")
+def error_rate_sliding(spark, d):
+    """The rate over the last five minutes at every minute, quiet ones included."""
+    errors = A.log_lines(spark, d).where(F.col("event_type") == "error").select("task_id", "ts")
+    return runmetrics.sliding_error_rate(errors)
+
+
 @query("SELECT task_id, max(attempt) AS attempt FROM logs GROUP BY task_id", "logs")
 def attempts(spark, d):
     return runmetrics.attempts_panel(A.log_lines(spark, d))
