@@ -432,7 +432,8 @@ def dedup(docs, *, id_col="doc_id", text_col="text", with_text=False):
     Words are runs of bytes other than ASCII white space; the kept words are joined by one
     space. Null and empty texts have no words; texts under WINDOW words keep all.
     Rows that share a doc_id are judged apart and take nothing from one another;
-    rows with a null id keep all words and take from none. Other columns are not read.
+    rows with a null id keep all words and take from none. Other columns are not read. An
+    empty table gives an empty one.
     """
     base, hits = find_spans(docs, id_col=id_col, text_col=text_col)
 
@@ -466,7 +467,7 @@ def rewrite(docs, *, id_col="doc_id", text_col="text", length_col="n_chars"):
 
     The kept words are joined by one space; `length_col`, if there is one, is set to the
     characters of such a text. Texts that keep all words stay as they are. A text that
-    keeps none is empty.
+    keeps none is empty; an empty table stays empty.
     """
     base, hits = find_spans(docs, id_col=id_col, text_col=text_col,
                             carry=[c for c in docs.columns if c != text_col])

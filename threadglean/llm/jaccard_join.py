@@ -466,7 +466,7 @@ def join(docs, *, id_col="doc_id", text_col="text"):
     tie already are not verified. Null and empty texts, and texts without words, have no shingle and link with
     nothing. Rows that repeat a doc_id are one node, linked by any of
     their texts; rows with a null id link with nothing and have a null component.
-    Other columns are not read.
+    Other columns are not read. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -560,7 +560,7 @@ def keep_one(docs, *, id_col="doc_id", text_col="text", tied=True):
 
     With `tied`, rows that repeat an id are one node as in join(); without, each text of
     an id is a node of its own, so an id does not tie unlike texts together. Of rows
-    that agree in id and text one stays. Rows with a null id all stay.
+    that agree in id and text one stays. Rows with a null id all stay. An empty table stays empty.
     """
     columns = docs.columns
     if tied:

@@ -160,7 +160,7 @@ def encode_decode(docs, ranks_file, pattern, *, id_col="doc_id", text_col="text"
     Null and empty texts have no ids. Rows that repeat, and null ids, are kept;
     columns in `keep` come last, as they are, and others are not read. decoded_sha256 is taken from the bytes that the
     ids stand for. Memory: a piece of about 2 MB or one longer text, and the
-    worker's table of words.
+    worker's table of words. An empty table gives an empty one.
     """
 
     def run(batches):

@@ -189,7 +189,8 @@ def mix(rows, *, weights=None, temperature=0.5, block=16, source_col="source",
     weighs its number of rows to the power `temperature`. A null source is a source. Rows that
     agree in `order_cols` are interchangeable. Columns with the names of the new
     ones are replaced. The driver holds two numbers per source and a chunk of slots, no
-    names; rows are ranked over ranges, so a source may hold any share of them.
+    names; rows are ranked over ranges, so a source may hold any share of them. Texts and null ids
+    are columns like others: rows are handed on whole. An empty table gives an empty one.
     """
     spark = rows.sparkSession
     rows = rows.drop("block", "slot", "phase", "position")

@@ -110,7 +110,8 @@ def nearest(rows, k=10, *, every=100, id_col="vec_id", vector_col="embedding"):
     vectors meet only vectors of their own dimension. Equal distances go by the
     smaller id; a repeated candidate row is found as often as it occurs; a
     repeated query row counts once per distinct vector. Rows are dealt by id over shards of about
-    SHARD_ROWS; each shard meets the queries in blocks of about QUERY_ROWS.
+    SHARD_ROWS; each shard meets the queries in blocks of about QUERY_ROWS. An empty table
+    gives an empty one. Other columns are not read.
     """
     usable_rows = rows.select(F.col(id_col).cast("long").alias("vec_id"),
                               F.col(vector_col).cast("array<double>").alias("embedding"))

@@ -217,7 +217,7 @@ def write_units(docs, tokenizer_file, pattern, *, end_id=2, id_col="doc_id", tex
     empty texts have the end id alone. Null doc_ids come first; rows that share a
     doc_id stand together in the order of a hash of their text. Other
     columns are not read. A unit is closed at the end of the piece of texts
-    (2 MB, or one longer text) that brings it to `unit_tokens` ids, which bounds memory.
+    (2 MB, or one longer text) that brings it to `unit_tokens` ids, which bounds memory. An empty table has no units.
     """
     spark = docs.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

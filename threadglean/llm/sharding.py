@@ -18,7 +18,8 @@ def assign_shards(rows, shards=8, *, source_col="source", order_cols=("doc_id",)
     interchangeable, each gets a place of its own. A null source is a source. Columns named
     `shard` or `slot` are replaced. Both rankings sort ranges, so a source may
     hold any share of the rows, and store the rows once each: hand over slim
-    rows and join them to the texts where texts aren't needed for the cut.
+    rows and join them to the texts where texts aren't needed for the cut. Texts and null ids
+    are columns like others. An empty table gives an empty one.
     """
     rows = rows.drop("shard", "slot")
     columns = rows.columns

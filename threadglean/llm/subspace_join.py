@@ -131,7 +131,7 @@ def near_duplicates(rows, cosine=0.93, *, id_col="vec_id", vector_col="embedding
     identify vectors: where one id is the least of several groups of equal vectors,
     these count as one node, whose links are added up. Vectors meet
     only vectors of their own dimension. Equal vectors of a label are compared once,
-    with their number.
+    with their number. Other columns are not read. An empty table gives an empty one.
     """
     inner = rows.schema[vector_col].dataType.elementType.simpleString()
     inner = inner if inner in ("float", "double") else "double"

@@ -69,7 +69,7 @@ def count_tokens(docs, model_file, *, limit=4096, id_col="doc_id", text_col="tex
     Null and empty texts have 0 bytes and tokens. Rows that repeat, and null
     ids, are kept as they are; other columns are not read. Each text is counted
     whole, so the longest text bounds memory with the `keep` pre-tokens of the
-    worker's table.
+    worker's table. An empty table gives an empty one.
     """
 
     def run(batches):

@@ -95,7 +95,9 @@ def train(docs, labels, categories, *, id_col="doc_id", text_col="text", max_row
     At most `max_rows` labelled documents, chosen by a hash of their id, are
     used; that bounds what reaches the driver. A document labelled more than
     once has a category if any label says so; rows with a null label or id are not used.
-    Without labels the probability of every category is 0.
+    Without labels, or documents, the probability of every category is 0. `features` hashed
+    features with `min_rows` texts each, the ones that tell most, enter a model;
+    `folds` is the number of parts for out-of-fold probabilities.
     """
     names = [name for name, _ in categories]
     marked = labels.select(F.col(id_col).cast("long").alias("id"),
@@ -189,7 +191,8 @@ def score(docs, chain, *, id_col="doc_id", text_col="text", threshold=0.5):
     """doc_id, p_<category> of each category and `rejected` (the last one's verdict).
 
     Whole texts are scored. Rows that repeat, and null ids, are kept; a null or empty
-    text has no feature and is not rejected. Other columns are not read.
+    text has no feature and is not rejected. Other columns are not read. An empty table
+    gives an empty one.
     """
     names = [f"p_{name}" for name in chain.categories]
 
@@ -214,7 +217,8 @@ def _verdict(texts, chain, threshold):
 
 
 def keep_clean(docs, chain, *, text_col="text", threshold=0.5):
-    """The rows of `docs`, all columns as they are, that the chain does not reject."""
+    """The rows of `docs`, all columns as they are, that the chain does not reject; an empty
+    table stays empty."""
     at = docs.columns.index(text_col)
 
     def run(batches):
