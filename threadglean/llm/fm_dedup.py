@@ -382,22 +382,19 @@ def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
             "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry))
 
     kind = "route long, segment binary, low long, high long"
-    hot = cut_lineage(_joined(listed(wanted).mapInArrow(_segments(4), kind)))
-    wide = cut_lineage(hot.groupBy(F.col("route").alias("h")).agg(F.count("*").alias("n")).where(
-        F.col("n") > HOT_SEGMENTS).select("h"))
-    segments = listed(wanted).mapInArrow(_segments(3), kind)
-    if wide.isEmpty():
-        segments = segments.unionByName(hot)
-        placed = wanted.withColumn("few", F.concat("few", "many")).withColumn("many", F.slice("many", 1, 0))
-    else:
-        of_wide = F.col("route") == F.col("h")
-        windows = _joined(hot.join(wide, of_wide, "left_semi").mapInArrow(_cut, kind))
-        segments = segments.unionByName(hot.join(wide, of_wide, "left_anti")).unionByName(windows)
-        found = wanted.select("doc_id", "mark", F.explode("many").alias("h")).join(wide, "h").groupBy(
-            "doc_id", "mark").agg(F.collect_set("h").alias("wide"))
-        cut = F.coalesce("wide", F.slice("many", 1, 0))
-        placed = wanted.join(found, ["doc_id", "mark"], "left").select(
-            "doc_id", "mark", F.concat("few", F.array_except("many", cut)).alias("few"), cut.alias("many"))
+    # One plan from here on, so that its parts share the shuffles of texts and of hot segments.
+    hot = _joined(listed(wanted).mapInArrow(_segments(4), kind))
+    wide = hot.groupBy(F.col("route").alias("h")).agg(F.count("*").alias("n")).where(
+        F.col("n") > HOT_SEGMENTS).select("h")
+    of_wide = F.col("route") == F.col("h")
+    windows = _joined(hot.join(wide, of_wide, "left_semi").mapInArrow(_cut, kind))
+    segments = listed(wanted).mapInArrow(_segments(3), kind).unionByName(
+        hot.join(wide, of_wide, "left_anti")).unionByName(windows)
+    of_doc = wanted.select("doc_id", "mark", F.explode("many").alias("h")).join(wide, "h").groupBy(
+        "doc_id", "mark").agg(F.collect_set("h").alias("wide"))
+    cut = F.coalesce("wide", F.slice("many", 1, 0))
+    placed = wanted.join(of_doc, ["doc_id", "mark"], "left").select(
+        "doc_id", "mark", F.concat("few", F.array_except("many", cut)).alias("few"), cut.alias("many"))
     found = segments.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard").applyInArrow(
         _search, "k1 long, k2 int, least array<long>")
     places = listed(placed).mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
