@@ -31,24 +31,41 @@ def _runs(text):
 
 
 def lexicon_entries(lexicon, word_col="word"):
-    """key, n_runs and entry of each distinct word or phrase of a lexicon, with the fixed extra
+    """key, n_runs, kind and word of each distinct word or phrase of a lexicon, with the fixed extra
     words and without the fixed false positives.
 
-    `key` joins the word runs by one space. `entry` is a struct that sorts as a whole
-    pattern tries its alternatives, and ends in the entry's own pattern.
+    `key` joins the word runs by one space; `kind` tells by two bits whether the word starts
+    and ends within a run.
     """
     extra = lexicon.sparkSession.createDataFrame([(w,) for w in K.EXTRA_MASKED_WORDS], "word string")
     words = (lexicon.select(F.col(word_col).cast("string").alias("word")).unionByName(extra)
              .select(_folded("word").alias("word"))
              .where((F.col("word") != "") & ~F.col("word").isin(K.NEVER_MASKED_WORDS)).distinct())
-    starts, ends = F.col("word").rlike(f"^{_WORD}"), F.col("word").rlike(f"{_WORD}\\z")
-    before = F.when(starts, f"(?<!{_WORD})").otherwise(f"(?<={_WORD})")
-    after = F.when(ends, f"(?!{_WORD})").otherwise(f"(?={_WORD})")
-    quoted = F.concat(F.lit(r"\Q"), F.replace("word", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-    entry = F.struct((~starts).alias("o1"), (~ends).alias("o2"), (-F.char_length("word")).alias("o3"),
-                     F.col("word").alias("word"), F.concat(before, quoted, after).alias("pattern"))
+    starts, ends = (F.col("word").rlike(x).cast("int") for x in (f"^{_WORD}", f"{_WORD}\\z"))
     runs = F.slice(_runs(F.col("word")), 1, PHRASE_WORDS)
-    return words.select(F.array_join(runs, " ").alias("key"), F.size(runs).alias("n_runs"), entry.alias("entry"))
+    return words.select(F.array_join(runs, " ").alias("key"), F.size(runs).alias("n_runs"),
+                        (starts * 2 + ends).alias("kind"), "word")
+
+
+def _pattern(entries):
+    """The pattern of the entries (kind, word) of one text, tried as a pattern of the whole lexicon
+    tries them: by kind, the longest first. Words of a kind share their boundaries, so most
+    places of a text are passed by after one look."""
+    parts = []
+    for kind in (3, 2, 1, 0):
+        before = f"(?<!{_WORD})" if kind & 2 else f"(?<={_WORD})"
+        after = f"(?!{_WORD})" if kind & 1 else f"(?={_WORD})"
+        own = F.sort_array(F.transform(
+            _of_kind(entries, kind), lambda e: F.struct(-F.char_length(e["word"]), e["word"].alias("word"))))
+        words = F.transform(own, lambda e: F.concat(
+            F.lit(r"\Q"), F.replace(e["word"], F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+        listed = F.array_join(words, "|")
+        parts.append(F.when(listed != "", F.concat(F.lit(before + "(?:"), listed, F.lit(")" + after))))
+    return F.concat(F.lit("(?i)(?:"), F.concat_ws("|", *parts, F.lit(_FIXED)), F.lit(")"))
+
+
+def _of_kind(entries, kind):
+    return F.filter(entries, lambda e: e["kind"] == kind)
 
 
 def _rows_of(runs, n):
@@ -76,7 +93,7 @@ def mask_by_lookup(df, text_col, lexicon, word_col="word", *, pinned=scale.NARRO
     """
     entries = scale.cut_lineage(lexicon_entries(lexicon, word_col))
     sizes = sorted(r.n_runs for r in entries.where("n_runs > 0").select("n_runs").distinct().collect())
-    bare = [r.entry for r in entries.where("n_runs = 0").select("entry").limit(scale.PIN_MAX_ROWS + 1).collect()]
+    bare = [r.word for r in entries.where("n_runs = 0").select("word").limit(scale.PIN_MAX_ROWS + 1).collect()]
     if len(bare) > scale.PIN_MAX_ROWS:
         raise ValueError(f"more than {scale.PIN_MAX_ROWS} lexicon entries without a letter or digit")
     text = F.col(text_col)
@@ -85,16 +102,15 @@ def mask_by_lookup(df, text_col, lexicon, word_col="word", *, pinned=scale.NARRO
                               for i, d in enumerate(digests)])
     asked = marked.where(text.isNotNull()).select(
         *digests, F.explode(_looked_up(_runs(_folded(text)), sizes)).alias("key"))
-    found = scale.lookup_join(asked, entries.where("n_runs > 0").select("key", "entry"), "key", "inner",
+    found = scale.lookup_join(asked, entries.where("n_runs > 0").select("key", "kind", "word"), "key", "inner",
                               digests, max_rows=pinned)
-    hits = found.groupBy(*digests).agg(F.sort_array(F.collect_set("entry")).alias("__hits"))
+    hits = found.groupBy(*digests).agg(F.collect_set(F.struct("kind", "word")).alias("__hits"))
     joined = scale.skew_join(marked, hits, digests, "left", spread=_spread(df))
-    listed = F.transform("__hits", lambda e: e["pattern"])
-    for entry in bare:
-        listed = F.concat(F.coalesce(listed, F.array().cast("array<string>")), F.array(F.lit(entry.pattern)))
-    pattern = F.coalesce(
-        F.concat(F.lit("(?i)(?:"), F.array_join(listed, "|"), F.lit(f"|{_FIXED})")),
-        F.lit(f"(?i){_FIXED_AHEAD}(?:{_FIXED})"))
+    listed = F.col("__hits")
+    if bare:
+        always = F.array(*[F.struct(F.lit(0).alias("kind"), F.lit(w).alias("word")) for w in bare])
+        listed = F.coalesce(F.concat("__hits", always), always)
+    pattern = F.when(listed.isNull(), F.lit(f"(?i){_FIXED_AHEAD}(?:{_FIXED})")).otherwise(_pattern(listed))
     masked = F.regexp_replace(text, pattern, F.lit(K.MASK))
     return joined.select(*[masked.alias(c) if c == text_col else F.col(c) for c in df.columns])
 
