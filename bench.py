@@ -16,6 +16,8 @@ HEADLINE = [
     "summarize_default", "sentiment_default", "dq_suite", "dq_by_community", "top3_views",
     "thread_emotions", "text_blocks", "report_body", "log_summarize_metrics", "error_rate_5m",
 ]
+# Timed and listed too, but not part of the total, which stays comparable over time.
+OTHERS = ["mask_by_lookup", "dq_incremental", "markdown_reports", "classify_learned", "error_rate_sliding"]
 
 
 def seconds(spark, sf_dir, name):
@@ -32,8 +34,9 @@ def main():
                       spark__ui__enabled="false", spark__driver__memory="8g")
     spark.sparkContext.setLogLevel("ERROR")
     seconds(spark, sf_dir, "dq_not_null")  # start-up is not part of a query
-    best = {name: round(min(seconds(spark, sf_dir, name) for _ in range(runs)), 3) for name in HEADLINE}
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(best.values()), 3),
+    best = {name: round(min(seconds(spark, sf_dir, name) for _ in range(runs)), 3)
+            for name in HEADLINE + OTHERS}
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(best[name] for name in HEADLINE), 3),
                       "unit": "sec", "queries": best, "sf": os.path.basename(sf_dir.rstrip("/"))}))
     spark.stop()
 

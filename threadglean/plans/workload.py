@@ -585,9 +585,10 @@ def sentiment_default(spark, d):
 def summary_upsert(spark, d):
     """The last of three new summaries of a comment replaces the stored one."""
     versions = F.posexplode(F.array(F.lit("third: "), F.lit("first: "), F.lit("second: ")))
-    batch = A.comments(spark, d).where(F.col("body").isNotNull()).select(
-        "comment_id", "body", versions.alias("turn", "version")).select(
-        "comment_id", F.concat("version", X.summarize_text("body")).alias("comment_summary"),
+    summed = A.comments(spark, d).where(F.col("body").isNotNull()).select(
+        "comment_id", X.summarize_text("body").alias("summary"))
+    batch = summed.select("comment_id", "summary", versions.alias("turn", "version")).select(
+        "comment_id", F.concat("version", "summary").alias("comment_summary"),
         F.pmod(F.col("turn") + 2, F.lit(3)).alias("written"))
     return enrich.upsert_summaries(A.summaries(spark, d), batch, order=[F.desc("written")])
 
