@@ -385,9 +385,6 @@ def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
     hot = cut_lineage(_joined(listed(wanted).mapInArrow(_segments(4), kind)))
     wide = cut_lineage(hot.groupBy(F.col("route").alias("h")).agg(F.count("*").alias("n")).where(
         F.col("n") > HOT_SEGMENTS).select("h"))
-    # What the jobs so far have shuffled is not read again. Spark deletes it once the driver's
-    # JVM has collected their plans, so that it need not lie beside the next job's shuffles.
-    docs.sparkSession._jvm.System.gc()
     segments = listed(wanted).mapInArrow(_segments(3), kind)
     if wide.isEmpty():
         segments = segments.unionByName(hot)
