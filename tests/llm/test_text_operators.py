@@ -168,6 +168,22 @@ def test_common_passage_in_many_documents(spark, monkeypatch, wide):
     assert got == brute.substring_dedup([r[:2] for r in rows])
 
 
+@pytest.mark.parametrize("keys", [40, 500_000])
+def test_hot_segments_are_taken_where_the_texts_stand(spark, monkeypatch, keys):
+    """Lists of hot minimizers are not made into rows, and texts are not shuffled for them;
+    with very few keys to send, those of fewer documents are dealt like others."""
+    monkeypatch.setattr(fm_dedup, "HOT_DOCS", 3)
+    monkeypatch.setattr(fm_dedup, "HOT_SEGMENTS", 2)
+    monkeypatch.setattr(fm_dedup, "HOT_KEYS", keys)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join(passage[i % 7:70 - i % 11] + [f"b{i}"] * (i % 4)), "s") for i in range(60)]
+    base, hits = fm_dedup.find_spans(frame(spark, rows))
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("MapInArrow _segments") == 1
+    got = Counter(tuple(r) for r in fm_dedup.dedup(frame(spark, rows)).collect())
+    assert got == brute.substring_dedup([r[:2] for r in rows])
+
+
 def test_many_rows_of_one_id_stay_linear(spark):
     """Unlike texts of one id keep their own places, and equal rows find them once."""
     passage = " ".join(f"p{i}" for i in range(30))

@@ -5,7 +5,8 @@ a smaller id. Equal windows meet because both carry the same minimizer, the
 least hash of the GRAM-word groups inside: runs of consecutive windows with one
 minimizer form segments, and only segments whose minimizer occurs in two documents or
 more are looked at again. Segments are dealt to shards by minimizer, where equal ones become one with the
-least document id. Equal segments of a minimizer of very many documents are joined before that
+least document id. Minimizers of very many documents, HOT_KEYS at most, are sent to all tasks;
+their segments are taken where the texts stand and equal ones become one before that
 shuffle, so a passage that very many documents share does not pile up; only if very many
 different ones remain is that minimizer dealt window by window.
 
@@ -17,6 +18,7 @@ takes one step. The least document id of an interval decides about the window.
 """
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ WINDOW = 13
 GRAM = 6
 RUN = 32           # windows of a segment at most
 HOT_DOCS = 1000    # equal segments of a minimizer in more documents are joined first
+HOT_KEYS = 500_000      # at most so many minimizers, those of the most documents, are joined first
 HOT_SEGMENTS = 1000     # a minimizer with more different segments is dealt window by window
 SHARD_SEGMENTS = 15_000
 
@@ -248,14 +251,14 @@ def _listed_rows(batch, *columns):
     """The rows with an entry in one of these list columns."""
     sizes = [pc.fill_null(pc.list_value_length(batch.column(c)), 0) for c in columns]
     some = [pc.greater(x, 0) for x in sizes]
-    return batch.filter(some[0] if len(some) == 1 else pc.or_(*some))
+    return batch.filter(reduce(pc.or_, some))
 
 
 def _chosen(windows, whole, single, rows):
-    """(first window, words, owner, route) of the listed segments, whole or by window."""
+    """(first window, words, owner, route) of the segments listed in a column of `whole`, or by window."""
     first, size, owner, h = windows.runs()
     tag = _tagged(h, owner)
-    take = np.isin(tag, _tagged(*_listed(whole, rows)))
+    take = np.isin(tag, np.concatenate([_tagged(*_listed(column, rows)) for column in whole]))
     cut = np.flatnonzero(np.isin(tag, _tagged(*_listed(single, rows))))
     count = size[cut]
     each = np.repeat(first[cut] - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -267,10 +270,11 @@ def _chosen(windows, whole, single, rows):
 def _places(batches):
     """doc_id, mark, k1, k2, start: where each listed segment stands."""
     for batch in batches:
-        batch = _listed_rows(batch, 3, 4)
+        batch = _listed_rows(batch, 3, 4, 5)
         for texts in pieces(batch.column(2)):
             windows = Windows(texts)
-            first, words, owner, _ = _chosen(windows, batch.column(3), batch.column(4), texts.rows)
+            first, words, owner, _ = _chosen(
+                windows, [batch.column(3), batch.column(4)], batch.column(5), texts.rows)
             k1, k2 = windows.keys(first, words)
             rows = pa.array(owner + texts.rows.start)
             yield pa.RecordBatch.from_arrays(
@@ -286,19 +290,35 @@ def _texts_of(windows, first, words):
     return _slices(data, begin[first], begin[last] + windows.end[last] - windows.start[last])
 
 
-def _segments(listed):
-    """route, segment, low, high: the segments whose minimizers stand in the list column `listed`."""
+def _segment_rows(batch, texts, windows, first, words, owner, route):
+    doc = batch.column(0).take(pa.array(owner + texts.rows.start))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(route), _texts_of(windows, first, words), doc, doc], names=["route", "segment", "low", "high"])
+
+
+def _segments(batches):
+    """route, segment, low, high: the segments whose minimizers are listed as those of few documents."""
+    for batch in batches:
+        batch = _listed_rows(batch, 3)
+        none = pa.nulls(len(batch), batch.column(3).type)
+        for texts in pieces(batch.column(2)):
+            windows = Windows(texts)
+            yield _segment_rows(batch, texts, windows, *_chosen(windows, [batch.column(3)], none, texts.rows))
+
+
+def _hot_segments(keys):
+    """The segments whose minimizers are in the broadcast `keys`, equal ones of a piece as one."""
     def run(batches):
         for batch in batches:
-            batch = _listed_rows(batch, listed)
-            none = pa.nulls(len(batch), batch.column(listed).type)
             for texts in pieces(batch.column(2)):
                 windows = Windows(texts)
-                first, words, owner, route = _chosen(windows, batch.column(listed), none, texts.rows)
-                doc = batch.column(0).take(pa.array(owner + texts.rows.start))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(route), _texts_of(windows, first, words), doc, doc],
-                    names=["route", "segment", "low", "high"])
+                first, size, owner, h = windows.runs()
+                take = np.flatnonzero(np.isin(h, keys.value))
+                rows = _segment_rows(
+                    batch, texts, windows, first[take], size[take] + WINDOW - 1, owner[take], h[take].view(np.int64))
+                once = pa.Table.from_batches([rows]).group_by(["route", "segment"]).aggregate(
+                    [("low", "min"), ("high", "max")]).rename_columns(rows.schema.names)
+                yield from once.to_batches()
     return run
 
 
@@ -371,36 +391,30 @@ def find_spans(docs, *, id_col="doc_id", text_col="text", carry=()):
     shared = cut_lineage(marked.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(1, -(-total // SHARD_SEGMENTS))
-    wanted = cut_lineage(
-        marked.join(shared, "h").groupBy("doc_id", "mark").agg(
-            F.collect_set(F.when(F.col("n") <= HOT_DOCS, F.col("h"))).alias("few"),
-            F.collect_set(F.when(F.col("n") > HOT_DOCS, F.col("h"))).alias("many")))
-
-    def listed(lists):
-        # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
-        return base.join(lists, ["doc_id", "mark"], "left").select(
-            "doc_id", "mark", "text", "few", "many", *["rest"] * bool(carry))
-
+    is_hot = F.col("n") > max(HOT_DOCS, total // HOT_KEYS)
     kind = "route long, segment binary, low long, high long"
-    hot = cut_lineage(_joined(listed(wanted).mapInArrow(_segments(4), kind)))
+    keys = np.asarray(shared.where(is_hot).select("h").toArrow()["h"]).view(np.uint64)
+    keys = docs.sparkSession.sparkContext.broadcast(np.sort(keys))
+    hot = cut_lineage(_joined(base.where("doc_id is not null").select("doc_id", "mark", "text").mapInArrow(
+        _hot_segments(keys), kind)))
     wide = cut_lineage(hot.groupBy(F.col("route").alias("h")).agg(F.count("*").alias("n")).where(
-        F.col("n") > HOT_SEGMENTS).select("h"))
-    segments = listed(wanted).mapInArrow(_segments(3), kind)
-    if wide.isEmpty():
-        segments = segments.unionByName(hot)
-        placed = wanted.withColumn("few", F.concat("few", "many")).withColumn("many", F.slice("many", 1, 0))
-    else:
-        of_wide = F.col("route") == F.col("h")
-        windows = _joined(hot.join(wide, of_wide, "left_semi").mapInArrow(_cut, kind))
-        segments = segments.unionByName(hot.join(wide, of_wide, "left_anti")).unionByName(windows)
-        found = wanted.select("doc_id", "mark", F.explode("many").alias("h")).join(wide, "h").groupBy(
-            "doc_id", "mark").agg(F.collect_set("h").alias("wide"))
-        cut = F.coalesce("wide", F.slice("many", 1, 0))
-        placed = wanted.join(found, ["doc_id", "mark"], "left").select(
-            "doc_id", "mark", F.concat("few", F.array_except("many", cut)).alias("few"), cut.alias("many"))
+        F.col("n") > HOT_SEGMENTS).select("h", F.lit(True).alias("cut")))
+    routes = shared.join(wide, "h", "left").select(
+        "h", F.when(~is_hot, 0).when(F.col("cut").isNull(), 1).otherwise(2).alias("way"))
+    wanted = cut_lineage(
+        marked.join(routes, "h").groupBy("doc_id", "mark").agg(*[
+            F.collect_set(F.when(F.col("way") == way, F.col("h"))).alias(name)
+            for way, name in enumerate(["few", "many", "wide"])]))
+    # `rest` is handed over, unread, so that this shuffle of texts is the final join's too.
+    listed = base.join(wanted, ["doc_id", "mark"], "left").select(
+        "doc_id", "mark", "text", "few", "many", "wide", *["rest"] * bool(carry))
+    of_wide = F.col("route") == F.col("h")
+    windows = _joined(hot.join(wide, of_wide, "left_semi").mapInArrow(_cut, kind))
+    segments = listed.mapInArrow(_segments, kind).unionByName(
+        hot.join(wide, of_wide, "left_anti")).unionByName(windows)
     found = segments.withColumn("shard", F.pmod("route", F.lit(shards))).groupBy("shard").applyInArrow(
         _search, "k1 long, k2 int, least array<long>")
-    places = listed(placed).mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
+    places = listed.mapInArrow(_places, "doc_id long, mark int, k1 long, k2 int, start int")
     hits = places.join(found, ["k1", "k2"]).select(
         "doc_id", "mark", F.filter(
             F.transform("least", lambda v, i: F.when(v < F.col("doc_id"), F.col("start") + i)),
