@@ -175,3 +175,27 @@ def test_a_failed_write_leaves_the_old_reports(spark, tmp_path):
     assert sorted(str(p) for p in tmp_path.rglob("*")) == before
     (only,) = files.read_markdown_reports(spark, root, day).collect()
     assert only.text.startswith("line 0\n")
+
+
+def test_many_short_files_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """Files are numbered over the folders of several files; a re-run keeps other files."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    tasks, write = [], DataFrameWriter.text
+
+    def text(self, *args, **kwargs):
+        tasks.append(self._df.rdd.getNumPartitions())
+        return write(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "text", text)
+    day, root = dt.date(2025, 1, 9), str(tmp_path)
+    files.write_markdown(spark.createDataFrame(_report(2503, text="old"), LINES), root, day, lines_per_file=5)
+    own = tmp_path / "year=2025/month=01/day=09/subreddit=openai"
+    (own / "notes.txt").write_text("kept")
+    files.write_markdown(spark.createDataFrame(_report(2503), LINES), root, day, lines_per_file=10)
+    assert min(tasks) > 1
+    got = {r.file_no: r.text for r in files.read_markdown_reports(spark, root, day).collect()}
+    assert sorted(got) == list(range(1, 252)) and {got[i].count("\n") for i in range(1, 251)} == {10}
+    assert "".join(got[i] for i in sorted(got)) == "".join(f"line {i}\n" for i in range(2503))
+    assert (own / "notes.txt").read_text() == "kept"
+    assert sorted(p.name for p in own.parent.iterdir()) == ["subreddit=openai"]

@@ -1,6 +1,8 @@
 """File sources and sinks: landing entries, task logs, report text."""
 
+import re
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -60,6 +62,9 @@ def write_reports(lines, root, report_date):
 
 # Lines of a report file; a longer report goes on in numbered files.
 LINES_PER_FILE = 500_000
+# Short files that one folder aside gets at most, and files that are renamed at once.
+FILES_PER_FOLDER = 100
+RENAMES_AT_ONCE = 16
 
 
 def write_markdown(lines, root, report_date, *, lines_per_file=LINES_PER_FILE):
@@ -68,46 +73,74 @@ def write_markdown(lines, root, report_date, *, lines_per_file=LINES_PER_FILE):
 
     Lines are numbered over the whole report first, so each file is sorted and written by one
     task and its size is bounded. Files are written aside by Spark, whose commit leaves
-    nothing of failed tasks, and are renamed when all are complete; a failed run leaves
-    the old reports as they are. A re-run replaces the reports of its communities.
+    nothing of failed tasks: a folder holds consecutive files of one report, cut after
+    `lines_per_file` rows, so its number and the file's place in it give the file's number. They are
+    renamed when all are complete, and a community's folder is put in place of the old one as a whole;
+    a failed run leaves the old reports as they are. A re-run replaces the reports of its
+    communities and keeps files of other names.
     """
     spark = lines.sparkSession
     order = ["section", "position", "line_no"]
     numbered = rank_rows(lines.select("subreddit", *order, "text"), "subreddit", order, "__no")
-    placed = numbered.withColumn("file_no", F.floor((F.col("__no") - 1) / lines_per_file) + 1)
+    per_folder = max(1, min(FILES_PER_FOLDER, LINES_PER_FILE // lines_per_file))
+    placed = numbered.withColumn("folder_no", F.floor((F.col("__no") - 1) / (lines_per_file * per_folder)))
     day = day_folder(root, report_date)
     aside = f"{day}/_aside-{uuid.uuid4().hex}"
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    folder = jvm_path(aside)
-    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(aside).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+    def rename(old, new):
+        if not fs.rename(path(old), path(new)):
+            raise OSError(f"{old} could not be renamed to {new}")
+
+    # A number of partitions keeps many short files, which are few bytes, from becoming one task's work.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     try:
-        (placed.repartition("subreddit", "file_no").sortWithinPartitions("subreddit", "file_no", "__no")
-         .select("subreddit", "file_no", F.col("text").alias("value"))
-         .write.partitionBy("subreddit", "file_no").text(aside))
-        for community in _folders(fs, folder):
-            own = jvm_path(f"{day}/{community.getName()}")
-            fs.mkdirs(own)
-            stem = f"{K.REPORT_FILE_PREFIX}{community.getName().split('=', 1)[1]}"
-            fresh = set()
-            for numbered_folder in _folders(fs, community):
-                number = numbered_folder.getName().split("=", 1)[1]
-                name = f"{stem}.md" if number == "1" else f"{stem}_{number}.md"
-                (part,) = [s.getPath() for s in fs.listStatus(numbered_folder)
-                           if s.getPath().getName().startswith("part-")]
-                fs.delete(jvm_path(own, name), False)
-                if not fs.rename(part, jvm_path(own, name)):
-                    raise OSError(f"{part} could not be renamed to {name}")
-                fresh.add(name)
-            for status in fs.listStatus(own):
-                name = status.getPath().getName()
-                if name.startswith(K.REPORT_FILE_PREFIX) and name not in fresh:
-                    fs.delete(status.getPath(), False)
+        (placed.repartition(tasks, "subreddit", "folder_no").sortWithinPartitions("subreddit", "folder_no", "__no")
+         .select("subreddit", "folder_no", F.col("text").alias("value"))
+         .write.option("maxRecordsPerFile", lines_per_file).partitionBy("subreddit", "folder_no").text(aside))
+        communities = [s.getPath().getName() for s in fs.listStatus(path(aside)) if s.isDirectory()]
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            for community in communities:
+                fs.mkdirs(path(f"{aside}/fresh/{community}"))
+                stem = f"{K.REPORT_FILE_PREFIX}{community.split('=', 1)[1]}"
+                moves = []
+                for folder in [s.getPath().getName() for s in fs.listStatus(path(f"{aside}/{community}"))]:
+                    # One task's files, whose names differ in their place only.
+                    parts = fs.listStatus(path(f"{aside}/{community}/{folder}"))
+                    first, last = re.split(r"\.c\d+", parts[0].getPath().getName())
+                    for place in range(len(parts)):
+                        number = int(folder.split("=", 1)[1]) * per_folder + place + 1
+                        name = f"{stem}.md" if number == 1 else f"{stem}_{number}.md"
+                        moves.append((f"{aside}/{community}/{folder}/{first}.c{place:03d}{last}",
+                                      f"{aside}/fresh/{community}/{name}"))
+                list(pool.map(lambda move: rename(*move), moves))
+        for community in communities:
+            own, fresh, old = f"{day}/{community}", f"{aside}/fresh/{community}", f"{aside}/old-{community}"
+            others = []
+            try:
+                if fs.exists(path(own)):
+                    rename(own, old)
+                    found = fs.listStatus(path(old), spark._jvm.org.apache.hadoop.fs.GlobFilter(_OTHER_NAMES))
+                    others = [(f"{old}/{n}", f"{fresh}/{n}") for n in (s.getPath().getName() for s in found)]
+                for move in others:
+                    rename(*move)
+                rename(fresh, own)
+            except BaseException:
+                if fs.exists(path(old)):
+                    for at, to in others:
+                        if fs.exists(path(to)):
+                            rename(to, at)
+                    rename(old, own)
+                raise
     finally:
-        fs.delete(folder, True)
+        fs.delete(path(aside), True)
 
 
-def _folders(fs, path):
-    return [s.getPath() for s in fs.listStatus(path) if s.isDirectory()]
+# The names that don't begin with the prefix of reports, as a glob.
+_OTHER_NAMES = "{%s}" % ",".join(
+    [f"{K.REPORT_FILE_PREFIX[:i]}[^{c}]*" for i, c in enumerate(K.REPORT_FILE_PREFIX)]
+    + [K.REPORT_FILE_PREFIX[:i] for i in range(1, len(K.REPORT_FILE_PREFIX))])
 
 
 def read_report_lines(spark, root, day=None, pattern="*.txt"):
