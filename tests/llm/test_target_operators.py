@@ -264,6 +264,24 @@ def test_rules_use_a_bounded_number_of_trusted_documents(spark):
     assert got == sorted(range(100), key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:7]
 
 
+def test_rules_use_all_trusted_documents(spark):
+    n = quality_rules.MAX_TRUSTED + 500
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    trusted = quality_rules.trusted_ids(labels)
+    assert trusted.count() == n
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('w', id % 7, repeat(' x', 60 + cast(id % 5 as int))) as text")
+    gains, bar = quality_rules.fit(docs, trusted)
+    held = {r.doc_id for r in trusted.where("held").collect()}
+    texts = {i: f"w{i % 7}" + " x" * (60 + i % 5) for i in range(n)}
+    t = Counter(b for i, x in texts.items() if i not in held for b in grams(x))
+    s = Counter(b for x in texts.values() for b in grams(x))
+    k = quality_rules.BUCKETS
+    assert gains == [math.floor(1000 * math.log((t[b] + 1) * (s.total() + k) / ((s[b] + 1) * (t.total() + k))))
+                     for b in range(k)]
+    assert quality_rules._bar([{"level": 3, "n": 1}, {"level": -2, "n": 5}, {"level": 9, "n": 1994}]) == 9
+    assert quality_rules._bar([{"level": 3, "n": 6}, {"level": -2, "n": 5}, {"level": 9, "n": 1989}]) == 3
+
+
 def test_rules_without_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     gains, bar = fitted = quality_rules.fit(empty(spark), quality_rules.trusted_ids(labels))
