@@ -282,6 +282,45 @@ def test_rules_use_all_trusted_documents(spark):
     assert quality_rules._bar([{"level": 3, "n": 6}, {"level": -2, "n": 5}, {"level": 9, "n": 1989}]) == 3
 
 
+def test_rules_join_few_texts_and_store_none_to_find_the_trusted(spark, monkeypatch):
+    rng = random.Random(8)
+    n, vocabulary = 4_000, ["".join(rng.choices("abcdefghijklmnop", k=3)) for _ in range(60)]
+    texts = {i: " ".join(rng.choices(vocabulary, k=300)) for i in range(n)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4).localCheckpoint()
+    labels = spark.createDataFrame([(i, 1) for i in range(0, n, 20)], "doc_id long, quality int")
+    trusted = quality_rules.trusted_ids(labels).localCheckpoint()
+    held = {r.doc_id for r in trusted.where("held").collect()}
+    stored, store, joined, join = [], quality_rules.cut_lineage, [], getattr(quality_rules, "_among", None)
+    monkeypatch.setattr(quality_rules, "cut_lineage", lambda df: stored.append(df.columns) or store(df))
+    monkeypatch.setattr(quality_rules, "_among", lambda df, ids: joined.append((df.columns, df.count())) or join(df, ids),
+                        raising=False)
+    gains, bar = quality_rules.fit(docs, trusted)
+    assert stored == [["doc_id", "held"]]
+    assert [columns for columns, _ in joined] == [["doc_id", "text"], ["doc_id", "level"]]
+    assert sum(rows for _, rows in joined) <= n // 20 + 5
+    fitting = set(range(0, n, 20)) - held
+    t, s = Counter(b for i in fitting for b in grams(texts[i])), Counter(b for x in texts.values() for b in grams(x))
+    k = quality_rules.BUCKETS
+    want = [math.floor(1000 * math.log((t[b] + 1) * (s.total() + k) / ((s[b] + 1) * (t.total() + k)))) for b in range(k)]
+    levels = sorted(sum(want[b] for b in grams(texts[i])) // len(grams(texts[i])) for i in held if not rules(texts[i])[5])
+    assert gains == want and bar == levels[len(levels) * 5 // 1000]
+
+
+@pytest.mark.parametrize("bits", [15, quality_rules.FILTER_BITS])
+def test_rules_filter_keeps_all_trusted_rows(spark, monkeypatch, bits):
+    """A filter that is full lets others through, and the exact join drops them."""
+    monkeypatch.setattr(quality_rules, "FILTER_BITS", bits)
+    docs = spark.range(-20_000, 40_000).selectExpr("id as doc_id", "id % 7 as n").union(
+        spark.createDataFrame([(None, 1), (3, 2), (4, 2)], "doc_id long, n long"))
+    ids = spark.range(-30_000, 30_000, 3).selectExpr("id as doc_id")
+    near = quality_rules.maybe_among(docs, ids)
+    want = Counter((i, i % 7 if i >= 0 else -(-i % 7)) for i in range(-20_000, 30_000) if i % 3 == 0) + Counter([(3, 2)])
+    assert near.columns == docs.columns
+    assert Counter(map(tuple, quality_rules._among(near, ids).collect())) == want
+    assert want.total() <= near.count() < (docs.count() if bits == 15 else 1.01 * want.total())
+    assert quality_rules.maybe_among(docs, ids.limit(0)).count() == 0
+
+
 def test_rules_without_rows(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     gains, bar = fitted = quality_rules.fit(empty(spark), quality_rules.trusted_ids(labels))
