@@ -243,6 +243,79 @@ def test_shingle_join(spark, monkeypatch, seed, tile):
     assert any(r[0] is not None and r[2] != r[0] for r in got)
 
 
+def family(n, first, rng, most=30):
+    """Copies of one text of 100 words, of which 0 to `most` words were replaced."""
+    base = [f"b{first}w{i}" for i in range(100)]
+    out = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.sample(range(100), rng.randrange(most)):
+            words[at] = f"e{rng.randrange(10**6)}"
+        out.append((first + k, " ".join(words), "s"))
+    return out
+
+
+@pytest.mark.parametrize("tile,leaf,pairs", [(2048, 64, 1 << 16), (20, 4, 5)])
+def test_shingle_join_of_families(spark, monkeypatch, tile, leaf, pairs):
+    monkeypatch.setattr(jaccard_join, "MERGE_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "TILE_SETS", tile)
+    monkeypatch.setattr(jaccard_join, "TILE_LEAF", leaf)
+    monkeypatch.setattr(jaccard_join, "BATCH_PAIRS", pairs)
+    rng = random.Random(tile)
+    a, b = family(60, 100, rng, 12), family(40, 500, rng, 25)
+    # Texts of both families and of other lengths, shingles with few sets beside those of many.
+    mixed = [(900 + k, " ".join(a[k][1].split()[:60 + 3 * k] + b[k][1].split()[:5 * k]), "s") for k in range(20)]
+    rows = [*a, *b, *mixed, *awkward(9)]
+    assert tuples(jaccard_join.join(frame(spark, rows))) == brute.jaccard([(i, t) for i, t, _ in rows])
+
+
+def test_large_families_are_not_compared_pair_by_pair(spark, monkeypatch):
+    verify, counts = jaccard_join.verify, []
+
+    def counted(pairs, texts):
+        counts.append(pairs.count())
+        return verify(pairs, texts)
+
+    monkeypatch.setattr(jaccard_join, "verify", counted)
+    rows = family(300, 1, random.Random(3), 14)
+    got = tuples(jaccard_join.join(frame(spark, rows)))
+    assert got == brute.jaccard([(i, t) for i, t, _ in rows])
+    assert sum(counts) < 20 * len(rows)
+
+
+def test_families_are_paired_in_bounded_batches(monkeypatch):
+    """A tile in which all pairs may link; each goes once, some at a time."""
+    monkeypatch.setattr(jaccard_join, "TILE_LEAF", 8)
+    monkeypatch.setattr(jaccard_join, "BATCH_PAIRS", 100)
+    n = 60
+    key, owner = np.tile(np.arange(200, dtype=np.uint64) * np.uint64(977), n), np.repeat(np.arange(n), 200)
+    odd = jaccard_join.parities(key, owner, np.full(n, 512))
+    bits = jaccard_join.bitmap(key[:51], 256).tobytes()
+    columns = {"low": [0] * n, "high": [0] * n, "tile": [0] * n, "id": list(range(n)), "n": [200] * n,
+               "part": list(range(n)), "bits": [bits] * n, "odd": odd}
+    whole = pa.RecordBatch.from_pydict(columns)
+    batches = list(jaccard_join._family_pairs(iter([whole.slice(0, 25), whole.slice(25)])))
+    pairs = [(r["a"], r["b"]) for x in batches for r in x.to_pylist()]
+    assert sorted(pairs) == [(i, j) for i in range(n) for j in range(i + 1, n)]
+    assert max(x.num_rows for x in batches) <= 100 + 64
+
+
+def test_parities_bound_the_symmetric_difference():
+    rng = np.random.default_rng(2)
+    sets = [rng.choice(2000, rng.integers(1, 300), False).astype(np.uint64) for _ in range(30)]
+    key, owner = np.concatenate(sets), np.repeat(np.arange(30), [len(x) for x in sets])
+    for places in (64, 1024):
+        odd = [np.frombuffer(x, np.uint64) for x in jaccard_join.parities(key, owner, np.full(30, places))]
+        half = [jaccard_join.fold(x, 64, np.bitwise_xor) for x in odd]
+        for i in range(30):
+            for j in range(i):
+                most = len(np.setxor1d(sets[i], sets[j]))
+                assert np.bitwise_count(odd[i] ^ odd[j]).sum() <= most
+                assert np.bitwise_count(half[i] ^ half[j]).sum() <= most
+    none = jaccard_join.parities(key[owner == 1], owner[owner == 1], np.array([0, 64, 0, 128]))
+    assert [len(x) for x in none] == [0, 8, 0, 16]
+
+
 def chain(n, step):
     """Texts that each link with their neighbours only, and texts of one common passage."""
     words = [f"v{i}" for i in range(n * step + 200)]

@@ -16,11 +16,19 @@ or more. Equal sets form one class and are compared once. Then:
    are all in one component. (A group that fits a leaf is paired without a tree.)
    The pairs left are counted over all groups, which gives their exact number of common
    prefix shingles; those that can still link are verified.
+4. Families. Large families of near copies share most of their shingles, so that their pairs
+   would come from hundreds of groups, each growing with the square of the family. Shingles
+   of more than MERGE_ROWS sets are therefore grouped by their least id: a set is in
+   such a family once and a pair comes from few places. Trees over tiles of a family
+   drop pairs as above and by the parities of whole sets, which leave little more than the links,
+   and give the others in batches of bounded size.
 
 Verification counts whole shingle sets. Pairs are dropped only by upper bounds, so all
 links between different components are found and the components are exact.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window, functions as F
@@ -32,7 +40,11 @@ from threadglean.operators.scale import cut_lineage, lookup_join, narrow_to, num
 WIDTH = 5
 COUNT_BITS = 18
 HUB_MEMBERS = 256
-TILE_SETS = 20_000
+MERGE_ROWS = 64
+MERGE_PINNED = 200_000
+TILE_SETS = 2048
+TILE_LEAF = 64
+BATCH_PAIRS = 1 << 16
 # Shingles up to this place in the order are a fifth of those that are not frequent.
 CUT = 2**63 // 5
 LEAF_SETS = 8
@@ -137,13 +149,30 @@ def bitmap_bits(prefix):
     return max(64, 1 << (4 * prefix - 1).bit_length())
 
 
-def fold(words, bits):
-    """A longer bitmap as one of `bits` places, by OR of its parts."""
-    return np.bitwise_or.reduce(words.reshape(-1, bits // 64), axis=0)
+def fold(words, bits, by=np.bitwise_or):
+    """A longer bitmap as one of `bits` places, by OR of its parts (XOR for parities)."""
+    return by.reduce(words.reshape(-1, bits // 64), axis=0)
+
+
+def parities(key, owner, bits):
+    """Bytes of each set's parity bitmap: place p has the number of its keys with key % bits = p, modulo 2.
+
+    `bits` has the places of each set. Two bitmaps differ in at most as many places as
+    there are shingles that only one of the sets has.
+    """
+    ends = np.concatenate(([0], np.cumsum(bits)))
+    place = ends[owner] + (key & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(place, minlength=int(ends[-1])) & 1).astype(np.uint8)
+    packed = np.packbits(odd, bitorder="little").tobytes()
+    ends = (ends // 8).tolist()
+    return [packed[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 def describe(docs, frequent, *, id_col="doc_id", text_col="text"):
-    """doc_id, n, d1, d2 (digest of the set), rest, prefix, bits: stored, one row per document."""
+    """doc_id, n, d1, d2 (digest of the set), rest, prefix, bits, odd: stored, one row per document.
+
+    bits: bitmap of the prefix; odd: parity bitmap of the whole set, twice as long.
+    """
     def run(batches):
         for batch in batches:
             for texts in pieces(batch.column(1)):
@@ -168,16 +197,17 @@ def describe(docs, frequent, *, id_col="doc_id", text_col="text"):
                 raw = tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - TOKEN_BYTES:].tobytes()
                 maps = [bitmap(tokens[a:b], bitmap_bits(int(b - a))).tobytes() if b > a else b""
                         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+                odd = parities(key, owner, np.array([16 * len(x) for x in maps], np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[texts.rows], pa.array(n, pa.int64()), *digest, pa.array(rest, pa.int64()),
                      pa.array([raw[TOKEN_BYTES * a:TOKEN_BYTES * b] for a, b in
                                zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary()),
-                     pa.array(maps, pa.binary())],
-                    names=["doc_id", "n", "d1", "d2", "rest", "prefix", "bits"])
+                     pa.array(maps, pa.binary()), pa.array(odd, pa.binary())],
+                    names=["doc_id", "n", "d1", "d2", "rest", "prefix", "bits", "odd"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return cut_lineage(slim.mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, rest long, prefix binary, bits binary"))
+        run, "doc_id long, n long, d1 long, d2 long, rest long, prefix binary, bits binary, odd binary"))
 
 
 def _tokens(batches):
@@ -240,18 +270,18 @@ class SignatureTree:
     """Sets sorted by component and size; a node is a stretch of them.
 
     Node numbers follow a heap: children 2i + 1 and 2i + 2. `bits` is a matrix of
-    equally long bitmaps.
+    equally long bitmaps, `odd` one of equally long parities or None.
     """
 
-    def __init__(self, sizes, parts, bits):
-        self.sizes, self.parts, self.bits = sizes, parts, bits
+    def __init__(self, sizes, parts, bits, odd=None, leaf=LEAF_SETS):
+        self.sizes, self.parts, self.bits, self.odd, self.leaf = sizes, parts, bits, odd, leaf
         prefix = prefix_length(sizes)
         self.extra = prefix - np.bitwise_count(bits).sum(1).astype(np.int64)
         self.nodes = {}
         self._build(0, 0, len(sizes))
 
     def _build(self, node, lo, hi):
-        if hi - lo <= LEAF_SETS:
+        if hi - lo <= self.leaf:
             both = np.bitwise_or.reduce(self.bits[lo:hi], axis=0)
         else:
             mid = (lo + hi) // 2
@@ -280,11 +310,11 @@ def _may_link(a, b):
 
 
 def tree_pairs(left, right):
-    """Positions (i, j) of pairs that may link, from the dual traversal of two trees.
+    """Positions (i, j) of pairs that may link, from the dual traversal of two trees, leaf by leaf.
 
     The same tree twice gives each pair once.
     """
-    out, todo = [], [(0, 0)]
+    todo = [(0, 0)]
     same = left is right
     while todo:
         a, b = todo.pop()
@@ -294,62 +324,68 @@ def tree_pairs(left, right):
         if left.is_leaf(a) and right.is_leaf(b):
             i = np.repeat(np.arange(one[0], one[1]), two[1] - two[0])
             j = np.tile(np.arange(two[0], two[1]), one[1] - one[0])
-            keep = left.parts[i] != right.parts[j]
-            if same:
-                keep &= (i < j) if a == b else keep
-            i, j = i[keep], j[keep]
             m, n = left.sizes[i], right.sizes[j]
+            keep = (left.parts[i] != right.parts[j]) & (4 * m >= 3 * n) & (4 * n >= 3 * m)
+            if same and a == b:
+                keep &= i < j
+            i, j, m, n = i[keep], j[keep], m[keep], n[keep]
             both = np.bitwise_count(left.bits[i] & right.bits[j]).sum(1).astype(np.int64)
             most = both + np.minimum(left.extra[i], right.extra[j])
-            keep = (4 * m >= 3 * n) & (4 * n >= 3 * m) & (most >= least_shared(m, n))
-            out.append((i[keep], j[keep]))
+            keep = most >= least_shared(m, n)
+            i, j, m, n = i[keep], j[keep], m[keep], n[keep]
+            if left.odd is not None:
+                apart = np.bitwise_count(left.odd[i] ^ right.odd[j]).sum(1).astype(np.int64)
+                # The shingles that only one of them has are m + n less twice the common ones.
+                keep = m + n - apart >= 2 * least_overlap(m, n)
+                i, j = i[keep], j[keep]
+            if len(i):
+                yield i, j
         elif same and a == b:
             todo += [(2 * a + 1, 2 * a + 1), (2 * a + 1, 2 * a + 2), (2 * a + 2, 2 * a + 2)]
         elif right.is_leaf(b) or (not left.is_leaf(a) and one[1] - one[0] >= two[1] - two[0]):
             todo += [(2 * a + 1, b), (2 * a + 2, b)]
         else:
             todo += [(a, 2 * b + 1), (a, 2 * b + 2)]
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def group_pairs(sizes, parts, bits, left, right):
-    """Positions (i, j) of pairs of rows `left` and `right` that may link.
+def group_pairs(sizes, parts, bits, left, right, odd=None, leaf=LEAF_SETS):
+    """Positions (i, j) of pairs of rows `left` and `right` that may link, in parts of at
+    most leaf * leaf pairs.
 
     One tree per length of bitmaps: sets that may link have lengths that are equal
     or one doubling apart, and the longer ones are folded for that.
     """
     def trees(rows):
         out = {}
-        for length in sorted({len(bits[i]) for i in rows}):
-            own = np.array([i for i in rows if len(bits[i]) == length])
+        lengths = np.array([len(bits[i]) for i in rows], np.int64)
+        for length in np.unique(lengths).tolist():
+            own = rows[lengths == length]
             own = own[np.lexsort((sizes[own], parts[own]))]
             words = np.array([np.frombuffer(bits[i], np.uint64) for i in own])
-            out[length] = own, words, SignatureTree(sizes[own], parts[own], words)
+            marks = None if odd is None else np.array([np.frombuffer(odd[i], np.uint64) for i in own])
+            out[length] = own, SignatureTree(sizes[own], parts[own], words, marks, leaf)
         return out
 
-    found = []
     one = trees(left)
     two = one if left is right else trees(right)
 
     def cross(a, b):
-        (rows_a, _, tree), (rows_b, words, _) = a, b
-        folded = SignatureTree(sizes[rows_b], parts[rows_b],
-                               np.array([fold(w, 64 * tree.bits.shape[1]) for w in words]))
-        i, j = tree_pairs(tree, folded)
-        found.append((rows_a[i], rows_b[j]))
-
-    for length, (rows_a, _, tree) in one.items():
+        (rows_a, tree), (rows_b, other) = a, b
+        length = 64 * tree.bits.shape[1]
+        marks = None if odd is None else np.array([fold(w, 2 * length, np.bitwise_xor) for w in other.odd])
+        folded = SignatureTree(other.sizes, other.parts, np.array([fold(w, length) for w in other.bits]), marks, leaf)
+        for i, j in tree_pairs(tree, folded):
+            yield rows_a[i], rows_b[j]
+
+    for length, (rows_a, tree) in one.items():
         if length in two:
-            rows_b, _, other = two[length]
-            i, j = tree_pairs(tree, other)
-            found.append((rows_a[i], rows_b[j]))
+            rows_b, other = two[length]
+            for i, j in tree_pairs(tree, other):
+                yield rows_a[i], rows_b[j]
         if 2 * length in two:
-            cross(one[length], two[2 * length])
+            yield from cross(one[length], two[2 * length])
         if one is not two and 2 * length in one and length in two:
-            cross(two[length], one[2 * length])
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, int),) * 2
+            yield from cross(two[length], one[2 * length])
 
 
 PAIR = "a long, b long, n_a long, n_b long, rest_a long, rest_b long, common long"
@@ -393,14 +429,39 @@ def _leaf_pairs(batches):
 
 
 def _tree_pairs(table):
-    """Pairs of a token's group, or of two tiles of it, by signature trees."""
-    ids, sizes, rest, parts, tile = (np.asarray(table[c]) for c in ("id", "n", "rest", "part", "tile"))
+    """Pairs of a token's group, by signature trees."""
+    ids, sizes, rest, parts = (np.asarray(table[c]) for c in ("id", "n", "rest", "part"))
+    rows = np.arange(len(ids))
+    found = list(group_pairs(sizes, parts, table["bits"].to_pylist(), rows, rows))
+    i, j = (np.concatenate(x) for x in zip(*found)) if found else (rows[:0], rows[:0])
+    keep = ids[i] != ids[j]
+    return pa.Table.from_batches([_counted(ids, sizes, rest, i[keep], j[keep])])
+
+
+def _family_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b of the pairs of a family's tile, or of two of them, that may link, by signature trees."""
+    table = pa.Table.from_batches(list(batches))
+    ids, sizes, parts, tile = (np.asarray(table[c]) for c in ("id", "n", "part", "tile"))
     low, high = table["low"][0].as_py(), table["high"][0].as_py()
     left = np.flatnonzero(tile == low)
     right = left if low == high else np.flatnonzero(tile == high)
-    i, j = group_pairs(sizes, parts, table["bits"].to_pylist(), left, right)
-    keep = ids[i] != ids[j]
-    return pa.Table.from_batches([_counted(ids, sizes, rest, i[keep], j[keep])])
+    held, n = [], 0
+
+    def batch():
+        a, b = (np.concatenate(x) for x in zip(*held))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    for i, j in group_pairs(sizes, parts, table["bits"].to_pylist(), left, right,
+                            table["odd"].to_pylist(), TILE_LEAF):
+        keep = ids[i] != ids[j]
+        held.append((ids[i[keep]], ids[j[keep]]))
+        n += len(held[-1][0])
+        if n >= BATCH_PAIRS:
+            yield batch()
+            held, n = [], 0
+    if n:
+        yield batch()
 
 
 def _linkable(batches):
@@ -459,6 +520,51 @@ def verify(pairs, texts):
         .groupBy("a", "salt").applyInArrow(_compare, "u long, v long"))
 
 
+def _bitmaps_of(sets, ids, columns):
+    """Distinct id and `columns` of the sets whose id is in `ids`."""
+    few = narrow_to(sets.where("n > 0").select(F.col("doc_id").alias("id"), *columns), ids, "id")
+    return few.join(ids, "id", "left_semi").distinct()
+
+
+def families(shared):
+    """(shingles, as `token`, that more than MERGE_ROWS sets have; their rows by family), or None twice.
+
+    The shingles of one least id make one family, unless comparing its sets would
+    cost more than comparing those of each shingle.
+    """
+    hot = cut_lineage(shared.groupBy("token").agg(F.count("*").alias("rows"), F.min("id").alias("hub")).where(
+        F.col("rows") > MERGE_ROWS))
+    if hot.isEmpty():
+        return None, None
+    large = lookup_join(shared.select("token", "id", "n"), hot, ["token"], "inner", "id", max_rows=MERGE_PINNED)
+    each = hot.groupBy("hub").agg(F.sum(F.col("rows").cast("double") * F.col("rows")).alias("each"))
+    merged = cut_lineage(large.select("hub", "id", "n").distinct().groupBy("hub").agg(F.count("*").alias("sets")).join(
+        each, "hub").where(F.col("sets").cast("double") * F.col("sets") <= F.col("each")).select("hub", "sets"))
+    members = cut_lineage(lookup_join(large, merged, ["hub"], "left", "id", max_rows=MERGE_PINNED).select(
+        "hub", F.when(F.col("sets").isNull(), F.col("token")).otherwise(-1).alias("token"), "id", "n",
+        F.coalesce("sets", "rows").alias("rows")).distinct())
+    return hot, members
+
+
+def families_paired(members, part, sets):
+    """a, b of the pairs of the families that may link and are not in one component of `part`."""
+    family = ["hub", "token"]
+    placed = cut_lineage(members.join(part, "id", "left").withColumn(
+        "part", F.coalesce("component", "id")).drop("component"))
+    split = placed.groupBy(*family).agg(
+        F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select(*family)
+    placed = lookup_join(placed, cut_lineage(split), family, "inner", "id", max_rows=MERGE_PINNED)
+    known = _bitmaps_of(sets, members.select("id").distinct(), ["n", "bits", "odd"])
+    tiles = F.ceil(F.col("rows") / TILE_SETS).cast("int")
+    dealt = (
+        placed.withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}))
+    return dealt.join(known, ["id", "n"]).select(
+        *family, "low", "high", "tile", "id", "n", "part", "bits", "odd").groupBy(
+        *family, "low", "high").applyInArrow(_family_pairs, "a long, b long")
+
+
 def join(docs, *, id_col="doc_id", text_col="text"):
     """doc_id, n_shingles, component_id of every row.
 
@@ -497,11 +603,14 @@ def join(docs, *, id_col="doc_id", text_col="text"):
         F.col("doc_id").alias("u"), F.col("id").alias("v"))
     links = verify(first, texts).unionByName(ties)
     part = cut_lineage(components(links))
+    hot, members = families(shared)
     # Groups with several components: small ones are paired at once, others by trees.
-    known = alone.select(F.col("doc_id").alias("id"), "n", "rest", "bits").distinct()
-    info = known.select("id", "n", "rest").distinct().join(part, "id", "left").select(
+    info = alone.select(F.col("doc_id").alias("id"), "n", "rest").distinct().join(part, "id", "left").select(
         "id", "n", "rest", F.coalesce("component", "id").alias("part"))
-    placed = shared.select("token", "id", "n").join(info, ["id", "n"])
+    placed = shared.select("token", "id", "n")
+    if hot is not None:
+        placed = lookup_join(placed, hot.select("token"), ["token"], "left_anti", "id", max_rows=MERGE_PINNED)
+    placed = placed.join(info, ["id", "n"])
     split = placed.groupBy("token").agg(
         F.min("part").alias("least"), F.max("part").alias("most"), F.count("*").alias("rows")
     ).where("least < most").select("token", "rows")
@@ -509,17 +618,15 @@ def join(docs, *, id_col="doc_id", text_col="text"):
     leaves = (
         rows.where(F.col("rows") <= LEAF_SETS).select("token", "id", "n", "rest", "part")
         .repartition(partitions, "token").sortWithinPartitions("token").mapInArrow(_leaf_pairs, PAIR))
-    tiles = F.ceil(F.col("rows") / TILE_SETS).cast("int")
-    dealt = (
-        rows.where(F.col("rows") > LEAF_SETS).join(known.select("id", "n", "rest", "bits"), ["id", "n", "rest"])
-        .withColumn("tile", F.pmod(F.xxhash64("id"), tiles).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-        .withColumns({"low": F.least("tile", "other"), "high": F.greatest("tile", "other")}))
-    trees = dealt.select("token", "low", "high", "tile", "id", "n", "rest", "part", "bits").groupBy(
-        "token", "low", "high").applyInArrow(_tree_pairs, PAIR)
+    large = rows.where(F.col("rows") > LEAF_SETS)
+    trees = (
+        large.join(_bitmaps_of(sets, large.select("id").distinct(), ["n", "rest", "bits"]), ["id", "n", "rest"])
+        .select("token", "id", "n", "rest", "part", "bits").groupBy("token").applyInArrow(_tree_pairs, PAIR))
     pair = ["a", "b", "n_a", "n_b", "rest_a", "rest_b"]
     counted = leaves.unionByName(trees).groupBy(*pair).agg(F.sum("common").alias("common"))
     second = counted.mapInArrow(_linkable, "a long, b long")
+    if hot is not None:
+        second = second.unionByName(families_paired(members, part, sets))
     links = links.unionByName(verify(second, texts))
     whole = cut_lineage(classes.join(components(links).withColumnRenamed("id", "node"),
                                      F.col("id") == F.col("node"), "left").select(
